@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from memloom.llm import line_dedup, secret_scan
+from memloom.llm import bpe_stream, line_dedup, secret_scan, token_files
 from memloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,12 +17,23 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(documents(spark, sf_dir))
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layout = token_files.Layout(public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.token_report(documents(spark, sf_dir), layout)
+
+
+def op5_bpe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_stream.bpe_report(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(spark, documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
+    "op2_token_files": op2_token_files,
     "op4_line_dedup": op4_line_dedup,
+    "op5_bpe_stream": op5_bpe_stream,
     "op7_secret_scan": op7_secret_scan,
 }
 
