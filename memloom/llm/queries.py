@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from memloom.llm import bpe_stream, line_dedup, secret_scan, token_files
+from memloom.llm import bpe_stream, language_id, line_dedup, secret_scan, token_files, toxicity
 from memloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(documents(spark, sf_dir))
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = token_files.Layout(public_tokenizers.path("byte_bpe_50k.json"))
     return token_files.token_report(documents(spark, sf_dir), layout)
@@ -30,11 +34,17 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(spark, documents(spark, sf_dir))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_report(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
     "op2_token_files": op2_token_files,
     "op4_line_dedup": op4_line_dedup,
     "op5_bpe_stream": op5_bpe_stream,
     "op7_secret_scan": op7_secret_scan,
+    "op9_language_id": op9_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {
