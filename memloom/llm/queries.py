@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from memloom.llm import bpe_stream, language_id, line_dedup, secret_scan, token_files, toxicity
+from memloom.llm import bpe_stream, decontaminate, language_id, line_dedup, resample, secret_scan, token_files, toxicity
 from memloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,17 +34,27 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(spark, documents(spark, sf_dir))
 
 
+def op8_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.quality_report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_report(documents(spark, sf_dir))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminations(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_token_files": op2_token_files,
     "op4_line_dedup": op4_line_dedup,
     "op5_bpe_stream": op5_bpe_stream,
     "op7_secret_scan": op7_secret_scan,
+    "op8_resample": op8_resample,
     "op9_language_id": op9_language_id,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -68,4 +78,19 @@ ORACLE_SQL: dict[str, str] = {
         FROM keyed LEFT JOIN gone USING (key)
         GROUP BY doc_id
     """,
+    "op10_decontaminate": r"""
+        WITH words AS (
+            SELECT 'd' AS side, doc_id AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+            UNION ALL
+            SELECT 'i', item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') FROM benchmark
+        ), shingles AS (
+            SELECT DISTINCT side, id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda k: array_to_string(w[k:k + 4], ' '))) AS s
+            FROM words WHERE len(w) > 0
+        ), sizes AS (SELECT id, count(*) AS n FROM shingles WHERE side = 'i' GROUP BY id)
+        SELECT d.id AS doc_id, i.id AS item_id, any_value(n)::BIGINT AS n_shingles, count(*)::BIGINT AS n_common,
+               count(*)::DOUBLE / any_value(n) AS containment
+        FROM shingles i JOIN shingles d ON i.s = d.s JOIN sizes ON sizes.id = i.id
+        WHERE i.side = 'i' AND d.side = 'd'
+        GROUP BY d.id, i.id HAVING count(*) >= 0.8 * any_value(n)
+    """,
 }
