@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from memloom.llm import bpe_stream, decontaminate, language_id, line_dedup, resample, secret_scan, token_files, toxicity
+from memloom.llm import ann_scan, bpe_stream, decontaminate, language_id, line_dedup, resample, secret_scan, token_files, toxicity
 from memloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_ann_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_scan.neighbour_report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(documents(spark, sf_dir))
 
@@ -49,6 +53,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_token_files": op2_token_files,
+    "op3_ann_scan": op3_ann_scan,
     "op4_line_dedup": op4_line_dedup,
     "op5_bpe_stream": op5_bpe_stream,
     "op7_secret_scan": op7_secret_scan,

@@ -21,6 +21,7 @@ empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -54,43 +55,81 @@ class CachedEncoder:
 
     A text is cut at each space that a sign other than white space follows.
     The pattern of byte-level tokenizers never takes such a space and what is
-    before it into one piece, so chunks can be encoded apart.  A text that
-    holds the name of a special token goes to the library whole.
+    before it into one piece, so chunks can be encoded apart; nor does it take
+    letters and signs after them into one piece, unless an apostrophe begins
+    these.  A text that holds the name of a special token goes to the library
+    whole.
     """
 
-    KEPT, CHUNK = 250_000, 64
+    KEPT, CHUNK = 400_000, 64
+    CUT = re.compile(r" (?=\S)")
+    SIGNS = ".,;:!?|*#%$&)]}\"'\n"
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.type = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        self.sizes = np.zeros(self.library.get_vocab_size(), dtype=np.int64)
+        for token, i in self.library.get_vocab().items():
+            self.sizes[i] = len(token)
+        #: Ids of chunks after their space, and of signs that follow letters.
         self.kept: dict[str, bytes] = {}
-
-    def chunks(self, text: str) -> list[str]:
-        parts = text.split(" ")
-        out = parts[:1]
-        for part in parts[1:]:
-            if part and not part[0].isspace():
-                out.append(" " + part)
-            else:
-                out[-1] += " " + part
-        return out
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [None if any(s in t for s in self.special) else self.chunks(t) for t in texts]
-        new = list({c for own in cut if own for c in own if c not in self.kept})
-        ids = self.library.encode_batch_fast(new, add_special_tokens=False)
-        fresh = {c: np.array(e.ids, dtype=self.type).tobytes() for c, e in zip(new, ids)}
-        whole = lambda t: np.array(self.library.encode(t, add_special_tokens=False).ids, dtype=self.type).tobytes()
-        kept = self.kept
-        out = [whole(t) if own is None else b"".join([kept[c] if c in kept else fresh[c] for c in own]) for t, own in zip(texts, cut)]
-        for c, b in fresh.items():
-            if len(kept) >= self.KEPT:
+        self.signs: dict[str, bytes] = {}
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=self.type).tobytes()
+
+    def tail(self, signs: str) -> bytes:
+        found = self.signs.get(signs)
+        if found is None:
+            found = self.whole(signs)
+            if len(self.signs) < 10_000 and len(signs) <= self.CHUNK:
+                self.signs[signs] = found
+        return found
+
+    def learn(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of chunks after their space, all from one call: the tokens' lengths deal them out again."""
+        ids = np.array(self.library.encode("".join([" " + c for c in new]), add_special_tokens=False).ids, dtype=self.type)
+        ends = np.cumsum([1 + len(c.encode("utf-8", "surrogatepass")) for c in new], dtype=np.int64)
+        places = np.cumsum(self.sizes[ids], dtype=np.int64)
+        last = np.searchsorted(places, ends)
+        if len(new) and not (last[-1] < len(places) and (places[last] == ends).all()):
+            raise ValueError("the tokenizer takes parts of two chunks into one token")
+        data, size = ids.tobytes(), self.type.itemsize
+        stops = ((last + 1) * size).tolist()
+        out = {c: data[a:b] for c, a, b in zip(new, [0, *stops], stops)}
+        for c, b in out.items():
+            if len(self.kept) >= self.KEPT:
                 break
             if len(c) <= self.CHUNK:
-                kept[c] = b
+                self.kept[c] = b
         return out
 
+    def encode(self, texts: list[str]) -> list[bytes]:
+        cut: list = []
+        missing: dict[str, tuple[str, str]] = {}
+        for text in texts:
+            if any(s in text for s in self.special):
+                cut.append(text)
+                continue
+            parts = self.CUT.split(text)
+            got = list(map(self.kept.get, parts))
+            got[0] = self.whole(parts[0])
+            if None in got:
+                for k, found in enumerate(got):
+                    if found is None:
+                        got[k] = chunk = parts[k]
+                        if chunk not in missing:
+                            core = chunk.rstrip(self.SIGNS)
+                            signs = chunk[len(core) :]
+                            apart = signs and signs[0] not in "'\n" and core.isalpha()
+                            missing[chunk] = (core, signs) if apart else (chunk, "")
+            cut.append(got)
+        known = {core: self.kept.get(core) for core, _ in missing.values()}
+        known |= self.learn([core for core, ids in known.items() if ids is None])
+        fresh = {c: known[core] + (self.tail(signs) if signs else b"") for c, (core, signs) in missing.items()}
+        return [self.whole(x) if isinstance(x, str) else b"".join([y if type(y) is bytes else fresh[y] for y in x]) for x in cut]
+
 
 @cache
 def encoder(path: str) -> CachedEncoder:
@@ -136,8 +175,8 @@ def write_token_files(docs: DataFrame, path: str, layout: Layout, parts: int | N
             return pa.record_batch({"content": pa.array([data], pa.binary())})
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                some = batch.slice(at, 64)
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
                 coded = own.encode(some.column(1).to_pylist())
                 for doc_id, ids in zip(some.column(0).to_pylist(), coded):
                     held.append(ids + end)
