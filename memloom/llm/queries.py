@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from memloom.llm import ann_scan, bpe_stream, decontaminate, language_id, line_dedup, resample, secret_scan, token_files, toxicity
+from memloom.llm import ann_scan, bpe_stream, decontaminate, jaccard_join, language_id, line_dedup, resample, secret_scan, token_files, toxicity
 from memloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,10 @@ def op5_bpe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_stream.bpe_report(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked_groups(documents(spark, sf_dir))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(spark, documents(spark, sf_dir))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Query] = {
     "op3_ann_scan": op3_ann_scan,
     "op4_line_dedup": op4_line_dedup,
     "op5_bpe_stream": op5_bpe_stream,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_secret_scan": op7_secret_scan,
     "op8_resample": op8_resample,
     "op9_language_id": op9_language_id,
