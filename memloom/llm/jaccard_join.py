@@ -17,12 +17,16 @@ and, if it can be the smaller of a pair, under the next.
 
 Equal sets are one node, so copies cost one row for each task.  Rows (signature,
 node) are dealt by ranges of both, so a common signature is spread over
-tasks; signatures with one node go at once.  Then candidates are verified by
-exact intersection: first each signature's nodes against the one among them
-that shares most signatures, and once these links have joined groups, the
-pairs that share a signature and are still apart.  Pairs within a group need
-no test, since groups are all that is asked for: none that could join two
-groups is left out.
+tasks; signatures with one node go at once.  Candidates are first each
+signature's nodes with the one among them that shares most signatures, and once
+links have joined groups, the pairs that share a signature and are still
+apart.  Pairs within a group need no test, since groups are all that is asked
+for: none that could join two groups is left out.
+
+Before a candidate is verified by exact intersection, it must pass a bound that
+never rejects a link: each node has a sketch of BITS bits, the parity of the
+number of its shingles that hash to each bit, and two sketches differ in no
+more bits than the sets in shingles.
 
 Shingles and nodes are 64-bit hashes of their contents.
 
@@ -40,7 +44,7 @@ from math import exp
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from memloom.llm.common import bounded_broadcast, written
@@ -49,6 +53,9 @@ from memloom.llm.line_dedup import NO_ID, mixed
 from memloom.llm.words import shingles, word_hashes
 
 
+BITS = 1024
+
+
 @dataclass(frozen=True)
 class Band:
     """Sizes low..high of the larger set; H, segments, of which the first `deleting` emit one-deletion neighbourhoods."""
@@ -148,20 +155,35 @@ class Signer:
         return np.unique(mixed(np.concatenate(contents) ^ mixed(place, 3), 4))
 
 
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """Parities of the counts of shingles by bit, as 64-bit integers."""
+    odd = np.bincount((mixed(tokens, 1 << 21) >> np.uint64(54)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def may_link(na, nb, differ, percent: int):
+    """Whether sets of these sizes can link if they differ in at least so many shingles; columns or arrays."""
+    both = na + nb
+    if isinstance(both, Column):
+        return differ <= both - 2 * F.ceil(percent * both / (100.0 + percent) - 1e-9)
+    return differ <= both - 2 * -(-percent * both // (100 + percent))
+
+
 def signed_sets(docs: DataFrame, words: int, percent: int, sets: int) -> DataFrame:
-    """(id, node, n, signatures) of every row.  A task gives the signatures of a node once, as far as it remembers nodes."""
+    """(id, node, n, sketch, signatures) of every row.  A task gives the signatures of a node once, as far as it remembers nodes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, signer, seen = word_hashes(), Signer(percent, sets), set()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                nodes, sizes, signatures = [], [], []
+                nodes, sizes, sketches, signatures = [], [], [], []
                 for text in part.column(1).to_pylist():
                     tokens = shingles(known.of(text), words)
                     node = xxhash.xxh3_64_intdigest(tokens.tobytes()) if len(tokens) else None
                     nodes.append(node if node is None else node - (1 << 63))
                     sizes.append(len(tokens))
+                    sketches.append(sketch(tokens))
                     if node is None or node in seen:
                         signatures.append([])
                     else:
@@ -169,12 +191,12 @@ def signed_sets(docs: DataFrame, words: int, percent: int, sets: int) -> DataFra
                         if len(seen) < 500_000:
                             seen.add(node)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).fill_null(NO_ID), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(signatures, pa.list_(pa.int64()))],
-                    names=["id", "node", "n", "signatures"],
+                    [part.column(0).fill_null(NO_ID), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sketches, pa.list_(pa.int64())), pa.array(signatures, pa.list_(pa.int64()))],
+                    names=["id", "node", "n", "sketch", "signatures"],
                 )
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "id long, node long, n long, signatures array<long>")
+    return rows.mapInArrow(run, "id long, node long, n long, sketch array<long>, signatures array<long>")
 
 
 def shared_signatures(signed: DataFrame, parts: int) -> DataFrame:
@@ -204,25 +226,57 @@ def shared_signatures(signed: DataFrame, parts: int) -> DataFrame:
     return dealt.mapInArrow(run, "signature long, node long")
 
 
-def centre_pairs(shared: DataFrame) -> DataFrame:
-    """(a, b): each signature's node that shares most signatures, with each of the others."""
+def centre_pairs(shared: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): each signature's node that shares most signatures, with each of the others that it may link with."""
     degree = shared.groupBy("node").agg(F.count("*").alias("d"))
     ranked = shared.join(degree, "node")
     centre = ranked.groupBy("signature").agg(F.max(F.struct("d", "node")).alias("c"))
     joined = shared.join(centre, "signature").where(F.col("node") != F.col("c.node"))
-    return joined.select(F.col("c.node").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = joined.select(F.col("c.node").alias("a"), F.col("node").alias("b")).distinct()
+    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    differ = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    return both.where(may_link(F.col("na"), F.col("nb"), differ, percent)).select("a", "b")
 
 
-def open_pairs(shared: DataFrame, groups: DataFrame, tested: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """(a, b): nodes that share a signature, are in different groups, can link by their sizes, and are not tested."""
+def open_pairs(shared: DataFrame, groups: DataFrame, tested: DataFrame, nodes: DataFrame, percent: int, block: int = 1024) -> DataFrame:
+    """(a, b): nodes that share a signature, are in different groups, may link, and are not tested.
+
+    A signature's nodes are compared in blocks; two blocks of one signature meet in a task of their own.
+    """
     placed = shared.join(groups, "node", "left").select("signature", "node", F.coalesce("root", "node").alias("root"))
     placed = written(placed, "placed")
-    apart = placed.groupBy("signature").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("signature")
-    rows = written(placed.join(apart, "signature", "left_semi").join(sizes, "node"), "apart")
-    left = rows.select("signature", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"))
-    right = rows.select("signature", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"))
-    near = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))
-    pairs = left.join(right, "signature").where(near).select("a", "b").distinct()
+    apart = placed.groupBy("signature").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size")).where("x <> y").select("signature", "size")
+    rows = placed.join(apart, "signature").join(nodes.select("node", "n", "sketch"), "node")
+    blocks = F.ceil(F.col("size") / block)
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    # Signatures with few nodes share a group, those with many have one for each two blocks.
+    few, bundles = F.col("size") <= block, 1 + placed.count() // 20_000
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    rows = rows.select(
+        F.when(few, F.pmod("signature", F.lit(bundles))).otherwise(F.xxhash64("signature", low, high)).alias("task"),
+        "signature", low.alias("low"), high.alias("high"), "own", "node", "root", "n", "sketch",
+    )
+
+    def compare(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("signature", "ascending"), ("low", "ascending"), ("high", "ascending"), ("node", "ascending")])
+        signature, low, high, own, node, root, n = (group[c].to_numpy() for c in ("signature", "low", "high", "own", "node", "root", "n"))
+        bits = np.array(group["sketch"].to_pylist(), dtype=np.int64).reshape(len(node), -1)
+        new = np.r_[True, (signature[1:] != signature[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])]
+        ends = np.r_[np.flatnonzero(new)[1:], len(node)][np.cumsum(new) - 1]
+        out: tuple[list, list] = ([np.zeros(0, np.int64)], [np.zeros(0, np.int64)])
+        left, step = np.arange(len(node)), 1
+        while len(left := left[left + step < ends[left]]):
+            i, j = left, left + step
+            near = (root[i] != root[j]) & ((low[i] == high[i]) | (own[i] != own[j])) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+            i, j = i[near], j[near]
+            fit = may_link(n[i], n[j], np.bitwise_count(bits[i] ^ bits[j]).sum(1).astype(np.int64), percent)
+            out[0].append(np.minimum(node[i[fit]], node[j[fit]]))
+            out[1].append(np.maximum(node[i[fit]], node[j[fit]]))
+            step += 1
+        return pa.table({"a": np.concatenate(out[0]), "b": np.concatenate(out[1])})
+
+    pairs = rows.groupBy("task").applyInArrow(compare, "a long, b long").distinct()
     done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return pairs.join(done, ["a", "b"], "left_anti")
 
@@ -274,12 +328,12 @@ def linked_groups(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFra
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     signed = written(signed_sets(docs, words, percent, max(1, docs.count())), "signed")
     shared = written(shared_signatures(signed, parts), "shared")
-    nodes = written(signed.where("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n")), "nodes")
-    first, sizes = nodes.select("node", "id"), nodes.select("node", "n")
-    stars = written(centre_pairs(shared), "stars")
+    nodes = written(signed.where("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "nodes")
+    first = nodes.select("node", "id")
+    stars = written(centre_pairs(shared, nodes, percent), "stars")
     links = written(verified(docs, stars, first, words, percent), "links")
     groups = written(connected_components(links), "groups")
-    rest = written(open_pairs(shared, groups, stars, sizes, percent), "rest")
+    rest = written(open_pairs(shared, groups, stars, nodes, percent), "rest")
     if not rest.isEmpty():
         links = links.unionByName(verified(docs, rest, first, words, percent))
         groups = written(connected_components(links), "groups")
