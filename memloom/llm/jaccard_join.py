@@ -261,7 +261,8 @@ def open_pairs(shared: DataFrame, groups: DataFrame, tested: DataFrame, nodes: D
     def compare(group: pa.Table) -> pa.Table:
         group = group.sort_by([("signature", "ascending"), ("low", "ascending"), ("high", "ascending"), ("node", "ascending")])
         signature, low, high, own, node, root, n = (group[c].to_numpy() for c in ("signature", "low", "high", "own", "node", "root", "n"))
-        bits = np.array(group["sketch"].to_pylist(), dtype=np.int64).reshape(len(node), -1)
+        # Unsigned, since numpy counts the bits of a signed number's absolute value.
+        bits = np.array(group["sketch"].to_pylist(), dtype=np.int64).reshape(len(node), -1).view(np.uint64)
         new = np.r_[True, (signature[1:] != signature[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])]
         ends = np.r_[np.flatnonzero(new)[1:], len(node)][np.cumsum(new) - 1]
         out: tuple[list, list] = ([np.zeros(0, np.int64)], [np.zeros(0, np.int64)])
