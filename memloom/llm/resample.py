@@ -36,6 +36,7 @@ class Options:
     bits: int = 14
     max_rows: int = 20_000
     prior: float = 1.0
+    back_off: float = 1000.0
     scale: float = 20.0
     fraction: float = 0.5
     seed: int = 17
@@ -72,9 +73,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, options: Options = Optio
     raw = bucket_counts(docs, o.bits)
     if not target.sum():
         return np.zeros(1 << o.bits)
-    # The raw model's share of the prior is in proportion, so rare buckets are neither good nor bad.
-    share = lambda n: np.log(n + o.prior) - np.log(n.sum() + o.prior * len(n))
-    return share(target + raw / raw.sum() * o.prior * len(raw) * 0.01) - share(raw)
+    raw_share = (raw + o.prior) / (raw.sum() + o.prior * len(raw))
+    # The target model backs off to the raw one, so that buckets that it hasn't met are bad only as far as it should have.
+    return np.log((target / raw_share + o.back_off) / (target.sum() + o.back_off))
 
 
 def weigh(docs: DataFrame, ratio: np.ndarray, options: Options = Options()) -> DataFrame:
