@@ -160,7 +160,7 @@ def shard_of(hi: np.ndarray, shards: int) -> np.ndarray:
 
 
 def collected_shards(lines: DataFrame, total: int) -> list[LineShard]:
-    """The arrays of at most BROADCAST lines, one shard after the other."""
+    """The arrays of so many lines, one shard after the other."""
     parts = max(1, -(-total // SHARD_LINES))
     table = lines.select("hi", "lo", "n", "last").toArrow()
     hi, lo = (table[c].to_numpy().view("u8") for c in ("hi", "lo"))
@@ -230,10 +230,15 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, array_b
     if total <= most:
         common, hits = spark.sparkContext.broadcast(collected_shards(counts, total)), None
     else:
-        top = counts.orderBy(F.desc("n"), "hi", "lo").limit(most)
-        common = spark.sparkContext.broadcast(collected_shards(top, most))
-        rare = counts.join(F.broadcast(written(top.select("hi", "lo"), "common")), ["hi", "lo"], "left_anti")
-        hits = routed_hits(docs, rare, common, min_chars, total - most).withColumnRenamed("doc_id", "_line_id")
+        # The commonest lines that fit; the table of line counts by count is small.
+        held, least = 0, None
+        for row in counts.groupBy("n").agg(F.count("*").alias("lines")).orderBy(F.desc("n")).toLocalIterator():
+            if held + row["lines"] > most:
+                break
+            held, least = held + row["lines"], row["n"]
+        often = F.lit(False) if least is None else F.col("n") >= least
+        common = spark.sparkContext.broadcast(collected_shards(counts.where(often), held))
+        hits = routed_hits(docs, counts.where(~often), common, min_chars, total - held).withColumnRenamed("doc_id", "_line_id")
 
     routed = hits is not None
     names, at, key = docs.columns, docs.columns.index("text"), docs.columns.index("doc_id")

@@ -3,6 +3,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
 from memloom.llm.line_dedup import PerfectHash, dedup_lines, line_key, line_report
 
@@ -39,8 +40,9 @@ def test_equals_brute_force(frame):
     assert result(line_report(frame(rows()))) == brute(rows())
 
 
-def test_routed_probes_give_the_same(frame):
-    assert result(line_report(frame(rows()), array_bytes=24 * 7)) == brute(rows())
+@pytest.mark.parametrize("lines", [1, 7, 25])
+def test_routed_probes_give_the_same(frame, lines):
+    assert result(line_report(frame(rows()), array_bytes=24 * lines)) == brute(rows())
 
 
 def test_columns_stay(frame):
