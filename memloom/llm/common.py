@@ -40,14 +40,18 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_enough(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether the rows of df, counted now, fit the bound for a broadcast."""
-    return df.count() * row_bytes <= limit
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a table that `written` made and nothing reads any more."""
+    spark = df.sparkSession
+    for name in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def bounded_broadcast(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """df with a broadcast hint if its counted size is in bounds, else df for a shuffled join."""
-    return F.broadcast(df) if small_enough(df, row_bytes, limit) else df
+def bounded_broadcast(df: DataFrame, row_bytes: int | Column, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """df with a broadcast hint if its size, added up now, is in bounds, else df for a shuffled join."""
+    size = df.agg(F.sum(F.lit(row_bytes) if isinstance(row_bytes, int) else row_bytes)).first()[0] or 0
+    return F.broadcast(df) if size <= limit else df
 
 
 def fold(doc_id: Column) -> Column:

@@ -24,9 +24,9 @@ apart.  Pairs within a group need no test, since groups are all that is asked
 for: none that could join two groups is left out.
 
 Before a candidate is verified by exact intersection, it must pass a bound that
-never rejects a link: each node has a sketch of BITS bits, the parity of the
-number of its shingles that hash to each bit, and two sketches differ in no
-more bits than the sets in shingles.
+never rejects a link: each node has a sketch, the parity of the number of its
+shingles that hash to each of its bits, and two sketches differ in no more bits
+than the sets in shingles.
 
 Shingles and nodes are 64-bit hashes of their contents.
 
@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from memloom.llm.common import bounded_broadcast, written
+from memloom.llm.common import bounded_broadcast, discard, written
 from memloom.llm.components import connected_components
 from memloom.llm.line_dedup import NO_ID, mixed
 from memloom.llm.words import shingles, word_hashes
@@ -156,9 +156,24 @@ class Signer:
 
 
 def sketch(tokens: np.ndarray) -> np.ndarray:
-    """Parities of the counts of shingles by bit, as 64-bit integers."""
-    odd = np.bincount((mixed(tokens, 1 << 21) >> np.uint64(54)).astype(np.int64), minlength=BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+    """Parities of the counts of shingles by bit, as 64-bit integers; a power of two of at least two bits a shingle.
+
+    A sketch of twice as many bits folds to the shorter one: its halves' exclusive or.
+    """
+    bits = max(BITS, 1 << (2 * len(tokens) - 1).bit_length()) if len(tokens) else BITS
+    odd = np.bincount((mixed(tokens, 1 << 21) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    return np.bitwise_xor.reduce(bits.reshape(-1, words), axis=0)
+
+
+def differing_bits(x: np.ndarray, y: np.ndarray) -> int:
+    """Of two sketches, the longer one folded."""
+    words = min(len(x), len(y))
+    # Unsigned, since numpy counts the bits of a signed number's absolute value.
+    return int(np.bitwise_count((folded(x, words) ^ folded(y, words)).view(np.uint64)).sum())
 
 
 def may_link(na, nb, differ, percent: int):
@@ -235,8 +250,11 @@ def centre_pairs(shared: DataFrame, nodes: DataFrame, percent: int) -> DataFrame
     pairs = joined.select(F.col("c.node").alias("a"), F.col("node").alias("b")).distinct()
     side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    differ = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-    return both.where(may_link(F.col("na"), F.col("nb"), differ, percent)).select("a", "b")
+    # Sets of sizes that can link have sketches of one length or of twice the other's.
+    fold = lambda x, y: F.when(F.size(x) > F.size(y), F.transform(F.sequence(F.lit(0), F.size(y) - 1), lambda i: F.get(x, i).bitwiseXOR(F.get(x, i + F.size(y))))).otherwise(F.col(x))
+    differ = F.aggregate(F.zip_with(fold("sa", "sb"), fold("sb", "sa"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    near = both.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    return near.where(may_link(F.col("na"), F.col("nb"), differ, percent)).select("a", "b")
 
 
 def open_pairs(shared: DataFrame, groups: DataFrame, tested: DataFrame, nodes: DataFrame, percent: int, block: int = 1024) -> DataFrame:
@@ -261,8 +279,8 @@ def open_pairs(shared: DataFrame, groups: DataFrame, tested: DataFrame, nodes: D
     def compare(group: pa.Table) -> pa.Table:
         group = group.sort_by([("signature", "ascending"), ("low", "ascending"), ("high", "ascending"), ("node", "ascending")])
         signature, low, high, own, node, root, n = (group[c].to_numpy() for c in ("signature", "low", "high", "own", "node", "root", "n"))
-        # Unsigned, since numpy counts the bits of a signed number's absolute value.
-        bits = np.array(group["sketch"].to_pylist(), dtype=np.int64).reshape(len(node), -1).view(np.uint64)
+        whole = [np.array(x, dtype=np.int64) for x in group["sketch"].to_pylist()]
+        bits = np.array([folded(x, BITS // 64) for x in whole], dtype=np.int64).reshape(len(node), -1).view(np.uint64)
         new = np.r_[True, (signature[1:] != signature[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])]
         ends = np.r_[np.flatnonzero(new)[1:], len(node)][np.cumsum(new) - 1]
         out: tuple[list, list] = ([np.zeros(0, np.int64)], [np.zeros(0, np.int64)])
@@ -272,6 +290,8 @@ def open_pairs(shared: DataFrame, groups: DataFrame, tested: DataFrame, nodes: D
             near = (root[i] != root[j]) & ((low[i] == high[i]) | (own[i] != own[j])) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
             i, j = i[near], j[near]
             fit = may_link(n[i], n[j], np.bitwise_count(bits[i] ^ bits[j]).sum(1).astype(np.int64), percent)
+            i, j = i[fit], j[fit]
+            fit = np.array([len(whole[x]) * 64 == BITS or may_link(n[x], n[y], differing_bits(whole[x], whole[y]), percent) for x, y in zip(i, j)], dtype=bool)
             out[0].append(np.minimum(node[i[fit]], node[j[fit]]))
             out[1].append(np.maximum(node[i[fit]], node[j[fit]]))
             step += 1
@@ -293,8 +313,7 @@ def verified(docs: DataFrame, pairs: DataFrame, first: DataFrame, words: int, pe
     need = wanted.unionByName(centres).join(first, "node").groupBy("id", "node").agg(F.array_distinct(F.flatten(F.collect_list("keys"))).alias("keys"))
     need = written(need.withColumnRenamed("id", "need_id"), "need")
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.col("text").cast("string").alias("text"))
-    # At most some hundred bytes each: a node has a key for each of its centres.
-    found = rows.join(bounded_broadcast(need, 256), F.col("id") == F.col("need_id")).select("text", "node", "keys")
+    found = rows.join(bounded_broadcast(need, 64 + 8 * F.size("keys")), F.col("id") == F.col("need_id")).select("text", "node", "keys")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -327,8 +346,10 @@ def verified(docs: DataFrame, pairs: DataFrame, first: DataFrame, words: int, pe
 def linked_groups(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row: the size of its set, and the smallest doc_id that links reach."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    signed = written(signed_sets(docs, words, percent, max(1, docs.count())), "signed")
-    shared = written(shared_signatures(signed, parts), "shared")
+    every = written(signed_sets(docs, words, percent, max(1, docs.count())), "signed")
+    shared = written(shared_signatures(every, parts), "shared")
+    signed = written(every.drop("signatures"), "sets")
+    discard(every)
     nodes = written(signed.where("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "nodes")
     first = nodes.select("node", "id")
     stars = written(centre_pairs(shared, nodes, percent), "stars")

@@ -88,6 +88,18 @@ ORACLE_SQL: dict[str, str] = {
         FROM keyed LEFT JOIN gone USING (key)
         GROUP BY doc_id
     """,
+    "op6_jaccard_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 2, 2)), lambda k: array_to_string(w[k:k + 3], ' '))) AS s
+            FROM words WHERE len(w) > 0
+        ), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        links AS (SELECT x, y FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+        reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, y FROM reach JOIN links ON r = x)
+        SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(r) AS component_id FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+    """,
     "op10_decontaminate": r"""
         WITH words AS (
             SELECT 'd' AS side, doc_id AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
