@@ -89,7 +89,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, options: Options = Optio
         def train(rows: pa.Table) -> pa.Table:
             z, n, own = np.zeros(1 << o.bits), np.zeros(1 << o.bits), known.value
             z[own["at"]], n[own["at"]] = own["z"], own["n"]
-            lists = [np.asarray(x, dtype=np.int64) for x in rows["at"].to_pylist()]
+            column = rows["at"].combine_chunks()
+            flat, ends = column.flatten().to_numpy(), column.offsets.to_numpy()
+            lists = [flat[a:b] for a, b in zip(ends - ends[0], ends[1:] - ends[0])]
             order = np.lexsort((rows["y"].to_numpy(), [len(x) for x in lists], [int(x.sum()) for x in lists]))
             order = np.random.default_rng(0).permutation(order)
             ftrl([lists[k] for k in order], rows["y"].to_numpy()[order], z, n, o)
