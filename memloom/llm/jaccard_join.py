@@ -269,7 +269,7 @@ def open_pairs(shared: DataFrame, groups: DataFrame, tested: DataFrame, nodes: D
     blocks = F.ceil(F.col("size") / block)
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     # Signatures with few nodes share a group, those with many have one for each two blocks.
-    few, bundles = F.col("size") <= block, 1 + placed.count() // 20_000
+    few, bundles = F.col("size") <= block, 1 + placed.count() // 4_000
     low, high = F.least("own", "other"), F.greatest("own", "other")
     rows = rows.select(
         F.when(few, F.pmod("signature", F.lit(bundles))).otherwise(F.xxhash64("signature", low, high)).alias("task"),
