@@ -118,10 +118,12 @@ class Signer:
 
     def of(self, tokens: np.ndarray) -> np.ndarray:
         n = len(tokens)
-        if not n or n > self.bands[-1].high:
-            if not n:
-                return tokens
-            self.bands = bands_up_to(2 * n, self.percent, self.sets)
+        if not n:
+            return tokens
+        # The greatest size that this set can link with must be in a band.
+        most = 100 * n // self.percent
+        if most > self.bands[-1].high:
+            self.bands = bands_up_to(2 * most, self.percent, self.sets)
         at = int(np.searchsorted([b.high for b in self.bands], n))
         out = [self._under(tokens, self.bands[at])] if n >= self.bands[at].low else []
         for band in self.bands[at + (n >= self.bands[at].low) :]:

@@ -93,6 +93,23 @@ def test_linking_sets_share_a_signature():
                 assert jaccard_join.may_link(np.array(len(a)), np.array(len(b)), differ, 85)
 
 
+def test_linking_sets_across_the_last_band():
+    """Each side has a signer of its own, as in tasks that saw no longer text."""
+    rng = np.random.default_rng(1)
+    for percent in (85, 80, 50):
+        first = jaccard_join.Signer(percent, 10**4).bands[-1].high
+        for high in (first, jaccard_join.bands_up_to(2 * (first + 1), percent, 10**4)[-1].high):
+            for n in (high, percent * (high + 1) // 100 + 1):
+                a = np.unique(rng.integers(0, 2**63, n).astype("u8"))
+                b = np.union1d(a, rng.integers(0, 2**63, high + 1 - len(a)).astype("u8"))
+                assert len(a) <= high < len(b) and 100 * len(a) >= percent * len(b)
+                x, y = (jaccard_join.Signer(percent, 10**4) for _ in "ab")
+                alone = x.of(a)
+                assert len(np.intersect1d(alone, y.of(b)))
+                x.of(np.unique(rng.integers(0, 2**63, 4 * n).astype("u8")))
+                assert np.array_equal(x.of(a), alone)
+
+
 def test_components(spark):
     chain = [(k, k + 1) for k in range(40)] + [(100, 101), (103, 101), (102, 103), (7, 7)]
     got = connected_components(spark.createDataFrame(chain, "a long, b long")).collect()
