@@ -10,7 +10,8 @@ The arrays go to the tasks as a broadcast while their size, known from the
 count of hashes, is within a bound.  Beyond it, the hashes of the most common
 lines still go so (as many as the bound allows), and the remaining lines send
 only (hash, doc_id) to the shard that holds them, which answers with the
-documents' repeated lines.
+documents' repeated lines.  The probes of a shard are counted and dealt to
+blocks of bounded size, and each block gets a copy of the shard.
 
 Defined cases: a null or empty text is one empty line; every row counts as one
 document, also if its id repeats; a null doc_id ranks below all others; an
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from memloom.llm.common import written
+from memloom.llm.common import bounded_broadcast, written
 
 WHITE = " \t\n\x0b\x0c\r"
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -37,6 +38,8 @@ NO_ID = -(2**63)
 #: Bytes of the arrays for one line, with the hash function: 2.5 + 8 + 4 + 8, rounded up.
 LINE_BYTES = 24
 SHARD_LINES = 100_000
+#: About so many probes meet a shard in one group.
+PROBE_ROWS = 1_000_000
 GAMMA = 2.0
 
 
@@ -181,8 +184,9 @@ def probe_all(shards: list[LineShard], hi: np.ndarray, lo: np.ndarray) -> tuple[
 def routed_hits(docs: DataFrame, rare: DataFrame, common, min_chars: int, total_rare: int) -> DataFrame:
     """(doc_id, hits): hashes of the rare repeated lines that a document must lose.
 
-    Lines that the broadcast arrays hold are left out, so no line here is on
-    many rows; each shard meets its probes in a task of its own.
+    Lines that the broadcast arrays hold are left out.  Lines on one row probe
+    too, so probes grow with the corpus: each shard meets them in blocks of
+    about PROBE_ROWS, whatever the number of shards.
     """
     parts = max(1, -(-total_rare // SHARD_LINES))
 
@@ -193,9 +197,11 @@ def routed_hits(docs: DataFrame, rare: DataFrame, common, min_chars: int, total_
             if len(rows):
                 keep = ~probe_all(common.value, hi, lo)[0]
                 rows, hi, lo = rows[keep], hi[keep], lo[keep]
+                # Copies of a line differ in their places, so that those of one id are dealt as well.
+                deal = mixed(hi ^ mixed(ids[rows].view("u8"), 97) ^ np.arange(len(rows), dtype="u8"), 98) >> np.uint64(33)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard_of(hi, parts)), pa.array(hi.view("i8")), pa.array(lo.view("i8")), pa.array(ids[rows])],
-                    names=["shard", "hi", "lo", "doc_id"],
+                    [pa.array(shard_of(hi, parts)), pa.array(deal.astype(np.int32)), pa.array(hi.view("i8")), pa.array(lo.view("i8")), pa.array(ids[rows])],
+                    names=["shard", "deal", "hi", "lo", "doc_id"],
                 )
 
     def answer(own: pa.Table, probes: pa.Table) -> pa.Table:
@@ -211,9 +217,14 @@ def routed_hits(docs: DataFrame, rare: DataFrame, common, min_chars: int, total_
             shard = shard_of(batch.column(0).to_numpy().view("u8"), parts)
             yield pa.RecordBatch.from_arrays([pa.array(shard), *batch.columns], names=["shard", "hi", "lo", "n", "last"])
 
-    probes = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(send, "shard long, hi long, lo long, doc_id long")
+    probes = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(send, "shard long, deal int, hi long, lo long, doc_id long")
+    probes = written(probes, "probes")
+    blocks = written(probes.groupBy("shard").agg(F.ceil(F.count("*") / PROBE_ROWS).alias("blocks")), "blocks")
+    blocks = bounded_broadcast(blocks, 16)
+    probes = probes.join(blocks, "shard").select("shard", F.pmod("deal", "blocks").alias("block"), "hi", "lo", "doc_id")
     own = rare.select("hi", "lo", "n", "last").mapInArrow(with_shard, "shard long, hi long, lo long, n long, last long")
-    hits = own.groupBy("shard").cogroup(probes.groupBy("shard")).applyInArrow(answer, "doc_id long, hi long, lo long")
+    own = own.join(blocks, "shard").select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "hi", "lo", "n", "last")
+    hits = own.groupBy("shard", "block").cogroup(probes.groupBy("shard", "block")).applyInArrow(answer, "doc_id long, hi long, lo long")
     return hits.groupBy("doc_id").agg(F.collect_set(F.struct("hi", "lo")).alias("_line_hits"))
 
 

@@ -4,7 +4,9 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 
+from memloom.llm import line_dedup
 from memloom.llm.line_dedup import PerfectHash, dedup_lines, line_key, line_report
 
 LOW = -(2**63)
@@ -45,6 +47,24 @@ def test_routed_probes_give_the_same(frame, lines):
     assert result(line_report(frame(rows()), array_bytes=24 * lines)) == brute(rows())
 
 
+def test_routed_groups_are_bounded(frame, monkeypatch):
+    """One shard, one very common id, and many lines that only one row has."""
+    grouped = PandasCogroupedOps.applyInArrow
+
+    def watched(self, answer, schema):
+        def checked(own, probes):
+            assert probes.num_rows <= 200
+            return answer(own, probes)
+
+        return grouped(self, checked, schema)
+
+    monkeypatch.setattr(PandasCogroupedOps, "applyInArrow", watched)
+    monkeypatch.setattr(line_dedup, "PROBE_ROWS", 100, raising=False)
+    single = [(1000 + i, "\n".join(f"line {i} {k} that no other row of the table has at all" for k in range(20))) for i in range(60)]
+    many = rows() + single + [(None, rows()[3][1] + "\n" + rows()[7][1])] * 40
+    assert result(line_report(frame(many), array_bytes=24)) == brute(many)
+
+
 def test_columns_stay(frame):
     got = dedup_lines(frame(rows()))
     assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "spans", "score", "node", "n_lines", "n_dropped"]
