@@ -2,11 +2,13 @@
 
 Features are the distinct words, word pairs and pairs that skip one word of
 the whole text, hashed.  Training takes a bounded sample of labelled rows (the
-max_rows whose ids have the smallest hashes), deals it to shards, and each
-shard runs FTRL-proximal: learning rates for each coordinate, L1 for sparse
-weights.  The shards' states are averaged by coordinate, and the next round
-starts from the average.  The weights that are not zero go to all tasks as a
-broadcast of at most 12 bytes for each of the 2**bits buckets.
+max_rows whose ids have the smallest hashes) and deals it to shards, of which
+one at a time is in memory.  FTRL-proximal (learning rates for each coordinate,
+L1 for sparse weights) goes through the shards in turn, each starting from the
+state that the one before it left: averaged states would weaken words that few
+rows hold as shards grow in number, and added ones overshoot for common words.
+The weights that are not zero go to all tasks as a broadcast of at most 12
+bytes for each of the 2**bits buckets.
 
 Defined cases: null and empty texts have no features and get the intercept's
 score; label rows without a label, or whose document is absent, teach nothing;
@@ -68,6 +70,23 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray, z: np.ndarray, n: np.ndarra
             n[at] += g * g
 
 
+def shards_in_turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """A table for each shard, from batches in the order of their first column, the shard."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        shard = batch.column(0).to_numpy()
+        ends = np.flatnonzero(np.r_[shard[1:] != shard[:-1], True]) + 1 if len(shard) else shard
+        at = 0
+        for end in ends.tolist():
+            if held and held[-1].column(0)[0].as_py() != shard[at]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(at, end - at))
+            at = end
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str, options: Options = Options()) -> dict[str, np.ndarray]:
     """Buckets and weights, from labelled rows outside the held-out fold."""
     o, spark = options, docs.sparkSession
@@ -86,22 +105,22 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, options: Options = Optio
     for _ in range(o.rounds):
         known = spark.sparkContext.broadcast(state)
 
-        def train(rows: pa.Table) -> pa.Table:
+        def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             z, n, own = np.zeros(1 << o.bits), np.zeros(1 << o.bits), known.value
             z[own["at"]], n[own["at"]] = own["z"], own["n"]
-            column = rows["at"].combine_chunks()
-            flat, ends = column.flatten().to_numpy(), column.offsets.to_numpy()
-            lists = [flat[a:b] for a, b in zip(ends - ends[0], ends[1:] - ends[0])]
-            order = np.lexsort((rows["y"].to_numpy(), [len(x) for x in lists], [int(x.sum()) for x in lists]))
-            order = np.random.default_rng(0).permutation(order)
-            ftrl([lists[k] for k in order], rows["y"].to_numpy()[order], z, n, o)
-            at = np.flatnonzero(n)
-            return pa.table({"bucket": at, "z": z[at], "n": n[at], "rows": np.full(len(at), len(lists))})
-
-        parts = sample.groupBy("shard").applyInArrow(train, "bucket long, z double, n double, rows long")
-        mean = parts.groupBy("bucket").agg((F.sum("z") / shards).alias("z"), (F.sum("n") / shards).alias("n"))
-        # At most 2**bits rows; buckets that L1 keeps at zero start afresh.
-        table = mean.where((F.abs("z") > o.l1) | (F.col("bucket") == 0)).toArrow()
+            for rows in shards_in_turn(batches):
+                column = rows["at"].combine_chunks()
+                flat, ends = column.flatten().to_numpy(), column.offsets.to_numpy()
+                lists = [flat[a:b] for a, b in zip(ends - ends[0], ends[1:] - ends[0])]
+                order = np.lexsort((rows["y"].to_numpy(), [len(x) for x in lists], [int(x.sum()) for x in lists]))
+                order = np.random.default_rng(0).permutation(order)
+                ftrl([lists[k] for k in order], rows["y"].to_numpy()[order], z, n, o)
+            # Buckets that L1 keeps at zero start afresh.
+            at = np.flatnonzero((n > 0) & ((np.abs(z) > o.l1) | (np.arange(1 << o.bits) == 0)))
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(z[at]), pa.array(n[at])], names=["bucket", "z", "n"])
+
+        # At most max_rows rows, read by one task, and at most 2**bits back.
+        table = sample.coalesce(1).sortWithinPartitions("shard").mapInArrow(train, "bucket long, z double, n double").toArrow()
         state = {"at": table["bucket"].to_numpy(), "z": table["z"].to_numpy(), "n": table["n"].to_numpy()}
         order = np.argsort(state["at"])
         state = {k: v[order] for k, v in state.items()}

@@ -73,6 +73,22 @@ def test_toxicity(spark, frame):
     assert all(r.predicted == int(r.score >= 0.7) for r in got)
 
 
+@pytest.mark.parametrize("shard_rows", [400, 10_000])
+def test_words_of_few_toxic_rows(spark, frame, shard_rows):
+    """Words that six toxic rows hold are learnt with as many shards as with one."""
+    rng = np.random.default_rng(2)
+    fill = lambda: [f"word{k}" for k in rng.integers(0, 400, 12)]
+    ids = [k for k in range(3000) if zlib.crc32(str(k).encode()) % 3 != 1][:1600]
+    toxic = {int(i): f"vile{at % 40}" for at, i in enumerate(rng.permutation(ids)[:240])}
+    rows = [(i, " ".join([*fill(), *([toxic[i]] if i in toxic else []), *fill()])) for i in ids]
+    labels = spark.createDataFrame([(i, int(i in toxic)) for i in ids], "doc_id long, toxic int")
+    o = toxicity.Options(shard_rows=shard_rows)
+    model = toxicity.fit(frame(rows), labels, "toxic", o)
+    told = toxicity.score(frame([(k, f"vile{k}") for k in range(40)] + [(k, " ".join(fill())) for k in range(40, 140)]), model, options=o).collect()
+    assert np.mean([r.predicted for r in told if r.doc_id < 40]) > 0.9
+    assert np.mean([r.predicted for r in told if r.doc_id >= 40]) < 0.05
+
+
 def test_toxicity_without_labels(spark, frame):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     got = toxicity.toxicity_report(frame([(1, "a b"), (2, None)]), none).collect()
