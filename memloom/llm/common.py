@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +17,17 @@ BROADCAST_BYTES = 32 << 20
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share (spark.checkpoint.dir).
 
-    A folder of our own is set only where the session has none, as in tests.
+    A folder of our own is set only where the session has none and all of it is
+    one process, as in tests; a cluster without the setting is an error, since
+    its machines don't see each other's folders.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path is None:
         known = spark.sparkContext.getCheckpointDir()
         if known is None:
+            master = spark.sparkContext.master
+            if master != "local" and not master.startswith("local["):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="memloom-"))
             known = spark.sparkContext.getCheckpointDir()
         path = known
@@ -54,6 +61,46 @@ def bounded_broadcast(df: DataFrame, row_bytes: int | Column, limit: int = BROAD
     return F.broadcast(df) if size <= limit else df
 
 
+def join_unique(many: DataFrame, one: DataFrame, key: str, counts: DataFrame, deal: Column | None = None, most: int = 1000) -> DataFrame:
+    """many joined with one, which has one row a key, where a key may hold much of many.
+
+    A key with over `most` rows is dealt to several parts (by `deal`, else by
+    all columns), and its row of one is copied to each.  counts: key and count
+    of many's rows, as a table.
+    """
+    hot = counts.where(F.col("count") > most).select(key, F.ceil(F.col("count") / most).alias("_parts"))
+    keys = hot.count()
+    if not keys:
+        return many.join(one, key)
+    hot = F.broadcast(hot) if 32 * keys <= BROADCAST_BYTES else hot
+    part = F.pmod(F.xxhash64(*many.columns) if deal is None else deal, F.coalesce("_parts", F.lit(1)))
+    dealt = many.join(hot, key, "left").withColumn("_part", part).drop("_parts")
+    copies = one.join(hot, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    return dealt.join(copies, [key, "_part"]).drop("_part")
+
+
+def free_name(name: str, *frames: DataFrame) -> str:
+    """name, or name with as many underscores as it takes to be none of the frames' columns."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+_held: dict[Any, Any] = {}
+
+
+def worker_held(key: Any, make: Callable[[], Any]) -> Any:
+    """What make() gives, kept in this Python worker until another key is asked for.
+
+    Workers outlive stages; what one operator has learnt doesn't weigh on the next.
+    """
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id's decimal text, modulo 3; rows of fold 1 are held out of all fitting."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 3

@@ -28,11 +28,16 @@ never rejects a link: each node has a sketch, the parity of the number of its
 shingles that hash to each of its bits, and two sketches differ in no more bits
 than the sets in shingles.
 
-Shingles and nodes are 64-bit hashes of their contents.
+Shingles and nodes are 64-bit hashes of their contents.  A signature, node or
+group that holds many rows is dealt to several tasks wherever it is joined.
+Pairs that share a common signature and are in different groups are all
+compared, in blocks: that work grows with the square of the signature's groups.
 
 Defined cases: texts that are null or without words have the empty set, which
 links with nothing; rows with one id are separate members and may link; a null
-id ranks below all others and is returned as null; an empty table gives no rows.
+id ranks below all others and is returned as null; an empty table gives no rows;
+a very long text is one set like any other, and a task holds the words, set and
+signatures of one text at a time.
 """
 
 from __future__ import annotations
@@ -46,8 +51,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from memloom.llm.common import bounded_broadcast, discard, written
+from memloom.llm.common import bounded_broadcast, discard, free_name, join_unique, written
 from memloom.llm.components import connected_components
 from memloom.llm.line_dedup import NO_ID, mixed
 from memloom.llm.words import shingles, word_hashes
@@ -243,15 +249,11 @@ def shared_signatures(signed: DataFrame, parts: int) -> DataFrame:
     return dealt.mapInArrow(run, "signature long, node long")
 
 
-def centre_pairs(shared: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """(a, b): each signature's node that shares most signatures, with each of the others that it may link with."""
-    degree = shared.groupBy("node").agg(F.count("*").alias("d"))
-    ranked = shared.join(degree, "node")
-    centre = ranked.groupBy("signature").agg(F.max(F.struct("d", "node")).alias("c"))
-    joined = shared.join(centre, "signature").where(F.col("node") != F.col("c.node"))
-    pairs = joined.select(F.col("c.node").alias("a"), F.col("node").alias("b")).distinct()
+def promising(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Of a table of pairs (a, b), those that may link by their sizes and sketches."""
     side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    both = join_unique(pairs, side("a"), "a", pairs.groupBy("a").count())
+    both = join_unique(both, side("b"), "b", pairs.groupBy("b").count(), F.xxhash64("a"))
     # Sets of sizes that can link have sketches of one length or of twice the other's.
     fold = lambda x, y: F.when(F.size(x) > F.size(y), F.transform(F.sequence(F.lit(0), F.size(y) - 1), lambda i: F.get(x, i).bitwiseXOR(F.get(x, i + F.size(y))))).otherwise(F.col(x))
     differ = F.aggregate(F.zip_with(fold("sa", "sb"), fold("sb", "sa"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
@@ -259,41 +261,80 @@ def centre_pairs(shared: DataFrame, nodes: DataFrame, percent: int) -> DataFrame
     return near.where(may_link(F.col("na"), F.col("nb"), differ, percent)).select("a", "b")
 
 
-def open_pairs(shared: DataFrame, groups: DataFrame, tested: DataFrame, nodes: DataFrame, percent: int, block: int = 1024) -> DataFrame:
+def centre_pairs(shared: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): each signature's node that shares most signatures, with each of the others that it may link with."""
+    degree = shared.groupBy("node").agg(F.count("*").alias("d"))
+    ranked = shared.join(degree, "node").groupBy("signature").agg(F.max(F.struct("d", "node")).alias("c"), F.count("*").alias("count"))
+    centre = written(ranked.select("signature", F.col("c.node").alias("a"), "count"), "centres")
+    joined = join_unique(shared, centre.select("signature", "a"), "signature", centre.select("signature", "count"))
+    pairs = written(joined.where("node <> a").select("a", F.col("node").alias("b")).distinct(), "pairs")
+    out = written(promising(pairs, nodes, percent), "stars")
+    discard(centre)
+    discard(pairs)
+    return out
+
+
+def near_rows(i: np.ndarray, j: np.ndarray, n: np.ndarray, levels: dict[int, tuple[np.ndarray, np.ndarray]], whole, percent: int) -> np.ndarray:
+    """Which pairs of rows may link: by sketches of 16 words, of more where both have them, then by the whole ones."""
+    fit = np.ones(len(i), dtype=bool)
+    words = whole[1]
+    for level, (place, bits) in levels.items():
+        at = np.flatnonzero(fit & (np.minimum(words[i], words[j]) >= level))
+        x, y = i[at], j[at]
+        fit[at] = may_link(n[x], n[y], np.bitwise_count(bits[place[x]] ^ bits[place[y]]).sum(1, dtype=np.int64), percent)
+    for k in np.flatnonzero(fit & ~np.isin(np.minimum(words[i], words[j]), list(levels))).tolist():
+        x, y = i[k], j[k]
+        own = [whole[0][whole[2][r] : whole[2][r] + words[r]] for r in (x, y)]
+        fit[k] = may_link(n[x], n[y], differing_bits(*own), percent)
+    return fit
+
+
+def open_pairs(shared: DataFrame, groups: DataFrame, tested: DataFrame, nodes: DataFrame, percent: int, block_bytes: int = 2 << 20) -> DataFrame:
     """(a, b): nodes that share a signature, are in different groups, may link, and are not tested.
 
-    A signature's nodes are compared in blocks; two blocks of one signature meet in a task of their own.
+    Signatures are dealt to tasks' groups of about block_bytes.  One that holds
+    more is cut into blocks, and each two of them meet in a group of their own.
     """
-    placed = shared.join(groups, "node", "left").select("signature", "node", F.coalesce("root", "node").alias("root"))
-    placed = written(placed, "placed")
-    apart = placed.groupBy("signature").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size")).where("x <> y").select("signature", "size")
-    rows = placed.join(apart, "signature").join(nodes.select("node", "n", "sketch"), "node")
-    blocks = F.ceil(F.col("size") / block)
+    placed = shared.join(groups, "node", "left").join(nodes.select("node", (64 + 8 * F.size("sketch")).alias("bytes")), "node")
+    placed = written(placed.select("signature", "node", F.coalesce("root", "node").alias("root"), "bytes"), "placed")
+    apart = placed.groupBy("signature").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("count"), F.sum("bytes").alias("size"))
+    apart = written(apart.where("x <> y").select("signature", "count", "size"), "apart")
+    bundles = 1 + (apart.agg(F.sum("size")).first()[0] or 0) // block_bytes
+    rows = join_unique(placed.drop("bytes"), apart.select("signature", "size"), "signature", apart.select("signature", "count"))
+    rows = rows.join(nodes.select("node", "n", "sketch"), "node")
+    blocks = F.ceil(F.col("size") / block_bytes)
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    # Signatures with few nodes share a group, those with many have one for each two blocks.
-    few, bundles = F.col("size") <= block, 1 + placed.count() // 4_000
     low, high = F.least("own", "other"), F.greatest("own", "other")
     rows = rows.select(
-        F.when(few, F.pmod("signature", F.lit(bundles))).otherwise(F.xxhash64("signature", low, high)).alias("task"),
+        F.when(blocks == 1, F.pmod("signature", F.lit(bundles))).otherwise(F.xxhash64("signature", low, high)).alias("task"),
         "signature", low.alias("low"), high.alias("high"), "own", "node", "root", "n", "sketch",
     )
 
     def compare(group: pa.Table) -> pa.Table:
-        group = group.sort_by([("signature", "ascending"), ("low", "ascending"), ("high", "ascending"), ("node", "ascending")])
+        group = group.sort_by([("signature", "ascending"), ("low", "ascending"), ("high", "ascending"), ("node", "ascending")]).combine_chunks()
         signature, low, high, own, node, root, n = (group[c].to_numpy() for c in ("signature", "low", "high", "own", "node", "root", "n"))
-        whole = [np.array(x, dtype=np.int64) for x in group["sketch"].to_pylist()]
-        bits = np.array([folded(x, BITS // 64) for x in whole], dtype=np.int64).reshape(len(node), -1).view(np.uint64)
+        column = group["sketch"].chunk(0)
+        flat, ends = column.flatten().to_numpy().view(np.uint64), column.offsets.to_numpy()
+        starts, words = (ends[:-1] - ends[0]).astype(np.int64), np.diff(ends)
+        levels, level = {}, BITS // 64
+        while level <= words.max():
+            place, bits = np.zeros(len(n), dtype=np.int64), []
+            for size in np.unique(words[words >= level]):
+                at = np.flatnonzero(words == size)
+                place[at] = np.arange(len(at)) + sum(map(len, bits))
+                found = flat[starts[at][:, None] + np.arange(size)]
+                bits.append(np.bitwise_xor.reduce(found.reshape(len(at), -1, level), axis=1))
+            levels[level] = (place, np.concatenate(bits))
+            level *= 4
         new = np.r_[True, (signature[1:] != signature[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])]
-        ends = np.r_[np.flatnonzero(new)[1:], len(node)][np.cumsum(new) - 1]
+        last = np.r_[np.flatnonzero(new)[1:], len(node)][np.cumsum(new) - 1]
         out: tuple[list, list] = ([np.zeros(0, np.int64)], [np.zeros(0, np.int64)])
         left, step = np.arange(len(node)), 1
-        while len(left := left[left + step < ends[left]]):
+        while len(left := left[left + step < last[left]]):
             i, j = left, left + step
             near = (root[i] != root[j]) & ((low[i] == high[i]) | (own[i] != own[j])) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
             i, j = i[near], j[near]
-            fit = may_link(n[i], n[j], np.bitwise_count(bits[i] ^ bits[j]).sum(1).astype(np.int64), percent)
-            i, j = i[fit], j[fit]
-            fit = np.array([len(whole[x]) * 64 == BITS or may_link(n[x], n[y], differing_bits(whole[x], whole[y]), percent) for x, y in zip(i, j)], dtype=bool)
+            fit = near_rows(i, j, n, levels, (flat, words, starts), percent)
             out[0].append(np.minimum(node[i[fit]], node[j[fit]]))
             out[1].append(np.maximum(node[i[fit]], node[j[fit]]))
             step += 1
@@ -301,52 +342,54 @@ def open_pairs(shared: DataFrame, groups: DataFrame, tested: DataFrame, nodes: D
 
     pairs = rows.groupBy("task").applyInArrow(compare, "a long, b long").distinct()
     done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return pairs.join(done, ["a", "b"], "left_anti")
+    out = written(pairs.join(done, ["a", "b"], "left_anti"), "rest")
+    discard(placed)
+    discard(apart)
+    return out
 
 
 def verified(docs: DataFrame, pairs: DataFrame, first: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs that link, by exact intersection.  first: (node, id) of one row for each node.
 
-    Each pair takes b's shingles to a's; a's are joined to them, so a node in
-    many pairs is on the side that Spark can split.
+    Each set that some pair needs is made once; pairs take b's set to a's, and a
+    node in many pairs is dealt to several tasks.
     """
-    wanted = pairs.groupBy(F.col("b").alias("node")).agg(F.collect_set("a").alias("keys"))
-    centres = pairs.select(F.col("a").alias("node")).distinct().select("node", F.array("node").alias("keys"))
-    need = wanted.unionByName(centres).join(first, "node").groupBy("id", "node").agg(F.array_distinct(F.flatten(F.collect_list("keys"))).alias("keys"))
-    need = written(need.withColumnRenamed("id", "need_id"), "need")
+    ends = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "ends")
+    ids = written(ends.join(first, "node").select(F.col("id").alias("need_id")).distinct(), "ids")
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.col("text").cast("string").alias("text"))
-    found = rows.join(bounded_broadcast(need, 64 + 8 * F.size("keys")), F.col("id") == F.col("need_id")).select("text", "node", "keys")
+    found = rows.join(bounded_broadcast(ids, 32), F.col("id") == F.col("need_id"), "left_semi").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: tuple[list, list, list] = ([], [], [])
-            size = 0
-            for text, node, keys in zip(*(c.to_pylist() for c in batch.columns)):
+            nodes, sets, size = [], [], 0
+            for text in batch.column(0).to_pylist():
                 tokens = shingles(word_hashes().of(text), words)
-                if xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63) != node:
-                    continue
-                for key in keys:
-                    for column, value in zip(out, (key, node, tokens.view(np.int64))):
-                        column.append(value)
+                if len(tokens):
+                    nodes.append(xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63))
+                    sets.append(tokens.view(np.int64))
                     size += len(tokens)
-                    if size > 1 << 19:
-                        yield pack(out)
-                        out, size = ([], [], []), 0
-            yield pack(out)
-
-    def pack(out: tuple[list, list, list]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.list_(pa.int64()))], names=["key", "node", "tokens"])
-
-    sets = written(found.mapInArrow(run, "key long, node long, tokens array<long>"), "sets")
-    a = sets.where("key = node").select("key", F.col("tokens").alias("x")).dropDuplicates(["key"])
-    b = sets.where("key <> node").select(F.col("key").alias("a"), F.col("node").alias("b"), F.col("tokens").alias("y"))
+                if size > 1 << 19:
+                    yield pack(nodes, sets)
+                    nodes, sets, size = [], [], 0
+            yield pack(nodes, sets)
+
+    def pack(nodes: list, sets: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["node", "tokens"])
+
+    sets = found.mapInArrow(run, "node long, tokens array<long>").join(ends, "node", "left_semi")
+    sets = written(sets.dropDuplicates(["node"]), "sets")
+    both = join_unique(pairs, sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b", pairs.groupBy("b").count())
+    both = join_unique(both, sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a", pairs.groupBy("a").count(), F.xxhash64("b"))
     common = F.size(F.array_intersect("x", "y"))
     linked = 100 * common >= percent * (F.size("x") + F.size("y") - common)
-    return b.join(a, F.col("a") == F.col("key")).where(linked).select("a", "b")
+    out = written(both.where(linked).select("a", "b"), "links")
+    for table in (ends, ids, sets):
+        discard(table)
+    return out
 
 
-def linked_groups(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row: the size of its set, and the smallest doc_id that links reach."""
+def members(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(id, node, n, least) of every row: its id, set, size of its set, and the smallest id that links reach."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     every = written(signed_sets(docs, words, percent, max(1, docs.count())), "signed")
     shared = written(shared_signatures(every, parts), "shared")
@@ -354,23 +397,58 @@ def linked_groups(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFra
     discard(every)
     nodes = written(signed.where("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "nodes")
     first = nodes.select("node", "id")
-    stars = written(centre_pairs(shared, nodes, percent), "stars")
-    links = written(verified(docs, stars, first, words, percent), "links")
-    groups = written(connected_components(links), "groups")
-    rest = written(open_pairs(shared, groups, stars, nodes, percent), "rest")
+    stars = centre_pairs(shared, nodes, percent)
+    links = verified(docs, stars, first, words, percent)
+    groups = connected_components(links)
+    rest = open_pairs(shared, groups, stars, nodes, percent)
     if not rest.isEmpty():
         links = links.unionByName(verified(docs, rest, first, words, percent))
-        groups = written(connected_components(links), "groups")
+        groups = connected_components(links)
+    for table in (shared, stars, rest):
+        discard(table)
     rooted = nodes.join(groups, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("id").alias("least"))
-    label = rooted.join(least, "root").select("node", "least")
-    rows = signed.select("id", "node", "n").join(label, "node", "left")
-    null = lambda c: F.when(c != NO_ID, c)
-    return rows.select(null(F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"), null(F.coalesce("least", "id")).alias("component_id"))
+    least = written(rooted.groupBy("root").agg(F.min("id").alias("least"), F.count("*").alias("count")), "least")
+    label = join_unique(rooted, least.select("root", "least"), "root", least.select("root", "count")).select("node", "least")
+    counts = signed.where("node is not null").groupBy("node").count()
+    known = join_unique(signed.where("node is not null").select("id", "node", "n"), label, "node", counts)
+    none = signed.where("node is null").select("node", "id", "n", F.col("id").alias("least"))
+    return known.select("id", "node", "n", "least").unionByName(none)
+
+
+def linked_groups(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row: the size of its set, and the smallest doc_id that links reach."""
+    null = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
+    return members(docs, words, percent).select(null("id").alias("doc_id"), F.col("n").alias("n_shingles"), null("least").alias("component_id"))
+
+
+def with_node(docs: DataFrame, name: str, words: int) -> DataFrame:
+    """docs with each row's node in a column of that name."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(word_hashes().of(t), words) for t in batch.column(at).to_pylist()]
+            nodes = [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.int64())], names=[*batch.schema.names, name])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """docs without the rows of a group but those with its smallest doc_id."""
-    groups = linked_groups(docs, words, percent)
-    gone = written(groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
-    return docs.join(bounded_broadcast(gone, 16), F.col("doc_id") == F.col("gone_id"), "left_anti")
+    """docs without the rows of a group but those with its smallest doc_id.
+
+    Rows go by id; of an id some of whose rows stay, each row goes or stays by its own set.
+    """
+    rows = written(members(docs, words, percent).select("id", "node", (F.col("id") != F.col("least")).alias("gone")), "members")
+    by_id = rows.groupBy("id").agg(F.min("gone").alias("all"), F.max("gone").alias("some"))
+    by_id = written(by_id.where("some"), "gone")
+    key, node = free_name("gone_id", docs), free_name("gone_node", docs)
+    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    kept = docs.join(bounded_broadcast(by_id.select(F.col("id").alias(key)), 32), own == F.col(key), "left_anti")
+    mixed = by_id.where("not all").select(F.col("id").alias(key))
+    if mixed.isEmpty():
+        return kept
+    gone = rows.where("gone").select(F.col("id").alias(key), F.col("node").alias(f"{node}_")).distinct()
+    some = with_node(docs.join(bounded_broadcast(mixed, 32), own == F.col(key), "left_semi"), node, words)
+    some = some.join(gone, (own == F.col(key)) & F.col(node).eqNullSafe(F.col(f"{node}_")), "left_anti")
+    return kept.unionByName(some.drop(node))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from memloom.llm.common import worker_held
 from memloom.llm.line_dedup import mixed
 
 STRIP = b".,;:!?\"'()[]{}<>|*#%&$@~`^_=+-/\\"
@@ -13,7 +14,7 @@ STRIP = b".,;:!?\"'()[]{}<>|*#%&$@~`^_=+-/\\"
 class WordHashes(dict):
     """Hashes of words; a task keeps those of the first words that it meets."""
 
-    KEPT = 300_000
+    KEPT = 150_000
 
     def __init__(self, bare: bool):
         super().__init__()
@@ -34,12 +35,9 @@ class WordHashes(dict):
         return out[out != 0] if self.bare else out
 
 
-_known: dict[bool, WordHashes] = {}
-
-
 def word_hashes(bare: bool = False) -> WordHashes:
     """One for each worker."""
-    return _known.setdefault(bare, WordHashes(bare))
+    return worker_held(("words", bare), lambda: WordHashes(bare))
 
 
 def grams(words: np.ndarray, n: int, skip: int = 0) -> np.ndarray:

@@ -213,3 +213,42 @@ def test_kth_largest(spark):
     table = spark.createDataFrame([(k, float(x)) for k, x in enumerate(keys)], "doc_id long, key double")
     for k in (1, 2, 1700, 3502):
         assert resample.kth_largest(table, k, enough=50, cells=16) == (rows[k - 1][0], rows[k - 1][1])
+
+
+def test_keep_one_decides_by_set(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, text, 0), (2, text + " more", 0), (2, "quite another text of its own that nobody else has", 0), (3, None, 0), (3, None, 0), (None, text + " less", 0), (4, text, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, gone_id int")
+    kept = jaccard_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, (r.doc_id for r in kept.collect()))) == ["2", "3", "3", "None"]
+    assert [r.text for r in kept.collect() if r.doc_id == 2] == [rows[2][1]]
+
+
+def test_blocks_of_a_signature_give_the_same(spark, frame):
+    docs = frame(list(enumerate(corpus(3))))
+    every = jaccard_join.signed_sets(docs, 4, 85, 300).cache()
+    shared = jaccard_join.shared_signatures(every, 3).cache()
+    nodes = every.where("node is not null").dropDuplicates(["node"]).select("node", "id", "n", "sketch").cache()
+    none = spark.createDataFrame([], "a long, b long")
+    apart = spark.createDataFrame([], "node long, root long")
+    found = [sorted(jaccard_join.open_pairs(shared, apart, none, nodes, 85, size).collect()) for size in (1 << 20, 600)]
+    assert found[0] == found[1] and len(found[0]) > 20
+
+
+def test_long_texts_link(frame):
+    rng = random.Random(5)
+    words = [f"w{rng.randrange(50_000)}" for _ in range(60_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[1_000:])), (3, " ".join(words[30_000:])), (4, "short text of no account")]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.linked_groups(frame(rows)).collect()}
+    assert {k: c for k, (_, c) in got.items()} == {1: 1, 2: 1, 3: 3, 4: 4}
+    assert got[1][0] == len(shingle_set(rows[0][1], 4))
+
+
+def test_hot_keys_are_dealt(spark):
+    from memloom.llm.common import join_unique, written
+
+    many = written(spark.createDataFrame([(k % 7 and 1, k) for k in range(5000)], "key long, x long"), "many")
+    one = spark.createDataFrame([(k, f"v{k}") for k in range(3)], "key long, v string")
+    got = join_unique(many, one, "key", many.groupBy("key").count(), most=100)
+    assert sorted(map(tuple, got.collect())) == sorted((k % 7 and 1, k, f"v{k % 7 and 1}") for k in range(5000))
