@@ -22,10 +22,8 @@ empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from memloom.llm.common import scratch
+from memloom.llm.common import bounded_broadcast, scratch, worker_held, written
 
 SEQUENCES = 256
 
@@ -62,7 +60,7 @@ class CachedEncoder:
     """
 
     KEPT, CHUNK = 400_000, 64
-    CUT = re.compile(r" (?=\S)")
+    CUT, ODD = re.compile(r" (?=\S)"), re.compile(r" (?:\s|\Z)")
     SIGNS = ".,;:!?|*#%$&)]}\"'\n"
 
     def __init__(self, path: str):
@@ -89,51 +87,67 @@ class CachedEncoder:
 
     def learn(self, new: list[str]) -> dict[str, bytes]:
         """Ids of chunks after their space, all from one call: the tokens' lengths deal them out again."""
-        ids = np.array(self.library.encode("".join([" " + c for c in new]), add_special_tokens=False).ids, dtype=self.type)
+        if not new:
+            return {}
+        ids = np.array(self.library.encode_batch_fast([" " + " ".join(new)], add_special_tokens=False)[0].ids, dtype=self.type)
         ends = np.cumsum([1 + len(c.encode("utf-8", "surrogatepass")) for c in new], dtype=np.int64)
         places = np.cumsum(self.sizes[ids], dtype=np.int64)
         last = np.searchsorted(places, ends)
-        if len(new) and not (last[-1] < len(places) and (places[last] == ends).all()):
+        if not (last[-1] < len(places) and (places[last] == ends).all()):
             raise ValueError("the tokenizer takes parts of two chunks into one token")
         data, size = ids.tobytes(), self.type.itemsize
         stops = ((last + 1) * size).tolist()
-        out = {c: data[a:b] for c, a, b in zip(new, [0, *stops], stops)}
-        for c, b in out.items():
+        return {c: data[a:b] for c, a, b in zip(new, [0, *stops], stops)}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        parts: list[str] = []
+        starts, whole = [], {}
+        for k, text in enumerate(texts):
+            starts.append(len(parts))
+            if any(s in text for s in self.special):
+                whole[k] = self.whole(text)
+            else:
+                # Without a space before white space or the end, each space is a cut.
+                parts += self.CUT.split(text) if self.ODD.search(text) else text.split(" ")
+        starts.append(len(parts))
+        got = list(map(self.kept.get, parts))
+        for a, b in zip(starts, starts[1:]):
+            if a < b:
+                got[a] = self.tail(parts[a])
+        missing = [k for k, ids in enumerate(got) if ids is None]
+        if missing:
+            fresh = self.fresh({parts[k] for k in missing})
+            for k in missing:
+                got[k] = fresh[parts[k]]
+        return [whole[k] if k in whole else b"".join(got[a:b]) for k, (a, b) in enumerate(zip(starts, starts[1:]))]
+
+    def fresh(self, chunks: set[str]) -> dict[str, bytes]:
+        """Ids of chunks that aren't kept; letters and the signs after them are looked up apart."""
+        new, cut = set(), []
+        for chunk in chunks:
+            if not chunk.isalpha():
+                core = chunk.rstrip(self.SIGNS)
+                signs = chunk[len(core) :]
+                if signs and signs[0] not in "'\n" and core.isalpha():
+                    cut.append((chunk, core, signs))
+                    if core not in self.kept:
+                        new.add(core)
+                    continue
+            new.add(chunk)
+        out = self.learn(list(new))
+        for chunk, core, signs in cut:
+            out[chunk] = (out[core] if core in new else self.kept[core]) + self.tail(signs)
+        for c, ids in out.items():
             if len(self.kept) >= self.KEPT:
                 break
             if len(c) <= self.CHUNK:
-                self.kept[c] = b
+                self.kept[c] = ids
         return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut: list = []
-        missing: dict[str, tuple[str, str]] = {}
-        for text in texts:
-            if any(s in text for s in self.special):
-                cut.append(text)
-                continue
-            parts = self.CUT.split(text)
-            got = list(map(self.kept.get, parts))
-            got[0] = self.whole(parts[0])
-            if None in got:
-                for k, found in enumerate(got):
-                    if found is None:
-                        got[k] = chunk = parts[k]
-                        if chunk not in missing:
-                            core = chunk.rstrip(self.SIGNS)
-                            signs = chunk[len(core) :]
-                            apart = signs and signs[0] not in "'\n" and core.isalpha()
-                            missing[chunk] = (core, signs) if apart else (chunk, "")
-            cut.append(got)
-        known = {core: self.kept.get(core) for core, _ in missing.values()}
-        known |= self.learn([core for core, ids in known.items() if ids is None])
-        fresh = {c: known[core] + (self.tail(signs) if signs else b"") for c, (core, signs) in missing.items()}
-        return [self.whole(x) if isinstance(x, str) else b"".join([y if type(y) is bytes else fresh[y] for y in x]) for x in cut]
-
-
-@cache
+
 def encoder(path: str) -> CachedEncoder:
-    return CachedEncoder(path)
+    """One for each worker."""
+    return worker_held(("byte bpe", path), lambda: CachedEncoder(path))
 
 
 def stream_of(ids: np.ndarray, doc_ids: list, sizes: list[int], part: int, number: int, length: int) -> bytes:
@@ -241,16 +255,10 @@ class TokenFile:
         return np.concatenate(parts) if parts else np.zeros(0, "<u2")
 
 
-def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start (ids before the document over all files), n_tokens, ids (binary, little-endian unsigned 32-bit integers)."""
+def file_documents(spark: SparkSession, path: str) -> DataFrame:
+    """part, number (of the file), doc_id, within (ids before the document in its file), n_tokens, ids (binary, little-endian unsigned 32-bit integers)."""
     raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
 
-    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for data in batch.column(0):
-                file = TokenFile(data.as_buffer())
-                yield pa.record_batch({"part": [file.part], "number": [file.number], "tokens": [file.tokens]})
-
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data in batch.column(0):
@@ -271,19 +279,33 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                         names=["part", "number", "doc_id", "within", "n_tokens", "ids"],
                     )
 
-    content = raw.select("content")
-    sizes = content.mapInArrow(totals, "part long, number long, tokens long")
-    # One row for each file; files hold millions of tokens.
-    before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.select("part", "number", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"))
-    found = content.mapInArrow(documents, "part long, number long, doc_id long, within long, n_tokens long, ids binary")
-    return found.join(F.broadcast(bases), ["part", "number"]).select("doc_id", (F.col("base") + F.col("within")).alias("start"), "n_tokens", "ids")
+    return raw.select("content").mapInArrow(documents, "part long, number long, doc_id long, within long, n_tokens long, ids binary")
+
+
+def with_starts(found: DataFrame) -> DataFrame:
+    """found (part, number, within, n_tokens and others) with start, the ids before the document over all files.
+
+    Sums go up by file, then by part; a part is one of the writer's tasks, so
+    the last sum runs over as many rows as the writer had tasks.
+    """
+    before = lambda w: F.coalesce(F.sum("tokens").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    files = written(found.groupBy("part", "number").agg(F.sum("n_tokens").alias("tokens")), "files")
+    parts = files.groupBy("part").agg(F.sum("tokens").alias("tokens"))
+    parts = parts.select("part", before(Window.orderBy("part")).alias("base"))
+    inside = files.select("part", "number", before(Window.partitionBy("part").orderBy("number")).alias("inside"))
+    bases = inside.join(parts, "part").select("part", "number", (F.col("base") + F.col("inside")).alias("base"))
+    return found.join(bounded_broadcast(bases, 64), ["part", "number"]).withColumn("start", F.col("base") + F.col("within")).drop("base", "within", "part", "number")
+
+
+def read_token_files(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, start (ids before the document over all files), n_tokens, ids (binary, little-endian unsigned 32-bit integers)."""
+    return with_starts(file_documents(spark, path)).select("doc_id", "start", "n_tokens", "ids")
 
 
 def token_report(docs: DataFrame, layout: Layout, path: str | None = None) -> DataFrame:
-    """Writes docs as files and returns each document's place and checksum, read back from them."""
+    """Writes docs as files and returns each document's place and checksum, read back from them once."""
     spark = docs.sparkSession
     path = path or scratch(spark, "tokens")
     write_token_files(docs, path, layout)
-    back = read_token_files(spark, path)
-    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    found = file_documents(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return with_starts(written(found, "back")).select("doc_id", "start", "n_tokens", "ids_crc32")
