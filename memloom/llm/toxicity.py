@@ -13,7 +13,8 @@ bytes for each of the 2**bits buckets.
 Defined cases: null and empty texts have no features and get the intercept's
 score; label rows without a label, or whose document is absent, teach nothing;
 without any usable label every score is 0.5; rows with one id are scored one by
-one; an empty table gives no rows.
+one; an empty table gives no rows; a very long text is its set of buckets, one
+text at a time.
 """
 
 from __future__ import annotations
@@ -90,8 +91,8 @@ def shards_in_turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 def fit(docs: DataFrame, labels: DataFrame, label: str, options: Options = Options()) -> dict[str, np.ndarray]:
     """Buckets and weights, from labelled rows outside the held-out fold."""
     o, spark = options, docs.sparkSession
-    usable = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_y")).where(F.col("_y").isin(0, 1) & (fold(F.col("_id")) != 1))
-    chosen = usable.orderBy(F.xxhash64("_id"), "_id", "_y").limit(o.max_rows)
+    usable = labels.select(F.col("doc_id").cast("long").alias("id"), F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1) & (fold(F.col("id")) != 1))
+    chosen = usable.orderBy(F.xxhash64("id"), "id", "y").limit(o.max_rows)
     shards = max(1, -(-chosen.count() // o.shard_rows))
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,7 +100,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, options: Options = Optio
             found = [features(t, o.bits).astype(np.int32) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], names=["shard", "y", "at"])
 
-    joined = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select(F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(shards)).alias("shard"), "_y", "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("own_id"), F.col("text").cast("string").alias("text"))
+    joined = texts.join(F.broadcast(chosen), F.col("own_id") == F.col("id")).select(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(shards)).alias("shard"), "y", "text")
     sample = written(joined.mapInArrow(featured, "shard long, y int, at array<int>"), "toxic")
     state = {"at": np.zeros(0, np.int64), "z": np.zeros(0), "n": np.zeros(0)}
     for _ in range(o.rounds):
@@ -115,8 +117,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, options: Options = Optio
                 order = np.lexsort((rows["y"].to_numpy(), [len(x) for x in lists], [int(x.sum()) for x in lists]))
                 order = np.random.default_rng(0).permutation(order)
                 ftrl([lists[k] for k in order], rows["y"].to_numpy()[order], z, n, o)
-            # Buckets that L1 keeps at zero start afresh.
-            at = np.flatnonzero((n > 0) & ((np.abs(z) > o.l1) | (np.arange(1 << o.bits) == 0)))
+            at = np.flatnonzero(n > 0)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(z[at]), pa.array(n[at])], names=["bucket", "z", "n"])
 
         # At most max_rows rows, read by one task, and at most 2**bits back.
