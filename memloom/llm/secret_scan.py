@@ -8,7 +8,9 @@ run that breaks off between the two scans again and loses nothing.
 
 Defined cases: a null text is the empty text; several rows with one id are
 versions of one path and each gets its own result row; null ids stay null;
-an empty table gives no rows; other columns of the input are ignored.
+an empty table gives no rows; other columns of the input are ignored; a very
+long text is scanned whole, and its matches are rows until they are put
+together again, so work is linear in their number.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from memloom.llm.common import bounded_broadcast, scratch, written
 
@@ -50,11 +53,10 @@ BASE_VERSION = "base-1"
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
-def rule_spans(text: Column, rule: Rule, kind: int) -> Column:
-    """Spans of the rule's leftmost non-overlapping matches that are long enough, in code points.
+def rule_matches(text: Column, rule: Rule, kind: int) -> Column:
+    """The rule's leftmost non-overlapping matches in order: kind, lengths of the gap before, the match and its value.
 
-    The pieces between matches and the matches themselves cover the text, so
-    running sums of their lengths are the offsets.
+    The gaps and the matches cover the text up to its last match.
     """
     regex = F.lit(rule.pattern)
     parts = F.arrays_zip(
@@ -62,29 +64,28 @@ def rule_spans(text: Column, rule: Rule, kind: int) -> Column:
         F.regexp_extract_all(text, regex, F.lit(0)).alias("hit"),
         F.regexp_extract_all(text, regex, F.lit(rule.group)).alias("value"),
     )
-    start = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as {SPAN})").alias("spans"))
-
-    def step(acc: Column, part: Column) -> Column:
-        begin = acc["at"] + F.char_length(part["gap"])
-        end = begin + F.coalesce(F.char_length(part["hit"]), F.lit(0))
-        span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
-        longer = F.char_length(part["value"]) >= rule.min_chars
-        return F.struct(
-            end.alias("at"),
-            F.when(longer, F.array_append(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"),
-        )
-
-    found = F.aggregate(parts, start, step, lambda acc: acc["spans"])
-    return F.when(text.rlike(rule.test), found).otherwise(F.expr(f"cast(array() as {SPAN})"))
+    long = lambda c: F.char_length(c).cast("long")
+    found = F.transform(parts, lambda p, k: F.struct(F.lit(kind).alias("kind"), k.alias("k"), long(p["gap"]).alias("gap"), long(p["hit"]).alias("hit"), long(p["value"]).alias("value")))
+    return F.when(text.rlike(rule.test), found)
 
 
 def scan(texts: DataFrame, rules: tuple[Rule, ...] = BASE_RULES) -> DataFrame:
-    """(blob, text) to (blob, spans), for texts with at least one span."""
+    """(blob, text) to (blob, spans in code points), for texts with at least one span; a repeated blob is scanned once."""
     any_hit = F.lit(False)
     for rule in rules:
         any_hit = any_hit | F.col("text").rlike(rule.test)
-    spans = F.array_sort(F.concat(*[rule_spans(F.col("text"), rule, k) for k, rule in enumerate(rules)]))
-    return texts.where(any_hit).select("blob", spans.alias("spans")).where(F.size("spans") > 0)
+    once = texts.where(any_hit).select("blob", "text").dropDuplicates(["blob"])
+    none = F.array().cast("array<struct<kind:int,k:int,gap:bigint,hit:bigint,value:bigint>>")
+    matches = F.concat(*[F.coalesce(rule_matches(F.col("text"), rule, k), none) for k, rule in enumerate(rules)])
+    rows = once.select("blob", F.explode(matches).alias("m")).select("blob", "m.*").where("hit is not null")
+    # Running sums of gaps and matches are the offsets; a window holds one text's matches of one rule.
+    end = F.sum(F.col("gap") + F.col("hit")).over(Window.partitionBy("blob", "kind").orderBy("k").rowsBetween(Window.unboundedPreceding, 0))
+    placed = rows.withColumn("end", end)
+    least = F.lit(False)
+    for k, rule in enumerate(rules):
+        least = least | ((F.col("kind") == k) & (F.col("value") >= rule.min_chars))
+    span = F.struct((F.col("end") - F.col("hit")).cast("int").alias("start"), "kind", F.col("end").cast("int").alias("end"))
+    return placed.where(least).groupBy("blob").agg(F.array_sort(F.collect_list(span)).alias("spans"))
 
 
 class BlobLedger:
@@ -116,7 +117,7 @@ class BlobLedger:
         paths = rows.select("doc_id", "blob")
         first = paths.groupBy("blob").agg(F.min("doc_id").alias("first_id"))
         unseen = written(first.join(self.scanned(version), "blob", "left_anti"), "unseen")
-        once = bounded_broadcast(unseen.withColumnRenamed("blob", "new_blob"), 64)
+        once = bounded_broadcast(unseen.withColumnRenamed("blob", "new_blob"), 100)
         fresh = rows.join(
             once, (F.col("blob") == F.col("new_blob")) & F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi"
         )
