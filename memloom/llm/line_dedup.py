@@ -16,7 +16,8 @@ blocks of bounded size, and each block gets a copy of the shard.
 Defined cases: a null or empty text is one empty line; every row counts as one
 document, also if its id repeats; a null doc_id ranks below all others; an
 empty table gives no rows; columns of the input other than text stay, those
-named n_lines or n_dropped are replaced.
+named n_lines or n_dropped are replaced; a very long text is split like any
+other, one batch of rows at a time.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from memloom.llm.common import bounded_broadcast, written
+from memloom.llm.common import bounded_broadcast, free_name, written
 
 WHITE = " \t\n\x0b\x0c\r"
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -249,7 +250,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, array_b
             held, least = held + row["lines"], row["n"]
         often = F.lit(False) if least is None else F.col("n") >= least
         common = spark.sparkContext.broadcast(collected_shards(counts.where(often), held))
-        hits = routed_hits(docs, counts.where(~often), common, min_chars, total - held).withColumnRenamed("doc_id", "_line_id")
+        hits = routed_hits(docs, counts.where(~often), common, min_chars, total - held)
+        line_id, line_hits = free_name("_line_id", docs), free_name("_line_hits", docs)
+        hits = hits.withColumnsRenamed({"doc_id": line_id, "_line_hits": line_hits})
 
     routed = hits is not None
     names, at, key = docs.columns, docs.columns.index("text"), docs.columns.index("doc_id")
@@ -275,7 +278,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, array_b
 
     source = docs.select(*names)
     if routed:
-        source = docs.join(hits, F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)) == F.col("_line_id"), "left").select(*names, "_line_hits")
+        source = docs.join(hits, F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)) == F.col(line_id), "left").select(*names, line_hits)
     return source.mapInArrow(drop, schema)
 
 

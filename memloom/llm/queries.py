@@ -70,23 +70,23 @@ QUERIES: dict[str, Query] = {
 ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": r"""
         WITH lines AS (
-            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+            SELECT r, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
                    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
-            FROM documents
+            FROM (SELECT row_number() OVER () AS r, doc_id, text FROM documents)
         ), keyed AS (
-            SELECT doc_id, i, line,
+            SELECT r, doc_id, i, line,
                    translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
             FROM lines
         ), gone AS (
             SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 40
-            GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+            GROUP BY key HAVING count(DISTINCT r) >= 5
         )
         SELECT doc_id, count(*)::BIGINT AS n_lines,
                count(*) FILTER (WHERE last IS NOT NULL AND doc_id <> last)::BIGINT AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE last IS NULL OR doc_id = last), '')) AS kept_sha256
         FROM keyed LEFT JOIN gone USING (key)
-        GROUP BY doc_id
+        GROUP BY r, doc_id
     """,
     "op6_jaccard_join": r"""
         WITH RECURSIVE words AS (
