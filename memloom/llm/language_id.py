@@ -6,14 +6,17 @@ each window, max pooling keeps each filter's best place, and softmax gives the
 window's languages.  A document's languages are the mean over all its windows,
 weighted by their letters.
 
-Fitting is in numpy on a bounded sample: at most about rows_per_lang rows of
-each language outside the held-out fold, by hash of doc_id, and windows_per_row
-windows of each.  The filters act on single bytes and pairs, so applying them
-is a look-up in tables of pairs.
+Fitting is in numpy on a bounded sample: about rows_per_lang rows of each
+language outside the held-out fold, fewer if all languages together would have
+more than max_rows, by hash of doc_id, and windows_per_row windows of each.
+Every language that a usable row names is learned.  The filters act on single
+bytes and pairs, so applying them is a look-up in tables of pairs.
 
 Defined cases: a text that is null or has no letter is "und" with score 0;
-rows without language teach nothing; if no row teaches, texts are "und"; rows
-with one id are told one by one; an empty table gives no rows.
+rows without language teach nothing, equal windows of one language teach once;
+if no row teaches, texts are "und"; rows with one id are told one by one; an
+empty table gives no rows; a very long text is all of its windows, some
+hundred of which are in memory at a time.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from memloom.llm.common import fold, held_out
+from memloom.llm.common import bounded_broadcast, fold, held_out, written
 
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -39,12 +42,12 @@ WIDTHS = (2, 3, 4)
 
 @dataclass(frozen=True)
 class Options:
-    """rows_per_lang, windows_per_row and languages bound what is fitted."""
+    """rows_per_lang, max_rows (of all languages) and windows_per_row bound what is fitted."""
 
     window: int = 256
     rows_per_lang: int = 500
     windows_per_row: int = 4
-    languages: int = 200
+    max_rows: int = 40_000
     dim: int = 8
     filters: int = 12
     epochs: int = 8
@@ -142,12 +145,13 @@ def fit(docs: DataFrame, options: Options = Options()) -> ByteNet | None:
     """The network, from text and language of rows outside the held-out fold; None if none has a language."""
     o = options
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.coalesce(fold(F.col("doc_id")) != 1, F.lit(False)))
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(o.languages).collect()
-    if not counts:
+    counts = written(usable.groupBy("lang").count(), "languages")
+    languages = counts.count()
+    if not languages:
         return None
-    part = F.lit(0.0)
-    for row in counts:
-        part = F.when(F.col("lang") == row["lang"], F.lit(min(1.0, o.rows_per_lang / row["count"]))).otherwise(part)
+    rows = max(1, min(o.rows_per_lang, o.max_rows // languages))
+    counts = bounded_broadcast(counts.select(F.col("lang").alias("own_lang"), (rows / F.col("count")).alias("part")), 64)
+    usable = usable.select("doc_id", "lang", "text").join(counts, F.col("lang") == F.col("own_lang"))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,9 +165,11 @@ def fit(docs: DataFrame, options: Options = Options()) -> ByteNet | None:
                         data.append(own[k].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(data, pa.binary())], names=["lang", "data"])
 
-    chosen = usable.where(place < part).select(F.col("doc_id").cast("long"), "lang", "text")
-    most = int(1.5 * o.windows_per_row * o.rows_per_lang * len(counts)) + 1000
-    table = chosen.mapInArrow(cut, "lang string, data binary").limit(most).toArrow()
+    chosen = usable.where(place < F.col("part")).select(F.col("doc_id").cast("long"), "lang", "text")
+    # About half as many windows as the limit are expected; it holds if ids are few.
+    most = 2 * o.windows_per_row * rows * languages + 1000
+    found = chosen.mapInArrow(cut, "lang string, data binary").distinct()
+    table = found.orderBy(F.xxhash64("lang", "data"), "lang", "data").limit(most).toArrow()
     rows = sorted(zip(table["lang"].to_pylist(), table["data"].to_pylist()))
     if not rows:
         return None
