@@ -2,17 +2,20 @@
 
 The target model counts the words and word pairs of labelled good rows, the
 raw model those of all rows, both over hashed buckets.  A row's weight is the
-mean log ratio of the two over its n-grams, times scale; Gumbel noise from the
-row's id is added, and the rows with the largest sums are the sample: drawn
-without replacement, in proportion to the weights' exponentials.
+log of the ratio of the two models' likelihoods of its text: the sum of the
+log ratios of its n-grams, times temper (1: the ratio itself; less flattens it,
+so that long texts decide less).  Gumbel noise from the row's id is added, and
+the rows with the largest sums are the sample: drawn without replacement, in
+proportion to the weights' exponentials.
 
 The k-th largest sum is found by counting in ever narrower intervals, so no
 task sorts the table.
 
 Defined cases: null and empty texts have weight 0; label rows without a label,
 or whose document is absent, teach nothing; without a usable label all weights
-are 0; rows that tie in sum and id are taken or left together; an empty table
-gives no rows.
+are 0; rows that tie in sum and id are taken or left together, so rows with one
+id and text can make the sample larger by their number; an empty table gives no
+rows; a very long text is counted whole, one text at a time.
 """
 
 from __future__ import annotations
@@ -37,7 +40,7 @@ class Options:
     max_rows: int = 20_000
     prior: float = 1.0
     back_off: float = 1000.0
-    scale: float = 20.0
+    temper: float = 1.0
     fraction: float = 0.5
     seed: int = 17
 
@@ -67,9 +70,10 @@ def bucket_counts(texts: DataFrame, bits: int) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, label: str, options: Options = Options()) -> np.ndarray:
     """Log ratio of target and raw model by bucket."""
     o = options
-    good = labels.where((F.col(label) == 1) & (fold(F.col("doc_id")) != 1)).select(F.col("doc_id").alias("_id")).distinct()
-    chosen = good.orderBy(F.xxhash64("_id"), "_id").limit(o.max_rows)
-    target = bucket_counts(docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"), "left_semi"), o.bits)
+    good = labels.where((F.col(label) == 1) & (fold(F.col("doc_id")) != 1)).select(F.col("doc_id").cast("long").alias("good_id")).distinct()
+    chosen = good.orderBy(F.xxhash64("good_id"), "good_id").limit(o.max_rows)
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    target = bucket_counts(texts.join(F.broadcast(chosen), F.col("id") == F.col("good_id"), "left_semi"), o.bits)
     raw = bucket_counts(docs, o.bits)
     if not target.sum():
         return np.zeros(1 << o.bits)
@@ -87,7 +91,7 @@ def weigh(docs: DataFrame, ratio: np.ndarray, options: Options = Options()) -> D
             out = []
             for text in batch.column(1).to_pylist():
                 at = buckets(text, o.bits)
-                out.append(float(sent.value[at].mean()) * o.scale if len(at) else 0.0)
+                out.append(float(sent.value[at].sum()) * o.temper)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], names=["doc_id", "weight"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, weight double")
@@ -110,10 +114,30 @@ def kth_largest(rows: DataFrame, k: int, enough: int = 10_000, cells: int = 4096
         if n <= enough:
             break
     inside = rows.where(F.col("key").between(low, high))
+    if low == high:
+        return low, kth_id(inside, k)
     last = inside.orderBy(F.desc("key"), F.asc_nulls_last("doc_id")).limit(k).agg(F.max(F.struct((-F.col("key")).alias("m"), F.col("doc_id").isNull().alias("none"), "doc_id")).alias("x")).first()["x"]
     return -last["m"], last["doc_id"]
 
 
+def kth_id(rows: DataFrame, k: int, cells: int = 4096) -> int | None:
+    """The k-th smallest id, nulls last, by counting in ever narrower intervals."""
+    ids = written(rows.groupBy("doc_id").agg(F.count("*").alias("n")), "ids")
+    low, high = ids.agg(F.min("doc_id"), F.max("doc_id")).first()
+    if (ids.agg(F.sum(F.when(F.col("doc_id").isNotNull(), F.col("n")))).first()[0] or 0) < k:
+        return None
+    while low < high:
+        width = (high - low) // cells + 1
+        inside = ids.where(F.col("doc_id").between(low, high))
+        cell = F.floor((F.col("doc_id") - low) / width)
+        counts = sorted((r["cell"], r["n"], r["low"], r["high"]) for r in inside.groupBy(cell.alias("cell")).agg(F.sum("n").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).collect())
+        for _, n, low, high in counts:
+            if n >= k:
+                break
+            k -= n
+    return low
+
+
 def gumbel_sample(weighed: DataFrame, options: Options = Options()) -> DataFrame:
     """weighed with key and selected."""
     o = options
