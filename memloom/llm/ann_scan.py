@@ -5,21 +5,27 @@ that any block of columns is a random projection.  Within each list that a query
 probes, squared distances grow block by block of columns; after each block a
 candidate is abandoned if its partial distance, scaled to all dimensions,
 exceeds the best distances so far by more than the test allows for the
-dimensions seen.  The survivors' cosines are computed on the original vectors
-in double precision.
+dimensions seen.  The cosines of the nearest survivors are computed on the
+original vectors in double precision.
 
 Centroids come from a bounded sample of vectors; every vector is in a list.
 The number of probed lists is the smallest with which the sample's own queries
 find the wanted share of their true neighbours in the sample (whose neighbours
 are farther apart, so this errs to more lists); a query also probes on until
 its lists hold enough vectors.  Equal vectors are one candidate with their
-smallest ids, so copies cost nothing and ties are exact.  Lists are split into
-parts of bounded size, each scanned in a task of its own.
+smallest ids, so copies cost nothing and ties are exact.
+
+The table of lists is sorted by list once.  Queries are taken in blocks of
+bounded size, with the lists that each probes as bits; a block goes to the tasks
+that read the lists, and these hand on each query's best in what they have
+read.  So neither vectors nor queries are shuffled by what probes what, and a
+list or a query that is in great demand has no task of its own.
 
 Defined cases: vectors that are null, zero, hold null or non-finite components
 or differ in length from most vectors take no part, neither do null ids; rows
 with one id and one vector count once; an empty table gives no rows; a query
-with fewer than k candidates gets them all.
+with fewer than k candidates gets them all; the length of vectors bounds only
+how many are in memory at a time.
 """
 
 from __future__ import annotations
@@ -33,18 +39,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from memloom.llm.common import written
+from memloom.llm.common import scratch, written
 
 
 @dataclass(frozen=True)
 class Options:
-    """sample bounds the vectors that centroids are fitted on; epsilon is the test's tolerance."""
+    """sample bounds the vectors that centroids are fitted on; epsilon is the test's tolerance; query_bytes bounds a block of queries."""
 
     k: int = 5
     sample: int = 20_000
     lists: int = 2048
     recall: float = 0.97
-    part: int = 4096
+    query_bytes: int = 8 << 20
     block: int = 16
     epsilon: float = 2.1
     seed: int = 5
@@ -90,13 +96,12 @@ def distinct_vectors(rows: DataFrame, keep: int) -> DataFrame:
 
 @dataclass
 class Index:
-    """What tasks need: rotation, centroids, parts of each list, lists to probe."""
+    """What tasks need: rotation, centroids, lists to probe, sizes of lists."""
 
     rotation: np.ndarray
     centroids: np.ndarray
     probes: int
     sizes: np.ndarray
-    parts: np.ndarray
 
 
 def centroids_of(x: np.ndarray, n: int, rounds: int = 8, seed: int = 0) -> np.ndarray:
@@ -125,30 +130,57 @@ def fit(vectors: DataFrame, total: int, o: Options) -> Index:
     place = np.argsort(np.argsort(-(asked @ c.T), axis=1), axis=1)
     ranks = np.take_along_axis(place, own[near], axis=1).ravel()
     probes = int(np.quantile(ranks, o.recall)) + 1 if len(ranks) else n
-    return Index(rotation, c, probes, np.zeros(n, np.int64), np.ones(n, np.int64))
+    return Index(rotation, c, probes, np.zeros(n, np.int64))
 
 
 def stacked(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype="<f8").reshape(len(column), -1)
 
 
-def scan(x: np.ndarray, q: np.ndarray, k: int, block: int, epsilon: float) -> np.ndarray:
-    """Candidates (rows of x) that may be among the k nearest to q; both rotated and of unit length."""
-    n, dim = x.shape
-    first = min(n, max(64, 4 * k))
-    if n <= first:
-        return np.arange(n)
-    head = ((x[:first] - q) ** 2).sum(1)
-    limit = np.partition(head, k - 1)[k - 1]
-    alive, partial = np.arange(n), np.zeros(n)
-    for at in range(0, dim, block):
-        cut = slice(at, at + block)
-        partial = partial + ((x[alive, cut] - q[cut]) ** 2).sum(1)
-        seen = min(at + block, dim)
+def scan(x: np.ndarray, q: np.ndarray, k: int, block: int, epsilon: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (row of q, row of x) that hold each q's k nearest rows of x, and others as near; all rotated and of unit length.
+
+    While most candidates are left, a block of columns is done for all at once;
+    after that for those left alone.
+    """
+    (m, dim), n = q.shape, len(x)
+    if n <= k:
+        return np.repeat(np.arange(m), n), np.tile(np.arange(n), m)
+    first = min(n, max(64, 4 * k, n // 8))
+    limit = np.partition(2 - 2 * (q @ x[:first].T), k - 1, axis=1)[:, k - 1]
+    alive, partial, at = np.ones((m, n), dtype=bool), np.zeros((m, n)), 0
+
+    def most(seen: int) -> np.ndarray:
         slack = (1 + epsilon / seen**0.5) ** 2 if seen < dim else 1 + 1e-6
-        near = partial * dim / seen <= limit * slack
-        alive, partial = alive[near], partial[near]
-    return alive
+        return (limit * slack + 1e-9) * (seen / dim)
+
+    while at < dim and (not at or alive.sum() > 0.1 * m * n):
+        own, asked = x[:, at : at + block], q[:, at : at + block]
+        partial += (own**2).sum(1)[None] + (asked**2).sum(1)[:, None] - 2 * (asked @ own.T)
+        at = min(at + block, dim)
+        alive &= partial <= most(at)[:, None]
+    i, j = np.nonzero(alive)
+    near = partial[i, j]
+    while at < dim:
+        near = near + ((x[j, at : at + block] - q[i, at : at + block]) ** 2).sum(1)
+        at = min(at + block, dim)
+        left = near <= most(at)[i]
+        i, j, near = i[left], j[left], near[left]
+    order = np.lexsort((near, i))
+    i, j, near = i[order], j[order], near[order]
+    starts = np.searchsorted(i, np.arange(m))
+    last = np.minimum(starts + k, np.r_[starts[1:], len(i)]) - 1
+    left = near <= near[last[i]] + 1e-9
+    return i[left], j[left]
+
+
+@dataclass
+class Asked:
+    """A block of queries: original vectors, keys, and for each list the queries that probe it."""
+
+    q: np.ndarray
+    keys: list[tuple[int, int]]
+    probed: np.ndarray
 
 
 def nearest(rows: DataFrame, is_query, options: Options = Options()) -> DataFrame:
@@ -169,61 +201,87 @@ def nearest(rows: DataFrame, is_query, options: Options = Options()) -> DataFram
                 own = (unit(stacked(batch.column(0))) @ sent.value.centroids.T).argmax(1)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own.astype(np.int64))], names=["v", "ids", "list"])
 
-    lists = written(candidates.mapInArrow(assign, "v binary, ids array<long>, list long"), "lists")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lists = candidates.mapInArrow(assign, "v binary, ids array<long>, list long")
+    lists = written(lists.repartitionByRange(parts, "list", F.xxhash64("v")).sortWithinPartitions("list"), "lists")
     for row in lists.groupBy("list").count().collect():
         index.sizes[row["list"]] = row["count"]
-    index.parts = np.maximum(1, -(-index.sizes // o.part))
     probing = spark.sparkContext.broadcast(index)
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = batch.column(2).to_numpy()
-            part = np.random.default_rng(len(own)).integers(0, 1 << 30, len(own)) % probing.value.parts[own]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(part)], names=["v", "ids", "list", "part"])
-
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = probing.value
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            order = np.argsort(-(unit(stacked(batch.column(0))) @ ix.centroids.T), axis=1, kind="stable")
-            held = np.cumsum(ix.sizes[order], axis=1)
-            for row, v in enumerate(batch.column(0).to_pylist()):
-                n = max(ix.probes, int(np.searchsorted(held[row], 10 * keep)) + 1)
-                chosen = order[row, :n]
-                chosen = chosen[ix.sizes[chosen] > 0]
-                at = np.repeat(chosen, ix.parts[chosen])
-                part = np.arange(len(at)) - np.repeat(np.cumsum(ix.parts[chosen]) - ix.parts[chosen], ix.parts[chosen])
-                yield pa.RecordBatch.from_arrays([pa.array([v] * len(at), pa.binary()), pa.array(at), pa.array(part)], names=["q", "list", "part"])
-
-    def search(own: pa.Table, asked: pa.Table) -> pa.Table:
-        out: tuple[list, list, list] = ([], [], [])
-        if own.num_rows and asked.num_rows:
-            x, q = stacked(own["v"].combine_chunks()), stacked(asked["q"].combine_chunks())
-            norm, ids = np.linalg.norm(x, axis=1), own["ids"].to_pylist()
-            rx, rq = unit(x) @ sent.value.rotation, unit(q) @ sent.value.rotation
-            for row, key in enumerate(asked["q"].to_pylist()):
-                left = scan(rx, rq[row], keep, o.block, o.epsilon)
-                score = (x[left] * q[row]).sum(1) / (norm[left] * np.linalg.norm(q[row]))
-                # All vectors that reach the keep-th best cosine, so that ties are settled by id.
-                if len(left) > keep:
-                    left, score = (y[score >= np.partition(score, -keep)[-keep]] for y in (left, score))
-                found = sorted({(-s, i) for s, at in zip(score.tolist(), left.tolist()) for i in ids[at]})[:keep]
-                out[0].extend([key] * len(found))
-                out[1].extend(i for _, i in found)
-                out[2].extend(-s for s, _ in found)
-        return pa.table({"q": pa.array(out[0], pa.binary()), "vec_id": pa.array(out[1], pa.int64()), "score": pa.array(out[2], pa.float64())})
+            for at in range(0, batch.num_rows, 512):
+                own = batch.slice(at, 512)
+                order = np.argsort(-(unit(stacked(own.column(0))) @ ix.centroids.T), axis=1, kind="stable")
+                held = np.cumsum(ix.sizes[order], axis=1)
+                n = np.maximum(ix.probes, (held < 10 * keep).sum(1) + 1)
+                probed = np.zeros(order.shape, dtype=bool)
+                np.put_along_axis(probed, order, np.arange(order.shape[1]) < n[:, None], axis=1)
+                bits = [b.tobytes() for b in np.packbits(probed, axis=1)]
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(bits, pa.binary())], names=["q", "k1", "k2", "probed"])
 
     queries = vectors.where(is_query(F.col("vec_id"))).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")).distinct()
-    probes = queries.select("q").distinct().mapInArrow(probe, "q binary, list long, part long")
-    parts = lists.mapInArrow(split, "v binary, ids array<long>, list long, part long")
-    hits = parts.groupBy("list", "part").cogroup(probes.groupBy("list", "part")).applyInArrow(search, "q binary, vec_id long, score double")
-    best = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
+    queries = written(queries.withColumns({"k1": F.xxhash64("q"), "k2": F.xxhash64(F.lit(1), "q")}), "queries")
+    asked = queries.select("q", "k1", "k2").distinct().mapInArrow(probe, "q binary, k1 long, k2 long, probed binary")
+    asked = written(asked, "asked")
+    size = asked.agg(F.sum(F.octet_length("q") + F.octet_length("probed") + 16)).first()[0] or 0
+    blocks, folder = max(1, -(-size // o.query_bytes)), scratch(spark, "hits")
+    for b in range(blocks):
+        table = asked.where(F.pmod("k2", F.lit(blocks)) == b).toArrow()
+        if table.num_rows:
+            probed = np.unpackbits(np.array([np.frombuffer(x, np.uint8) for x in table["probed"].to_pylist()]), axis=1).astype(bool)
+            keys = list(zip(table["k1"].to_pylist(), table["k2"].to_pylist()))
+            block = spark.sparkContext.broadcast(Asked(stacked(table["q"].combine_chunks()), keys, probed))
+            _best(lists, sent, block, keep, o).write.mode("append").parquet(folder)
+            block.unpersist()
+    hits = spark.read.schema("k1 long, k2 long, vec_id long, score double").parquet(folder) if size else spark.createDataFrame([], "k1 long, k2 long, vec_id long, score double")
+    best = Window.partitionBy("k1", "k2").orderBy(F.desc("score"), "vec_id")
     top = hits.withColumn("n", F.row_number().over(best)).where(F.col("n") <= keep).drop("n")
-    mine = queries.join(top, "q").where(F.col("vec_id") != F.col("query_id"))
+    mine = queries.drop("q").join(top, ["k1", "k2"]).where(F.col("vec_id") != F.col("query_id"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return mine.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= o.k).select("query_id", "rank", "vec_id", "score")
 
 
+def _best(lists: DataFrame, sent, block, keep: int, o: Options, queries: int = 256) -> DataFrame:
+    """k1, k2, vec_id, score: the best of each run of one list in a batch, for the block's queries that probe it."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rotation, own = sent.value.rotation, block.value
+        size, rq = np.linalg.norm(own.q, axis=1), unit(own.q) @ rotation
+        for batch in batches:
+            number = batch.column(2).to_numpy()
+            ends = np.flatnonzero(np.r_[number[1:] != number[:-1], True]) + 1 if len(number) else []
+            at = 0
+            for end in ends:
+                for a in range(at, end, 4096):
+                    some = batch.slice(a, min(4096, end - a))
+                    asking = np.flatnonzero(own.probed[:, number[at]])
+                    x, ids = stacked(some.column(0)), some.column(1).to_pylist()
+                    norm, rx = np.linalg.norm(x, axis=1), unit(x) @ rotation
+                    for c in range(0, len(asking), queries):
+                        rows = asking[c : c + queries]
+                        i, j = scan(rx, rq[rows], keep, o.block, o.epsilon)
+                        score = (x[j] * own.q[rows[i]]).sum(1) / (norm[j] * size[rows[i]])
+                        yield _ranked(rows[i], j, score, ids, own.keys, keep)
+                at = end
+
+    return lists.mapInArrow(search, "k1 long, k2 long, vec_id long, score double")
+
+
+def _ranked(row: np.ndarray, j: np.ndarray, score: np.ndarray, ids: list, keys: list[tuple[int, int]], keep: int) -> pa.RecordBatch:
+    """The ids of each row's best candidates, ties to the smaller id."""
+    out: tuple[list, list, list, list] = ([], [], [], [])
+    found: dict[int, list[tuple[float, int]]] = {}
+    for r, s, c in zip(row.tolist(), score.tolist(), j.tolist()):
+        found.setdefault(r, []).extend((-s, i) for i in ids[c])
+    for r, own in found.items():
+        own.sort()
+        for s, i in own[:keep]:
+            for column, value in zip(out, (*keys[r], i, -s)):
+                column.append(value)
+    return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in out[:3]), pa.array(out[3], pa.float64())], names=["k1", "k2", "vec_id", "score"])
+
+
 def neighbour_report(rows: DataFrame) -> DataFrame:
     return nearest(rows, lambda vec_id: vec_id % 50 == 0)

@@ -56,8 +56,11 @@ def discard(df: DataFrame) -> None:
 
 
 def bounded_broadcast(df: DataFrame, row_bytes: int | Column, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """df with a broadcast hint if its size, added up now, is in bounds, else df for a shuffled join."""
-    size = df.agg(F.sum(F.lit(row_bytes) if isinstance(row_bytes, int) else row_bytes)).first()[0] or 0
+    """df with a broadcast hint if its size, added up now, is in bounds, else df for a shuffled join.
+
+    row_bytes: of the values; a hash table adds about 64 bytes to each row.
+    """
+    size = df.agg(F.sum(64 + (F.lit(row_bytes) if isinstance(row_bytes, int) else row_bytes))).first()[0] or 0
     return F.broadcast(df) if size <= limit else df
 
 
@@ -72,7 +75,7 @@ def join_unique(many: DataFrame, one: DataFrame, key: str, counts: DataFrame, de
     keys = hot.count()
     if not keys:
         return many.join(one, key)
-    hot = F.broadcast(hot) if 32 * keys <= BROADCAST_BYTES else hot
+    hot = F.broadcast(hot) if 80 * keys <= BROADCAST_BYTES else hot
     part = F.pmod(F.xxhash64(*many.columns) if deal is None else deal, F.coalesce("_parts", F.lit(1)))
     dealt = many.join(hot, key, "left").withColumn("_part", part).drop("_parts")
     copies = one.join(hot, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
