@@ -12,12 +12,18 @@ greatest total length of the u in such a chain is a sufficient lookahead:
 tokens that end that far before the end of what has been read are final.
 
 The transducer holds a window of that many symbols and some more, whatever the
-length of the text.  Words repeat, so tasks keep the tokens of short words in a
-dictionary of bounded size.
+length of the text.  Words repeat, so tasks keep the tokens that it gave for
+short words in a dictionary of bounded size.  Texts come in parts, cut where no
+word goes on if there is such a place; a word without an end goes to its
+transducer part by part.  The decoder takes each part's tokens as they come.
+
+Normalisation and the split into pieces are the tokenizer file's own, so that
+every character has the library's letter class; only ASCII takes a short way.
 
 Defined cases: a null text has no tokens and decodes to the empty text; every
 row gives one row, whatever its id; an empty table gives none; other columns
-stay, those named ids or decoded are replaced.
+stay, those named ids or decoded are replaced; a very long text takes memory
+for its result only.
 """
 
 from __future__ import annotations
@@ -28,13 +34,15 @@ import json
 import unicodedata
 from array import array
 from collections.abc import Iterator
-from functools import cache
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Tokenizer
+
+from memloom.llm.common import worker_held
 
 NONE = 1 << 40
 
@@ -57,11 +65,16 @@ class MergeList:
         self.suffix: str = model.get("end_of_word_suffix") or ""
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        library = Tokenizer.from_file(path)
+        self.normalizer, self.splitter = library.normalizer, library.pre_tokenizer[0]
+        signs = "".join(map(chr, range(33, 127)))
+        if self.normalizer.normalize_str(signs) != signs.lower():
+            raise ValueError("ASCII isn't lower-cased")
         self.token = {i: t for t, i in (self.vocab | self.special).items()}
         self.joined = spec.get("decoder") is None
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.rank = {self.vocab[a] << 20 | self.vocab[b]: r for r, (a, b) in enumerate(pairs)}
-        self.product = [self.vocab[self._joint(a, b)] for a, b in pairs]
+        self.product = [self.vocab[a + b] for a, b in pairs]
         self.width = {i: len(t.removesuffix(self.suffix) if self.suffix else t) for t, i in self.vocab.items()}
         self.check(pairs)
         self.lookahead = self.sufficient_lookahead(pairs)
@@ -69,8 +82,12 @@ class MergeList:
         self.first = [self.vocab[s] for s in signs]
         self.last = [self.vocab[s + self.suffix] for s in signs]
 
-    def _joint(self, a: str, b: str) -> str:
-        return a + b
+    def normal(self, text: str) -> str:
+        return text.lower() if text.isascii() else self.normalizer.normalize_str(text)
+
+    def spans(self, text: str) -> list[tuple[str, tuple[int, int]]]:
+        """Pieces of a normalised text, with their places."""
+        return self.splitter.pre_tokenize_str(text)
 
     def check(self, pairs: list[tuple[str, str]]) -> None:
         """Raises unless parts come before their merges and no two merges have one product."""
@@ -137,6 +154,8 @@ class PieceTransducer:
     def __init__(self, merges: MergeList):
         self.merges, self.window, self.held = merges, [], b""
         self.most = 4 * merges.lookahead + 256
+        #: The last characters that came, a whole contraction if it is one: they tell whether the piece goes on.
+        self.tail = ""
 
     def feed(self, data: bytes) -> list[int]:
         """Tokens that are final now.  The last byte waits, since the piece may end with it."""
@@ -166,130 +185,101 @@ class PieceTransducer:
 
 
 class StreamingEncoder:
-    """Text in parts of any size to token ids, in memory that no length of text, word or line changes.
-
-    Normalisation (NFC, lower case letter by letter) and the split into pieces
-    need no more than the text around them: a part is cut before a sign that
-    never joins the sign before it, and a piece that goes on is handed to its
-    transducer as it comes.
-    """
+    """Text in parts of any size to token ids, in memory that no length of text, word or line changes."""
 
     #: Longest word whose tokens are kept, words and pieces that are kept (the first ones met), signs handled at once.
-    WORD, KEPT, PART = 48, 250_000, 1 << 16
+    WORD, KEPT, PART = 48, 150_000, 1 << 16
 
     def __init__(self, merges: MergeList, specials: bool = True):
         self.merges, self.words, self.pieces = merges, {}, {}
-        named = sorted(merges.special, key=len, reverse=True) if specials else []
-        self.named = regex.compile("|".join(map(regex.escape, named))) if named else None
-        self.longest = max(map(len, named), default=0)
-
-    def normal(self, text: str) -> str:
-        if text.isascii():
-            return text.lower()
-        text = unicodedata.normalize("NFC", text)
-        # One sign at a time: the lower case of capital sigma doesn't depend on its place.
-        return text.replace("Σ", "σ").lower()
+        self.names = sorted(merges.special, key=len, reverse=True) if specials else []
+        self.named = regex.compile("|".join(map(regex.escape, self.names))) if self.names else None
+        self.longest = max(map(len, self.names), default=0)
 
     def piece(self, piece: str) -> bytes:
         """Ids of a whole normalised piece as little-endian 32-bit integers."""
         found = self.pieces.get(piece)
         if found is None:
-            raw = piece.encode("utf-8", "surrogatepass")
-            if len(raw) < 256:
-                first, last = self.merges.first, self.merges.last
-                ids = self.merges.merged([*[first[b] for b in raw[:-1]], last[raw[-1]]])
-            else:
-                transducer = PieceTransducer(self.merges)
-                ids = transducer.feed(raw) + transducer.finish()
-            found = array("I", ids).tobytes()
+            transducer = PieceTransducer(self.merges)
+            ids = transducer.feed(piece.encode("utf-8", "surrogatepass"))
+            found = array("I", ids + transducer.finish()).tobytes()
             if len(self.pieces) < self.KEPT and len(piece) <= self.WORD:
                 self.pieces[piece] = found
         return found
 
     def word(self, word: str) -> bytes:
         """Ids of a whole word, before normalisation."""
-        found = b"".join([self.piece(p) for p in self.merges.pattern.findall(self.normal(word))])
+        text = self.merges.normal(word)
+        pieces = self.merges.pattern.findall(text) if text.isascii() else [p for p, _ in self.merges.spans(text)]
+        found = b"".join([self.piece(p) for p in pieces])
         if len(self.words) < self.KEPT and len(word) <= self.WORD:
             self.words[word] = found
         return found
 
-    def encode(self, text: str) -> bytes:
-        """Ids of a whole text as little-endian 32-bit integers."""
-        if self.named is None or not any(name in text for name in self.merges.special):
-            return self._plain(text)
-        out, at = [], 0
-        for match in self.named.finditer(text):
-            out += [self._plain(text[at : match.start()]), array("I", [self.merges.special[match[0]]]).tobytes()]
-            at = match.end()
-        return b"".join([*out, self._plain(text[at:])])
-
-    def _plain(self, text: str) -> bytes:
-        # str.split also splits at four separators that are not white space to the pattern.
-        odd = any(c in text for c in "\x1c\x1d\x1e\x1f")
-        words = regex.split(r"\p{White_Space}+", text) if odd else text.split()
-        kept = self.words
-        return b"".join([kept[w] if w in kept else self.word(w) for w in words])
-
     def stream(self, parts: Iterator[str]) -> Iterator[bytes]:
-        """Ids of the text that the parts make up, part by part, in constant memory."""
-        rest, going, kind = "", None, None
+        """Ids of the text that the parts make up, as little-endian 32-bit integers, part by part, in constant memory."""
+        rest, going = "", None
         for part in parts:
             rest += part
-            while len(rest) > self.PART and (cut := self._cut(rest)):
-                done, going, kind = self._pieces(rest[:cut], going, kind, False)
+            while len(rest) > self.PART and (cut := self._cut(rest))[0]:
+                done, going = self._part(rest[: cut[0]], going, cut[1])
                 yield done
-                rest = rest[cut:]
-        done, going, kind = self._pieces(rest, going, kind, True)
+                rest = rest[cut[0] :]
+        done, going = self._part(rest, going, True)
         yield done
         if going is not None:
             yield array("I", going.finish()).tobytes()
 
-    def _cut(self, text: str) -> int:
-        """The last place that parts neither a composed sign nor a special name nor a contraction; 0 if more text is needed."""
+    def _cut(self, text: str) -> tuple[int, bool]:
+        """The last place that parts neither a composed sign nor a special name nor a contraction, and whether no word goes on there; 0 if more text is needed."""
         names = [m.span() for m in self.named.finditer(text)] if self.named else []
-        for at in range(len(text) - max(self.longest, 4), 0, -1):
+        free = lambda at: not any(a < at < b for a, b in names)
+        most = len(text) - max(self.longest, 4)
+        at = max(text.rfind(" ", most // 2, most), text.rfind("\n", most // 2, most))
+        if at > 0 and free(at):
+            return at, True
+        for at in range(most, 0, -1):
             sign = text[at]
             jamo = "\u1100" <= sign <= "\u11ff"
             joins = not sign.isascii() and (unicodedata.category(sign)[0] != "L" or jamo or unicodedata.normalize("NFC", sign) != sign)
-            if not joins and "'" not in text[max(0, at - 2) : at + 1] and not any(a < at < b for a, b in names):
-                return at
-        return 0
-
-    def _pieces(self, text: str, going: PieceTransducer | None, kind: str | None, end: bool) -> tuple[bytes, PieceTransducer | None, str | None]:
-        """Ids that are final; a run of letters or of signs that touches the end stays open."""
-        out = array("I")
-        spans = [(m.start(), m.end(), m[0]) for m in self.named.finditer(text)] if self.named else []
-        at = 0
-        for start, stop, name in [*spans, (len(text), len(text), None)]:
-            plain = self.normal(text[at:start])
-            place = 0
-            if going is not None and plain:
-                run = regex.match(r"\p{L}*" if kind == "L" else r"[^\s\p{L}\p{N}]*", plain)
-                out.extend(going.feed(run[0].encode("utf-8", "surrogatepass")))
-                place = run.end()
-                if place < len(plain):
-                    out.extend(going.finish())
-                    going = None
-            elif going is not None and name is not None:
+            if not joins and "'" not in text[max(0, at - 2) : at + 1] and free(at):
+                return at, False
+        return 0, False
+
+    def _part(self, text: str, going: PieceTransducer | None, ends: bool) -> tuple[bytes, PieceTransducer | None]:
+        """Ids that are final, and the piece that may go on; ends: no word goes on after the text."""
+        out, at = [], 0
+        named = self.named is not None and any(name in text for name in self.names)
+        for match in self.named.finditer(text) if named else ():
+            done, going = self._plain(text[at : match.start()], going, True)
+            out += [done, array("I", [self.merges.special[match[0]]]).tobytes()]
+            at = match.end()
+        done, going = self._plain(text[at:] if at else text, going, ends)
+        return b"".join([*out, done]), going
+
+    def _plain(self, text: str, going: PieceTransducer | None, ends: bool) -> tuple[bytes, PieceTransducer | None]:
+        if going is None and ends:
+            # str.split also splits at four separators that are not white space to the pattern.
+            odd = any(c in text for c in "\x1c\x1d\x1e\x1f")
+            words = regex.split(r"\p{White_Space}+", text) if odd else text.split()
+            kept = self.words
+            return b"".join([kept[w] if w in kept else self.word(w) for w in words]), None
+        text = self.merges.normal(text)
+        spans, out = self.merges.spans(text), array("I")
+        for piece, (start, stop) in spans:
+            if going is not None and (start or len(self.merges.spans(going.tail + piece)) > 1):
+                out.extend(going.finish())
+                going = None
+            going = going or PieceTransducer(self.merges)
+            out.extend(going.feed(piece.encode("utf-8", "surrogatepass")))
+            going.tail = (going.tail + piece)[-4:]
+            if stop < len(text):
                 out.extend(going.finish())
                 going = None
-            if going is None or place < len(plain):
-                for match in self.merges.pattern.finditer(plain, place):
-                    raw = match[0].encode("utf-8", "surrogatepass")
-                    open_end = match.end() == len(plain) and name is None and not end and not regex.fullmatch(r"\p{N}|'(?:s|t|re|ve|m|ll|d)", match[0])
-                    transducer = PieceTransducer(self.merges)
-                    out.extend(transducer.feed(raw))
-                    if open_end:
-                        going, kind = transducer, "L" if regex.match(r"\p{L}", match[0]) else "P"
-                    else:
-                        out.extend(transducer.finish())
-            if name is not None:
-                if going is not None:
-                    out.extend(going.finish())
-                    going = None
-                out.append(self.merges.special[name])
-            at = stop
-        return out.tobytes(), going, kind
+        if going is not None and (ends or text and not spans):
+            out.extend(going.finish())
+            going = None
+        return out.tobytes(), going
 
 
 class IncrementalDecoder:
@@ -317,10 +307,9 @@ class IncrementalDecoder:
         return "" if self.merges.joined else self.text.decode(b"", True)
 
 
-@cache
 def encoder(path: str, specials: bool) -> StreamingEncoder:
     """One for each worker, with the words that it has met."""
-    return StreamingEncoder(MergeList(path), specials)
+    return worker_held(("word bpe", path, specials), lambda: StreamingEncoder(MergeList(path), specials))
 
 
 def encode_documents(docs: DataFrame, path: str, specials: bool = True, batch_bytes: int = 4 << 20) -> DataFrame:
@@ -334,15 +323,23 @@ def encode_documents(docs: DataFrame, path: str, specials: bool = True, batch_by
     names, at = docs.columns, docs.columns.index("text")
     schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
 
+    def coded(own: StreamingEncoder, text: str) -> tuple[bytes, str]:
+        decoder, ids, said = IncrementalDecoder(own.merges), [], []
+        for part in own.stream(text[k : k + own.PART] for k in range(0, len(text), own.PART)):
+            ids.append(part)
+            said.append(decoder.feed(memoryview(part).cast("I").tolist()))
+        said.append(decoder.finish())
+        return b"".join(ids), "".join(said)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, specials)
         for batch in batches:
             start, size, ids, texts = 0, 0, [], []
             for k in range(batch.num_rows):
-                ids.append(own.encode(batch.column(at)[k].as_py() or ""))
-                decoder = IncrementalDecoder(own.merges)
-                texts.append(decoder.feed(memoryview(ids[-1]).cast("I").tolist()) + decoder.finish())
-                size += len(ids[-1]) + len(texts[-1])
+                row_ids, row_text = coded(own, batch.column(at)[k].as_py() or "")
+                ids.append(row_ids)
+                texts.append(row_text)
+                size += len(row_ids) + len(row_text)
                 if size >= batch_bytes or k == batch.num_rows - 1:
                     part = batch.slice(start, k + 1 - start)
                     yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.binary()), pa.array(texts, pa.string())], names=[*names, "ids", "decoded"])

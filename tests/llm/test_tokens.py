@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -29,7 +30,7 @@ def test_encoder_equals_library(merges):
     library, own = Tokenizer.from_file(WORD), bpe_stream.StreamingEncoder(merges)
     for text in texts():
         want = library.encode(text or "", add_special_tokens=False).ids
-        ids = memoryview(own.encode(text or "")).cast("I").tolist()
+        ids = memoryview(b"".join(own.stream([text or ""]))).cast("I").tolist()
         assert ids == want
         decoder = bpe_stream.IncrementalDecoder(merges)
         parts = "".join(decoder.feed(ids[k : k + 3]) for k in range(0, len(ids), 3)) + decoder.finish()
@@ -46,6 +47,37 @@ def test_stream_in_parts_equals_library(merges, part):
         assert memoryview(b"".join(stream)).cast("I").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_every_code_point_equals_library(merges):
+    """In words of their own, inside of words, and where a part ends."""
+    library, own = Tokenizer.from_file(WORD), bpe_stream.StreamingEncoder(merges)
+    slow = bpe_stream.StreamingEncoder(merges)
+    slow.PART = 24
+    every = [chr(c) for c in range(0x30000) if not 0xD800 <= c < 0xE000]
+    rng = random.Random(1)
+    for at in range(0, len(every), 128):
+        own_signs = every[at : at + 128]
+        text = " ".join(f"a{c}b {c} {c}9" for c in own_signs)
+        mixed = "".join(rng.choice([c, c + "ab", rng.choice(every)]) for c in own_signs)
+        for said in (text, mixed):
+            want = library.encode(said, add_special_tokens=False).ids
+            assert memoryview(b"".join(own.stream([said]))).cast("I").tolist() == want, at
+        assert memoryview(b"".join(slow.stream(mixed[k : k + 5] for k in range(0, len(mixed), 5)))).cast("I").tolist() == want, at
+
+
+def test_memory_does_not_grow_with_the_text(merges):
+    own, peaks = bpe_stream.StreamingEncoder(merges), []
+    sum(map(len, own.stream(["some words of the text, in lines\n" * 1000])))
+    for unit in ("some words of the text, in lines\n", "abcdefghij"):
+        for parts in (3, 9):
+            decoder = bpe_stream.IncrementalDecoder(merges)
+            tracemalloc.start()
+            for ids in own.stream(unit * (60_000 // len(unit)) for _ in range(parts)):
+                decoder.feed(memoryview(ids).cast("I").tolist())
+            peaks.append(tracemalloc.get_traced_memory()[1])
+            tracemalloc.stop()
+    assert peaks[1] < 1.3 * peaks[0] and peaks[3] < 1.3 * peaks[2]
+
+
 def test_window_is_bounded(merges):
     transducer = bpe_stream.PieceTransducer(merges)
     for _ in range(200):
