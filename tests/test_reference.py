@@ -2,6 +2,9 @@
 
 import os
 import random
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import numpy as np
@@ -195,8 +198,15 @@ def test_windowed_counts(spark):
     assert requests.windowed_counts(events).agg(F.sum("n")).first()[0] == events.count()
 
 
-def test_stands_without_llm():
+def test_stands_without_llm(tmp_path):
     root = os.path.dirname(os.path.abspath(entry.__file__))
+    for gone in (("llm", "corpus_pipeline.py"), ("llm",)):
+        copy = tmp_path / str(len(gone))
+        shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", *gone))
+        said = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 50 and set(e.oracle_sql()) <= set(q); assert not [k for k in q if k.startswith('op') or k == 'pipeline']"
+        env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+        subprocess.run([sys.executable, "-c", said], cwd=copy, env=env, check=True)
+        subprocess.run([sys.executable, "-m", "pytest", "--collect-only", "-q", "tests"], cwd=copy, env=env, check=True, stdout=subprocess.DEVNULL)
     for folder, _, files in os.walk(f"{root}/memloom"):
         if "llm" not in folder.split(os.sep):
             for f in files:
