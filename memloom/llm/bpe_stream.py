@@ -188,7 +188,7 @@ class StreamingEncoder:
     """Text in parts of any size to token ids, in memory that no length of text, word or line changes."""
 
     #: Longest word whose tokens are kept, words and pieces that are kept (the first ones met), signs handled at once.
-    WORD, KEPT, PART = 48, 150_000, 1 << 16
+    WORD, KEPT, PART = 48, 100_000, 1 << 16
 
     def __init__(self, merges: MergeList, specials: bool = True):
         self.merges, self.words, self.pieces = merges, {}, {}

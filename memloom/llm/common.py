@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,6 +91,13 @@ def free_name(name: str, *frames: DataFrame) -> str:
     return name
 
 
+def sliced(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches of at most so many rows, without a copy: what Python makes of a batch of texts is several times its size."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 _held: dict[Any, Any] = {}
 
 
@@ -100,6 +108,7 @@ def worker_held(key: Any, make: Callable[[], Any]) -> Any:
     """
     if key not in _held:
         _held.clear()
+        pa.default_memory_pool().release_unused()
         _held[key] = make()
     return _held[key]
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from memloom.llm.common import written
+from memloom.llm.common import sliced, written
 from memloom.llm.line_dedup import mixed
 from memloom.llm.words import grams, shingles, word_hashes
 
@@ -114,7 +114,7 @@ def item_blocks(items: DataFrame, words: int, threshold: float, block_bytes: int
     """Indexes of about block_bytes each, over all items with a shingle."""
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             sets = [shingles(word_hashes().of(t), words) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["item_id", "shingles"])
 
@@ -141,7 +141,7 @@ def contaminations(docs: DataFrame, items: DataFrame, words: int = 5, threshold:
 def _pairs(rows: DataFrame, sent) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = sent.value
-        for batch in batches:
+        for batch in sliced(batches):
             ids = batch.column(0).to_pylist()
             found = [(ids[d], index.ids[i], len(index.sets[i]), n, n / len(index.sets[i])) for d, i, n in index.pairs(batch.column(1).to_pylist())]
             if found:
@@ -160,7 +160,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, words: int = 5, threshold:
 
 def _without(docs: DataFrame, sent, at: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             hit = {d for d, _, _ in sent.value.pairs(batch.column(at).to_pylist())}
             yield batch.filter(pa.array([k not in hit for k in range(batch.num_rows)], pa.bool_()))
 

@@ -53,7 +53,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from memloom.llm.common import bounded_broadcast, discard, free_name, join_unique, written
+from memloom.llm.common import bounded_broadcast, discard, free_name, join_unique, sliced, written
 from memloom.llm.components import connected_components
 from memloom.llm.line_dedup import NO_ID, mixed
 from memloom.llm.words import shingles, word_hashes
@@ -360,7 +360,7 @@ def verified(docs: DataFrame, pairs: DataFrame, first: DataFrame, words: int, pe
     found = rows.join(bounded_broadcast(ids, 32), F.col("id") == F.col("need_id"), "left_semi").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             nodes, sets, size = [], [], 0
             for text in batch.column(0).to_pylist():
                 tokens = shingles(word_hashes().of(text), words)
@@ -426,7 +426,7 @@ def with_node(docs: DataFrame, name: str, words: int) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             sets = [shingles(word_hashes().of(t), words) for t in batch.column(at).to_pylist()]
             nodes = [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.int64())], names=[*batch.schema.names, name])

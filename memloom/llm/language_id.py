@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from memloom.llm.common import bounded_broadcast, fold, held_out, written
+from memloom.llm.common import bounded_broadcast, fold, held_out, sliced, worker_held, written
 
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -155,7 +155,7 @@ def fit(docs: DataFrame, options: Options = Options()) -> ByteNet | None:
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             langs, data = [], []
             for doc_id, lang, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if LETTER.search(text):
@@ -188,8 +188,9 @@ def identify(docs: DataFrame, net: ByteNet | None, chunk: int = 256) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
-        t = own.tables() if own else None
-        for batch in batches:
+        # Made by each task, since models differ; what other operators keep goes.
+        t = worker_held("languages", dict)[0] = own.tables() if own else None
+        for batch in sliced(batches):
             texts = batch.column(at).to_pylist()
             known = [k for k, x in enumerate(texts) if own is not None and x and LETTER.search(x)]
             total = np.zeros((len(texts), len(own.languages) if own else 1))

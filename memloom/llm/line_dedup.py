@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from memloom.llm.common import bounded_broadcast, free_name, written
+from memloom.llm.common import bounded_broadcast, free_name, sliced, worker_held, written
 
 WHITE = " \t\n\x0b\x0c\r"
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -117,6 +117,7 @@ class LineShard:
 
 def hashed_lines(texts: list, min_chars: int) -> tuple[list[list[str]], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Lines of every text; of the long ones: row, line number, and both halves of the hash."""
+    worker_held("lines", dict)
     lines, rows, numbers, digests = [], [], [], []
     for row, text in enumerate(texts):
         own = (text or "").split("\n")
@@ -134,7 +135,7 @@ def line_counts(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
     """(hi, lo, n, last) of the long lines that at least min_docs rows hold."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             ids = batch.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
             _, rows, _, hi, lo = hashed_lines(batch.column(1).to_pylist(), min_chars)
             if not len(rows):
@@ -192,7 +193,7 @@ def routed_hits(docs: DataFrame, rare: DataFrame, common, min_chars: int, total_
     parts = max(1, -(-total_rare // SHARD_LINES))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             ids = batch.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
             _, rows, _, hi, lo = hashed_lines(batch.column(1).to_pylist(), min_chars)
             if len(rows):
@@ -260,7 +261,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, array_b
     schema = T.StructType([*fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             ids = batch.column(key).cast(pa.int64()).fill_null(NO_ID).to_numpy(zero_copy_only=False)
             lines, rows, numbers, hi, lo = hashed_lines(batch.column(at).to_pylist(), min_chars)
             held, last = probe_all(common.value, hi, lo)

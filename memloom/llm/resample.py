@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from memloom.llm.common import fold, held_out, written
+from memloom.llm.common import fold, held_out, sliced, written
 from memloom.llm.words import grams, word_hashes
 
 
@@ -55,7 +55,7 @@ def bucket_counts(texts: DataFrame, bits: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << bits, dtype=np.int64)
-        for batch in batches:
+        for batch in sliced(batches):
             for text in batch.column(0).to_pylist():
                 total += np.bincount(buckets(text, bits), minlength=1 << bits)
         at = np.flatnonzero(total)
@@ -87,7 +87,7 @@ def weigh(docs: DataFrame, ratio: np.ndarray, options: Options = Options()) -> D
     sent, o = docs.sparkSession.sparkContext.broadcast(ratio), options
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             out = []
             for text in batch.column(1).to_pylist():
                 at = buckets(text, o.bits)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from memloom.llm.common import fold, held_out, written
+from memloom.llm.common import fold, held_out, sliced, written
 from memloom.llm.words import grams, word_hashes
 
 
@@ -96,7 +96,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, options: Options = Optio
     shards = max(1, -(-chosen.count() // o.shard_rows))
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = [features(t, o.bits).astype(np.int32) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], names=["shard", "y", "at"])
 
@@ -138,7 +138,7 @@ def score(docs: DataFrame, model: dict[str, np.ndarray], threshold: float = 0.7,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dense = np.zeros(1 << bits)
         dense[sent.value["at"]] = sent.value["w"]
-        for batch in batches:
+        for batch in sliced(batches):
             sums = np.array([dense[features(t, bits)].sum() for t in batch.column(1).to_pylist()])
             p = 1.0 / (1.0 + np.exp(-np.clip(sums, -35, 35)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=["doc_id", "score", "predicted"])

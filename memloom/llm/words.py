@@ -14,7 +14,7 @@ STRIP = b".,;:!?\"'()[]{}<>|*#%&$@~`^_=+-/\\"
 class WordHashes(dict):
     """Hashes of words; a task keeps those of the first words that it meets."""
 
-    KEPT = 150_000
+    KEPT = 60_000
 
     def __init__(self, bare: bool):
         super().__init__()
