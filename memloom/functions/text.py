@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # Markers of prompts and answers.
 START, END, OBJECT_END = "<|im_start|>", "<|im_end|>", "<|object_ref_end|>"
 ANSWER, ANCHOR, REGENERATE = "The answer to the question is:", "\nPlease answer the question based", "<regenerate>"
+QUESTION, TEXT_END, RETRIEVE_END = "The user's question is:", "<|endoftext|>", "<End-of-Retrieve>"
+WHITE = " \t\n\x0b\x0c\r"
 
 
 def tokens(text: Column) -> Column:
@@ -38,9 +40,12 @@ def answer_of(generated: Column) -> Column:
 
 
 def cleaned(answer: Column) -> Column:
-    """What a judge sees: without reasoning, tags and the word Answer."""
-    last = F.substring_index(F.substring_index(answer, "</think>", -1), "<answer>", -1)
-    return F.trim(F.substring_index(F.substring_index(last, "</answer>", 1), "Answer:", -1))
+    """What a judge sees: without end markers, tags, reasoning and the question; what the first `Answer:` says, if there is one."""
+    without = lambda c, *marks: without(F.replace(c, F.lit(marks[0]), F.lit("")), *marks[1:]) if marks else c
+    said = F.substring_index(without(answer, END, TEXT_END), "<answer>", -1)
+    said = without(F.substring_index(said, f"{ANSWER} ", -1), "</answer>", QUESTION)
+    last = F.substring_index(said, "</think>", -1)
+    return F.when(last.contains("Answer:"), F.btrim(F.split(last, "Answer:")[1], F.lit(WHITE))).otherwise(last)
 
 
 def after_anchor(text: Column) -> Column:
@@ -58,6 +63,17 @@ def must_regenerate(text: Column) -> Column:
     return F.rtrim(text).endswith(OBJECT_END) & ~text.contains(ANSWER)
 
 
+def round_ended(inner: Column, first: Column) -> Column:
+    """Whether a round of generation is over: its end marker came, or in later rounds what came is neither an id nor the start of the retrieval's end."""
+    other = ~inner.rlike(r"^\[[0-9]*\]?$") & ~F.lit(RETRIEVE_END).startswith(inner)
+    return inner.contains(OBJECT_END) | (~first & other)
+
+
+def retrieval_ended(response: Column, first: Column, most: int = 1000) -> Column:
+    """Whether no more rounds follow: the model says so, or the first round's text is too long."""
+    return response.contains(RETRIEVE_END) | (first & (F.char_length(response) > most))
+
+
 def judged(reply: Column) -> Column:
     """The first digit up to 5 in a judge's reply, else 0."""
     found = F.regexp_extract(F.coalesce(reply, F.lit("")), "[0-5]", 0)

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from memloom.operators.sequences import sequence_split
+
 
 def balanced(sizes: list[int], buckets: int) -> list[int]:
     """Each item goes to the bucket with the least so far, ties to the first."""
@@ -64,6 +66,32 @@ def bags(sizes: list[int], capacity: int) -> list[int]:
     return out
 
 
+def packed_examples(df: DataFrame, group: str, order: str, cutoff: int, pad: int, ignore: int = -100) -> DataFrame:
+    """group, bag, input_ids, labels, attention_mask, position_ids of length `cutoff`.  df: group, order, input_ids, labels (arrays of one length).
+
+    Examples of cutoff - 1 tokens or more are left out.  Those of a bag follow
+    each other; each counts its own positions; labels move one to the left; the
+    rest is padded by column: ids, ignored labels, no attention, last position.
+    """
+    kept = df.where(F.size("input_ids") < cutoff - 1)
+    bag = folded(kept.select(group, order, F.size("input_ids").alias("size")), group, order, "size", lambda sizes: bags(sizes, cutoff - 1), "bag")
+    rows = kept.join(bag.drop("size"), [group, order])
+    listed = F.array_sort(F.collect_list(F.struct(order, "input_ids", "labels")))
+    whole = rows.groupBy(group, "bag").agg(listed.alias("_x"))
+    joined = lambda field: F.flatten(F.transform("_x", lambda x: x[field]))
+    places = F.flatten(F.transform("_x", lambda x: F.transform(x["input_ids"], lambda _, k: k.cast("long"))))
+    ids, labels = joined("input_ids"), joined("labels")
+    moved = F.slice(labels, 2, F.greatest(F.size(labels) - 1, F.lit(0)))
+    fill = lambda c, value: F.concat(c, F.array_repeat(F.lit(value).cast("long"), cutoff - F.size(c)))
+    mask = F.transform(ids, lambda _: F.lit(1).cast("long"))
+    return whole.select(group, "bag", fill(ids, pad).alias("input_ids"), fill(moved, ignore).alias("labels"), fill(mask, 0).alias("attention_mask"), fill(places, cutoff - 1).alias("position_ids"))
+
+
+def split_columns(df: DataFrame, world: int, rank: int, kind: str) -> DataFrame:
+    """A rank's share of every column of packed examples; masks are the same for all."""
+    return df.withColumns({c: sequence_split(F.col(c), world, rank, kind) for c in ("input_ids", "labels", "position_ids")})
+
+
 def folded(df: DataFrame, group: str, order: str, size: str, fold: Callable[[list[int]], list[int]], name: str) -> DataFrame:
     """group, order, size and the fold's result for each row."""
 

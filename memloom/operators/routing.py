@@ -116,6 +116,21 @@ def route_variable(chunks: DataFrame, tokens: DataFrame, config: MemoryConfig, w
     return ranked.where(F.col("rank") <= F.least("k", F.lit(config.top_k))).drop("k")
 
 
+def grouped_scores(pairs: DataFrame, q: str, k: str, heads: int, kv_heads: int, width: int) -> DataFrame:
+    """pairs with head and score, a row for each query head: heads // kv_heads query heads share a key head."""
+    rows = pairs.withColumn("head", F.explode(F.sequence(F.lit(0), F.lit(heads - 1))))
+    own = lambda v, h: F.slice(v, h * width + 1, width)
+    at = F.floor(F.col("head") / (heads // kv_heads)).cast("int")
+    score = F.aggregate(F.zip_with(own(F.col(q), F.col("head")), own(F.col(k), at), lambda x, y: x * y), F.lit(0.0), lambda t, x: t + x)
+    return rows.withColumn("score", score).withColumn("head", F.col("head").cast("long"))
+
+
+def next_token(logits: DataFrame, by: str, token: str, logit: str) -> DataFrame:
+    """The token with the largest logit, ties to the smaller token."""
+    best = F.max(F.struct(F.col(logit).alias("l"), (-F.col(token)).alias("t")))
+    return logits.groupBy(by).agg((-best["t"]).alias(token))
+
+
 def attention_readout(weights: DataFrame, values: DataFrame) -> DataFrame:
     """weights: query_id, chunk_id, score; values: chunk_id, vec.  query_id, dim, value: the softmax mean of the values."""
     top = weights.groupBy("query_id").agg(F.max("score").alias("top"))

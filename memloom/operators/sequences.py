@@ -29,6 +29,23 @@ def exclusive_offsets(df: DataFrame, key: str, order: str, size: str) -> DataFra
     return df.withColumn("offset", F.coalesce(F.sum(size).over(w), F.lit(0)).cast("long"))
 
 
+def global_offsets(df: DataFrame, order: str, size: str, width: int = 4096) -> DataFrame:
+    """number (from 0) and offset (sum of sizes before) of each row over the whole table, in the order of a whole number.
+
+    Rows are summed by ranges of `width` values of order, and only the ranges'
+    sums, a row each, meet in one window.
+    """
+    cell = F.floor(F.col(order) / width)
+    sums = df.groupBy(cell.alias("_cell")).agg(F.count("*").alias("_n"), F.sum(size).alias("_s"))
+    before = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    base = sums.select("_cell", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}0") for c in ("_n", "_s")])
+    inside = Window.partitionBy("_cell").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = df.withColumn("_cell", cell)
+    rows = rows.withColumns({"_k": F.count("*").over(inside), "_o": F.coalesce(F.sum(size).over(inside), F.lit(0))})
+    placed = rows.join(base, "_cell")
+    return placed.withColumns({"number": F.col("_n0") + F.col("_k"), "offset": (F.col("_s0") + F.col("_o")).cast("long")}).drop("_cell", "_k", "_o", "_n0", "_s0")
+
+
 def offset_concat(df: DataFrame, key: str, part: str, local: str) -> DataFrame:
     """Makes ids of parts go on from the part before: adds the largest ids of all parts before."""
     largest = df.groupBy(key, part).agg(F.max(local).alias("_size"))

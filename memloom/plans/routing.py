@@ -83,7 +83,7 @@ def winner_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The chunks of each query's best documents, in the order of shard, document and chunk."""
     memory = chunks(spark, sf_dir)
     won = routing.route(memory, tokens(spark, sf_dir), BASE)
-    found = F.broadcast(won.select("query_id", "doc_id")).join(memory.select("doc_id", "chunk_id"), "doc_id")
+    found = won.select("query_id", "doc_id").join(memory.select("doc_id", "chunk_id"), "doc_id")
     listed = F.array_sort(F.collect_list(F.struct(F.pmod("doc_id", F.lit(4)).alias("shard"), "doc_id", "chunk_id")))
     text = F.array_join(F.transform(listed, lambda x: x["chunk_id"].cast("string")), ",")
     return found.groupBy("query_id").agg(F.count("*").alias("n_chunks"), text.alias("chunk_ids"))
@@ -93,7 +93,7 @@ def selected_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks that some query selects (semi join), each once."""
     memory = chunks(spark, sf_dir)
     won = routing.route(memory, tokens(spark, sf_dir), BASE).select("doc_id").distinct()
-    return memory.select("doc_id", "chunk_id").join(F.broadcast(won), "doc_id", "left_semi")
+    return memory.select("doc_id", "chunk_id").join(won, "doc_id", "left_semi")
 
 
 def attention_readout(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +101,7 @@ def attention_readout(spark: SparkSession, sf_dir: str) -> DataFrame:
     memory, asked = chunks(spark, sf_dir), tokens(spark, sf_dir)
     won = routing.route(memory, asked, BASE).select("query_id", "doc_id")
     last = asked.where("tok = 0").select("query_id", F.col("vec").alias("q"))
-    near = F.broadcast(won).join(memory, "doc_id").join(F.broadcast(last), "query_id")
+    near = won.join(memory, "doc_id").join(last, "query_id")
     weights = near.select("query_id", "chunk_id", (vectors.dot(F.col("q"), F.col("vec")) / 8.0).alias("score"))
     out = routing.attention_readout(weights, memory.select("chunk_id", "vec"))
     return out.select("query_id", F.col("dim").cast("long").alias("dim"), F.round("value", 6).alias("value"))
@@ -129,6 +129,14 @@ def normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("vec_id", F.round(v[0], 6).alias("first"), F.round(v[63], 6).alias("last"), F.round(vectors.norm(v), 6).alias("norm"))
 
 
+def grouped_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each query token against the vector after it, eight query heads over two key heads."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", vectors.doubles(F.col("embedding")).alias("vec"))
+    q = rows.where("vec_id % 100 = 0").select("vec_id", F.col("vec").alias("q"))
+    k = rows.where("vec_id % 100 = 1").select((F.col("vec_id") - 1).alias("vec_id"), F.col("vec").alias("k"))
+    return routing.grouped_scores(q.join(k, "vec_id"), "q", "k", 8, 2, 8).select("vec_id", "head", F.round("score", 6).alias("score"))
+
+
 WON = top_sql(BASE)
 QUERIES = {name: route_query(c) for name, c in CONFIGS.items()} | {
     "route_sharded_topk": route_sharded_topk,
@@ -139,6 +147,7 @@ QUERIES = {name: route_query(c) for name, c in CONFIGS.items()} | {
     "pool_mean_chunks": pool_mean_chunks,
     "pool_fixed_window": pool_fixed_window,
     "l2_normalise": normalised,
+    "grouped_heads": grouped_heads,
 }
 POOL = """
     SELECT {key}, d - 1 AS dim, round(avg(e[d]), 6) AS value
@@ -160,6 +169,9 @@ ORACLE_SQL = {name: top_sql(c) for name, c in CONFIGS.items()} | {
         SELECT query_id, d - 1 AS dim, round(sum(w * e[d]) / sum(w), 6) AS value FROM near, range(1, 65) r(d) GROUP BY query_id, d""",
     "pool_mean_chunks": POOL.format(key="vec_id // 21 AS doc_id, (vec_id % 21) // 4 AS chunk"),
     "pool_fixed_window": POOL.format(key="vec_id // 4 AS chunk"),
+    "grouped_heads": """
+        SELECT q.vec_id, h AS head, round(list_dot_product((q.embedding::DOUBLE[])[8 * h + 1:8 * h + 8], (k.embedding::DOUBLE[])[8 * (h // 4) + 1:8 * (h // 4) + 8]), 6) AS score
+        FROM embeddings q JOIN embeddings k ON k.vec_id = q.vec_id + 1 AND q.vec_id % 100 = 0, range(8) r(h)""",
     "l2_normalise": """
         WITH u AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: x / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]))) AS e FROM embeddings)
         SELECT vec_id, round(e[1], 6) AS first, round(e[64], 6) AS last, round(sqrt(list_dot_product(e, e)), 6) AS norm FROM u""",

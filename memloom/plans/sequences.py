@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from memloom.functions import text
-from memloom.operators import packing, sequences
+from memloom.operators import packing, routing, sequences
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,25 @@ def exclusive_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequences.exclusive_offsets(docs, "block", "doc_id", "n_chars").select("doc_id", "offset")
 
 
+def global_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's number and the characters before it, over the whole table."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.length("text").alias("size"))
+    return sequences.global_offsets(docs, "doc_id", "size").select("doc_id", "number", "offset")
+
+
+def next_token(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line with the largest price of each order, as a token with the largest logit."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("long").alias("token"), F.col("l_extendedprice").alias("logit"))
+    return routing.next_token(lines, "l_orderkey", "token", "logit")
+
+
+def packed_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns packed to 256 tokens, in groups of 64 conversations; a rank's share of each column."""
+    rows = turns(spark, sf_dir).select(F.floor(F.col("conv_id") / 64).cast("long").alias("grp"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("ids").alias("input_ids"), F.col("ids").alias("labels"))
+    packed = packing.split_columns(packing.packed_examples(rows, "grp", "id", 256, 0), 2, 0, "zigzag-ring")
+    return packed.select("grp", "bag", *[listed(F.col(c)).alias(c) for c in ("input_ids", "labels", "attention_mask", "position_ids")])
+
+
 def offset_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line numbers of an order's parts, made to go on over a customer's orders."""
     lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -111,7 +130,7 @@ def length_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return i.join(d, ["n", "k"]).select("item_id", "doc_id", "n")
 
 
-QUERIES = {f.__name__: f for f in (run_length_ids, rle_counts, rank_in_run, chunks_per_sample, exclusive_offsets, offset_concat, left_pad_batch, length_filter, label_shift_pad, bincount, length_pairing)} | {
+QUERIES = {f.__name__: f for f in (run_length_ids, rle_counts, rank_in_run, chunks_per_sample, exclusive_offsets, global_offsets, next_token, packed_examples, offset_concat, left_pad_batch, length_filter, label_shift_pad, bincount, length_pairing)} | {
     "sp_zigzag": split_query("zigzag-ring"),
     "sp_ulysses": split_query("ulysses"),
     "balanced_buckets": fold_query(lambda sizes: packing.balanced(sizes, 4), "bucket"),
@@ -148,6 +167,10 @@ ORACLE_SQL = {
     "exclusive_offsets": """
         SELECT doc_id, coalesce(sum(n_chars) OVER (PARTITION BY doc_id // 1024 ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset"
         FROM documents""",
+    "global_offsets": """
+        SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS number,
+               coalesce(sum(length(text)) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset" FROM documents""",
+    "next_token": "SELECT l_orderkey, arg_max(l_linenumber, (l_extendedprice, -l_linenumber))::BIGINT AS token FROM lineitem GROUP BY l_orderkey",
     "offset_concat": """
         WITH parts AS (SELECT o_custkey, o_orderkey, max(l_linenumber) AS size FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL),
         based AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base FROM parts)

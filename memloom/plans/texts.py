@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from memloom.functions import text
+from memloom.operators import prompts
 
 PREFIX, SUFFIX = "<|im_start|>user\n", "<|im_end|>\n<|im_start|>assistant\n"
 
@@ -102,10 +103,36 @@ def judge_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def answer_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = F.concat(F.lit("<think>x</think> <answer>Answer: "), "text", F.lit(" </answer> y"))
+    """Replies in the forms that models give, and what a judge sees of them."""
+    kind, t = F.col("turn") % 4, F.col("text")
+    said = F.when(kind == 0, F.concat(F.lit("<think>x</think> <answer>Answer: "), t, F.lit(" </answer><|im_end|>")))
+    said = said.when(kind == 1, F.concat(F.lit("q <answer>The answer to the question is: "), t, F.lit("</answer><|endoftext|>")))
+    said = said.when(kind == 2, F.concat(F.lit("Answer: "), t, F.lit(" Answer: other"))).otherwise(F.concat(F.lit("<think>y</think>The user's question is:"), t))
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", text.cleaned(said).alias("answer"))
 
 
+def round_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which rounds and which retrievals are over, by what each turn has said so far."""
+    kind = F.col("conv_id") % 5
+    inner = F.when(kind == 0, F.lit("[12")).when(kind == 1, F.lit("[3]")).when(kind == 2, F.lit("<End-of")).when(kind == 3, F.lit("<End-of-Retrieve>")).otherwise(F.col("out"))
+    first = F.col("turn") == 0
+    return generated(spark, sf_dir).select("conv_id", "turn", text.round_ended(inner, first).alias("round_over"), text.retrieval_ended(inner, first, 80).alias("retrieval_over"))
+
+
+def block_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as blocks of documents, with the template's head: tokens and positions of each document and role."""
+    head, _ = prompts.template_split(F.lit(f"{PREFIX}<pad>{SUFFIX}"), "<pad>")
+    docs = table(spark, sf_dir, "conversations").select("conv_id", "turn", text.tokens(F.col("text")).alias("tokens"))
+    rows = prompts.block_tokens(docs, "conv_id", "turn", "tokens", text.tokens(head))
+    return rows.groupBy("conv_id", F.coalesce("doc_local", F.lit(0)).alias("doc_local"), "role").agg(F.count("*").alias("n"), F.min("position").alias("first"), F.max("position").alias("last"), F.sum(F.length("token")).alias("n_chars"))
+
+
+def context_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Template, chunks and question of each conversation, one behind the other."""
+    n = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.sum(text.chunk_count(text.token_count(F.col("text")), 64)).alias("n"))
+    return n.select("conv_id", *[c.alias(k) for k, c in prompts.context_offsets(text.token_count(F.lit(PREFIX)), F.col("n")).items()])
+
+
 def label_text_to_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each distinct text's document; of several the largest id."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("digest"))
@@ -132,7 +159,7 @@ def context_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union.groupBy("conv_id").agg(F.sha2(F.array_join(F.transform(ordered, lambda x: x["part"]), ""), 256).alias("context_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (compose_documents, chunk_counts, corpus_stats, query_template, sort_requests, answer_extract, regenerate_filter, cited_ids, inject_docs, response_fanin, judge_parse, answer_clean, label_text_to_id, anti_distractor_scale, context_union)}
+QUERIES = {f.__name__: f for f in (compose_documents, chunk_counts, corpus_stats, query_template, sort_requests, answer_extract, regenerate_filter, cited_ids, inject_docs, response_fanin, judge_parse, answer_clean, round_flags, block_positions, context_offsets, label_text_to_id, anti_distractor_scale, context_union)}
 COUNTS = r"SELECT doc_id, len(regexp_extract_all(text, '\S+'))::BIGINT AS n_tokens, ((len(regexp_extract_all(text, '\S+')) + 63) // 64)::BIGINT AS n_chunks FROM documents"
 CITES = f"SELECT DISTINCT conv_id, turn, unnest(regexp_extract_all(out, '\\[(\\d+)\\]', 1))::BIGINT AS doc_id FROM ({GENERATED})"
 COMPOSED = "SELECT doc_id, '<|im_start|>[' || doc_id || ']. ' || text || '[' || doc_id || ']<|im_end|>' AS composed FROM documents"
@@ -156,7 +183,23 @@ ORACLE_SQL = {
     "judge_parse": """
         WITH r AS (SELECT role, length(text) % 12 AS n FROM conversations)
         SELECT role, round(avg(CASE WHEN n < 6 THEN n WHEN n < 9 THEN 3 ELSE 0 END), 4) AS mean_score, count(*) FILTER (WHERE n >= 9)::BIGINT AS n_match FROM r GROUP BY role""",
-    "answer_clean": "SELECT conv_id, turn, trim(text, ' ') AS answer FROM conversations",
+    "answer_clean": """
+        WITH said AS (SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN '<think>x</think> <answer>Answer: ' || text || ' </answer><|im_end|>'
+                WHEN 1 THEN 'q <answer>The answer to the question is: ' || text || '</answer><|endoftext|>'
+                WHEN 2 THEN 'Answer: ' || text || ' Answer: other' ELSE '<think>y</think>The user''s question is:' || text END AS s FROM conversations),
+        qa AS (SELECT conv_id, turn, string_split(replace(replace(s, '<|im_end|>', ''), '<|endoftext|>', ''), '<answer>')[-1] AS s FROM said),
+        a AS (SELECT conv_id, turn, string_split(replace(replace(string_split(s, 'The answer to the question is: ')[-1], '</answer>', ''), 'The user''s question is:', ''), '</think>')[-1] AS s FROM qa)
+        SELECT conv_id, turn, CASE WHEN contains(s, 'Answer:') THEN trim(string_split(s, 'Answer:')[2], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) ELSE s END AS answer FROM a""",
+    "round_flags": f"""
+        WITH r AS (SELECT conv_id, turn, CASE conv_id % 5 WHEN 0 THEN '[12' WHEN 1 THEN '[3]' WHEN 2 THEN '<End-of' WHEN 3 THEN '<End-of-Retrieve>' ELSE out END AS s FROM ({GENERATED}))
+        SELECT conv_id, turn, contains(s, '<|object_ref_end|>') OR (turn > 0 AND NOT regexp_full_match(s, '\\[[0-9]*\\]?') AND NOT starts_with('<End-of-Retrieve>', s)) AS round_over,
+               contains(s, '<End-of-Retrieve>') OR (turn = 0 AND length(s) > 80) AS retrieval_over FROM r""",
+    "block_positions": r"""
+        WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS doc_local, regexp_extract_all(text, '\S+') AS w FROM conversations)
+        SELECT conv_id, doc_local, 'document' AS role, len(w)::BIGINT AS n, 0::BIGINT AS first, (len(w) - 1)::BIGINT AS last, length(array_to_string(w, ''))::BIGINT AS n_chars FROM t WHERE len(w) > 0
+        UNION ALL SELECT DISTINCT conv_id, 0, 'template', 1, 0, 0, 16 FROM conversations""",
+    "context_offsets": r"""
+        SELECT conv_id, 1::BIGINT AS chunks_at, (1 + sum((len(regexp_extract_all(text, '\S+')) + 63) // 64))::BIGINT AS question_at FROM conversations GROUP BY conv_id""",
     "label_text_to_id": "SELECT sha256(text) AS digest, max(doc_id) AS doc_id, count(*)::BIGINT AS n_docs FROM documents GROUP BY text",
     "anti_distractor_scale": """
         WITH wanted AS (SELECT DISTINCT text FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),

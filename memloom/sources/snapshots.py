@@ -47,6 +47,14 @@ def upsert_results(results: DataFrame, path: str) -> None:
     results.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("case").json(path)
 
 
+def write_judged(records: DataFrame, path: str) -> float:
+    """Writes a case's judged records (question, true_answer, pred_answer, pred_score) and returns their mean score; the answers' own files stay as they are."""
+    records.select("question", "true_answer", "pred_answer", "pred_score").write.mode("overwrite").json(f"{path}/records")
+    score = records.sparkSession.read.schema("pred_score double").json(f"{path}/records").agg(F.avg("pred_score")).first()[0] or 0.0
+    records.sparkSession.createDataFrame([(float(score),)], "score_mean double").write.mode("overwrite").json(f"{path}/score")
+    return float(score)
+
+
 def read_results(spark: SparkSession, path: str) -> DataFrame:
     """Results of all files but score files, with the file's name."""
     rows = spark.read.json(path, recursiveFileLookup=False).withColumn("file", F.input_file_name())

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from memloom.config import MemoryConfig
 from memloom.functions import text
-from memloom.operators import interleave, metrics, packing, routing, sequences
+from memloom.operators import interleave, metrics, packing, prompts, routing, sequences
 from memloom.plans import ORACLE_SQL, QUERIES
 from memloom.sources import registry, snapshots
 from memloom.streaming import requests
@@ -130,6 +130,39 @@ def test_blocks_of_queries_give_the_same(spark):
     assert sorted(routing.route_sharded(chunks, tokens, config, 4).collect()) == whole
 
 
+def test_packed_examples_equal_plain(spark):
+    rng = random.Random(3)
+    rows = [(g, i, [rng.randrange(9) + 1 for _ in range(rng.choice([0, 1, 3, 7, 14, 15, 16]))]) for g in range(3) for i in range(20)]
+    table = spark.createDataFrame([(g, i, x, x) for g, i, x in rows], "grp long, id long, input_ids array<long>, labels array<long>")
+    want = []
+    for g in range(3):
+        own = [(i, x) for h, i, x in rows if h == g and len(x) < 15]
+        numbers = packing.bags([len(x) for _, x in own], 15)
+        for bag in set(numbers):
+            inside = [x for (_, x), b in zip(own, numbers) if b == bag]
+            ids, places = sum(inside, []), [k for x in inside for k in range(len(x))]
+            gap = 16 - len(ids)
+            want.append((g, bag, ids + [0] * gap, ids[1:] + [-100] * (16 - len(ids[1:])), [1] * len(ids) + [0] * gap, places + [15] * gap))
+    got = packing.packed_examples(table, "grp", "id", 16, 0)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    shares = [packing.split_columns(got, 2, r, "ulysses").orderBy("grp", "bag").collect() for r in (0, 1)]
+    for a, b, w in zip(*shares, sorted(want)):
+        assert a.input_ids + b.input_ids == w[2] and a.attention_mask == b.attention_mask == w[4]
+
+
+def test_judged_results_and_checks(spark, tmp_path):
+    rows = spark.createDataFrame([("q", "a", "b", 3), ("r", "a", "c", 4)], "question string, true_answer string, pred_answer string, pred_score int")
+    assert snapshots.write_judged(rows, f"{tmp_path}/j") == 3.5
+    assert spark.read.json(f"{tmp_path}/j/records").count() == 2
+    asked = spark.createDataFrame([("a b",), (" ",)], "q string")
+    length = text.token_count(F.col("q"))
+    good = spark.createDataFrame([("a b",)], "q string")
+    assert prompts.checked(good, "q", length, 2).first().q == "a b"
+    for bad, most in ((asked, 2), (good, 1)):
+        with pytest.raises(Exception, match="a query is"):
+            prompts.checked(bad, "q", length, most).collect()
+
+
 def test_sources(spark, tmp_path):
     (tmp_path / "q.json").write_text('[{"question": "a", "labels": ["x"], "answer": "b", "other": 1}]')
     spark.createDataFrame([("a", ["x"], "b")], "query string, reference_list array<string>, answer string").write.parquet(f"{tmp_path}/q.parquet")
