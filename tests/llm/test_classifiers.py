@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 import pytest
 
-from memloom.llm import language_id, toxicity
+from memloom.llm import language_id, resample, toxicity
 
 RNG = np.random.default_rng(0)
 SETS = {"en": "the of and thing with that from", "de": "der die und nicht schön über große", "fr": "le les été où français très à"}
@@ -94,3 +94,68 @@ def test_toxicity_without_labels(spark, frame):
     got = toxicity.toxicity_report(frame([(1, "a b"), (2, None)]), none).collect()
     assert [r.score for r in got] == [0.5, 0.5]
     assert toxicity.toxicity_report(frame([]), none).collect() == []
+
+
+def test_ftrl_equals_a_plain_loop():
+    o, rng = toxicity.Options(bits=6, epochs=2, l1=0.3, alpha=0.5, l2=0.1), np.random.default_rng(4)
+    rows = [np.unique(np.r_[0, rng.integers(1, 64, 8)]) for _ in range(60)]
+    y = rng.integers(0, 2, 60)
+    z, n = np.zeros(64), np.zeros(64)
+    toxicity.ftrl(rows, y, z, n, o)
+    pz, pn = [0.0] * 64, [0.0] * 64
+
+    def weight(k):
+        l1 = 0.0 if k == 0 else o.l1
+        if abs(pz[k]) <= l1:
+            return 0.0
+        return -(pz[k] - (l1 if pz[k] > 0 else -l1)) / ((o.beta + pn[k] ** 0.5) / o.alpha + o.l2)
+
+    for _ in range(o.epochs):
+        for at, label in zip(rows, y):
+            w = {k: weight(k) for k in at.tolist()}
+            g = 1 / (1 + np.exp(-sum(w.values()))) - label
+            for k in w:
+                pz[k] += g - ((pn[k] + g * g) ** 0.5 - pn[k] ** 0.5) / o.alpha * w[k]
+                pn[k] += g * g
+    assert np.allclose(z, pz) and np.allclose(n, pn)
+    assert (toxicity.weights_of(z, n, np.arange(64), o) == 0).any()
+
+
+def test_gradients_equal_differences():
+    o = language_id.Options(window=16, dim=3, filters=2)
+    net = language_id.ByteNet(["a", "b", "c"], o)
+    net.w = {k: v.astype(np.float64) for k, v in net.w.items()}
+    x, y = np.random.default_rng(1).integers(97, 105, (4, 19)).astype(np.uint8), np.array([0, 2, 1, 2])
+
+    def loss():
+        e, parts = net.w["e"][x], []
+        for k in language_id.WIDTHS:
+            f = net.w[f"f{k}"].reshape(k, o.dim, -1)
+            parts.append((sum(e[:, j : j + 16] @ f[j] for j in range(k)) + net.w[f"b{k}"]).max(1))
+        s = np.maximum(np.concatenate(parts, 1), 0) @ net.w["s"] + net.w["t"]
+        return (np.log(np.exp(s).sum(1)) - s[np.arange(4), y]).mean()
+
+    for name, g in net.gradients(x, y).items():
+        w = net.w[name].reshape(-1)
+        for k in np.random.default_rng(2).integers(0, len(w), 12).tolist() if name != "e" else (97 * 3, 100 * 3 + 1, 104 * 3 + 2):
+            w[k] += 1e-6
+            up = loss()
+            w[k] -= 2e-6
+            assert abs((up - loss()) / 2e-6 - g.reshape(-1)[k]) < 1e-5
+            w[k] += 1e-6
+
+
+def test_columns_may_clash(spark):
+    rows = [(k, "vile words" if k % 2 else "kind words", 1, 2, 3, 4) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _id int, y int, id int, good_id int")
+    labels = spark.createDataFrame([(k, k % 2, k % 2, 5) for k in range(40)], "doc_id long, toxic int, quality int, _id int")
+    assert toxicity.toxicity_report(docs, labels).count() == 40
+    assert resample.quality_report(docs, labels).count() == 40
+
+
+def test_every_language_is_learned(spark, frame):
+    rows = [(k, f"{chr(97 + k % 26) * 3}{chr(97 + k % 9) * 2} " * 20, f"l{k % 230}") for k in range(1400)]
+    net = language_id.fit(frame(rows), language_id.Options(epochs=1, max_rows=460))
+    taught = {lang for k, _, lang in rows if zlib.crc32(str(k).encode()) % 3 != 1}
+    assert len(net.languages) > 0.7 * len(taught)
+    assert language_id.fit(frame(rows), language_id.Options(epochs=1)).languages == sorted(taught)

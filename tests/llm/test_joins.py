@@ -252,3 +252,27 @@ def test_hot_keys_are_dealt(spark):
     one = spark.createDataFrame([(k, f"v{k}") for k in range(3)], "key long, v string")
     got = join_unique(many, one, "key", many.groupBy("key").count(), most=100)
     assert sorted(map(tuple, got.collect())) == sorted((k % 7 and 1, k, f"v{k % 7 and 1}") for k in range(5000))
+
+
+def test_weights_equal_counts(spark, frame):
+    """The log ratio of both models' likelihoods, by plain counts of the same buckets."""
+    rng = random.Random(8)
+    rows = [(k, " ".join(rng.choice(["good", "fine"] if k % 2 else ["bad", "poor"]) + str(rng.randrange(5)) for _ in range(12))) for k in range(60)] + [(70, None), (71, "good1 " * 30_000)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, quality int")
+    o = resample.Options(bits=8)
+    size = 1 << o.bits
+    counts = lambda texts: sum((np.bincount(resample.buckets(t, o.bits), minlength=size) for t in texts), np.zeros(size))
+    held = {r.doc_id for r in resample.quality_report(frame(rows), labels).where("held_out").collect()}
+    raw, target = counts(t for _, t in rows), counts(t for k, t in rows if k < 60 and k % 2 and k not in held)
+    share = (raw + o.prior) / (raw.sum() + o.prior * size)
+    ratio = np.log((target + o.back_off * share) / (target.sum() + o.back_off) / share)
+    model = resample.fit(frame(rows), labels, "quality", o)
+    got = {r.doc_id: r.weight for r in resample.weigh(frame(rows), model, o).collect()}
+    for k, t in rows:
+        assert math.isclose(got[k], sum(ratio[b] for b in resample.buckets(t, o.bits).tolist()), rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_ties_of_one_key(spark):
+    rows = spark.createDataFrame([(k % 3000, 1.5) for k in range(6000)] + [(None, 1.5)] * 5, "doc_id long, key double")
+    assert resample.kth_largest(rows, 4001, enough=10) == (1.5, 2000)
+    assert resample.kth_largest(rows, 6003, enough=10) == (1.5, None)

@@ -46,3 +46,10 @@ def test_scans_only_unseen_blobs(spark, frame):
 
 def test_empty_table(spark, frame):
     assert secret_report(spark, frame([])).collect() == []
+
+
+def test_many_matches_are_linear(spark, frame):
+    rows = [(1, "x token=abcdefgh1 é " * 40_000), (2, "AKIA" + "Q" * 16)]
+    got = {r.doc_id: r for r in secret_report(spark, frame(rows)).collect()}
+    for i, t in rows:
+        assert (got[i].n_assign, got[i].n_access, got[i].n_hex, got[i].base_sha256) == brute(t)[:4]
