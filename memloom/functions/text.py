@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 START, END, OBJECT_END = "<|im_start|>", "<|im_end|>", "<|object_ref_end|>"
 ANSWER, ANCHOR, REGENERATE = "The answer to the question is:", "\nPlease answer the question based", "<regenerate>"
 QUESTION, TEXT_END, RETRIEVE_END = "The user's question is:", "<|endoftext|>", "<End-of-Retrieve>"
+HISTORY, REQUEST = "historical document information\n\n", "Please return all documents related to the question"
 WHITE = " \t\n\x0b\x0c\r"
 
 
@@ -74,6 +75,22 @@ def retrieval_ended(response: Column, first: Column, most: int = 1000) -> Column
     return response.contains(RETRIEVE_END) | (first & (F.char_length(response) > most))
 
 
+def retrieval_over(out: Column, first: Column, most: int = 1000) -> Column:
+    """Whether what a whole round said ends retrieval: as above, or a later round said more than one id before its end marker."""
+    said = F.substring_index(out, OBJECT_END, 1)
+    return retrieval_ended(out, first, most) | (~first & ~said.rlike(r"^\[[0-9]*\]?$"))
+
+
+def question_of(prompt: Column) -> Column:
+    """What a prompt asks, between the documents' heading and the request for documents."""
+    return F.substring_index(F.substring_index(prompt, HISTORY, -1), f"\n{REQUEST}", 1)
+
+
+def question_again(question: Column) -> Column:
+    """The question as it is put once more after retrieval."""
+    return F.concat(F.lit(f"{START}{QUESTION} "), question, F.lit(f"\n{OBJECT_END}"))
+
+
 def judged(reply: Column) -> Column:
     """The first digit up to 5 in a judge's reply, else 0."""
     found = F.regexp_extract(F.coalesce(reply, F.lit("")), "[0-5]", 0)

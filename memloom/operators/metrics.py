@@ -73,5 +73,31 @@ def losses(scored: DataFrame, kind: str, temperature: float = 0.1, gamma: float
     return summed.where("_n > 0").drop("_n")
 
 
+def layered_loss(scored: DataFrame, kind: str, first: int, layers: list[int], least: float = -1e9) -> DataFrame:
+    """loss, n: the mean loss over layers and samples.  scored: layer, sample, score, y.
+
+    Layers from `first` on that are among `layers` count, and candidates whose
+    score is above `least`; a sample without any is left out.
+    """
+    kept = scored.where((F.col("layer") >= first) & F.col("layer").isin(layers) & (F.col("score") > least))
+    own = kept.select(F.struct("layer", "sample").alias("sample"), "score", "y")
+    return losses(own, kind).agg(F.avg("loss").alias("loss"), F.count("*").alias("n"))
+
+
+def result_records(rows: DataFrame, docs: DataFrame, key: str) -> DataFrame:
+    """rows (key, labels, predictions) with both lists' texts, and the measures.
+
+    labels_text and predictions_text are null, so there is no record, if any
+    cited id lacks a document; such a row's measures count all the same.
+    """
+    cites = rows.select(key, F.explode(F.array_distinct(F.concat("labels", "predictions"))).alias("doc_id"))
+    found = cites.join(docs.select("doc_id", "text"), "doc_id").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("doc_id", "text"))).alias("_texts"))
+    whole = F.forall(F.concat("labels", "predictions"), lambda i: F.exists("_texts", lambda x: x["doc_id"] == i))
+    listed = lambda c: F.when(whole, F.transform(c, lambda i: F.get(F.filter("_texts", lambda x: x["doc_id"] == i), 0)["text"]))
+    joined = rows.join(found, key, "left")
+    joined = joined.withColumns({"labels_text": listed("labels"), "predictions_text": listed("predictions")}).drop("_texts")
+    return set_metrics(joined, "labels", "predictions")
+
+
 def weighted_total(parts: dict[str, float]) -> Column:
     return sum((F.col(c) * w for c, w in parts.items()), F.lit(0.0))

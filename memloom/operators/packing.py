@@ -12,8 +12,9 @@ from collections.abc import Callable
 from heapq import heapify, heapreplace
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from memloom.operators.sequences import sequence_split
 
@@ -87,11 +88,30 @@ def packed_examples(df: DataFrame, group: str, order: str, cutoff: int, pad: int
     return whole.select(group, "bag", fill(ids, pad).alias("input_ids"), fill(moved, ignore).alias("labels"), fill(mask, 0).alias("attention_mask"), fill(places, cutoff - 1).alias("position_ids"))
 
 
-def split_columns(df: DataFrame, world: int, rank: int, kind: str) -> DataFrame:
+def split_columns(df: DataFrame, world: int, rank: int | Column, kind: str) -> DataFrame:
     """A rank's share of every column of packed examples; masks are the same for all."""
     return df.withColumns({c: sequence_split(F.col(c), world, rank, kind) for c in ("input_ids", "labels", "position_ids")})
 
 
+def training_shares(df: DataFrame, id: str, seed: int, cutoff: int, pad: int, world: int, kind: str, width: int = 4096) -> DataFrame:
+    """grp, bag, rank and each rank's share of packed examples, shuffled by seed.  df: id, input_ids, labels.
+
+    A hash of seed and id deals examples to groups of about `width` and orders
+    them there; each group is packed by itself.
+    """
+    groups = max(1, -(-df.count() // width))
+    mixed = F.xxhash64(F.lit(seed), F.col(id))
+    rows = df.withColumns({"grp": F.pmod(mixed, F.lit(groups)), "_mixed": mixed})
+    rows = rows.withColumn("_at", F.row_number().over(Window.partitionBy("grp").orderBy("_mixed", id)).cast("long"))
+    packed = packed_examples(rows, "grp", "_at", cutoff, pad).withColumn("rank", F.explode(F.sequence(F.lit(0), F.lit(world - 1))))
+    return split_columns(packed, world, F.col("rank"), kind)
+
+
+def bucket_major(rows: DataFrame, group: str, bucket: str, order: str) -> DataFrame:
+    """rows with place, from 0: a group's buckets one after the other, each in order."""
+    return rows.withColumn("place", (F.row_number().over(Window.partitionBy(group).orderBy(bucket, order)) - 1).cast("long"))
+
+
 def folded(df: DataFrame, group: str, order: str, size: str, fold: Callable[[list[int]], list[int]], name: str) -> DataFrame:
     """group, order, size and the fold's result for each row."""
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from memloom.functions import text
+
 #: Roles of tokens, instead of signed numbers in one column.
 TEMPLATE, DOCUMENT, QUERY, RESPONSE = "template", "document", "query", "response"
 
@@ -29,6 +31,29 @@ def block_tokens(docs: DataFrame, block: str, doc: str, tokens: str, head: Colum
     return first.unionByName(body)
 
 
+def regenerate_roles(prompt: Column) -> tuple[Column, Column]:
+    """What follows the regenerate marker, and the role of each of its tokens.
+
+    Template are the last cited document's block, from its bracket to its end
+    marker, and all up to the request for documents; the rest is the query's.
+    """
+    said = F.split_part(prompt, F.lit(text.REGENERATE), F.lit(2))
+    mark = f"]{text.OBJECT_END}["
+    tail = F.concat(F.lit("["), F.substring_index(said, mark, -1))
+    cited = said.contains(mark) & tail.contains(text.OBJECT_END)
+    first = text.token_count(F.left(said, F.length(said) - F.length(tail)))
+    size = text.token_count(F.substring_index(tail, text.OBJECT_END, 1))
+    asked = text.token_count(F.concat(F.substring_index(said, text.REQUEST, 1), F.lit(text.REQUEST)))
+    head = F.when(said.contains(text.REQUEST), asked).otherwise(0)
+    role = lambda _, i: F.when((i < head) | (cited & (i >= first) & (i < first + size)), TEMPLATE).otherwise(QUERY)
+    return said, F.transform(text.tokens(said), role)
+
+
+def query_positions(tokens: Column, top_k: int) -> Column:
+    """Positions of a question's tokens: they start behind the places of the best documents."""
+    return F.transform(tokens, lambda _, i: (i + (3 + top_k)).cast("long"))
+
+
 def with_role(rows: DataFrame, *roles: str) -> DataFrame:
     return rows.where(F.col("role").isin(*roles))
 

@@ -131,6 +131,19 @@ def next_token(logits: DataFrame, by: str, token: str, logit: str) -> DataFrame:
     return logits.groupBy(by).agg((-best["t"]).alias(token))
 
 
+def sampled_token(logits: DataFrame, by: str, token: str, logit: str, temperature: float, seed: int) -> DataFrame:
+    """A token drawn by the softmax of its logits over the temperature; the largest logit's at temperature 0.
+
+    The largest of logit / temperature + Gumbel noise is such a draw; the noise
+    comes from a digest of seed, row and token, so a task that runs again draws the same.
+    """
+    if not temperature:
+        return next_token(logits, by, token, logit)
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), by, token))
+    u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / 2.0**52
+    return next_token(logits.withColumn("_noisy", F.col(logit) / temperature - F.log(-F.log(u))), by, token, "_noisy")
+
+
 def attention_readout(weights: DataFrame, values: DataFrame) -> DataFrame:
     """weights: query_id, chunk_id, score; values: chunk_id, vec.  query_id, dim, value: the softmax mean of the values."""
     top = weights.groupBy("query_id").agg(F.max("score").alias("top"))
@@ -140,6 +153,10 @@ def attention_readout(weights: DataFrame, values: DataFrame) -> DataFrame:
 
 
 def pooled_chunks(vectors: DataFrame, pool: int) -> DataFrame:
-    """vectors: doc_id, pos, vec.  doc_id, chunk, dim, value: means over up to `pool` tokens of one document."""
-    spread = vectors.select("doc_id", F.floor(F.col("pos") / pool).cast("long").alias("chunk"), F.posexplode("vec").alias("dim", "x"))
-    return spread.groupBy("doc_id", "chunk", "dim").agg(F.avg("x").alias("value"))
+    """vectors: doc_id, pos, vec.  doc_id, chunk, dim, value: means over up to `pool` tokens of one document.
+
+    A chunk's vectors, at most `pool`, are shuffled as they are and added there.
+    """
+    rows = vectors.select("doc_id", F.floor(F.col("pos") / pool).cast("long").alias("chunk"), "vec").groupBy("doc_id", "chunk").agg(F.collect_list("vec").alias("_v"))
+    total = F.aggregate(F.slice("_v", 2, pool), F.col("_v")[0], lambda t, v: F.zip_with(t, v, lambda x, y: x + y))
+    return rows.select("doc_id", "chunk", F.posexplode(F.transform(total, lambda x: x / F.size("_v"))).alias("dim", "value"))

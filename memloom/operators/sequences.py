@@ -62,13 +62,29 @@ def left_pad(df: DataFrame, batch: str, ids: str, pad: int) -> DataFrame:
     return df.withColumn("padded", padded).withColumn("mask", mask)
 
 
+def stable_partition(values: Column, mask: Column) -> Column:
+    """values with those whose mask is 0 first, both parts in their order; moves padding to the left."""
+    part = lambda x: F.filter(values, lambda _, i: F.get(mask, i) == x)
+    return F.concat(part(0), part(1))
+
+
+def local_ids(df: DataFrame, shard: str, order: str) -> DataFrame:
+    """df with local: a row's number in its shard, from 0.  Shards are of bounded size."""
+    return df.withColumn("local", (F.row_number().over(Window.partitionBy(shard).orderBy(order)) - 1).cast("long"))
+
+
+def global_ids(found: DataFrame, known: DataFrame, shard: str) -> DataFrame:
+    """found (shard, local) with what `known` has under the same numbers."""
+    return found.join(known, [shard, "local"])
+
+
 def shift_labels(labels: Column, length: int, ignore: int = -100) -> Column:
     """Labels moved one to the left, filled with `ignore` to `length`."""
     moved = F.slice(labels, 2, F.greatest(F.size(labels) - 1, F.lit(0)))
     return F.concat(moved, F.array_repeat(F.lit(ignore).cast("long"), F.lit(length) - F.size(moved)))
 
 
-def sequence_split(values: Column, world: int, rank: int, kind: str) -> Column:
+def sequence_split(values: Column, world: int, rank: int | Column, kind: str) -> Column:
     """A rank's share of a sequence: ulysses takes one of `world` equal pieces, zigzag-ring two of twice as many, from both ends."""
     if kind == "ulysses":
         size = F.floor(F.size(values) / world).cast("int")

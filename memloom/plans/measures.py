@@ -75,8 +75,17 @@ def total_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     return means.select(F.round(metrics.weighted_total({"infonce": 1.0, "bce": 0.1}), 5).alias("loss"))
 
 
+def aux_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean loss over the upper two of four layers, whose scores differ; the last has documents without a score."""
+    layer = F.explode(F.sequence(F.lit(0), F.lit(3)))
+    rows = scored(spark, sf_dir).withColumn("layer", layer)
+    gone = (F.col("doc_id") % 7 == 0) & (F.col("layer") == 3)
+    rows = rows.withColumn("score", F.when(gone, F.lit(float("-inf"))).otherwise(F.col("score") * (1 + F.col("layer") / 4)))
+    return metrics.layered_loss(rows, "infonce", 2, [1, 2, 3]).select(F.round("loss", 5).alias("loss"), "n")
+
+
 KINDS = ("infonce", "decoupled", "focal", "multi_focal", "bce")
-QUERIES = {f.__name__: f for f in (set_metrics, macro_metrics, hit_at_k, mrr_at_k, router_recall, total_loss)} | {f"loss_{k}": loss_query(k) for k in KINDS}
+QUERIES = {f.__name__: f for f in (set_metrics, macro_metrics, hit_at_k, mrr_at_k, router_recall, total_loss, aux_loss)} | {f"loss_{k}": loss_query(k) for k in KINDS}
 SETS = """
     WITH s AS (SELECT l_orderkey, coalesce(list_distinct(list(l_partkey) FILTER (WHERE l_returnflag <> 'N')), []) AS t,
                       coalesce(list_distinct(list(l_partkey) FILTER (WHERE l_linenumber % 2 = 1)), []) AS p FROM lineitem GROUP BY l_orderkey),
@@ -111,5 +120,11 @@ ORACLE_SQL = {
     "router_recall": SCORED + """, r AS (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY score DESC, doc_id) AS rank FROM s),
         g AS (SELECT n, sample, sum(y) FILTER (WHERE rank <= n)::DOUBLE / least(sum(y), 10) AS recall FROM r, (SELECT unnest([1, 5, 10])::BIGINT AS n) GROUP BY n, sample HAVING sum(y) > 0)
         SELECT n, round(avg(recall), 6) AS recall FROM g GROUP BY n""",
+    "aux_loss": """
+        WITH s AS (SELECT doc_id // 40 AS sample, l AS layer, ((doc_id * 37 % 101) / 202.0::DOUBLE - 0.2::DOUBLE) * (1 + l / 4.0::DOUBLE) / 0.1::DOUBLE AS z, quality AS y
+                   FROM labels, range(2, 4) r(l) WHERE quality IS NOT NULL AND NOT (doc_id % 7 = 0 AND l = 3)),
+        e AS (SELECT *, ln(sum(exp(z)) OVER (PARTITION BY layer, sample)) AS t FROM s),
+        o AS (SELECT layer, sample, sum((t - z) * y) / sum(y) AS loss FROM e GROUP BY layer, sample HAVING sum(y) > 0)
+        SELECT round(avg(loss), 5) AS loss, count(*)::BIGINT AS n FROM o""",
     "total_loss": f"SELECT round(avg(a.loss) + 0.1 * avg(b.loss), 5) AS loss FROM ({loss_sql('infonce').replace('6) AS loss', '15) AS loss')}) a JOIN ({loss_sql('bce').replace('6) AS loss', '15) AS loss')}) b USING (sample)",
 } | {f"loss_{k}": loss_sql(k) for k in KINDS}

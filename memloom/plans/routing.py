@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from memloom.config import MemoryConfig
 from memloom.functions import vectors
-from memloom.operators import routing
+from memloom.operators import hooks, routing
 
 BASE = MemoryConfig()
 
@@ -137,6 +138,20 @@ def grouped_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routing.grouped_scores(q.join(k, "vec_id"), "q", "k", 8, 2, 8).select("vec_id", "head", F.round("score", 6).alias("score"))
 
 
+def weights(n: int) -> np.ndarray:
+    """A fixed linear map from 64 values to n."""
+    i, j = np.ogrid[:n, :64]
+    return ((i * 7 + j * 3) % 5 - 2) / 4.0
+
+
+def router_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors as hidden states, projected for sixteen values of queries and four of keys."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", vectors.doubles(F.col("embedding")).alias("vec"))
+    both = rows.select("vec_id", *[hooks.projection(weights(n))(F.col("vec")).alias(c) for c, n in (("q", 16), ("k", 4))])
+    parts = [both.select("vec_id", F.lit(c).alias("kind"), F.posexplode(c).alias("dim", "value")) for c in ("q", "k")]
+    return parts[0].unionByName(parts[1]).select("vec_id", "kind", F.col("dim").cast("long").alias("dim"), F.round("value", 6).alias("value"))
+
+
 WON = top_sql(BASE)
 QUERIES = {name: route_query(c) for name, c in CONFIGS.items()} | {
     "route_sharded_topk": route_sharded_topk,
@@ -148,6 +163,7 @@ QUERIES = {name: route_query(c) for name, c in CONFIGS.items()} | {
     "pool_fixed_window": pool_fixed_window,
     "l2_normalise": normalised,
     "grouped_heads": grouped_heads,
+    "router_projections": router_projections,
 }
 POOL = """
     SELECT {key}, d - 1 AS dim, round(avg(e[d]), 6) AS value
@@ -155,6 +171,9 @@ POOL = """
 """
 ORACLE_SQL = {name: top_sql(c) for name, c in CONFIGS.items()} | {
     "route_sharded_topk": WON,
+    "router_projections": """
+        SELECT vec_id, kind, i AS dim, round(list_dot_product(embedding::DOUBLE[], list_transform(range(64), lambda j: (((i * 7 + j * 3) % 5) - 2) / 4.0::DOUBLE)), 6) AS value
+        FROM embeddings, (SELECT 'q' AS kind, unnest(range(16)) AS i UNION ALL SELECT 'k', unnest(range(4)))""",
     "route_variable_k": scores_sql(BASE)
     + """, k AS (SELECT query_id, count(*) * 2 + query_id % 3 AS k FROM q GROUP BY query_id)
         SELECT query_id, doc_id, rank, round(score, 6) AS score FROM ranked JOIN k USING (query_id) WHERE rank <= least(k, 16)""",

@@ -54,6 +54,39 @@ def next_token(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routing.next_token(lines, "l_orderkey", "token", "logit")
 
 
+def sampled_token(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A line of each order, drawn by its price."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("long").alias("token"), (F.col("l_extendedprice") / 10000).alias("logit"))
+    return routing.sampled_token(lines, "l_orderkey", "token", "logit", 0.7, 7)
+
+
+def stable_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns with even values first."""
+    moved = sequences.stable_partition(F.col("ids"), F.transform("ids", lambda x: x % 2))
+    return turns(spark, sf_dir).select("conv_id", "turn", listed(moved).alias("moved"))
+
+
+def bucket_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order's place when its group's buckets follow each other."""
+    rows = packing.folded(sized(spark, sf_dir), "grp", "id", "size", lambda sizes: packing.balanced(sizes, 4), "bucket")
+    return packing.bucket_major(rows, "grp", "bucket", "id").select("id", "bucket", "place")
+
+
+def local_to_global(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest document of each shard, found by its number in the shard, under its own id."""
+    docs = table(spark, sf_dir, "documents").select(F.floor(F.col("doc_id") / 1024).alias("shard"), "doc_id", F.length("text").alias("n"))
+    known = sequences.local_ids(docs, "shard", "doc_id")
+    best = known.groupBy("shard").agg(F.max(F.struct("n", "local"))["local"].alias("local"))
+    return sequences.global_ids(best, known.drop("n"), "shard")
+
+
+def training_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns shuffled, packed to 256 tokens, padded and split between two ranks."""
+    rows = turns(spark, sf_dir).select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("ids").alias("input_ids"), F.col("ids").alias("labels"))
+    shares = packing.training_shares(rows, "id", 7, 256, 0, 2, "zigzag-ring")
+    return shares.select("grp", "bag", "rank", *[listed(F.col(c)).alias(c) for c in ("input_ids", "labels", "attention_mask", "position_ids")])
+
+
 def packed_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns packed to 256 tokens, in groups of 64 conversations; a rank's share of each column."""
     rows = turns(spark, sf_dir).select(F.floor(F.col("conv_id") / 64).cast("long").alias("grp"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("ids").alias("input_ids"), F.col("ids").alias("labels"))
@@ -130,7 +163,7 @@ def length_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return i.join(d, ["n", "k"]).select("item_id", "doc_id", "n")
 
 
-QUERIES = {f.__name__: f for f in (run_length_ids, rle_counts, rank_in_run, chunks_per_sample, exclusive_offsets, global_offsets, next_token, packed_examples, offset_concat, left_pad_batch, length_filter, label_shift_pad, bincount, length_pairing)} | {
+QUERIES = {f.__name__: f for f in (run_length_ids, rle_counts, rank_in_run, chunks_per_sample, exclusive_offsets, global_offsets, next_token, sampled_token, stable_partition, bucket_concat, local_to_global, training_shares, packed_examples, offset_concat, left_pad_batch, length_filter, label_shift_pad, bincount, length_pairing)} | {
     "sp_zigzag": split_query("zigzag-ring"),
     "sp_ulysses": split_query("ulysses"),
     "balanced_buckets": fold_query(lambda sizes: packing.balanced(sizes, 4), "bucket"),
@@ -171,6 +204,13 @@ ORACLE_SQL = {
         SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS number,
                coalesce(sum(length(text)) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset" FROM documents""",
     "next_token": "SELECT l_orderkey, arg_max(l_linenumber, (l_extendedprice, -l_linenumber))::BIGINT AS token FROM lineitem GROUP BY l_orderkey",
+    "sampled_token": """
+        WITH u AS (SELECT l_orderkey, l_linenumber AS token, l_extendedprice / 10000 AS logit, (('0x' || substr(md5('7:' || l_orderkey || ':' || l_linenumber), 1, 13))::BIGINT + 0.5::DOUBLE) / pow(2.0::DOUBLE, 52) AS u FROM lineitem)
+        SELECT l_orderkey, arg_max(token, (logit / 0.7::DOUBLE - ln(-ln(u)), -token))::BIGINT AS token FROM u GROUP BY l_orderkey""",
+    "stable_partition": f"WITH {TURNS} SELECT conv_id, turn, array_to_string(list_concat(list_filter(ids, lambda x: x % 2 = 0), list_filter(ids, lambda x: x % 2 = 1)), ',') AS moved FROM turns",
+    "local_to_global": """
+        WITH d AS (SELECT doc_id // 1024 AS shard, doc_id, length(text) AS n, row_number() OVER (PARTITION BY doc_id // 1024 ORDER BY doc_id) - 1 AS local FROM documents)
+        SELECT shard, arg_max(local, (n, local)) AS local, arg_max(doc_id, (n, local)) AS doc_id FROM d GROUP BY shard""",
     "offset_concat": """
         WITH parts AS (SELECT o_custkey, o_orderkey, max(l_linenumber) AS size FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL),
         based AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base FROM parts)
@@ -215,3 +255,4 @@ ORACLE_SQL = {
         last AS (SELECT grp, max(slice) AS most, arg_max(total, i) AS total FROM f GROUP BY grp)
         SELECT id, CASE WHEN last.total < 16 AND most > 0 THEN least(slice, most - 1) ELSE slice END AS slice FROM f JOIN last USING (grp)""",
 }
+ORACLE_SQL["bucket_concat"] = f"SELECT id, bucket, row_number() OVER (PARTITION BY id // 512 ORDER BY bucket, id) - 1 AS place FROM ({ORACLE_SQL['balanced_buckets']})"

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from memloom.functions import text
-from memloom.operators import prompts
+from memloom.operators import hooks, metrics, prompts
 
 PREFIX, SUFFIX = "<|im_start|>user\n", "<|im_end|>\n<|im_start|>assistant\n"
 
@@ -127,6 +129,57 @@ def block_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("conv_id", F.coalesce("doc_local", F.lit(0)).alias("doc_local"), "role").agg(F.count("*").alias("n"), F.min("position").alias("first"), F.max("position").alias("last"), F.sum(F.length("token")).alias("n_chars"))
 
 
+def regenerate_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompts of a later round, made of each turn's text, and their tokens' roles by first letters."""
+    t, turn = F.col("text"), F.col("turn")
+    asked = F.when(turn % 2 == 0, F.lit(f" {text.REQUEST}")).otherwise("")
+    rest = F.when(turn % 3 == 0, F.lit(f" more{text.OBJECT_END}")).otherwise("")
+    prompt = F.concat(F.lit(text.REGENERATE), t, asked, F.lit(f"\n[3]{text.OBJECT_END}[4]. "), t, F.lit(f"]{text.OBJECT_END}[5]"), rest)
+    said, roles = prompts.regenerate_roles(prompt)
+    letters = F.array_join(F.transform(roles, lambda r: F.substring(r, 1, 1)), "")
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.sha2(said, 256).alias("said_sha256"), letters.alias("roles"))
+
+
+def query_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    places = prompts.query_positions(text.tokens(F.col("text")), 16)
+    return table(spark, sf_dir, "benchmark").select("item_id", F.array_join(F.transform(places, lambda p: p.cast("string")), ",").alias("positions"))
+
+
+def encode_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pooled keys, values and router keys of every document, by the stand-in encoder."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", text.tokens(F.col("text")).alias("tokens"))
+    rows = hooks.encoded(docs, hooks.running_means, 64)
+    return rows.select("doc_id", "chunk", *[F.round(F.col(c)[i], 6).alias(f"{c}{i}") for c in ("k", "v", "rk") for i in (0, 1)])
+
+
+def letters() -> Callable[[list], list[str]]:
+    """A stand-in decoder: a letter for each id."""
+    return lambda rows: ["".join(chr(96 + min(int(i), 26)) for i in ids) for ids in rows]
+
+
+def response_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns as lengths of words, decoded."""
+    ids = F.transform(text.tokens(F.col("text")), lambda w: F.length(w).cast("long"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", hooks.decoded(ids, letters).alias("decoded"))
+
+
+def judge_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stand-in judge's score of answers that are the first fifths of each turn's words."""
+    words = text.tokens(F.col("text"))
+    some = F.floor(F.size(words) * (F.col("turn") % 5 + 1) / 5).cast("int")
+    said = F.concat(F.lit("Answer: "), F.array_join(F.slice(words, 1, some), " "))
+    rows = table(spark, sf_dir, "conversations").withColumn("said", said)
+    return hooks.scored(rows, hooks.overlap_judge, "role", "text", "said").select("conv_id", "turn", "pred_score")
+
+
+def result_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each turn's citations against the first of them, with the cited texts where all are known."""
+    rows = generated(spark, sf_dir).select(F.struct("conv_id", "turn").alias("key"), text.cited_ids(F.col("out")).alias("predictions"), F.array(F.regexp_extract("out", r"^\[(\d+)\]", 1).cast("long")).alias("labels"))
+    found = metrics.result_records(rows, table(spark, sf_dir, "documents"), "key")
+    context = F.sha2(F.array_join("predictions_text", "\n"), 256)
+    return found.select("key.*", F.col("labels_text").isNotNull().alias("recorded"), context.alias("context_sha256"), *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1", "iou")])
+
+
 def context_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Template, chunks and question of each conversation, one behind the other."""
     n = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.sum(text.chunk_count(text.token_count(F.col("text")), 64)).alias("n"))
@@ -159,7 +212,7 @@ def context_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union.groupBy("conv_id").agg(F.sha2(F.array_join(F.transform(ordered, lambda x: x["part"]), ""), 256).alias("context_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (compose_documents, chunk_counts, corpus_stats, query_template, sort_requests, answer_extract, regenerate_filter, cited_ids, inject_docs, response_fanin, judge_parse, answer_clean, round_flags, block_positions, context_offsets, label_text_to_id, anti_distractor_scale, context_union)}
+QUERIES = {f.__name__: f for f in (compose_documents, chunk_counts, corpus_stats, query_template, sort_requests, answer_extract, regenerate_filter, cited_ids, inject_docs, response_fanin, judge_parse, answer_clean, round_flags, block_positions, regenerate_roles, query_positions, encode_chunks, response_decode, judge_score, result_records, context_offsets, label_text_to_id, anti_distractor_scale, context_union)}
 COUNTS = r"SELECT doc_id, len(regexp_extract_all(text, '\S+'))::BIGINT AS n_tokens, ((len(regexp_extract_all(text, '\S+')) + 63) // 64)::BIGINT AS n_chunks FROM documents"
 CITES = f"SELECT DISTINCT conv_id, turn, unnest(regexp_extract_all(out, '\\[(\\d+)\\]', 1))::BIGINT AS doc_id FROM ({GENERATED})"
 COMPOSED = "SELECT doc_id, '<|im_start|>[' || doc_id || ']. ' || text || '[' || doc_id || ']<|im_end|>' AS composed FROM documents"
@@ -200,6 +253,32 @@ ORACLE_SQL = {
         UNION ALL SELECT DISTINCT conv_id, 0, 'template', 1, 0, 0, 16 FROM conversations""",
     "context_offsets": r"""
         SELECT conv_id, 1::BIGINT AS chunks_at, (1 + sum((len(regexp_extract_all(text, '\S+')) + 63) // 64))::BIGINT AS question_at FROM conversations GROUP BY conv_id""",
+    "regenerate_roles": r"""
+        WITH p AS (SELECT conv_id, turn, text || CASE WHEN turn % 2 = 0 THEN ' Please return all documents related to the question' ELSE '' END || chr(10) || '[3]<|object_ref_end|>[4]. '
+                || text || ']<|object_ref_end|>[5]' || CASE WHEN turn % 3 = 0 THEN ' more<|object_ref_end|>' ELSE '' END AS s FROM conversations),
+        t AS (SELECT *, '[' || string_split(s, ']<|object_ref_end|>[')[-1] AS tail, string_split(s, 'Please return all documents related to the question') AS asked FROM p),
+        n AS (SELECT *, len(regexp_extract_all(left(s, length(s) - length(tail)), '\S+')) AS a,
+                CASE WHEN contains(tail, '<|object_ref_end|>') THEN len(regexp_extract_all(string_split(tail, '<|object_ref_end|>')[1], '\S+')) ELSE 0 END AS b,
+                CASE WHEN len(asked) > 1 THEN len(regexp_extract_all(asked[1] || 'Please return all documents related to the question', '\S+')) ELSE 0 END AS h FROM t)
+        SELECT conv_id, turn, sha256(s) AS said_sha256,
+               array_to_string(list_transform(range(len(regexp_extract_all(s, '\S+'))), lambda i: CASE WHEN i < h OR (i >= a AND i < a + b) THEN 't' ELSE 'q' END), '') AS roles FROM n""",
+    "query_positions": r"SELECT item_id, array_to_string(list_transform(range(len(regexp_extract_all(text, '\S+'))), lambda i: i + 19), ',') AS positions FROM benchmark",
+    "encode_chunks": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(text, '\S+') AS w FROM documents),
+        x AS (SELECT doc_id, i - 1 AS pos, length(w[i])::DOUBLE AS a, unicode(w[i])::DOUBLE AS b FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM w)),
+        k AS (SELECT *, avg(a) OVER m AS ka, avg(b) OVER m AS kb FROM x WINDOW m AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+        SELECT doc_id, pos // 64 AS chunk, round(avg(ka), 6) AS k0, round(avg(kb), 6) AS k1, round(avg(a), 6) AS v0, round(avg(b), 6) AS v1, round(avg(kb), 6) AS rk0, round(avg(ka), 6) AS rk1
+        FROM k GROUP BY ALL""",
+    "response_decode": r"SELECT conv_id, turn, array_to_string(list_transform(regexp_extract_all(text, '\S+'), lambda w: chr((96 + least(length(w), 26))::INT)), '') AS decoded FROM conversations",
+    "judge_score": r"""
+        WITH w AS (SELECT conv_id, turn, list_distinct(list_filter(string_split(text, ' '), lambda x: x <> '')) AS a, regexp_extract_all(text, '\S+') AS w FROM conversations),
+        b AS (SELECT *, list_distinct(w[1:(len(w) * (turn % 5 + 1)) // 5]) AS b FROM w)
+        SELECT conv_id, turn, (10 * len(list_intersect(a, b)) // greatest(1, len(a) + len(b)))::BIGINT AS pred_score FROM b""",
+    "result_records": f"""
+        WITH t AS (SELECT conv_id, turn, count(*) AS n, count(known) AS m, string_agg(text, chr(10) ORDER BY doc_id) AS whole
+                   FROM ({CITES}) LEFT JOIN (SELECT doc_id, text, 1 AS known FROM documents) USING (doc_id) GROUP BY conv_id, turn)
+        SELECT conv_id, turn, n = m AS recorded, CASE WHEN n = m THEN sha256(whole) END AS context_sha256, round(1.0::DOUBLE / n, 6) AS precision, 1.0::DOUBLE AS recall,
+               round(2.0::DOUBLE / (n + 1), 6) AS f1, round(1.0::DOUBLE / n, 6) AS iou FROM t""",
     "label_text_to_id": "SELECT sha256(text) AS digest, max(doc_id) AS doc_id, count(*)::BIGINT AS n_docs FROM documents GROUP BY text",
     "anti_distractor_scale": """
         WITH wanted AS (SELECT DISTINCT text FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),

@@ -51,9 +51,16 @@ def read_queries(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_memory(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, text.  Parquet names ids itself; a JSON file holds one {"doc_id", "text"} object a line."""
+    """doc_id, text.  Parquet names ids itself; .jsonl holds one {"doc_id", "text"} object a line; .json is one list of texts, numbered from 0.
+
+    A list is one value, read by one task: it suits a corpus of up to some hundred MB, a larger one belongs in Parquet.
+    """
     if path.rstrip("/").endswith(".parquet"):
         return spark.read.parquet(path).select(F.col("doc_id").cast("long"), "text")
-    if path.rstrip("/").endswith((".json", ".jsonl")):
+    if path.rstrip("/").endswith(".json"):
+        listed = F.from_json("value", "array<string>", {"mode": "FAILFAST"})
+        rows = spark.read.text(path, wholetext=True).select(F.posexplode(listed).alias("doc_id", "text"))
+        return rows.select(F.col("doc_id").cast("long"), "text")
+    if path.rstrip("/").endswith(".jsonl"):
         return spark.read.schema("doc_id long, text string").json(path)
     raise ValueError(f"a corpus is .parquet, .json or .jsonl, not {path!r}")

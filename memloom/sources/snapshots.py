@@ -21,24 +21,32 @@ def snapshot_key(corpus: str, encoder: str, config: MemoryConfig) -> str:
 
 
 def write_memory(memory: DataFrame, path: str) -> None:
-    """Rows of layer, doc_id, chunk_id, vec, one folder for each layer."""
-    memory.write.mode("overwrite").partitionBy("layer").parquet(path)
+    """Rows of layer, doc_id, chunk_id and vectors (one, or k, v and rk), one folder for each layer, then what the snapshot holds."""
+    memory.write.mode("overwrite").partitionBy("layer").parquet(f"{path}/rows")
+    rows = memory.sparkSession.read.parquet(f"{path}/rows")
+    held = rows.agg(F.count_distinct("doc_id").alias("n_docs"), F.count_distinct("layer").alias("n_layers"), F.count("*").alias("n_rows"))
+    held.coalesce(1).write.mode("overwrite").json(f"{path}/meta")
 
 
-def read_memory(spark: SparkSession, path: str, layers: list[int] | None = None) -> DataFrame:
-    """All of a snapshot or some layers; the others' files aren't opened."""
-    rows = spark.read.schema(MEMORY).parquet(path)
+def read_memory(spark: SparkSession, path: str, layers: list[int] | None = None, columns: list[str] | None = None) -> DataFrame:
+    """All of a snapshot, or some layers and vectors; other layers' files and other columns aren't read, so that routing reads rk alone."""
+    rows = spark.read.parquet(f"{path}/rows")
+    rows = rows if columns is None else rows.select("layer", "doc_id", "chunk_id", *columns)
     return rows if layers is None else rows.where(F.col("layer").isin(layers))
 
 
-def memory_or_build(spark: SparkSession, path: str, build) -> DataFrame:
-    """Reads the snapshot at path; builds and writes it first if there is none."""
+def memory_or_build(spark: SparkSession, path: str, build, n_docs: int | None = None) -> DataFrame:
+    """Reads the snapshot at path; builds and writes it first if there is none that is whole.  Another number of documents is an error."""
     try:
-        return read_memory(spark, path)
+        meta = spark.read.schema("n_docs long").json(f"{path}/meta")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-    write_memory(build(), path)
+        write_memory(build(), path)
+        meta = spark.read.schema("n_docs long").json(f"{path}/meta")
+    held = meta.first()[0]
+    if n_docs is not None and held != n_docs:
+        raise ValueError(f"the snapshot at {path} holds {held} documents, not {n_docs}")
     return read_memory(spark, path)
 
 
@@ -55,6 +63,13 @@ def write_judged(records: DataFrame, path: str) -> float:
     return float(score)
 
 
+def read_answers(spark: SparkSession, path: str) -> DataFrame:
+    """file, question, true_answer, pred_answer of the answers in {"anonymous": {"precision": [...]}} of every .json file but score files."""
+    kind = "anonymous struct<precision: array<struct<question: string, true_answer: string, pred_answer: string>>>"
+    rows = spark.read.schema(kind).json(path, multiLine=True, pathGlobFilter="*.json").select(F.col("_metadata.file_name").alias("file"), "anonymous")
+    return rows.where(~F.col("file").contains("score")).select("file", F.inline("anonymous.precision"))
+
+
 def read_results(spark: SparkSession, path: str) -> DataFrame:
     """Results of all files but score files, with the file's name."""
     rows = spark.read.json(path, recursiveFileLookup=False).withColumn("file", F.input_file_name())

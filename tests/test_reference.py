@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from memloom.config import MemoryConfig
 from memloom.functions import text
-from memloom.operators import interleave, metrics, packing, prompts, routing, sequences
+from memloom.operators import hooks, interleave, metrics, packing, prompts, routing, sequences
 from memloom.plans import ORACLE_SQL, QUERIES
 from memloom.sources import registry, snapshots
 from memloom.streaming import requests
@@ -174,6 +174,14 @@ def test_sources(spark, tmp_path):
         known["two"]
     with pytest.raises(ValueError):
         registry.read_memory(spark, "x.pkl")
+    (tmp_path / "m.json").write_text('["one", "two\\nlines", ""]')
+    (tmp_path / "m.jsonl").write_text('{"doc_id": 4, "text": "x"}')
+    assert registry.read_memory(spark, f"{tmp_path}/m.json").collect() == [(0, "one"), (1, "two\nlines"), (2, "")]
+    assert registry.read_memory(spark, f"{tmp_path}/m.jsonl").collect() == [(4, "x")]
+    (tmp_path / "out").mkdir()
+    (tmp_path / "out" / "a.json").write_text('{"anonymous": {"precision": [{"question": "q", "true_answer": "t",\n "pred_answer": "p"}]}}')
+    (tmp_path / "out" / "a_score.json").write_text('{"anonymous": 1}')
+    assert snapshots.read_answers(spark, f"{tmp_path}/out").collect() == [("a.json", "q", "t", "p")]
 
 
 def test_snapshots(spark, tmp_path):
@@ -184,6 +192,11 @@ def test_snapshots(spark, tmp_path):
     for _ in range(2):
         assert sorted(tuple(r[c] for c in ("layer", "doc_id", "chunk_id", "vec")) for r in snapshots.memory_or_build(spark, path, build).collect()) == rows
     assert built == [1] and snapshots.read_memory(spark, path, [18]).count() == 5
+    with pytest.raises(ValueError, match="5 documents"):
+        snapshots.memory_or_build(spark, path, build, n_docs=6)
+    parts = spark.createDataFrame([(0, 1, 2, [1.0], [2.0], [3.0])], "layer int, doc_id long, chunk_id long, k array<double>, v array<double>, rk array<double>")
+    snapshots.write_memory(parts, f"{tmp_path}/parts")
+    assert snapshots.read_memory(spark, f"{tmp_path}/parts", [0], ["rk"]).collect() == [(0, 1, 2, [3.0])]
     for value in (1, 2):
         snapshots.upsert_results(spark.createDataFrame([("a", value)] + [("b", 7)] * (value == 1), "case string, v long"), f"{tmp_path}/r")
     assert sorted((r["case"], r["v"]) for r in snapshots.read_results(spark, f"{tmp_path}/r").collect()) == [("a", 2), ("b", 7)]
@@ -194,13 +207,74 @@ def test_interleave(spark, tmp_path):
     queries = spark.createDataFrame([(0, "q0"), (1, "q1"), (2, "q2")], "query_id long, prompt string")
 
     def generate(state):
-        asked = F.when(F.col("query_id") == 2, F.lit(f"[9]{text.OBJECT_END}")).when(F.col("prompt").contains("two["), F.lit(f"{text.ANSWER} yes"))
+        asked = F.when(F.col("query_id") == 2, F.lit(f"[9]{text.OBJECT_END}")).when(F.col("prompt").contains(f"[2]. two\n{text.OBJECT_END}"), F.lit(f"{text.ANSWER} yes"))
         return state.withColumn("out", F.when(F.col("query_id") == 0, F.lit("at once")).otherwise(F.coalesce(asked, F.lit(f"[2] [7]{text.OBJECT_END}"))))
 
     got = interleave.interleave(queries, docs, generate, str(tmp_path), most=3)
     assert sorted((r.query_id, r.rounds, r.out) for r in got.collect()) == [(0, 1, "at once"), (1, 2, f"{text.ANSWER} yes"), (2, 3, f"[9]{text.OBJECT_END}")]
 
 
+def test_interleave_ends_retrieval(spark, tmp_path):
+    """The end of retrieval puts the question once more; a later round that says more than an id is followed by one last round."""
+    docs = spark.createDataFrame([(1, "one")], "doc_id long, text string")
+    asked = f"{text.HISTORY}why?\n{text.REQUEST}"
+    queries = spark.createDataFrame([(0, asked), (1, "p"), (2, "r")], "query_id long, prompt string")
+
+    def generate(state):
+        q, p = F.col("query_id"), F.col("prompt")
+        again = p.endswith(f"{text.RETRIEVE_END}{text.START}{text.QUESTION} why?\n{text.OBJECT_END}")
+        zero = F.when(again, f"{text.ANSWER} so").otherwise(text.RETRIEVE_END)
+        one = F.when(p.endswith(f"x [1]{text.OBJECT_END}"), "last").when(p.contains("[1]. one"), f"x [1]{text.OBJECT_END}").otherwise(f"[1]{text.OBJECT_END}")
+        two = F.when(F.length("prompt") > 1000, "long").otherwise(F.concat(F.lit("y" * 1001), F.lit(text.OBJECT_END)))
+        return state.withColumn("out", F.when(q == 0, zero).when(q == 1, one).otherwise(two))
+
+    got = interleave.interleave(queries, docs, generate, str(tmp_path))
+    assert sorted(tuple(r) for r in got.collect()) == [(0, 2, f"{text.ANSWER} so"), (1, 3, "last"), (2, 2, "long")]
+
+
+def test_hooks(spark):
+    docs = spark.createDataFrame([(1, ["a", "bb", "ccc"]), (2, []), (3, None)], "doc_id long, tokens array<string>")
+    rows = sorted(tuple(r) for r in hooks.encoded(docs, hooks.running_means, 2).collect())
+    assert rows == [(1, 0, [1.25, 97.25], [1.5, 97.5], [97.25, 1.25]), (1, 1, [2.0, 98.0], [3.0, 99.0], [98.0, 2.0])]
+
+    def strict():
+        def judge(question, true, predicted):
+            if predicted == "bad":
+                raise RuntimeError("no reply")
+            return "Score: 4"
+
+        return judge
+
+    asked = spark.createDataFrame([("q", "t", "p"), ("q", "t", "bad")], "q string, t string, p string")
+    assert [(r.reply, r.pred_score) for r in hooks.scored(asked, strict, "q", "t", "p").orderBy("p").collect()] == [("", 0), ("Score: 4", 4)]
+    vs = spark.createDataFrame([(0, [1.0, 2.0]), (1, None)], "i long, v array<double>")
+    assert [r[0] for r in vs.orderBy("i").select(hooks.projection(np.array([[1.0, 1.0], [0.0, -1.0]]))(F.col("v"))).collect()] == [[3.0, -2.0], None]
+
+
+def test_sampled_tokens_follow_the_softmax(spark):
+    logits = spark.range(4000).select("id", F.explode(F.array(*[F.struct(F.lit(t).alias("token"), F.lit(x).alias("logit")) for t, x in enumerate((0.0, 1.0, 2.0))])).alias("x")).select("id", "x.*")
+    want = np.exp(np.arange(3) / 0.5) / np.exp(np.arange(3) / 0.5).sum()
+    drawn = dict(routing.sampled_token(logits, "id", "token", "logit", 0.5, 1).groupBy("token").count().collect())
+    assert [drawn.get(t, 0) / 4000 for t in range(3)] == pytest.approx(want.tolist(), abs=0.03)
+    assert routing.sampled_token(logits, "id", "token", "logit", 0, 1).where("token <> 2").isEmpty()
+
+
+def test_training_shares_keep_every_example(spark):
+    rng = random.Random(5)
+    rows = [(i, [i] * rng.randrange(1, 12)) for i in range(300)]
+    table = spark.createDataFrame([(i, x, x) for i, x in rows], "id long, input_ids array<long>, labels array<long>")
+    seen = []
+    for seed in (1, 1, 2):
+        shares = packing.training_shares(table, "id", seed, 16, -1, 2, "ulysses", width=64).collect()
+        whole = {}
+        for r in sorted(shares, key=lambda r: (r.grp, r.bag, r.rank)):
+            assert len(r.input_ids) == len(r.labels) == len(r.position_ids) == 8 and len(r.attention_mask) == 16
+            whole.setdefault((r.grp, r.bag), []).extend(r.input_ids)
+        assert sorted(t for ids in whole.values() for t in ids if t >= 0) == sorted(t for _, x in rows for t in x)
+        seen.append(whole)
+    assert seen[0] == seen[1] != seen[2]
+
+
 def test_streams_equal_batches(spark, tmp_path):
     rng = np.random.default_rng(0)
     memory = spark.createDataFrame([(k // 3, k, rng.normal(size=8).tolist()) for k in range(90)], routing.CHUNKS)
