@@ -15,7 +15,8 @@ broadcast and held against all documents, which are never shuffled.
 
 Defined cases: an item with fewer words than a shingle is one shingle; items
 or documents that are null or without words are in no pair; repeated rows are
-paired one by one; an empty table gives no rows.
+paired one by one; an empty table gives no rows; a very long text is searched and
+verified whole, and takes 8 * HASHES bytes a word meanwhile.
 """
 
 from __future__ import annotations

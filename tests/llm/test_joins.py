@@ -152,6 +152,18 @@ def test_contaminations_equal_brute_force(spark, frame):
     assert decontaminate.contaminations(frame([]), table).collect() == []
 
 
+def test_items_in_long_texts_are_found(spark, frame):
+    rng = random.Random(12)
+    say = lambda n: " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
+    items = [(1, say(6)), (2, say(40)), (3, say(300)), (4, say(20))]
+    body = [say(30_000), items[0][1], say(30_000), items[1][1], say(100), items[2][1], say(30_000)]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    docs = frame([(1, " ".join(body)), (2, say(90_000))])
+    got = decontaminate.contaminations(docs, table).collect()
+    assert sorted((r.doc_id, r.item_id, r.containment) for r in got) == [(1, k, 1.0) for k in (1, 2, 3)]
+    assert [r.doc_id for r in decontaminate.decontaminate(docs, table).collect()] == [2]
+
+
 def cosine_top(rows, queries, k=5):
     out = {}
     for q in queries:

@@ -33,6 +33,7 @@ def folder(spark, tmp_path_factory):
         texts.append(text)
         if k % 6 == 0:
             texts.append(edited(rng, text, rng.randrange(3)))
+    texts += [say("en", 30_000), say("de", 20_000) + "\n" + lines[0]]
     rows = [(k, t, "de" if "ü" in t else "en", "s", len(t)) for k, t in enumerate(texts)] + [(900, None, "en", "s", None), (901, "", "en", "s", 0), (902, "12 !", None, None, 4)]
     spark.createDataFrame(rows, SCHEMA).write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
