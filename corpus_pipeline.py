@@ -4,6 +4,11 @@ Each stage takes what the stage before it kept, as Parquet, and its decisions
 take effect.  All stages but the last return the columns of documents.
 Language identification can't be said in SQL, so ORACLE_SQL is None and
 tests hold the pipeline against plain Python.
+
+Defined cases: a text that is null, empty or without letters goes in the first
+stage; a null lang or source stays; rows with one doc_id are separate documents
+throughout, and of repeated rows the near-copy stage keeps one; an empty table
+gives no rows; a very long text is taken whole by every stage.
 """
 
 from __future__ import annotations

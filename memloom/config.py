@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
 
 @dataclass(frozen=True)
 class MemoryConfig:
@@ -22,3 +25,16 @@ class MemoryConfig:
         for name, values in allowed.items():
             if getattr(self, name) not in values:
                 raise ValueError(f"{name} must be one of {values}, not {getattr(self, name)!r}")
+
+
+def read_config(spark: SparkSession, path: str, section: str) -> MemoryConfig:
+    """The options that a model's JSON settings hold under `section`: how many documents, and tokens of a chunk.
+
+    The number of documents is doc_top_k, or top_k_docs as some writers have
+    it; what is missing keeps its default, and a file without the section is an error.
+    """
+    told = F.from_json(F.get_json_object("value", f"$.{section}"), "doc_top_k int, top_k_docs int, pooling_kernel_size int", {"mode": "FAILFAST"})
+    row = spark.read.text(path, wholetext=True).select(told.alias("o")).select(F.coalesce("o.doc_top_k", "o.top_k_docs").alias("top_k"), F.col("o.pooling_kernel_size").alias("pool"), F.col("o").isNull().alias("none")).first()
+    if row is None or row["none"]:
+        raise ValueError(f"{path!r} has no {section!r}")
+    return MemoryConfig(**{k: row[k] for k in ("top_k", "pool") if row[k] is not None})

@@ -97,6 +97,17 @@ def judged(reply: Column) -> Column:
     return F.when(found == "", 0).otherwise(found.cast("int")).cast("long")
 
 
+def human_bytes(size: Column) -> Column:
+    """A number of bytes for readers: in powers of 1024 up to P, whole up to M, with one decimal from G, halves to even; less than one byte is 0B."""
+    units = "BKMGTP"
+    said = F.lit("0B")
+    for k, unit in enumerate(units):
+        scaled = size.cast("double") / 1024.0**k
+        shown = F.bround(scaled).cast("long").cast("string") if k < 3 else F.format_string("%.1f", F.bround(scaled, 1))
+        said = F.when(size >= (1024**k), F.concat(shown, F.lit(unit))).otherwise(said)
+    return said
+
+
 def matches(reply: Column) -> Column:
     low = F.lower(reply)
     return low.contains("match") & ~low.contains("mismatch")

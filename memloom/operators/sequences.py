@@ -53,13 +53,25 @@ def offset_concat(df: DataFrame, key: str, part: str, local: str) -> DataFrame:
     return df.join(bases, [key, part]).withColumn("joined", F.col(local) + F.col("offset")).drop("offset")
 
 
-def left_pad(df: DataFrame, batch: str, ids: str, pad: int) -> DataFrame:
-    """Pads arrays of a batch on the left to its longest; mask is 0 on padding."""
-    longest = F.max(F.size(ids)).over(Window.partitionBy(batch))
-    gap = longest - F.size(ids)
-    padded = F.concat(F.array_repeat(F.lit(pad).cast("long"), gap), F.col(ids))
-    mask = F.concat(F.array_repeat(F.lit(0).cast("long"), gap), F.transform(ids, lambda _: F.lit(1).cast("long")))
-    return df.withColumn("padded", padded).withColumn("mask", mask)
+def left_pad(df: DataFrame, batch: str, ids: str, pad: int, roles: str | None = None, positions: str | None = None) -> DataFrame:
+    """Pads arrays of a batch on the left to its longest; mask is 0 on padding.
+
+    Arrays of roles, where named, are padded with 0, and those of positions
+    with their own first position (0 if they have none).
+    """
+    gap = F.max(F.size(ids)).over(Window.partitionBy(batch)) - F.size(ids)
+    before = lambda fill, values: F.concat(F.array_repeat(fill.cast("long"), gap), values)
+    out = {"padded": before(F.lit(pad), F.col(ids)), "mask": before(F.lit(0), F.transform(ids, lambda _: F.lit(1).cast("long")))}
+    if roles:
+        out["padded_roles"] = before(F.lit(0), F.col(roles))
+    if positions:
+        out["padded_positions"] = before(F.coalesce(F.get(positions, F.lit(0)), F.lit(0)), F.col(positions))
+    return df.withColumns(out)
+
+
+def sub_batches(df: DataFrame, number: str, size: int) -> DataFrame:
+    """df with batch: every `size` rows that follow each other by number, which counts from 0 (see global_offsets)."""
+    return df.withColumn("batch", F.floor(F.col(number) / size).cast("long"))
 
 
 def stable_partition(values: Column, mask: Column) -> Column:

@@ -119,6 +119,15 @@ def left_pad_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return padded.select("conv_id", "turn", listed(F.col("padded")).alias("padded"), listed(F.col("mask")).alias("mask"))
 
 
+def left_pad_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First turns as requests, four to a batch in the order of their numbers, padded with roles and positions."""
+    asked = turns(spark, sf_dir).where("turn = 0").withColumn("one", F.lit(1).cast("long"))
+    numbered = sequences.sub_batches(sequences.global_offsets(asked, "conv_id", "one"), "number", 4)
+    rows = numbered.withColumns({"roles": F.transform("ids", lambda _, i: (-(i % 3)).cast("long")), "places": F.transform("ids", lambda _, i: (i + 19).cast("long"))})
+    padded = sequences.left_pad(rows, "batch", "ids", 7, "roles", "places")
+    return padded.select("conv_id", "batch", *[listed(F.col(c)).alias(c) for c in ("padded", "mask", "padded_roles", "padded_positions")])
+
+
 def length_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Examples shorter than cutoff - 1; longer ones are dropped as the operator's feature."""
     return turns(spark, sf_dir).where(F.size("ids") < 63).select("conv_id", "turn", F.size("ids").cast("long").alias("n"))
@@ -163,7 +172,7 @@ def length_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return i.join(d, ["n", "k"]).select("item_id", "doc_id", "n")
 
 
-QUERIES = {f.__name__: f for f in (run_length_ids, rle_counts, rank_in_run, chunks_per_sample, exclusive_offsets, global_offsets, next_token, sampled_token, stable_partition, bucket_concat, local_to_global, training_shares, packed_examples, offset_concat, left_pad_batch, length_filter, label_shift_pad, bincount, length_pairing)} | {
+QUERIES = {f.__name__: f for f in (run_length_ids, rle_counts, rank_in_run, chunks_per_sample, exclusive_offsets, global_offsets, next_token, sampled_token, stable_partition, bucket_concat, local_to_global, training_shares, packed_examples, offset_concat, left_pad_batch, left_pad_requests, length_filter, label_shift_pad, bincount, length_pairing)} | {
     "sp_zigzag": split_query("zigzag-ring"),
     "sp_ulysses": split_query("ulysses"),
     "balanced_buckets": fold_query(lambda sizes: packing.balanced(sizes, 4), "bucket"),
@@ -220,6 +229,13 @@ ORACLE_SQL = {
         WITH {TURNS}, sized AS (SELECT *, max(len(ids)) OVER (PARTITION BY conv_id) - len(ids) AS gap FROM turns)
         SELECT conv_id, turn, array_to_string(list_concat(list_transform(range(gap), lambda x: 0), ids), ',') AS padded,
                array_to_string(list_concat(list_transform(range(gap), lambda x: 0), list_transform(ids, lambda x: 1)), ',') AS mask FROM sized""",
+    "left_pad_requests": f"""
+        WITH {TURNS}, numbered AS (SELECT conv_id, ids, (row_number() OVER (ORDER BY conv_id) - 1) // 4 AS batch FROM turns WHERE turn = 0),
+        sized AS (SELECT *, range(max(len(ids)) OVER (PARTITION BY batch) - len(ids)) AS gap FROM numbered)
+        SELECT conv_id, batch::BIGINT AS batch, array_to_string(list_concat(list_transform(gap, lambda x: 7), ids), ',') AS padded,
+               array_to_string(list_concat(list_transform(gap, lambda x: 0), list_transform(ids, lambda x: 1)), ',') AS mask,
+               array_to_string(list_concat(list_transform(gap, lambda x: 0), list_transform(range(len(ids)), lambda i: -(i % 3))), ',') AS padded_roles,
+               array_to_string(list_concat(list_transform(gap, lambda x: CASE WHEN len(ids) > 0 THEN 19 ELSE 0 END), list_transform(range(len(ids)), lambda i: i + 19)), ',') AS padded_positions FROM sized""",
     "length_filter": f"WITH {TURNS} SELECT conv_id, turn, len(ids)::BIGINT AS n FROM turns WHERE len(ids) < 63",
     "label_shift_pad": f"""
         WITH {TURNS} SELECT conv_id, turn, array_to_string(list_concat(ids[2:], list_transform(range(64 - len(ids[2:])), lambda x: -100)), ',') AS labels

@@ -96,6 +96,12 @@ def response_fanin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.groupBy("conv_id").agg((F.count("*") == F.max("turn") + 1).alias("complete"), F.sha2(whole, 256).alias("text_sha256"))
 
 
+def human_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes of all magnitudes, said for readers: an odd power of each document's length."""
+    size = F.col("n_chars") * F.pow(F.lit(32), F.col("doc_id") % 9).cast("long")
+    return table(spark, sf_dir, "documents").select("doc_id", text.human_bytes(size).alias("said"))
+
+
 def judge_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores read from replies that are made of each turn's length."""
     n = F.length("text") % 12
@@ -212,7 +218,7 @@ def context_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union.groupBy("conv_id").agg(F.sha2(F.array_join(F.transform(ordered, lambda x: x["part"]), ""), 256).alias("context_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (compose_documents, chunk_counts, corpus_stats, query_template, sort_requests, answer_extract, regenerate_filter, cited_ids, inject_docs, response_fanin, judge_parse, answer_clean, round_flags, block_positions, regenerate_roles, query_positions, encode_chunks, response_decode, judge_score, result_records, context_offsets, label_text_to_id, anti_distractor_scale, context_union)}
+QUERIES = {f.__name__: f for f in (compose_documents, chunk_counts, corpus_stats, query_template, sort_requests, answer_extract, regenerate_filter, cited_ids, inject_docs, response_fanin, judge_parse, human_bytes, answer_clean, round_flags, block_positions, regenerate_roles, query_positions, encode_chunks, response_decode, judge_score, result_records, context_offsets, label_text_to_id, anti_distractor_scale, context_union)}
 COUNTS = r"SELECT doc_id, len(regexp_extract_all(text, '\S+'))::BIGINT AS n_tokens, ((len(regexp_extract_all(text, '\S+')) + 63) // 64)::BIGINT AS n_chunks FROM documents"
 CITES = f"SELECT DISTINCT conv_id, turn, unnest(regexp_extract_all(out, '\\[(\\d+)\\]', 1))::BIGINT AS doc_id FROM ({GENERATED})"
 COMPOSED = "SELECT doc_id, '<|im_start|>[' || doc_id || ']. ' || text || '[' || doc_id || ']<|im_end|>' AS composed FROM documents"
@@ -233,6 +239,11 @@ ORACLE_SQL = {
         SELECT conv_id, turn, count(*)::BIGINT AS n_docs, sha256(string_agg(composed, chr(10) ORDER BY doc_id)) AS context_sha256
         FROM ({CITES}) JOIN ({COMPOSED}) USING (doc_id) GROUP BY conv_id, turn""",
     "response_fanin": "SELECT conv_id, count(*) = max(turn) + 1 AS complete, sha256(string_agg(text, '|' ORDER BY turn)) AS text_sha256 FROM conversations GROUP BY conv_id",
+    "human_bytes": """
+        WITH s AS (SELECT doc_id, n_chars * (32 ** (doc_id % 9))::BIGINT AS n FROM documents)
+        SELECT doc_id, CASE WHEN n IS NULL OR n < 1 THEN '0B' WHEN n < 1024 THEN n || 'B' WHEN n < 1024 ** 2 THEN round_even(n / 1024, 0)::BIGINT || 'K'
+               WHEN n < 1024 ** 3 THEN round_even(n / 1024 ** 2, 0)::BIGINT || 'M' WHEN n < 1024 ** 4 THEN format('{:.1f}G', n / 1024 ** 3)
+               WHEN n < 1024 ** 5 THEN format('{:.1f}T', n / 1024 ** 4) ELSE format('{:.1f}P', n / 1024 ** 5) END AS said FROM s""",
     "judge_parse": """
         WITH r AS (SELECT role, length(text) % 12 AS n FROM conversations)
         SELECT role, round(avg(CASE WHEN n < 6 THEN n WHEN n < 9 THEN 3 ELSE 0 END), 4) AS mean_score, count(*) FILTER (WHERE n >= 9)::BIGINT AS n_match FROM r GROUP BY role""",

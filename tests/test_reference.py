@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from memloom.config import MemoryConfig
+from memloom.config import MemoryConfig, read_config
 from memloom.functions import text
 from memloom.operators import hooks, interleave, metrics, packing, prompts, routing, sequences
 from memloom.plans import ORACLE_SQL, QUERIES
@@ -150,6 +150,27 @@ def test_packed_examples_equal_plain(spark):
         assert a.input_ids + b.input_ids == w[2] and a.attention_mask == b.attention_mask == w[4]
 
 
+def test_sizes_for_readers(spark):
+    want = {0: "0B", 1: "1B", 1023: "1023B", 1024: "1K", 1536: "2K", 2560: "2K", 1048575: "1024K", 3 << 20: "3M", 1 << 30: "1.0G", 1536 << 20: "1.5G", 5 << 40: "5.0T", 389 << 38: "97.2T", 391 << 38: "97.8T", 3000 << 50: "3000.0P"}
+    rows = spark.createDataFrame([(k,) for k in want], "n long")
+    assert {r.n: r.said for r in rows.select("n", text.human_bytes(F.col("n")).alias("said")).collect()} == want
+
+
+def test_settings_are_read(spark, tmp_path):
+    for name, body in {"a": '{"x": 1, "memory": {"doc_top_k": 5, "pooling_kernel_size": 32, "other": "all"}}', "b": '{"memory":\n{"top_k_docs": 9}}', "c": '{"x": 1}'}.items():
+        (tmp_path / name).write_text(body)
+    assert read_config(spark, f"{tmp_path}/a", "memory") == MemoryConfig(top_k=5, pool=32)
+    assert read_config(spark, f"{tmp_path}/b", "memory") == MemoryConfig(top_k=9)
+    with pytest.raises(ValueError, match="has no"):
+        read_config(spark, f"{tmp_path}/c", "memory")
+
+
+def test_padding_of_roles_and_positions(spark):
+    rows = spark.createDataFrame([(0, [5, 6, 7], [0, 0, -1], [4, 5, 6]), (0, [8], [-2], [9]), (0, [], [], [])], "b int, ids array<long>, roles array<long>, at array<long>")
+    got = sequences.left_pad(rows, "b", "ids", 1, "roles", "at").collect()
+    assert sorted((r.padded, r.mask, r.padded_roles, r.padded_positions) for r in got) == [([1, 1, 1], [0, 0, 0], [0, 0, 0], [0, 0, 0]), ([1, 1, 8], [0, 0, 1], [0, 0, -2], [9, 9, 9]), ([5, 6, 7], [1, 1, 1], [0, 0, -1], [4, 5, 6])]
+
+
 def test_judged_results_and_checks(spark, tmp_path):
     rows = spark.createDataFrame([("q", "a", "b", 3), ("r", "a", "c", 4)], "question string, true_answer string, pred_answer string, pred_score int")
     assert snapshots.write_judged(rows, f"{tmp_path}/j") == 3.5
