@@ -7,11 +7,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def run_ids(df: DataFrame, key: str, order: str, value: str, name: str = "run") -> DataFrame:
-    """Numbers runs of equal values from 1 within each key."""
-    w = Window.partitionBy(key).orderBy(order)
-    new = F.when(F.col(value).eqNullSafe(F.lag(value).over(w)) & (F.row_number().over(w) > 1), 0).otherwise(1)
-    return df.withColumn("_new", new).withColumn(name, F.sum("_new").over(w).cast("long")).drop("_new")
+def run_ids(df: DataFrame, key: str, order: str, value: str, name: str = "run", width: int = 4096) -> DataFrame:
+    """Numbers runs of equal values from 1 within each key; order is a whole number.
+
+    A key may hold much of the table: runs are numbered within ranges of
+    `width` values of order, and only the ranges, a row each with its first and
+    last value, meet in a key's window, which tells the runs before each range
+    and whether its first run goes on from the range before.  Rows without an
+    order come first.
+    """
+    cell = F.coalesce(F.floor(F.col(order) / width), F.lit(-(2**62)))
+    inside = Window.partitionBy(key, "_cell").orderBy(order)
+    same = F.col(value).eqNullSafe(F.lag(value).over(inside)) & (F.row_number().over(inside) > 1)
+    rows = df.withColumn("_cell", cell).withColumn("_new", F.when(same, 0).otherwise(1))
+    rows = rows.withColumns({"_run": F.sum("_new").over(inside.rowsBetween(Window.unboundedPreceding, 0)), "_at": F.row_number().over(inside)}).drop("_new")
+    ends = rows.groupBy(key, "_cell").agg(F.min_by(value, "_at").alias("_first"), F.max_by(value, "_at").alias("_last"), F.max("_run").alias("_runs"))
+    along = Window.partitionBy(key).orderBy("_cell")
+    goes_on = F.col("_first").eqNullSafe(F.lag("_last").over(along)) & (F.row_number().over(along) > 1)
+    ends = ends.withColumn("_on", F.when(goes_on, 1).otherwise(0))
+    before = F.coalesce(F.sum(F.col("_runs") - F.col("_on")).over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ends = ends.select(F.col(key).alias("_key"), F.col("_cell").alias("_range"), (before - F.col("_on")).alias("_base"))
+    placed = rows.join(ends, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_cell") == F.col("_range")))
+    return placed.withColumn(name, (F.col("_base") + F.col("_run")).cast("long")).drop("_cell", "_run", "_at", "_key", "_range", "_base")
 
 
 def run_counts(df: DataFrame, key: str, value: str, run: str = "run") -> DataFrame:

@@ -165,6 +165,23 @@ def test_settings_are_read(spark, tmp_path):
         read_config(spark, f"{tmp_path}/c", "memory")
 
 
+@pytest.mark.parametrize("width", [1, 7, 4096])
+def test_runs_of_a_hot_key(spark, width):
+    rng = random.Random(5)
+    rows = [(None if k % 11 == 0 else "hot" if k % 3 else f"k{k % 5}", k * 2 - 300, rng.choice(["a", "a", "a", "b", None])) for k in range(600)]
+    last, runs, want = {}, {}, []
+    for key, at, value in rows:
+        if key not in last or last[key] != value:
+            runs[key] = runs.get(key, 0) + 1
+        last[key] = value
+        want.append((at, runs[key]))
+    table = spark.createDataFrame(rows, "key string, at long, value string").repartition(5)
+    got = sequences.run_ids(table, "key", "at", "value", width=width)
+    assert got.columns == ["key", "at", "value", "run"]
+    assert sorted((r["at"], r["run"]) for r in got.collect()) == want
+    assert sequences.run_ids(table.limit(0), "key", "at", "value", width=width).collect() == []
+
+
 def test_padding_of_roles_and_positions(spark):
     rows = spark.createDataFrame([(0, [5, 6, 7], [0, 0, -1], [4, 5, 6]), (0, [8], [-2], [9]), (0, [], [], [])], "b int, ids array<long>, roles array<long>, at array<long>")
     got = sequences.left_pad(rows, "b", "ids", 1, "roles", "at").collect()
