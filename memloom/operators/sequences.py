@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from memloom.tables import free_name, written
+
 
 def run_ids(df: DataFrame, key: str, order: str, value: str, name: str = "run", width: int = 4096) -> DataFrame:
     """Numbers runs of equal values from 1 within each key; order is a whole number.
@@ -63,6 +65,33 @@ def global_offsets(df: DataFrame, order: str, size: str, width: int = 4096) -> D
     return placed.withColumns({"number": F.col("_n0") + F.col("_k"), "offset": (F.col("_s0") + F.col("_o")).cast("long")}).drop("_cell", "_k", "_o", "_n0", "_s0")
 
 
+def ordinals(df: DataFrame, *by: str | Column, name: str = "ordinal", parts: int | None = None) -> DataFrame:
+    """df, written once as a table, with each row's number from 0 in the order of any keys.
+
+    Rows are dealt to ranges of the keys and sorted there; what a row has before
+    it is what earlier ranges hold, a row each, and its place in its own range.
+    A value that much of the table shares is split by the keys after it, and
+    rows that are equal in all of them by where they were read.
+    """
+    source, at = free_name("_source", df), free_name("_at", df)
+    keys = [*by, source]
+    rows = df.withColumn(source, F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(parts, *keys) if parts else rows.repartitionByRange(*keys)
+    table = written(rows.sortWithinPartitions(*keys).drop(source).withColumn(at, F.monotonically_increasing_id()), "ordinals")
+    return numbered(table, at, name)
+
+
+def numbered(table: DataFrame, at: str, name: str) -> DataFrame:
+    """A table with `at`, a monotonically increasing id of its sorted parts, numbered from 0 over all of it."""
+    part = free_name("_part", table)
+    sums = table.groupBy(F.shiftright(at, 33).alias(part)).agg(F.count("*").alias("_n"))
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    base = sums.select(part, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(f"{part}_base"))
+    # A row for each task that wrote the table.
+    placed = table.withColumn(part, F.shiftright(at, 33)).join(F.broadcast(base), part)
+    return placed.withColumn(name, F.col(f"{part}_base") + F.col(at).bitwiseAND((1 << 33) - 1)).drop(part, f"{part}_base", at)
+
+
 def offset_concat(df: DataFrame, key: str, part: str, local: str) -> DataFrame:
     """Makes ids of parts go on from the part before: adds the largest ids of all parts before."""
     largest = df.groupBy(key, part).agg(F.max(local).alias("_size"))

@@ -6,10 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from memloom.functions import text
-from memloom.operators import hooks, metrics, prompts
+from memloom.operators import hooks, metrics, prompts, sequences
 
 PREFIX, SUFFIX = "<|im_start|>user\n", "<|im_end|>\n<|im_start|>assistant\n"
 
@@ -40,10 +39,10 @@ def query_template(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sort_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order in which a batch of 64 requests is served: by length, then as they came."""
-    w = Window.partitionBy("batch").orderBy(F.length("text"), "item_id")
-    rows = table(spark, sf_dir, "benchmark").withColumn("batch", F.floor(F.col("item_id") / 64).cast("long"))
-    return rows.select("batch", "item_id", F.row_number().over(w).cast("long").alias("turn"))
+    """The order in which all requests are served, by length, then as they came, and the batch of 64 that each is in."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.length("text").alias("n"))
+    turn = sequences.ordinals(rows, "n", "doc_id", name="turn")
+    return turn.select("doc_id", "turn", F.floor(F.col("turn") / 64).cast("long").alias("batch"))
 
 
 def generated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,7 +227,7 @@ ORACLE_SQL = {
     "corpus_stats": f"SELECT doc_id % 8 AS bucket, count(*)::BIGINT AS n_docs, sum(n_tokens)::BIGINT AS n_tokens, sum(n_chunks)::BIGINT AS n_chunks FROM ({COUNTS}) GROUP BY 1",
     "query_template": r"""SELECT item_id, '<|im_start|>user' || chr(10) || text || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10) AS prompt,
         (len(regexp_extract_all(text, '\S+')) + 18)::BIGINT AS last_position FROM benchmark""",
-    "sort_requests": "SELECT item_id // 64 AS batch, item_id, row_number() OVER (PARTITION BY item_id // 64 ORDER BY length(text), item_id) AS turn FROM benchmark",
+    "sort_requests": "SELECT doc_id, turn, turn // 64 AS batch FROM (SELECT doc_id, row_number() OVER (ORDER BY length(text) NULLS FIRST, doc_id) - 1 AS turn FROM documents)",
     "answer_extract": f"""
         SELECT conv_id, turn, trim(CASE WHEN turn % 2 = 0 THEN ' ' || string_split(said, '<|im_end|>')[1] ELSE string_split(out, '<|im_end|>')[1] END, ' ') AS answer,
                CASE WHEN instr(out, chr(10) || 'Please answer the question based') > 0 THEN substr(out, instr(out, chr(10) || 'Please answer the question based')) END AS anchored
