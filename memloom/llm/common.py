@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
@@ -11,49 +9,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A side is broadcast only if its measured size is at most this many bytes.
-BROADCAST_BYTES = 32 << 20
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share (spark.checkpoint.dir).
-
-    A folder of our own is set only where the session has none and all of it is
-    one process, as in tests; a cluster without the setting is an error, since
-    its machines don't see each other's folders.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if path is None:
-        known = spark.sparkContext.getCheckpointDir()
-        if known is None:
-            master = spark.sparkContext.master
-            if master != "local" and not master.startswith("local["):
-                raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="memloom-"))
-            known = spark.sparkContext.getCheckpointDir()
-        path = known
-    return path.rstrip("/")
-
+from memloom.tables import discard, free_name, scratch, shared_dir, written
 
-def scratch(spark: SparkSession, tag: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+__all__ = ["discard", "free_name", "scratch", "shared_dir", "written"]
 
-
-def written(df: DataFrame, tag: str) -> DataFrame:
-    """df as a table in the shared folder: later reads survive lost executors."""
-    spark = df.sparkSession
-    path = scratch(spark, tag)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def discard(df: DataFrame) -> None:
-    """Deletes the files of a table that `written` made and nothing reads any more."""
-    spark = df.sparkSession
-    for name in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+#: A side is broadcast only if its measured size is at most this many bytes.
+BROADCAST_BYTES = 32 << 20
 
 
 def bounded_broadcast(df: DataFrame, row_bytes: int | Column, limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -83,14 +44,6 @@ def join_unique(many: DataFrame, one: DataFrame, key: str, counts: DataFrame, de
     return dealt.join(copies, [key, "_part"]).drop("_part")
 
 
-def free_name(name: str, *frames: DataFrame) -> str:
-    """name, or name with as many underscores as it takes to be none of the frames' columns."""
-    taken = {c.lower() for f in frames for c in f.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def sliced(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """Batches of at most so many rows, without a copy: what Python makes of a batch of texts is several times its size."""
     for batch in batches:

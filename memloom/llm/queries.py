@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from memloom.llm import ann_scan, bpe_stream, decontaminate, jaccard_join, language_id, line_dedup, resample, secret_scan, token_files, toxicity
+from memloom.llm import ann_scan, bpe_stream, decontaminate, jaccard_join, language_id, line_dedup, merkle, resample, secret_scan, token_files, toxicity
 from memloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,7 @@ QUERIES: dict[str, Query] = {
     "op8_resample": op8_resample,
     "op9_language_id": op9_language_id,
     "op10_decontaminate": op10_decontaminate,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -115,4 +116,5 @@ ORACLE_SQL: dict[str, str] = {
         WHERE i.side = 'i' AND d.side = 'd'
         GROUP BY d.id, i.id HAVING count(*) >= 0.8 * any_value(n)
     """,
+    "op11_merkle_manifest": merkle.SQL,
 }
