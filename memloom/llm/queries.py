@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from memloom.llm import ann_scan, bpe_stream, decontaminate, jaccard_join, language_id, line_dedup, merkle, resample, secret_scan, token_files, toxicity
+from memloom.llm import ann_scan, bpe_stream, decontaminate, hilbert_shards, jaccard_join, language_id, line_dedup, merkle, phrases, resample, secret_scan, token_files, toxicity
 from memloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,8 @@ QUERIES: dict[str, Query] = {
     "op9_language_id": op9_language_id,
     "op10_decontaminate": op10_decontaminate,
     "op11_merkle_manifest": merkle.op11_merkle_manifest,
+    "op12_hilbert_shards": hilbert_shards.op12_hilbert_shards,
+    "op13_phrase_collocations": phrases.op13_phrase_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -117,4 +119,5 @@ ORACLE_SQL: dict[str, str] = {
         GROUP BY d.id, i.id HAVING count(*) >= 0.8 * any_value(n)
     """,
     "op11_merkle_manifest": merkle.SQL,
+    "op13_phrase_collocations": phrases.SQL,
 }
