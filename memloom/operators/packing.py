@@ -1,8 +1,9 @@
-"""Order-dependent folds: buckets, blocks, slices, bags.
+"""Bags and buckets: largest-fit packing of a whole table, and least-loaded buckets.
 
-A fold looks at one item after the other, so it can't be cut; but it needs only
-ids and sizes, and runs apart for each group.  Callers name groups of bounded
-size, such as ranges of ids, and Spark deals the groups to tasks.
+What largest-fit packing puts together follows from the histogram of sizes
+alone.  The buckets' fold looks at one item after the other and needs only ids and
+sizes; it runs apart for each group.  Callers name groups of bounded size, such
+as ranges of ids, and Spark deals the groups to tasks.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from memloom.operators.sequences import sequence_split
+from memloom.operators.sequences import ordinals, sequence_split
+from memloom.tables import free_name
 
 
 def balanced(sizes: list[int], buckets: int) -> list[int]:
@@ -30,62 +32,81 @@ def balanced(sizes: list[int], buckets: int) -> list[int]:
     return out
 
 
-def blocks(sizes: list[int], cap: int) -> list[int]:
-    """A block is closed before an item that would take it over the cap."""
-    out, block, total = [], 0, 0
-    for k, size in enumerate(sizes):
-        if k and total + size > cap:
-            block, total = block + 1, 0
-        total += size
-        out.append(block)
-    return out
-
+def templates(counts: dict[int, int], capacity: int) -> list[tuple[int, int, dict[int, int]]]:
+    """(first bag, how many bags, items of each size in one of them) of largest-fit packing, from how many items each size has.
 
-def slices(sizes: list[int], threshold: int, tail: int) -> list[int]:
-    """A slice is closed once it reaches the threshold; a last slice of less than `tail` joins the one before."""
-    out, number, total = [], 0, 0
-    for size in sizes:
-        total += size
-        out.append(number)
-        if total >= threshold:
-            number, total = number + 1, 0
-    if total and total < tail and number:
-        out = [min(x, number - 1) for x in out]
+    What goes into a bag follows from the sizes that are left, so bags are alike
+    until one of these sizes runs out: as many are written off at once.
+    """
+    left = {s: n for s, n in counts.items() if n and 0 <= s <= capacity}
+    sizes, out, bag = sorted(left), [], 0
+    while sizes:
+        room, uses = capacity, {}
+        at = bisect_right(sizes, room)
+        while at:
+            size = sizes[at - 1]
+            own = min(left[size], room // size) if size else left[size]
+            if own:
+                uses[size] = own
+                room -= own * size
+            at = min(at - 1, bisect_right(sizes, room))
+        times = 1 if 0 in uses else min(left[s] // n for s, n in uses.items())
+        out.append((bag, times, uses))
+        bag += times
+        for s, n in uses.items():
+            left[s] -= n * times
+        sizes = [s for s in sizes if left[s]]
     return out
 
 
-def bags(sizes: list[int], capacity: int) -> list[int]:
-    """Fills one bag after the other with the largest item that fits; items over the capacity get -1."""
-    left = sorted((size, k) for k, size in enumerate(sizes) if size <= capacity)
-    out, bag = [-1] * len(sizes), 0
-    while left:
-        room = capacity
-        while left and (at := bisect_right(left, (room, len(sizes)))):
-            size, k = left.pop(at - 1)
-            out[k], room = bag, room - size
-        bag += 1
-    return out
-
+def knapsack(df: DataFrame, id: str, size: str, capacity: int, name: str = "bag") -> DataFrame:
+    """df with each item's bag in largest-fit packing of the whole table, later ids first; items over the capacity get -1.
 
-def packed_examples(df: DataFrame, group: str, order: str, cutoff: int, pad: int, ignore: int = -100) -> DataFrame:
-    """group, bag, input_ids, labels, attention_mask, position_ids of length `cutoff`.  df: group, order, input_ids, labels (arrays of one length).
+    Only the histogram of sizes, at most `capacity` and one values, decides what
+    bags hold.  Items are ranked within their size, over all tasks, and looked up
+    in what the fold says of it.
+    """
+    spark = df.sparkSession
+    number, begins = free_name("_number", df), free_name("_begins", df)
+    fits = (F.col(size) >= 0) & (F.col(size) <= capacity)
+    counts = df.where(fits).groupBy(F.col(size).cast("long").alias("s")).count().collect()
+    made = templates({r["s"]: r["count"] for r in counts}, capacity)
+    used, rows = {}, []
+    for first, times, uses in made:
+        for s, n in uses.items():
+            begin = used.get(s, 0)
+            used[s] = begin + n * times
+            rows.append((s, begin, used[s], first, n))
+    # Bounded by the sizes: a row for each size of each kind of bag.
+    plan = F.broadcast(spark.createDataFrame(rows, "_s long, _from long, _to long, _first long, _each long"))
+    placed = ordinals(df, F.when(fits, F.col(size).cast("long")).otherwise(-1), F.desc(id), name=number)
+    starts = placed.where(fits).groupBy(F.col(size).cast("long").alias("_of")).agg(F.min(number).alias(begins))
+    ranked = placed.join(F.broadcast(starts), (F.col(size) == F.col("_of")) & fits, "left")
+    q = F.col(number) - F.col(begins)
+    found = ranked.join(plan, (F.col(size) == F.col("_s")) & fits & (q >= F.col("_from")) & (q < F.col("_to")), "left")
+    bag = F.col("_first") + F.floor((q - F.col("_from")) / F.col("_each"))
+    return found.select(*df.columns, F.coalesce(bag, F.lit(-1)).cast("long").alias(name))
+
+
+def packed_examples(df: DataFrame, id: str, cutoff: int, pad: int, ignore: int = -100) -> DataFrame:
+    """bag, input_ids, labels, attention_mask, position_ids of length `cutoff`.  df: id, input_ids, labels (arrays of one length).
 
     Examples of cutoff - 1 tokens or more are left out.  Those of a bag follow
-    each other; each counts its own positions; labels move one to the left; the
-    rest is padded by column: ids, ignored labels, no attention, last position.
+    each other by id; each counts its own positions; labels move one to the left;
+    the rest is padded by column: ids, ignored labels, no attention, last position.
     """
-    kept = df.where(F.size("input_ids") < cutoff - 1)
-    bag = folded(kept.select(group, order, F.size("input_ids").alias("size")), group, order, "size", lambda sizes: bags(sizes, cutoff - 1), "bag")
-    rows = kept.join(bag.drop("size"), [group, order])
-    listed = F.array_sort(F.collect_list(F.struct(order, "input_ids", "labels")))
-    whole = rows.groupBy(group, "bag").agg(listed.alias("_x"))
+    kept = df.where(F.size("input_ids") < cutoff - 1).withColumn("_size", F.size("input_ids").cast("long"))
+    rows = knapsack(kept, id, "_size", cutoff - 1)
+    # Empty examples, of which one bag may have any number, add nothing to the lists.
+    one = F.when(F.col("_size") > 0, F.struct(id, "input_ids", "labels"))
+    whole = rows.groupBy("bag").agg(F.array_sort(F.collect_list(one)).alias("_x"))
     joined = lambda field: F.flatten(F.transform("_x", lambda x: x[field]))
     places = F.flatten(F.transform("_x", lambda x: F.transform(x["input_ids"], lambda _, k: k.cast("long"))))
     ids, labels = joined("input_ids"), joined("labels")
     moved = F.slice(labels, 2, F.greatest(F.size(labels) - 1, F.lit(0)))
     fill = lambda c, value: F.concat(c, F.array_repeat(F.lit(value).cast("long"), cutoff - F.size(c)))
     mask = F.transform(ids, lambda _: F.lit(1).cast("long"))
-    return whole.select(group, "bag", fill(ids, pad).alias("input_ids"), fill(moved, ignore).alias("labels"), fill(mask, 0).alias("attention_mask"), fill(places, cutoff - 1).alias("position_ids"))
+    return whole.select("bag", fill(ids, pad).alias("input_ids"), fill(moved, ignore).alias("labels"), fill(mask, 0).alias("attention_mask"), fill(places, cutoff - 1).alias("position_ids"))
 
 
 def split_columns(df: DataFrame, world: int, rank: int | Column, kind: str) -> DataFrame:
@@ -93,17 +114,13 @@ def split_columns(df: DataFrame, world: int, rank: int | Column, kind: str) -> D
     return df.withColumns({c: sequence_split(F.col(c), world, rank, kind) for c in ("input_ids", "labels", "position_ids")})
 
 
-def training_shares(df: DataFrame, id: str, seed: int, cutoff: int, pad: int, world: int, kind: str, width: int = 4096) -> DataFrame:
-    """grp, bag, rank and each rank's share of packed examples, shuffled by seed.  df: id, input_ids, labels.
+def training_shares(df: DataFrame, id: str, seed: int, cutoff: int, pad: int, world: int, kind: str) -> DataFrame:
+    """bag, rank and each rank's share of packed examples, shuffled by seed.  df: id, input_ids, labels.
 
-    A hash of seed and id deals examples to groups of about `width` and orders
-    them there; each group is packed by itself.
+    A hash of seed and id, then the id, is the order in which examples are taken.
     """
-    groups = max(1, -(-df.count() // width))
-    mixed = F.xxhash64(F.lit(seed), F.col(id))
-    rows = df.withColumns({"grp": F.pmod(mixed, F.lit(groups)), "_mixed": mixed})
-    rows = rows.withColumn("_at", F.row_number().over(Window.partitionBy("grp").orderBy("_mixed", id)).cast("long"))
-    packed = packed_examples(rows, "grp", "_at", cutoff, pad).withColumn("rank", F.explode(F.sequence(F.lit(0), F.lit(world - 1))))
+    mixed = ordinals(df.withColumn("_mixed", F.xxhash64(F.lit(seed), F.col(id))), "_mixed", id, name="_at").drop("_mixed")
+    packed = packed_examples(mixed, "_at", cutoff, pad).withColumn("rank", F.explode(F.sequence(F.lit(0), F.lit(world - 1))))
     return split_columns(packed, world, F.col("rank"), kind)
 
 

@@ -74,6 +74,7 @@ def ordinals(df: DataFrame, *by: str | Column, name: str = "ordinal", parts: int
     rows that are equal in all of them by where they were read.
     """
     source, at = free_name("_source", df), free_name("_at", df)
+    at += "_" * (at == name)
     keys = [*by, source]
     rows = df.withColumn(source, F.monotonically_increasing_id())
     rows = rows.repartitionByRange(parts, *keys) if parts else rows.repartitionByRange(*keys)

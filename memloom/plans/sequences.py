@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from memloom.functions import text
-from memloom.operators import packing, routing, sequences
+from memloom.operators import packing, routing, sequences, splits
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,14 +84,14 @@ def training_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns shuffled, packed to 256 tokens, padded and split between two ranks."""
     rows = turns(spark, sf_dir).select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("ids").alias("input_ids"), F.col("ids").alias("labels"))
     shares = packing.training_shares(rows, "id", 7, 256, 0, 2, "zigzag-ring")
-    return shares.select("grp", "bag", "rank", *[listed(F.col(c)).alias(c) for c in ("input_ids", "labels", "attention_mask", "position_ids")])
+    return shares.select("bag", "rank", *[listed(F.col(c)).alias(c) for c in ("input_ids", "labels", "attention_mask", "position_ids")])
 
 
 def packed_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns packed to 256 tokens, in groups of 64 conversations; a rank's share of each column."""
-    rows = turns(spark, sf_dir).select(F.floor(F.col("conv_id") / 64).cast("long").alias("grp"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("ids").alias("input_ids"), F.col("ids").alias("labels"))
-    packed = packing.split_columns(packing.packed_examples(rows, "grp", "id", 256, 0), 2, 0, "zigzag-ring")
-    return packed.select("grp", "bag", *[listed(F.col(c)).alias(c) for c in ("input_ids", "labels", "attention_mask", "position_ids")])
+    """All turns packed to 256 tokens; a rank's share of each column."""
+    rows = turns(spark, sf_dir).select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("ids").alias("input_ids"), F.col("ids").alias("labels"))
+    packed = packing.split_columns(packing.packed_examples(rows, "id", 256, 0), 2, 0, "zigzag-ring")
+    return packed.select("bag", *[listed(F.col(c)).alias(c) for c in ("input_ids", "labels", "attention_mask", "position_ids")])
 
 
 def offset_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,9 +176,9 @@ QUERIES = {f.__name__: f for f in (run_length_ids, rle_counts, rank_in_run, chun
     "sp_zigzag": split_query("zigzag-ring"),
     "sp_ulysses": split_query("ulysses"),
     "balanced_buckets": fold_query(lambda sizes: packing.balanced(sizes, 4), "bucket"),
-    "split_blocks": fold_query(lambda sizes: packing.blocks(sizes, 24), "block"),
-    "split_slices": fold_query(lambda sizes: packing.slices(sizes, 40, 16), "slice"),
-    "knapsack_pack": fold_query(lambda sizes: packing.bags(sizes, 16), "bag"),
+    "split_blocks": lambda spark, sf_dir: splits.split(sized(spark, sf_dir), splits.Blocks(24), ["id"], "size", "block").select("id", "block"),
+    "split_slices": lambda spark, sf_dir: splits.split(sized(spark, sf_dir), splits.Slices(40), ["id"], "size", "slice", tail=16).select("id", "slice"),
+    "knapsack_pack": lambda spark, sf_dir: packing.knapsack(sized(spark, sf_dir), "id", "size", 12).select("id", "bag"),
 }
 RUNS = """
     runs AS (
@@ -193,6 +193,11 @@ ITEMS = """
     items AS (SELECT l_orderkey // 512 AS grp, l_orderkey AS id, count(*)::BIGINT AS size,
                      row_number() OVER (PARTITION BY l_orderkey // 512 ORDER BY l_orderkey) AS i
               FROM lineitem GROUP BY l_orderkey)"""
+#: i: place by id; p, q: sums of sizes before and up to it.
+SUMS = """
+    sums AS (SELECT *, q - size AS p FROM (
+        SELECT id, size, row_number() OVER (ORDER BY id) AS i, sum(size) OVER (ORDER BY id)::BIGINT AS q
+        FROM (SELECT l_orderkey AS id, count(*)::BIGINT AS size FROM lineitem GROUP BY l_orderkey)))"""
 SHARE = "array_to_string(ids[{a} * s + 1:{b} * s], ',')"
 
 
@@ -256,19 +261,26 @@ ORACLE_SQL = {
                   FROM f JOIN items n ON n.grp = f.grp AND n.i = f.i + 1))
         SELECT id, bucket::BIGINT AS bucket FROM f""",
     "split_blocks": f"""
-        WITH RECURSIVE {ITEMS}, f AS (
-            SELECT grp, id, i, 0::BIGINT AS block, size AS total FROM items WHERE i = 1
-            UNION ALL
-            SELECT n.grp, n.id, n.i, CASE WHEN total + size > 24 THEN block + 1 ELSE block END, CASE WHEN total + size > 24 THEN size ELSE total + size END
-            FROM f JOIN items n ON n.grp = f.grp AND n.i = f.i + 1)
-        SELECT id, block FROM f""",
+        WITH RECURSIVE {SUMS},
+        nxt AS (SELECT i, i + greatest(count(*) OVER (ORDER BY q RANGE BETWEEN CURRENT ROW AND 24 - size FOLLOWING), 1) AS j FROM sums),
+        f AS (SELECT 1::BIGINT AS i UNION ALL SELECT j FROM f JOIN nxt USING (i))
+        SELECT id, count(f.i) OVER (ORDER BY sums.i) - 1 AS block FROM sums LEFT JOIN f USING (i)""",
     "split_slices": f"""
-        WITH RECURSIVE {ITEMS}, f AS (
-            SELECT grp, id, i, 0::BIGINT AS slice, size AS total FROM items WHERE i = 1
+        WITH RECURSIVE {SUMS},
+        nxt AS (SELECT i, i + 1 + count(*) OVER (ORDER BY q RANGE BETWEEN CURRENT ROW AND 39 - size FOLLOWING) AS j FROM sums),
+        f AS (SELECT 1::BIGINT AS i UNION ALL SELECT j FROM f JOIN nxt USING (i)),
+        named AS (SELECT id, size, count(f.i) OVER (ORDER BY sums.i) - 1 AS slice FROM sums LEFT JOIN f USING (i)),
+        last AS (SELECT max(slice) AS most, arg_max(total, slice) AS total FROM (SELECT slice, sum(size) AS total FROM named GROUP BY slice))
+        SELECT id, CASE WHEN total < 16 AND most > 0 THEN least(slice, most - 1) ELSE slice END AS slice FROM named, last""",
+    "knapsack_pack": f"""
+        WITH RECURSIVE items AS (SELECT l_orderkey AS id, count(*)::BIGINT AS size FROM lineitem GROUP BY l_orderkey),
+        f AS (
+            SELECT 0::BIGINT AS step, 0::BIGINT AS bag, 12 AS room, 0 AS got, {", ".join(f"(SELECT count(*) FROM items WHERE size = {k}) AS c{k}" for k in range(1, 13))}
             UNION ALL
-            SELECT n.grp, n.id, n.i, CASE WHEN total >= 40 THEN slice + 1 ELSE slice END, CASE WHEN total >= 40 THEN size ELSE total + size END
-            FROM f JOIN items n ON n.grp = f.grp AND n.i = f.i + 1),
-        last AS (SELECT grp, max(slice) AS most, arg_max(total, i) AS total FROM f GROUP BY grp)
-        SELECT id, CASE WHEN last.total < 16 AND most > 0 THEN least(slice, most - 1) ELSE slice END AS slice FROM f JOIN last USING (grp)""",
+            SELECT step + 1, CASE WHEN pick = 0 THEN bag + 1 ELSE bag END, CASE WHEN pick = 0 THEN 12 ELSE room - pick END, pick, {", ".join(f"c{k} - (pick = {k})::BIGINT" for k in range(1, 13))}
+            FROM (SELECT *, CASE {" ".join(f"WHEN c{k} > 0 AND room >= {k} THEN {k}" for k in range(12, 0, -1))} ELSE 0 END AS pick FROM f)
+            WHERE {" + ".join(f"c{k}" for k in range(1, 13))} > 0),
+        dealt AS (SELECT bag, got AS size, row_number() OVER (PARTITION BY got ORDER BY step) AS k FROM f WHERE got > 0)
+        SELECT id, coalesce(bag, -1) AS bag FROM (SELECT *, row_number() OVER (PARTITION BY size ORDER BY id DESC) AS k FROM items) LEFT JOIN dealt USING (size, k)""",
 }
 ORACLE_SQL["bucket_concat"] = f"SELECT id, bucket, row_number() OVER (PARTITION BY id // 512 ORDER BY bucket, id) - 1 AS place FROM ({ORACLE_SQL['balanced_buckets']})"

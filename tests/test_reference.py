@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from memloom.config import MemoryConfig, read_config
 from memloom.functions import text
-from memloom.operators import hooks, interleave, metrics, packing, prompts, routing, sequences
+from memloom.operators import hooks, interleave, metrics, packing, prompts, routing, sequences, splits
 from memloom.plans import ORACLE_SQL, QUERIES
 from memloom.sources import registry, snapshots
 from memloom.streaming import requests
@@ -51,31 +51,108 @@ def test_entry(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-def test_worked_folds():
+def plain_blocks(sizes, cap):
+    out, block, total = [], 0, 0
+    for k, size in enumerate(sizes):
+        if k and total + size > cap:
+            block, total = block + 1, 0
+        total += size
+        out.append(block)
+    return out
+
+
+def plain_slices(sizes, threshold, tail):
+    out, number, total = [], 0, 0
+    for size in sizes:
+        total += size
+        out.append(number)
+        if total >= threshold:
+            number, total = number + 1, 0
+    return [min(x, number - 1) for x in out] if 0 < total < tail and number else out
+
+
+def plain_bags(sizes, capacity):
+    left, out, bag = sorted((s, k) for k, s in enumerate(sizes) if s <= capacity), [-1] * len(sizes), 0
+    while left:
+        room = capacity
+        while fitting := [x for x in left if x[0] <= room]:
+            s, k = fitting[-1]
+            left.remove((s, k))
+            out[k], room = bag, room - s
+        bag += 1
+    return out
+
+
+def test_worked_folds(spark):
     assert packing.balanced([5, 3, 4, 1, 2], 2) == [0, 1, 1, 0, 0]
-    assert packing.blocks([5, 3, 4, 1, 2], 6) == [0, 1, 2, 2, 3]
-    assert packing.blocks([9, 1], 6) == [0, 1]
-    assert packing.slices([5, 3, 4, 1, 2], 6, 6) == [0, 0, 1, 1, 1]
-    assert packing.slices([5, 3, 4, 1], 6, 6) == [0, 0, 0, 0]
-    assert packing.slices([2, 1], 6, 6) == [0, 0]
+    assert plain_blocks([5, 3, 4, 1, 2], 6) == [0, 1, 2, 2, 3] and plain_blocks([9, 1], 6) == [0, 1]
+    assert plain_slices([5, 3, 4, 1, 2], 6, 6) == [0, 0, 1, 1, 1] and plain_slices([5, 3, 4, 1], 6, 6) == [0, 0, 0, 0] and plain_slices([2, 1], 6, 6) == [0, 0]
     sizes = [7, 5, 4, 3, 2]
-    bags = packing.bags(sizes, 10)
+    bags = plain_bags(sizes, 10)
     assert [sorted((s for s, b in zip(sizes, bags) if b == k), reverse=True) for k in range(3)] == [[7, 3], [5, 4], [2]]
 
 
-def test_bags_equal_brute_force(spark):
+@pytest.mark.parametrize("seed", range(40))
+def test_tables_of_ranges_compose(seed):
+    """Every way to cut the rows into ranges and enter them in the state that the one before is left in gives the plain fold."""
+    rng = random.Random(seed)
+    sizes = [rng.choice([0, 0, 1, 2, 3, rng.randrange(30)]) for _ in range(rng.randrange(1, 60))]
+    cap = rng.randrange(1, 20)
+    for splitter, want in ((splits.Blocks(cap), plain_blocks(sizes, cap)), (splits.Slices(cap), plain_slices(sizes, cap, 0))):
+        state, before, got, at = splitter.start, 0, [], 0
+        while at < len(sizes):
+            part = np.array(sizes[at : at + rng.randrange(1, 12)])
+            got += splitter.numbers(part, state, before).tolist()
+            out, closed = splitter.table(part)
+            assert len(out) == len(closed) == (cap + 3 if isinstance(splitter, splits.Blocks) else cap)
+            state, before, at = int(out[state]), before + int(closed[state]), at + len(part)
+        assert got == want
+
+
+@pytest.mark.parametrize("width,fan", [(7, 3), (64, 2), (1 << 16, 128)])
+def test_splits_of_a_whole_table(spark, width, fan):
+    rng = random.Random(width)
+    sizes = [rng.choice([None, 0, 1, 2, 5, 9, 40]) for _ in range(500)]
+    rows = [(k * 3 - 200, s, "x") for k, s in enumerate(sizes)]
+    table = spark.createDataFrame(rows, "id long, size int, _number string").repartition(5)
+    plain = [s or 0 for s in sizes]
+    for splitter, tail, want in ((splits.Blocks(11), 0, plain_blocks(plain, 11)), (splits.Slices(23), 0, plain_slices(plain, 23, 0)), (splits.Slices(23), 23, plain_slices(plain, 23, 23))):
+        got = splits.split(table, splitter, ["id"], "size", "part", width=width, fan=fan, tail=tail)
+        assert got.columns == ["id", "size", "_number", "part"]
+        assert [r.part for r in got.orderBy("id").collect()] == want
+    assert splits.split(table.limit(0), splits.Blocks(5), ["id"], "size", "part").collect() == []
+
+
+def test_templates_equal_plain_packing():
     rng = random.Random(1)
-    for _ in range(200):
-        sizes = [rng.randint(1, 20) for _ in range(rng.randint(0, 30))]
-        left, bag, want = sorted((s, k) for k, s in enumerate(sizes) if s <= 16), 0, [-1] * len(sizes)
-        while left:
-            room = 16
-            while fitting := [x for x in left if x[0] <= room]:
-                s, k = fitting[-1]
-                left.remove((s, k))
-                want[k], room = bag, room - s
-            bag += 1
-        assert packing.bags(sizes, 16) == want
+    for _ in range(300):
+        capacity = rng.randint(1, 20)
+        sizes = [rng.choice([0, 1, rng.randint(0, 25)]) for _ in range(rng.randint(0, 40))]
+        counts = {s: sizes.count(s) for s in set(sizes)}
+        want = plain_bags(sizes, capacity)
+        held = {}
+        for s, b in zip(sizes, want):
+            if b >= 0:
+                held.setdefault(b, {}).setdefault(s, 0)
+                held[b][s] += 1
+        got = {}
+        for first, times, uses in packing.templates(counts, capacity):
+            for b in range(first, first + times):
+                got[b] = uses
+        assert got == held
+
+
+def test_knapsack_of_a_whole_table(spark):
+    """A third of the items has one size; some are empty, too large or of no size."""
+    rng = random.Random(4)
+    sizes = [4 if k % 3 == 0 else rng.choice([0, 1, 2, 3, 7, 11, 12, 13, 40]) for k in range(400)]
+    table = spark.createDataFrame([(k, s, "x") for k, s in enumerate(sizes)], "id long, size int, _number string").repartition(4)
+    got = packing.knapsack(table, "id", "size", 12)
+    assert got.columns == ["id", "size", "_number", "bag"]
+    assert [r.bag for r in got.orderBy("id").collect()] == plain_bags(sizes, 12)
+    unknown = spark.createDataFrame([(1, None), (2, 3)], "id long, size int")
+    assert sorted((r.id, r.bag) for r in packing.knapsack(unknown, "id", "size", 12).collect()) == [(1, -1), (2, 0)]
+    assert packing.knapsack(table.limit(0), "id", "size", 12).collect() == []
 
 
 def one(spark, **columns):
@@ -132,22 +209,20 @@ def test_blocks_of_queries_give_the_same(spark):
 
 def test_packed_examples_equal_plain(spark):
     rng = random.Random(3)
-    rows = [(g, i, [rng.randrange(9) + 1 for _ in range(rng.choice([0, 1, 3, 7, 14, 15, 16]))]) for g in range(3) for i in range(20)]
-    table = spark.createDataFrame([(g, i, x, x) for g, i, x in rows], "grp long, id long, input_ids array<long>, labels array<long>")
-    want = []
-    for g in range(3):
-        own = [(i, x) for h, i, x in rows if h == g and len(x) < 15]
-        numbers = packing.bags([len(x) for _, x in own], 15)
-        for bag in set(numbers):
-            inside = [x for (_, x), b in zip(own, numbers) if b == bag]
-            ids, places = sum(inside, []), [k for x in inside for k in range(len(x))]
-            gap = 16 - len(ids)
-            want.append((g, bag, ids + [0] * gap, ids[1:] + [-100] * (16 - len(ids[1:])), [1] * len(ids) + [0] * gap, places + [15] * gap))
-    got = packing.packed_examples(table, "grp", "id", 16, 0)
-    assert sorted(map(tuple, got.collect())) == sorted(want)
-    shares = [packing.split_columns(got, 2, r, "ulysses").orderBy("grp", "bag").collect() for r in (0, 1)]
-    for a, b, w in zip(*shares, sorted(want)):
-        assert a.input_ids + b.input_ids == w[2] and a.attention_mask == b.attention_mask == w[4]
+    rows = [(i, [rng.randrange(9) + 1 for _ in range(rng.choice([0, 1, 3, 7, 14, 15, 16]))]) for i in range(60)]
+    table = spark.createDataFrame([(i, x, x) for i, x in rows], "id long, input_ids array<long>, labels array<long>").repartition(3)
+    own = [x for _, x in rows if len(x) < 15]
+    numbers, want = plain_bags([len(x) for x in own], 15), []
+    for bag in sorted(set(numbers)):
+        inside = [x for x, b in zip(own, numbers) if b == bag]
+        ids, places = sum(inside, []), [k for x in inside for k in range(len(x))]
+        gap = 16 - len(ids)
+        want.append((bag, ids + [0] * gap, ids[1:] + [-100] * (16 - len(ids[1:])), [1] * len(ids) + [0] * gap, places + [15] * gap))
+    got = packing.packed_examples(table, "id", 16, 0)
+    assert sorted(map(tuple, got.collect())) == want
+    shares = [packing.split_columns(got, 2, r, "ulysses").orderBy("bag").collect() for r in (0, 1)]
+    for a, b, w in zip(*shares, want):
+        assert a.input_ids + b.input_ids == w[1] and a.attention_mask == b.attention_mask == w[3]
 
 
 def test_sizes_for_readers(spark):
@@ -319,11 +394,11 @@ def test_training_shares_keep_every_example(spark):
     table = spark.createDataFrame([(i, x, x) for i, x in rows], "id long, input_ids array<long>, labels array<long>")
     seen = []
     for seed in (1, 1, 2):
-        shares = packing.training_shares(table, "id", seed, 16, -1, 2, "ulysses", width=64).collect()
+        shares = packing.training_shares(table, "id", seed, 16, -1, 2, "ulysses").collect()
         whole = {}
-        for r in sorted(shares, key=lambda r: (r.grp, r.bag, r.rank)):
+        for r in sorted(shares, key=lambda r: (r.bag, r.rank)):
             assert len(r.input_ids) == len(r.labels) == len(r.position_ids) == 8 and len(r.attention_mask) == 16
-            whole.setdefault((r.grp, r.bag), []).extend(r.input_ids)
+            whole.setdefault(r.bag, []).extend(r.input_ids)
         assert sorted(t for ids in whole.values() for t in ids if t >= 0) == sorted(t for _, x in rows for t in x)
         seen.append(whole)
     assert seen[0] == seen[1] != seen[2]
