@@ -213,7 +213,7 @@ def byte_cuts(spark: SparkSession, made: Shards, based: list, shards: int, text:
 
 
 def read_manifest(spark: SparkSession, made: Shards) -> DataFrame:
-    """A row a file: file, shard, shard_start, base and first (numbers of rows), n, bytes, least_ and most_ of curve and columns."""
+    """A row for each file and run in it: file, part, shard, shard_start, base and first (numbers of rows), n, bytes, least_ and most_ of curve and columns."""
     return spark.read.parquet(f"{made.path}/manifest")
 
 
@@ -227,9 +227,10 @@ def files_for(manifest: DataFrame, **within: tuple) -> DataFrame:
 def read_shards(spark: SparkSession, made: Shards, columns: tuple[str, ...], shard: str = "shard", slot: str = "slot") -> DataFrame:
     """columns (names of the files' own) of all rows, read from the files, with each row's shard and its number there."""
     rows = spark.read.option("recursiveFileLookup", "true").parquet(f"{made.path}/rows")
-    rows = rows.select(*columns, F.col(made.place).alias("_at"), file_name().alias("_file"))
-    files = read_manifest(spark, made).select(F.col("file").alias("_file"), F.col("shard").alias("_s"), (F.col("base") - F.col("shard_start")).alias("_from"))
-    placed = rows.join(bounded_broadcast(files, F.octet_length("_file") + 16), "_file")
+    rows = rows.select(*columns, F.col(made.place).alias("_at"), F.shiftright(made.place, 33).alias("_part"), file_name().alias("_file"))
+    # A file of cut runs may hold the ends of several, each with its own numbers.
+    files = read_manifest(spark, made).select(F.col("file").alias("_file"), F.col("part").alias("_part"), F.col("shard").alias("_s"), (F.col("base") - F.col("shard_start")).alias("_from"))
+    placed = rows.join(bounded_broadcast(files, F.octet_length("_file") + 24), ["_file", "_part"])
     return placed.select(*columns, F.col("_s").cast("int").alias(shard), (F.col("_from") + F.col("_at").bitwiseAND(PLACE)).alias(slot))
 
 

@@ -68,6 +68,20 @@ def test_laws(spark, law, n, run_rows, tmp_path):
     assert {r.file for r in manifest} == on_disk
 
 
+def test_cut_runs_may_share_a_file(spark, tmp_path):
+    """Small files are read together, so that one task writes the ends of several runs."""
+    docs = rows_of(300)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        made = h.write_shards(spark.createDataFrame(docs, SCHEMA), GRID, "doc_id", 16, path=str(tmp_path / "s"), run_rows=10)
+        got = h.read_shards(spark, made, ("doc_id",)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    manifest = h.read_manifest(spark, made).collect()
+    assert len({r.file for r in manifest}) < len(manifest)
+    assert sorted((r["shard"], r.slot) for r in got) == [(s, k) for s in range(16) for k in range((s + 1) * len(docs) // 16 - s * len(docs) // 16)]
+
+
 def test_files_are_pruned_by_several_columns(spark, tmp_path):
     """Conditions on either of two columns open few files; sorted by one, the other opens all."""
     rows = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), (F.xxhash64("id") % 1000).alias("x"), (F.xxhash64("id", F.lit(1)) % 1000).alias("y"))
