@@ -5,6 +5,7 @@ import random
 import shutil
 import subprocess
 import sys
+from datetime import datetime, timedelta
 
 import duckdb
 import numpy as np
@@ -404,29 +405,58 @@ def test_training_shares_keep_every_example(spark):
     assert seen[0] == seen[1] != seen[2]
 
 
+def minute(n):
+    return datetime(2024, 1, 1) + timedelta(minutes=n)
+
+
+def state_rows(query):
+    """Rows of state after each batch."""
+    return [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+
+
 def test_streams_equal_batches(spark, tmp_path):
+    """A query's tokens come in files and batches of their own, some twice; it is answered once, as in a batch."""
     rng = np.random.default_rng(0)
     memory = spark.createDataFrame([(k // 3, k, rng.normal(size=8).tolist()) for k in range(90)], routing.CHUNKS)
-    tokens = [spark.createDataFrame([(q, t, rng.normal(size=8).tolist()) for t in (0, 1)], routing.TOKENS).coalesce(1) for q in range(6)]
-    for t in tokens:
-        t.write.mode("append").parquet(f"{tmp_path}/in")
+    tokens = [(q, t, 2, rng.normal(size=8).tolist(), minute(t)) for t in (0, 1) for q in range(6)]
+    whole = tokens.copy()
+    tokens += [tokens[0], (9, 0, 2, [0.0] * 8, minute(1))]
+    for part in (tokens[:1], tokens[12:13], tokens[1:7], tokens[7:12], tokens[13:]):
+        spark.createDataFrame(part, requests.REQUESTS).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
     config = MemoryConfig(heads=2, top_k=3)
-    stream = requests.request_stream(spark, f"{tmp_path}/in", routing.TOKENS, files=2)
-    requests.serve(stream, memory, config, f"{tmp_path}/out", f"{tmp_path}/state").awaitTermination()
+    stream = requests.request_stream(spark, f"{tmp_path}/in", requests.REQUESTS, files=1)
+    query = requests.serve(stream, memory, config, f"{tmp_path}/out", f"{tmp_path}/state")
+    query.awaitTermination()
     got = spark.read.parquet(f"{tmp_path}/out").drop("batch")
-    want = routing.route(memory, spark.read.parquet(f"{tmp_path}/in"), config)
+    want = routing.route(memory, spark.createDataFrame(whole, requests.REQUESTS), config)
     key = lambda r: (r.query_id, r.rank)
     assert [(key(r), r.doc_id) for r in sorted(got.collect(), key=key)] == [(key(r), r.doc_id) for r in sorted(want.collect(), key=key)]
+    # Only the query that lacks a token is still held: its token, and its timer in two indexes.
+    assert max(state_rows(query)) > state_rows(query)[-1] <= 3
+
+
+def test_parts_are_gathered_and_abandoned_state_goes(spark, tmp_path):
+    schema = "k long, p long, n long, v string, ts timestamp"
+    batches = [[(1, 1, 2, "b", minute(0)), (2, 0, 1, "z", minute(0)), (3, 1, 3, "y", minute(0))], [(1, 0, 2, "a", minute(1)), (3, 1, 3, "y", minute(2))], [(4, 0, 1, "late", minute(500))]]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    found = requests.gathered(requests.request_stream(spark, f"{tmp_path}/in", schema, files=1), "k", "p", "n", "v")
+    query = requests.appended(found, f"{tmp_path}/out", f"{tmp_path}/state")
+    query.awaitTermination()
+    assert sorted((r.k, r.parts) for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [(1, ["a", "b"]), (2, ["z"]), (4, ["late"])]
+    assert max(state_rows(query)) > 0 == state_rows(query)[-1]
 
 
 def test_rounds_keep_state(spark, tmp_path):
-    schema = "conv_id long, turn long, done boolean"
-    for rows in ([(1, 0, False), (2, 0, True)], [(1, 1, True), (3, 0, False)], [(1, 2, False), (3, 1, False)]):
+    schema = "conv_id long, turn long, done boolean, ts timestamp"
+    batches = [[(1, 0, False, minute(0)), (2, 0, True, minute(0))], [(1, 1, True, minute(1)), (3, 0, False, minute(1))], [(1, 2, False, minute(2)), (3, 1, False, minute(2))], [(4, 0, False, minute(300))]]
+    for rows in batches:
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
-    found = requests.rounds(requests.request_stream(spark, f"{tmp_path}/in", schema, files=1), most=2)
-    query = found.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/state").option("path", f"{tmp_path}/out").trigger(availableNow=True).start()
+    query = requests.appended(requests.rounds(requests.request_stream(spark, f"{tmp_path}/in", schema, files=1), most=2), f"{tmp_path}/out", f"{tmp_path}/state")
     query.awaitTermination()
     assert sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [(1, 2), (2, 1), (3, 2)]
+    # Requests that are over are forgotten an hour later; one that isn't is still held.
+    assert state_rows(query)[-1] <= 3 < max(state_rows(query))
 
 
 def test_windowed_counts(spark):
