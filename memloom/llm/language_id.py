@@ -179,11 +179,12 @@ def fit(docs: DataFrame, options: Options = Options()) -> ByteNet | None:
     return net
 
 
-def identify(docs: DataFrame, net: ByteNet | None, chunk: int = 256) -> DataFrame:
-    """docs with lang_pred and score."""
-    docs = docs.drop("lang_pred", "score")
+def identify(docs: DataFrame, net: ByteNet | None, chunk: int = 256, lang_pred: str = "lang_pred", score: str = "score") -> DataFrame:
+    """docs with lang_pred and score, under names that docs must not have yet (see free_name)."""
+    if taken := {lang_pred.lower(), score.lower()} & {c.lower() for c in docs.columns}:
+        raise ValueError(f"documents have columns {sorted(taken)} of their own")
     names, at = docs.columns, docs.columns.index("text")
-    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(lang_pred, T.StringType()), T.StructField(score, T.DoubleType())])
     sent = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,11 +214,11 @@ def identify(docs: DataFrame, net: ByteNet | None, chunk: int = 256) -> DataFram
                         flush()
             if held:
                 flush()
-            lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
+            lang, share = [UNKNOWN] * len(texts), np.zeros(len(texts))
             for k in known:
                 best = int(total[k].argmax())
-                lang[k], score[k] = own.languages[best], total[k, best] / total[k].sum()
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score)], names=[*names, "lang_pred", "score"])
+                lang[k], share[k] = own.languages[best], total[k, best] / total[k].sum()
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(share)], names=[*names, lang_pred, score])
 
     return docs.mapInArrow(run, schema)
 

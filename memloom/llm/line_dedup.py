@@ -230,14 +230,15 @@ def routed_hits(docs: DataFrame, rare: DataFrame, common, min_chars: int, total_
     return hits.groupBy("doc_id").agg(F.collect_set(F.struct("hi", "lo")).alias("_line_hits"))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, array_bytes: int = 32 << 20) -> DataFrame:
-    """docs with text without repeated lines, and n_lines (before), n_dropped.
+def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, array_bytes: int = 32 << 20, n_lines: str = "n_lines", n_dropped: str = "n_dropped") -> DataFrame:
+    """docs with text without repeated lines, and n_lines (before), n_dropped, under names that docs must not have yet (see free_name).
 
     A line whose key has at least min_chars code points and is on at least
     min_docs rows stays only in rows with the largest doc_id that holds it.
     """
     spark = docs.sparkSession
-    docs = docs.drop("n_lines", "n_dropped")
+    if taken := {n_lines.lower(), n_dropped.lower()} & {c.lower() for c in docs.columns}:
+        raise ValueError(f"documents have columns {sorted(taken)} of their own")
     counts = written(line_counts(docs, min_chars, min_docs), "lines")
     total, most = counts.count(), max(1, array_bytes // LINE_BYTES)
     if total <= most:
@@ -258,7 +259,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, array_b
     routed = hits is not None
     names, at, key = docs.columns, docs.columns.index("text"), docs.columns.index("doc_id")
     fields = [T.StructField(f.name, T.StringType() if f.name == "text" else f.dataType, True) for f in docs.schema.fields]
-    schema = T.StructType([*fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
+    schema = T.StructType([*fields, T.StructField(n_lines, T.LongType()), T.StructField(n_dropped, T.LongType())])
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
@@ -275,7 +276,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, array_b
             kept = ["\n".join(x if r not in gone else [y for k, y in enumerate(x) if k not in gone[r]]) for r, x in enumerate(lines)]
             columns = [pa.array(kept, pa.string()) if k == at else batch.column(k) for k in range(len(names))]
             columns += [pa.array([len(x) for x in lines], pa.int64()), pa.array([len(gone.get(r, ())) for r in range(len(lines))], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "n_lines", "n_dropped"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, n_lines, n_dropped])
 
     source = docs.select(*names)
     if routed:

@@ -92,7 +92,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, options: Options = Optio
     """Buckets and weights, from labelled rows outside the held-out fold."""
     o, spark = options, docs.sparkSession
     usable = labels.select(F.col("doc_id").cast("long").alias("id"), F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1) & (fold(F.col("id")) != 1))
-    chosen = usable.orderBy(F.xxhash64("id"), "id", "y").limit(o.max_rows)
+    # An id that is labelled more than once counts once, as 1 if any label says so.
+    chosen = usable.groupBy("id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(o.max_rows)
     shards = max(1, -(-chosen.count() // o.shard_rows))
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,7 +102,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, options: Options = Optio
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], names=["shard", "y", "at"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("own_id"), F.col("text").cast("string").alias("text"))
-    joined = texts.join(F.broadcast(chosen), F.col("own_id") == F.col("id")).select(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(shards)).alias("shard"), "y", "text")
+    # One text for each id, so that the bound on labels is one on rows.
+    one = texts.join(F.broadcast(chosen), F.col("own_id") == F.col("id")).groupBy("id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    joined = one.select(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(shards)).alias("shard"), "y", "text")
     sample = written(joined.mapInArrow(featured, "shard long, y int, at array<int>"), "toxic")
     state = {"at": np.zeros(0, np.int64), "z": np.zeros(0), "n": np.zeros(0)}
     for _ in range(o.rounds):

@@ -89,6 +89,38 @@ def test_words_of_few_toxic_rows(spark, frame, shard_rows):
     assert np.mean([r.predicted for r in told if r.doc_id >= 40]) < 0.05
 
 
+def test_toxicity_sample_is_bounded(spark, frame, monkeypatch):
+    """An id on many rows, or with many labels, is one row of the sample."""
+    rows = [(2, f"text {k % 7}") for k in range(3000)] + [(k, f"word{k}") for k in range(100, 160)]
+    labels = spark.createDataFrame([(2, 1), (2, 0), (2, 1)] * 20 + [(k, 0) for k in range(100, 160)], "doc_id long, toxic int")
+    sizes = []
+    monkeypatch.setattr(toxicity, "written", lambda df, tag: sizes.append(df.count()) or df)
+    for most in (10, 16_000):
+        toxicity.fit(frame(rows), labels, "toxic", toxicity.Options(max_rows=most))
+    usable = [k for k in (2, *range(100, 160)) if zlib.crc32(str(k).encode()) % 3 != 1]
+    assert sizes[0] <= 10 and sizes[1] == len(usable)
+
+
+def test_toxicity_features_and_scores_equal_plain(spark, frame):
+    """Distinct words, pairs and pairs that skip a word; a score is the logistic of their weights' sum."""
+    one = lambda text: set(toxicity.features(text, 30).tolist()) - {0}
+    for text in ("a", "a b", "a b c", "a b a b c a", "It is. It was, it IS!", "x " * 50, "é ü z"):
+        words = text.lower().translate(str.maketrans("", "", ".,!")).split()
+        plain = {(w,) for w in words} | {(1, *p) for p in zip(words, words[1:])} | {(2, *p) for p in zip(words, words[2:])}
+        assert len(one(text)) == len(plain)
+    assert one("a b c") > one("a b") > one("a") and one("a b c") & one("a x c") == (one("a") | one("c")) | (one("a b c") - one("a b") - one("b c") - one("c") - one("a"))
+    assert one(None) == one("") == set()
+    model = {"at": np.array([0, *sorted(one("vile thing"))[:2]], np.int32), "w": np.array([-1.0, 2.5, 0.25])}
+    texts = ["vile thing", "thing", "", None, "vile vile thing " * 9]
+    # The same buckets with fewer bits: their leading ones.
+    model["at"] = (model["at"] >> 10).astype(np.int32)
+    weights = dict(zip(model["at"].tolist(), model["w"].tolist()))
+    got = toxicity.score(frame(list(enumerate(texts))), model).collect()
+    for r in got:
+        total = sum(weights.get(int(b), 0.0) for b in toxicity.features(texts[r.doc_id], 20))
+        assert r.score == pytest.approx(1 / (1 + np.exp(-total))) and r.predicted == int(r.score >= 0.7)
+
+
 def test_toxicity_without_labels(spark, frame):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     got = toxicity.toxicity_report(frame([(1, "a b"), (2, None)]), none).collect()

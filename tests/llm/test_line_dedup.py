@@ -66,9 +66,11 @@ def test_routed_groups_are_bounded(frame, monkeypatch):
 
 
 def test_columns_stay(frame):
-    got = dedup_lines(frame(rows()))
-    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "spans", "score", "node", "n_lines", "n_dropped"]
-    assert {r.node for r in got.collect()} == {9}
+    with pytest.raises(ValueError, match="n_lines"):
+        dedup_lines(frame(rows()))
+    got = dedup_lines(frame(rows()), n_lines="before", n_dropped="gone")
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "spans", "n_lines", "score", "node", "before", "gone"]
+    assert {(r.n_lines, r.node) for r in got.collect()} == {(8, 9)}
 
 
 def test_empty_table(frame):

@@ -94,3 +94,17 @@ def test_stages(spark, folder):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, path).columns == docs.columns
     assert language_id.UNKNOWN == "und"
+
+
+def test_columns_of_the_documents_own_stay(spark, folder):
+    """Stages add columns under free names: like-named ones keep their values."""
+    path, rows, _ = folder
+    own = "score double, lang_pred string, n_lines long, n_dropped long, node long, n_shingles long, component_id long, item_id long, containment double"
+    mine = (42.0, "mine", -7, -8, -9, -10, -11, -12, 0.5)
+    docs = spark.createDataFrame([(*r, *mine) for r in rows[:120]], f"{SCHEMA}, {own}")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, path)
+        assert got.columns == docs.columns, name
+        kept = got.collect()
+        assert kept and {tuple(r)[5:] for r in kept} == {mine}, name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, path).count() == 120
