@@ -8,7 +8,8 @@ tests hold the pipeline against plain Python.
 Defined cases: a text that is null, empty or without letters goes in the first
 stage; a null lang or source stays; rows with one doc_id are separate documents
 throughout, and of repeated rows the near-copy stage keeps one; an empty table
-gives no rows; a very long text is taken whole by every stage.
+gives no rows; a very long text is taken whole by every stage; columns of the
+documents' own keep their values, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from memloom.llm import bpe_stream, decontaminate, jaccard_join, language_id, line_dedup
-from memloom.llm.common import documents, written
+from memloom.llm.common import documents, free_name, written
 
 #: A document whose likeliest language has less than this share is rejected.
 MIN_SCORE = 0.5
@@ -29,13 +30,14 @@ TOKENIZER = "word_bpe_49k.json"
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the network tells; those without letters or with no likely language go."""
-    told = language_id.identify(docs, language_id.fit(docs))
-    return told.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_SCORE)).select(*docs.columns)
+    lang, score = free_name("lang_pred", docs), free_name("score", docs)
+    told = language_id.identify(docs, language_id.fit(docs), lang_pred=lang, score=score)
+    return told.where((F.col(lang) != language_id.UNKNOWN) & (F.col(score) >= MIN_SCORE)).select(*docs.columns)
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that at least five hold, except in the last that does; n_chars follows the text."""
-    kept = line_dedup.dedup_lines(docs)
+    kept = line_dedup.dedup_lines(docs, n_lines=free_name("n_lines", docs), n_dropped=free_name("n_dropped", docs))
     return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
