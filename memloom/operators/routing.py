@@ -4,7 +4,10 @@ Queries are a stated set, taken in blocks of bounded size; each block is
 broadcast and multiplied with batches of chunks, so memory is read once for
 each block and never shuffled.  With max over chunks, a batch hands on only its
 own best documents of each query: a document's best chunk ranks at least as
-high in its batch as over all.  With mean, a batch hands on sums and counts.
+high in its batch as over all.  With mean, a document's chunks are added up as they
+come: one that is whole within a task (n_chunks says how many it has) competes
+there, and a task hands on its best of each query and the sums of those documents
+of which it has seen a part, which are few if memory is laid out by document.
 """
 
 from __future__ import annotations
@@ -37,42 +40,118 @@ def _scores(q: np.ndarray, x: np.ndarray, config: MemoryConfig) -> np.ndarray:
     return out / scale
 
 
+def vectors_of(column: pa.Array) -> np.ndarray:
+    """Lists of one length as the rows of a matrix, without an object for each number."""
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return flat.astype(np.float64, copy=False).reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+
+
+def _by_document(docs: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct documents, the best and the sum of their chunks' scores of each query, and how many chunks there are."""
+    own, inverse = np.unique(docs, return_inverse=True)
+    order = np.argsort(inverse, kind="stable")
+    starts = np.flatnonzero(np.r_[True, np.diff(inverse[order]) > 0])
+    return own, np.maximum.reduceat(scores[:, order], starts, axis=1), np.add.reduceat(scores[:, order], starts, axis=1), np.bincount(inverse)
+
+
+def _rows(found: list[tuple]) -> pa.RecordBatch:
+    """query, doc, best, total, n arrays as one batch."""
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[k] for f in found])) for k in range(5)], names=["query_id", "doc_id", "best", "total", "n"])
+
+
+class _Whole:
+    """The best documents, of those that were seen whole, of each query of a block, and what was seen of others."""
+
+    def __init__(self, queries: np.ndarray, k: int):
+        self.queries, self.k = queries, k
+        self.ids, self.n = np.zeros((len(queries), 0), np.int64), np.zeros((len(queries), 0), np.int64)
+        self.total = np.zeros((len(queries), 0))
+        self.open: dict[int, tuple[np.ndarray, int, int]] = {}
+
+    def add(self, docs: np.ndarray, total: np.ndarray, n: np.ndarray, wanted: np.ndarray) -> None:
+        known = np.array([d in self.open for d in docs.tolist()], dtype=bool)
+        whole = (n == wanted) & ~known
+        late, sums = [], []
+        for j in np.flatnonzero(~whole).tolist():
+            doc = int(docs[j])
+            t, m, _ = self.open.pop(doc, (0.0, 0, 0))
+            if m + n[j] == wanted[j]:
+                late.append(j)
+                sums.append(t + total[:, j])
+            else:
+                self.open[doc] = (t + total[:, j], int(m + n[j]), int(wanted[j]))
+        at = np.r_[np.flatnonzero(whole), np.array(late, dtype=np.int64)]
+        ids = np.concatenate([self.ids, np.broadcast_to(docs[at], (len(self.queries), len(at)))], axis=1)
+        counts = np.concatenate([self.n, np.broadcast_to(wanted[at], (len(self.queries), len(at)))], axis=1)
+        totals = np.concatenate([self.total, total[:, whole], *([np.stack(sums, axis=1)] if sums else [])], axis=1)
+        best = np.lexsort((ids, -(totals / np.maximum(counts, 1))), axis=1)[:, : self.k]
+        self.ids, self.n, self.total = (np.take_along_axis(x, best, axis=1) for x in (ids, counts, totals))
+
+    def parts(self) -> Iterator[tuple]:
+        """Rows of documents that were not seen whole, which are forgotten."""
+        for doc, (total, n, _) in self.open.items():
+            size = len(self.queries)
+            yield self.queries, np.full(size, doc), total, total, np.full(size, n)
+        self.open.clear()
+
+    def bests(self) -> tuple:
+        return np.repeat(self.queries, self.ids.shape[1]), self.ids.ravel(), self.total.ravel(), self.total.ravel(), self.n.ravel()
+
+
 def partial_scores(chunks: DataFrame, block: list[tuple[int, int, list[float]]], config: MemoryConfig) -> DataFrame:
-    """Each batch's scores of documents for one block of query tokens (query_id, tok, vec), ordered by query and token."""
+    """Each batch's (with mean: each task's) scores of documents for one block of query tokens (query_id, tok, vec), ordered by query and token."""
     ids = np.array([b[0] for b in block])
     vectors = np.array([b[2] for b in block], dtype=np.float64)
     first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
     last = np.r_[first[1:], len(ids)] - 1
     sent = chunks.sparkSession.sparkContext.broadcast((ids[first], first, last, vectors))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries, first, last, vectors = sent.value
+    mean = config.chunk == "mean"
+
+    def slices(batch: pa.RecordBatch) -> Iterator[tuple]:
+        _, first, last, vectors = sent.value
+        for at in range(0, batch.num_rows, 2048):
+            part = batch.slice(at, 2048)
+            scores = _scores(vectors, vectors_of(part.column(1)), config)
+            if config.query == "last":
+                scores = scores[last]
+            else:
+                scores = (np.maximum if config.query == "max" else np.add).reduceat(scores, first, axis=0)
+                scores = scores / (last - first + 1)[:, None] if config.query == "mean" else scores
+            yield part, _by_document(part.column(0).to_numpy(), scores)
+
+    def best_of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries = sent.value[0]
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
-                x = np.array(part.column(2).to_pylist(), dtype=np.float64)
-                scores = _scores(vectors, x, config)
-                if config.query == "last":
-                    scores = scores[last]
-                else:
-                    scores = (np.maximum if config.query == "max" else np.add).reduceat(scores, first, axis=0)
-                    scores = scores / (last - first + 1)[:, None] if config.query == "mean" else scores
-                docs, own = np.unique(part.column(0).to_numpy(), return_inverse=True)
-                order = np.argsort(own, kind="stable")
-                starts = np.flatnonzero(np.r_[True, np.diff(own[order]) > 0])
-                best = np.maximum.reduceat(scores[:, order], starts, axis=1)
-                total = np.add.reduceat(scores[:, order], starts, axis=1)
-                counts = np.bincount(own)
-                for k, query in enumerate(queries.tolist()):
-                    keep = np.arange(len(docs))
-                    if config.chunk == "max" and len(docs) > config.top_k:
-                        keep = np.flatnonzero(best[k] >= np.partition(best[k], -config.top_k)[-config.top_k])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(keep), query)), pa.array(docs[keep]), pa.array(best[k, keep]), pa.array(total[k, keep]), pa.array(counts[keep])],
-                        names=["query_id", "doc_id", "best", "total", "n"],
-                    )
-
-    return chunks.select("doc_id", "chunk_id", "vec").mapInArrow(run, PARTIAL)
+            found = []
+            for _, (docs, best, total, n) in slices(batch):
+                keep = np.ones(best.shape, dtype=bool)
+                if len(docs) > config.top_k:
+                    keep = best >= np.partition(best, -config.top_k, axis=1)[:, -config.top_k][:, None]
+                q, d = np.nonzero(keep)
+                found.append((queries[q], docs[d], best[q, d], total[q, d], n[d]))
+            if found:
+                yield _rows(found)
+
+    def whole_in_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _Whole(sent.value[0], config.top_k)
+        for batch in batches:
+            for part, (docs, _, total, n) in slices(batch):
+                sizes = part.column(2).to_numpy()
+                held.add(docs, total, n, sizes[np.unique(part.column(0).to_numpy(), return_index=True)[1]])
+                if len(held.open) > 1024:
+                    yield _rows(list(held.parts()))
+        yield _rows([held.bests(), *held.parts()])
+
+    if mean:
+        return chunks.select("doc_id", "vec", F.col("n_chunks").cast("long")).mapInArrow(whole_in_tasks, PARTIAL)
+    return chunks.select("doc_id", "vec").mapInArrow(best_of_batches, PARTIAL)
+
+
+def with_sizes(chunks: DataFrame) -> DataFrame:
+    """chunks with n_chunks, their document's number of chunks, where it isn't known: counted over ids alone."""
+    if "n_chunks" in chunks.columns:
+        return chunks
+    return chunks.join(chunks.groupBy("doc_id").agg(F.count("*").alias("n_chunks")), "doc_id")
 
 
 def query_blocks(tokens: DataFrame, most: int) -> Iterator[list[tuple[int, int, list[float]]]]:
@@ -88,6 +167,7 @@ def query_blocks(tokens: DataFrame, most: int) -> Iterator[list[tuple[int, int,
 def document_scores(chunks: DataFrame, tokens: DataFrame, config: MemoryConfig, most: int = 4096) -> DataFrame:
     """query_id, doc_id, score; with max over chunks only documents that can be among the best."""
     out = chunks.sparkSession.createDataFrame([], PARTIAL)
+    chunks = with_sizes(chunks) if config.chunk == "mean" else chunks
     for block in query_blocks(tokens, most):
         out = out.unionByName(partial_scores(chunks, block, config))
     score = F.max("best") if config.chunk == "max" else F.sum("total") / F.sum("n")
@@ -144,12 +224,40 @@ def sampled_token(logits: DataFrame, by: str, token: str, logit: str, temperatur
     return next_token(logits.withColumn("_noisy", F.col(logit) / temperature - F.log(-F.log(u))), by, token, "_noisy")
 
 
-def attention_readout(weights: DataFrame, values: DataFrame) -> DataFrame:
-    """weights: query_id, chunk_id, score; values: chunk_id, vec.  query_id, dim, value: the softmax mean of the values."""
-    top = weights.groupBy("query_id").agg(F.max("score").alias("top"))
-    shifted = weights.join(top, "query_id").withColumn("w", F.exp(F.col("score") - F.col("top")))
-    spread = shifted.join(values, "chunk_id").select("query_id", "w", F.posexplode("vec").alias("dim", "x"))
-    return spread.groupBy("query_id", "dim").agg((F.sum(F.col("w") * F.col("x")) / F.sum("w")).alias("value"))
+def masked_scores(samples: DataFrame, config: MemoryConfig) -> DataFrame:
+    """sample, chunk, score of the chunks that a mask keeps.  samples: sample, q, q_mask, k, k_mask, all padded anywhere.
+
+    What a mask leaves out is dropped before anything is multiplied, so pads may
+    hold any numbers and samples of a batch any lengths.  Without a query token
+    chunks have no score.
+    """
+
+    def packed(vectors: pa.Array, mask: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The kept vectors of all samples one after the other, their places, and where each sample begins."""
+        kept = mask.flatten().to_numpy(zero_copy_only=False) != 0
+        flat = vectors.flatten()
+        rows = vectors_of(flat)[kept] if len(flat) else np.zeros((0, 0))
+        lengths = np.diff(mask.offsets.to_numpy())
+        sample = np.repeat(np.arange(len(lengths)), lengths)
+        place = np.arange(len(sample)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        return rows, place[kept], np.r_[0, np.cumsum(np.bincount(sample[kept], minlength=len(lengths)))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            q, _, at = packed(batch.column(1), batch.column(2))
+            k, place, begin = packed(batch.column(3), batch.column(4))
+            out = np.full(len(place), np.nan)
+            for s in range(batch.num_rows):
+                own = slice(begin[s], begin[s + 1])
+                if at[s] == at[s + 1] or begin[s] == begin[s + 1]:
+                    continue
+                scores = _scores(q[at[s] : at[s + 1]], k[own], config)
+                out[own] = scores[-1] if config.query == "last" else scores.max(axis=0) if config.query == "max" else scores.mean(axis=0)
+            names = pa.array(np.repeat(batch.column(0).to_numpy(), np.diff(begin)))
+            yield pa.RecordBatch.from_arrays([names, pa.array(place.astype(np.int64)), pa.array(out, from_pandas=True)], names=["sample", "chunk", "score"])
+
+    columns = samples.select(F.col("sample").cast("long"), "q", "q_mask", "k", "k_mask")
+    return columns.mapInArrow(run, "sample long, chunk long, score double")
 
 
 def pooled_chunks(vectors: DataFrame, pool: int) -> DataFrame:

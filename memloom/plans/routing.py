@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from memloom.config import MemoryConfig
 from memloom.functions import vectors
-from memloom.operators import hooks, routing
+from memloom.operators import hooks, readout, routing
+from memloom.sources import snapshots
+from memloom.tables import scratch
 
 BASE = MemoryConfig()
 
@@ -98,14 +100,39 @@ def selected_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def attention_readout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The softmax mean of the chunks of each query's best documents."""
+    """What all question tokens read from a template (the first four vectors), the best documents' chunks and the question so far."""
     memory, asked = chunks(spark, sf_dir), tokens(spark, sf_dir)
     won = routing.route(memory, asked, BASE).select("query_id", "doc_id")
-    last = asked.where("tok = 0").select("query_id", F.col("vec").alias("q"))
-    near = won.join(memory, "doc_id").join(last, "query_id")
-    weights = near.select("query_id", "chunk_id", (vectors.dot(F.col("q"), F.col("vec")) / 8.0).alias("score"))
-    out = routing.attention_readout(weights, memory.select("chunk_id", "vec"))
-    return out.select("query_id", F.col("dim").cast("long").alias("dim"), F.round("value", 6).alias("value"))
+    template = [(r["vec"], r["vec"]) for r in memory.where("chunk_id < 4").orderBy("chunk_id").collect()]
+    said = asked.select("query_id", "tok", *[F.col("vec").alias(c) for c in "qkv"])
+    out = readout.read_out(memory.select("doc_id", F.col("vec").alias("k"), F.col("vec").alias("v")), won, said, template, 8, 8, 8**-0.5)
+    rows = out.select("query_id", "tok", F.posexplode("vec").alias("dim", "value"))
+    return rows.select("query_id", "tok", F.col("dim").cast("long").alias("dim"), F.round("value", 6).alias("value"))
+
+
+def late_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Routes on a snapshot's router keys, then reads keys and values of the best documents from the files that hold them."""
+    path = scratch(spark, "memory")
+    rows = chunks(spark, sf_dir).select("doc_id", "chunk_id", F.col("vec").alias("rk"), F.transform("vec", lambda x: x * 2).alias("k"), F.reverse("vec").alias("v"))
+    snapshots.place_memory(rows, path, 64)
+    won = routing.route(snapshots.read_placed(spark, path, "rk").withColumnRenamed("rk", "vec"), tokens(spark, sf_dir), replace(BASE, top_k=2))
+    found = snapshots.fetch_placed(spark, path, won, "k", "v").join(won.select("query_id", "doc_id"), "doc_id")
+    total = F.aggregate("k", F.lit(0.0), lambda t, x: t + x)
+    return found.select("query_id", "doc_id", "chunk_id", F.round(total, 6).alias("k_sum"), F.round(F.get("v", F.lit(0)), 6).alias("v_first"))
+
+
+def batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples of 21 vectors, the first few of which ask the others, padded to one length: tokens on the left, chunks on the right."""
+    rows = chunks(spark, sf_dir).select(F.floor(F.col("chunk_id") / 21).cast("long").alias("sample"), (F.col("chunk_id") % 21).alias("at"), "vec")
+    asks = F.col("at") < 3 + F.col("sample") % 3
+    side = lambda keep: F.transform(F.array_sort(F.collect_list(F.when(keep, F.struct("at", "vec")))), lambda x: x["vec"])
+    held = rows.groupBy("sample").agg(side(asks).alias("q0"), side(~asks).alias("k0"))
+    pads = lambda n, value: F.array_repeat(F.array_repeat(F.lit(value), 64), n)
+    ones = lambda c: F.transform(c, lambda _: F.lit(1))
+    none = lambda n: F.array_repeat(F.lit(0), n)
+    left, right = 6 - F.size("q0"), 18 - F.size("k0")
+    padded = held.select("sample", F.concat(pads(left, 7.0), "q0").alias("q"), F.concat(none(left), ones("q0")).alias("q_mask"), F.concat("k0", pads(right, -9.0)).alias("k"), F.concat(ones("k0"), none(right)).alias("k_mask"))
+    return routing.masked_scores(padded, replace(BASE, query="mean")).select("sample", "chunk", F.round("score", 6).alias("score"))
 
 
 def pool_mean_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,10 +158,10 @@ def normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def grouped_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each query token against the vector after it, eight query heads over two key heads."""
+    """Each vector against the one after it, eight query heads over two key heads."""
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", vectors.doubles(F.col("embedding")).alias("vec"))
-    q = rows.where("vec_id % 100 = 0").select("vec_id", F.col("vec").alias("q"))
-    k = rows.where("vec_id % 100 = 1").select((F.col("vec_id") - 1).alias("vec_id"), F.col("vec").alias("k"))
+    q = rows.select("vec_id", F.col("vec").alias("q"))
+    k = rows.select((F.col("vec_id") - 1).alias("vec_id"), F.col("vec").alias("k"))
     return routing.grouped_scores(q.join(k, "vec_id"), "q", "k", 8, 2, 8).select("vec_id", "head", F.round("score", 6).alias("score"))
 
 
@@ -159,6 +186,8 @@ QUERIES = {name: route_query(c) for name, c in CONFIGS.items()} | {
     "winner_chunks": winner_chunks,
     "semi_selected_chunks": selected_chunks,
     "attention_readout": attention_readout,
+    "late_fetch": late_fetch,
+    "batch_scores": batch_scores,
     "pool_mean_chunks": pool_mean_chunks,
     "pool_fixed_window": pool_fixed_window,
     "l2_normalise": normalised,
@@ -182,15 +211,23 @@ ORACLE_SQL = {name: top_sql(c) for name, c in CONFIGS.items()} | {
         FROM ranked JOIN m USING (doc_id) WHERE rank <= 16 GROUP BY query_id""",
     "semi_selected_chunks": scores_sql(BASE) + "SELECT doc_id, chunk_id FROM m WHERE doc_id IN (SELECT doc_id FROM ranked WHERE rank <= 16)",
     "attention_readout": scores_sql(BASE)
-    + """, near AS (
-            SELECT ranked.query_id, m.e, exp(list_dot_product(q.e, m.e) / 8) AS w
-            FROM ranked JOIN m USING (doc_id) JOIN q ON q.query_id = ranked.query_id AND q.tok = 0 WHERE rank <= 16)
-        SELECT query_id, d - 1 AS dim, round(sum(w * e[d]) / sum(w), 6) AS value FROM near, range(1, 65) r(d) GROUP BY query_id, d""",
+    + """, seen AS (
+            SELECT q.query_id, q.tok, q.e AS a, m.e FROM q JOIN m ON m.chunk_id < 4
+            UNION ALL SELECT q.query_id, q.tok, q.e, m.e FROM q JOIN ranked ON ranked.query_id = q.query_id AND rank <= 16 JOIN m ON m.doc_id = ranked.doc_id
+            UNION ALL SELECT q.query_id, q.tok, q.e, o.e FROM q JOIN q o ON o.query_id = q.query_id AND o.tok <= q.tok),
+        near AS (SELECT query_id, tok, h, e, exp(list_dot_product(a[8 * h + 1:8 * h + 8], e[8 * h + 1:8 * h + 8]) / sqrt(8.0::DOUBLE)) AS w FROM seen, range(8) r(h))
+        SELECT query_id, tok, d - 1 AS dim, round(sum(w * e[d]) / sum(w), 6) AS value FROM near, range(1, 65) g(d) WHERE (d - 1) // 8 = h GROUP BY query_id, tok, d""",
+    "late_fetch": scores_sql(BASE)
+    + """SELECT query_id, doc_id, chunk_id, round(2 * list_sum(e), 6) AS k_sum, round(e[64], 6) AS v_first FROM ranked JOIN m USING (doc_id) WHERE rank <= 2""",
+    "batch_scores": """
+        WITH v AS (SELECT vec_id // 21 AS sample, vec_id % 21 AS place, embedding::DOUBLE[] AS e FROM embeddings),
+        q AS (SELECT * FROM v WHERE place < 3 + sample % 3), k AS (SELECT *, place - 3 - sample % 3 AS chunk FROM v WHERE place >= 3 + sample % 3)
+        SELECT sample, chunk, round(avg(list_dot_product(q.e, k.e) / 8), 6) AS score FROM q JOIN k USING (sample) GROUP BY ALL""",
     "pool_mean_chunks": POOL.format(key="vec_id // 21 AS doc_id, (vec_id % 21) // 4 AS chunk"),
     "pool_fixed_window": POOL.format(key="vec_id // 4 AS chunk"),
     "grouped_heads": """
         SELECT q.vec_id, h AS head, round(list_dot_product((q.embedding::DOUBLE[])[8 * h + 1:8 * h + 8], (k.embedding::DOUBLE[])[8 * (h // 4) + 1:8 * (h // 4) + 8]), 6) AS score
-        FROM embeddings q JOIN embeddings k ON k.vec_id = q.vec_id + 1 AND q.vec_id % 100 = 0, range(8) r(h)""",
+        FROM embeddings q JOIN embeddings k ON k.vec_id = q.vec_id + 1, range(8) r(h)""",
     "l2_normalise": """
         WITH u AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: x / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]))) AS e FROM embeddings)
         SELECT vec_id, round(e[1], 6) AS first, round(e[64], 6) AS last, round(sqrt(list_dot_product(e, e)), 6) AS norm FROM u""",

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from memloom.config import MemoryConfig
 
@@ -35,6 +39,41 @@ def read_memory(spark: SparkSession, path: str, layers: list[int] | None = None,
     return rows if layers is None else rows.where(F.col("layer").isin(layers))
 
 
+def place_memory(memory: DataFrame, path: str, rows_per_file: int = 1 << 16) -> None:
+    """Rows of doc_id, chunk_id and vectors laid out by document: each whole in one file, with n_chunks, files by ranges of ids, and a manifest of these."""
+    files = max(1, -(-memory.count() // rows_per_file))
+    rows = memory.repartitionByRange(files, "doc_id").withColumn("n_chunks", F.count("*").over(Window.partitionBy("doc_id")))
+    rows.sortWithinPartitions("doc_id", "chunk_id").write.mode("overwrite").parquet(f"{path}/placed")
+    placed = memory.sparkSession.read.parquet(f"{path}/placed")
+    held = placed.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count("*").alias("n"))
+    held.write.mode("overwrite").parquet(f"{path}/manifest")
+
+
+def read_placed(spark: SparkSession, path: str, *columns: str) -> DataFrame:
+    """Ids, n_chunks and some vectors of all of memory."""
+    return spark.read.parquet(f"{path}/placed").select("doc_id", "chunk_id", "n_chunks", *columns)
+
+
+def fetch_placed(spark: SparkSession, path: str, wanted: DataFrame, *columns: str) -> DataFrame:
+    """Ids and some vectors of the chunks of wanted documents (doc_id), read from the files that may hold them and no others."""
+    # A row a file.
+    files = sorted((r["least"], r["most"], r["file"]) for r in spark.read.parquet(f"{path}/manifest").collect())
+    least, most = (np.array([f[k] for f in files], dtype=np.int64) for k in (0, 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).drop_null().to_numpy()
+            at = np.searchsorted(least, ids, "right") - 1
+            held = (at >= 0) & (ids <= most[np.maximum(at, 0)]) if len(least) else np.zeros(len(ids), dtype=bool)
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(at[held]))], names=["file"])
+
+    ids = wanted.select(F.col("doc_id").cast("long"))
+    chosen = [r["file"] for r in ids.mapInArrow(run, "file long").distinct().collect()]
+    kind = spark.read.parquet(f"{path}/placed").schema
+    rows = spark.read.schema(kind).parquet(*[f"{path}/placed/{files[k][2]}" for k in sorted(chosen)]) if chosen else spark.createDataFrame([], kind)
+    return rows.select("doc_id", "chunk_id", *columns).join(ids.distinct(), "doc_id", "left_semi")
+
+
 def memory_or_build(spark: SparkSession, path: str, build, n_docs: int | None = None) -> DataFrame:
     """Reads the snapshot at path; builds and writes it first if there is none that is whole.  Another number of documents is an error."""
     try:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from memloom.config import MemoryConfig, read_config
 from memloom.functions import text
-from memloom.operators import hooks, interleave, metrics, packing, prompts, routing, sequences, splits
+from memloom.operators import hooks, interleave, metrics, packing, prompts, readout, routing, sequences, splits
 from memloom.plans import ORACLE_SQL, QUERIES
 from memloom.sources import registry, snapshots
 from memloom.streaming import requests
@@ -177,6 +177,95 @@ def test_worked_sequences(spark):
     assert shares == {"zigzag-ring": [[0, 1, 6, 7], [2, 3, 4, 5]], "ulysses": [[0, 1, 2, 3], [4, 5, 6, 7]]}
 
 
+def softmax_mean(q, k, v, heads, kv_heads, scale):
+    out = []
+    for h in range(heads):
+        own = slice(h // (heads // kv_heads) * len(k[0]) // kv_heads, (h // (heads // kv_heads) + 1) * len(k[0]) // kv_heads)
+        part = q.reshape(heads, -1)[h]
+        w = np.exp(scale * (k[:, own] @ part) - max(scale * (k[:, own] @ part)))
+        out += (w @ v[:, own] / w.sum()).tolist()
+    return out
+
+
+@pytest.mark.parametrize("heads,kv_heads", [(4, 4), (4, 2), (4, 1)])
+def test_readout_equals_softmax(spark, heads, kv_heads):
+    """Chunks in many batches, huge scores, a document that two queries chose, one query without documents; no template and one."""
+    rng = np.random.default_rng(heads + kv_heads)
+    width = 3 * kv_heads
+    memory = [(k // 4, (rng.normal(size=width) * 30).tolist(), rng.normal(size=width).tolist()) for k in range(60)]
+    tokens = [(q, t, rng.normal(size=12).tolist(), rng.normal(size=width).tolist(), rng.normal(size=width).tolist()) for q in range(4) for t in range(1 + q)]
+    won = [(0, 3), (0, 7), (1, 7), (1, 14), (2, 0)]
+    table = spark.createDataFrame(memory, "doc_id long, k array<double>, v array<double>").repartition(7)
+    asked = spark.createDataFrame(tokens, "query_id long, tok long, q array<double>, k array<double>, v array<double>")
+    chosen = spark.createDataFrame(won, "query_id long, doc_id long")
+    for template in ([], [(memory[0][1], memory[1][2]), (memory[2][1], memory[3][2])]):
+        got = {(r.query_id, r.tok): r.vec for r in readout.read_out(table, chosen, asked, template, heads, kv_heads, 0.5).collect()}
+        assert len(got) == len(tokens)
+        for query, tok, q, _, _ in tokens:
+            seen = [*template, *((m[1], m[2]) for m in memory if (query, m[0]) in won), *((t[3], t[4]) for t in tokens if t[0] == query and t[1] <= tok)]
+            want = softmax_mean(np.array(q), *(np.array([s[j] for s in seen]) for j in (0, 1)), heads, kv_heads, 0.5)
+            assert got[query, tok] == pytest.approx(want, abs=1e-9)
+
+
+@pytest.mark.parametrize("laid_out", [True, False])
+def test_mean_routing_hands_on_few_rows(spark, laid_out):
+    """Documents whole within a task compete there; scattered ones are added up after it, with the same result."""
+    rng = np.random.default_rng(3)
+    rows = [(k // 5, k, rng.normal(size=8).tolist()) for k in range(2000)]
+    chunks = spark.createDataFrame(rows, routing.CHUNKS)
+    chunks = chunks.repartitionByRange(4, "chunk_id").sortWithinPartitions("chunk_id") if laid_out else chunks.repartition(4, "chunk_id")
+    asked = [(q, t, rng.normal(size=8).tolist()) for q in range(6) for t in (0, 1)]
+    config = MemoryConfig(heads=2, top_k=3, chunk="mean")
+    sized = chunks.withColumn("n_chunks", F.lit(5))
+    parts = routing.partial_scores(sized, asked, config).count()
+    assert parts <= 6 * 4 * (3 + 2) if laid_out else parts > 6 * 400
+    vectors = np.array([r[2] for r in rows]).reshape(400, 5, 8)
+    for q in range(6):
+        scores = np.max([vectors @ np.array(a[2]) / 2 for a in asked if a[0] == q], axis=0).mean(axis=1)
+        want = np.argsort(-scores)[:3].tolist()
+        tokens = spark.createDataFrame([a for a in asked if a[0] == q], routing.TOKENS)
+        assert [r.doc_id for r in routing.route(chunks if q % 2 else sized, tokens, config).orderBy("rank").collect()] == want
+
+
+def test_masked_scores(spark):
+    """Pads of any values, on any side, leave the same scores; a sample without tokens has none."""
+    rng = np.random.default_rng(1)
+    kind = "sample long, q array<array<double>>, q_mask array<int>, k array<array<double>>, k_mask array<int>"
+    made = []
+    for pad in (0.0, 1e9):
+        rows = []
+        for s in range(6):
+            own = np.random.default_rng(s)
+            q, k = own.normal(size=(s, 4)), own.normal(size=(5 - s // 2, 4))
+            rows.append((s, [[pad] * 4] * (6 - s) + q.tolist(), [0] * (6 - s) + [1] * s, [[pad] * 4] + k.tolist() + [[pad] * 4] * (s // 2), [0] + [1] * len(k) + [0] * (s // 2)))
+        rng.shuffle(rows)
+        table = spark.createDataFrame(rows, kind)
+        made.append({how: sorted(tuple(r) for r in routing.masked_scores(table, MemoryConfig(heads=2, query=how)).collect()) for how in ("max", "mean", "last")})
+    assert made[0] == made[1]
+    for how, reduce in (("max", lambda x: x.max(0)), ("mean", lambda x: x.mean(0)), ("last", lambda x: x[-1])):
+        for s in range(6):
+            own = np.random.default_rng(s)
+            q, k = own.normal(size=(s, 4)), own.normal(size=(5 - s // 2, 4))
+            found = [(c, x) for i, c, x in made[0][how] if i == s]
+            assert [c for c, _ in found] == list(range(1, len(k) + 1))
+            assert [x for _, x in found] == (pytest.approx(reduce(q @ k.T / 2).tolist()) if s else [None] * len(k))
+
+
+def test_late_fetch_reads_the_winners_files(spark, tmp_path):
+    rows = [(k // 3, k, [float(k)], [float(-k)], [float(k % 7)]) for k in range(3000)]
+    memory = spark.createDataFrame(rows, "doc_id long, chunk_id long, k array<double>, v array<double>, rk array<double>").repartition(5)
+    snapshots.place_memory(memory, f"{tmp_path}/m", rows_per_file=100)
+    assert snapshots.read_placed(spark, f"{tmp_path}/m", "rk").where("n_chunks = 3").count() == 3000
+    wanted = spark.createDataFrame([(5,), (5,), (6,), (900,), (None,), (10**6,), (-1,)], "doc_id long")
+    got = snapshots.fetch_placed(spark, f"{tmp_path}/m", wanted, "v")
+    assert sorted((r.doc_id, r.chunk_id, r.v) for r in got.collect()) == [(d, 3 * d + j, [-float(3 * d + j)]) for d in (5, 6, 900) for j in range(3)]
+    sizes = {f: os.path.getsize(f"{tmp_path}/m/placed/{f}") for f in os.listdir(f"{tmp_path}/m/placed") if f.endswith(".parquet")}
+    read = [f.rpartition("/")[2] for f in got.inputFiles()]
+    assert len(sizes) > 20 and len(read) <= 3 and sum(sizes[f] for f in read) < sum(sizes.values()) / 8
+    assert "ReadSchema: struct<doc_id:bigint,chunk_id:bigint,v:array<double>>" in got._jdf.queryExecution().toString()
+    assert snapshots.fetch_placed(spark, f"{tmp_path}/m", wanted.where("doc_id < 0"), "v").collect() == []
+
+
 def test_worked_metrics(spark):
     row = metrics.set_metrics(spark.createDataFrame([([1, 2, 3], [2, 3, 9, 9]), ([], [1])], "t array<int>, p array<int>"), "t", "p").collect()
     assert [round(x, 4) for x in row[0][2:]] == [0.6667, 0.6667, 0.6667, 0.5] and list(row[1][2:]) == [0, 0, 0, 0]
