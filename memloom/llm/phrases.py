@@ -44,7 +44,8 @@ from memloom.llm.common import bounded_broadcast, documents, join_unique
 from memloom.tables import delete, discard, scratch, written
 
 BLOCKS = "shard int, lang string, block binary, context int, words long"
-COUNTED = "lang string, phrase string, k int, start int, slot int, n long"
+#: about: what follows from a phrase (see described), so that it is carried and compared as one number.
+COUNTED = "lang string, phrase string, about long, n long"
 
 
 @dataclass(frozen=True)
@@ -117,7 +118,7 @@ def blocks(docs: DataFrame, text: str, lang: str, o: Mining) -> DataFrame:
         dealt = TaskContext.get().partitionId()
         for batch in batches:
             size = pc.fill_null(pc.binary_length(batch.column(0)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            part = np.cumsum(size) // (4 * o.block)
+            part = np.cumsum(size) // (2 * o.block)
             for p in np.unique(part).tolist():
                 at = np.flatnonzero(part == p)
                 rows = batch.slice(int(at[0]), len(at))
@@ -196,7 +197,9 @@ def count_block(b: np.ndarray, context: int, lang: int, marks: np.ndarray, scan:
             one, n = distinct(ids, at[active], h[active], k)
             one = active[one]
             yield k, texts_of(b, first[at[one]], end[at[one] + k - 1]), start[one], slots[one], n
+        # One whose byte another phrase marked early can't be extended before it is itself counted.
         mark = marks[slots].astype(np.int32)
+        mark = np.where(mark > 0, np.maximum(mark, start), 0)
 
 
 def counted(rows: DataFrame, marks: np.ndarray, scan: int, o: Mining) -> tuple[DataFrame, object]:
@@ -211,12 +214,18 @@ def counted(rows: DataFrame, marks: np.ndarray, scan: int, o: Mining) -> tuple[D
                 b = np.frombuffer(batch.column(1)[k].as_buffer(), np.uint8)
                 for words, phrases, start, slots, n in count_block(b, batch.column(2)[k].as_py(), xxhash.xxh3_64_intdigest(lang), held, scan, o):
                     size = len(phrases)
-                    columns = [pa.array([lang]).take(pa.array(np.zeros(size, np.int8))), phrases, pa.array(np.full(size, words, np.int32)), pa.array(start.astype(np.int32)), pa.array(slots.astype(np.int32)), pa.array(n.astype(np.int64))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "k", "start", "slot", "n"])
+                    about = slots | (start.astype(np.int64) << 32) | (words << 40)
+                    columns = [pa.array([lang]).take(pa.array(np.zeros(size, np.int8))), phrases, pa.array(about), pa.array(n.astype(np.int64))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "about", "n"])
 
     return rows.select("lang", "block", "context").mapInArrow(run, COUNTED), sent
 
 
+def described(about: str) -> tuple[Column, Column, Column]:
+    """k, start and slot of a phrase."""
+    return F.shiftright(about, 40), F.shiftright(about, 32).bitwiseAND(255), F.col(about).bitwiseAND((1 << 32) - 1)
+
+
 def frequent(docs: DataFrame, o: Mining, text: str = "text", lang: str = "lang") -> tuple[DataFrame, DataFrame]:
     """lang, phrase, k, n of all phrases of up to `longest` words with n >= least, and lang, n of all words; both are tables."""
     if not 0 < o.shards * o.longest < 255:
@@ -227,25 +236,26 @@ def frequent(docs: DataFrame, o: Mining, text: str = "text", lang: str = "lang")
     texts = spark.read.schema(BLOCKS).parquet(path)
     totals = written(texts.groupBy("lang").agg(F.sum("words").alias("total")), "totals")
     marks = np.zeros(1 << o.slot_bits, np.uint8)
+    k, start, slot = described("about")
     state, scan, last = spark.createDataFrame([], COUNTED), 0, -1
     # What was marked after the scan `last` has had its cycle once as many scans as there are shards have followed.
     while scan <= last + o.shards:
         found, sent = counted(texts.where(F.col("shard") == scan % o.shards), marks, scan, o)
-        added = state.unionByName(found).groupBy("lang", "phrase").agg(*[F.max(c).cast("int").alias(c) for c in ("k", "start", "slot")], F.sum("n").alias("n"))
+        added = state.unionByName(found).groupBy("lang", "phrase").agg(F.max("about").alias("about"), F.sum("n").alias("n"))
         # Rare phrases go once their cycle is over.
-        now = written(added.where((F.col("n") >= o.least) | (F.col("start") + o.shards - 1 > scan)), "phrases")
+        now = written(added.where((F.col("n") >= o.least) | (start + o.shards - 1 > scan)), "phrases")
         sent.destroy()
         if scan:
             discard(state)
         state = now
         # At most one row for each byte of marks.
-        reached = state.where((F.col("n") >= o.least) & (F.col("k") < o.longest)).select("slot").distinct().toArrow().column(0).to_numpy()
+        reached = state.where((F.col("n") >= o.least) & (k < o.longest)).select(slot).distinct().toArrow().column(0).to_numpy()
         new = reached[marks[reached] == 0]
         if len(new):
             marks[new], last = scan + 1, scan
         scan += 1
     delete(spark, path)
-    return state.where(F.col("n") >= o.least).select("lang", "phrase", "k", "n"), totals
+    return state.where(F.col("n") >= o.least).select("lang", "phrase", k.cast("int").alias("k"), "n"), totals
 
 
 def score(a: str, n: str, first: str, rest: str) -> Column:

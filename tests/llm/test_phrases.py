@@ -58,7 +58,7 @@ def corpus(seed, n):
     return out + out[:5]
 
 
-@pytest.mark.parametrize("shards,block,bits,longest", [(3, 200, 16, 5), (1, 1 << 20, 16, 5), (4, 64, 3, 4), (2, 1000, 10, 3)])
+@pytest.mark.parametrize("shards,block,bits,longest", [(3, 200, 16, 5), (1, 1 << 20, 16, 5), (4, 64, 3, 4), (2, 1000, 10, 3), (4, 128, 6, 5)])
 def test_collocations_equal_plain(spark, shards, block, bits, longest):
     """Few marks to share, small blocks and one shard only change what is counted in vain."""
     rows = corpus(shards, 120)
@@ -67,6 +67,29 @@ def test_collocations_equal_plain(spark, shards, block, bits, longest):
     assert got(phrases.collocations(docs, o, most=40, parts=3)) == plain(rows, 6, longest, 40)
 
 
+def test_shared_marks_lose_no_count():
+    """Bytes that many phrases share are marked early; a phrase is still counted in each shard once."""
+    rng = np.random.default_rng(5)
+    for bits in (2, 4, 5, 6, 7, 8):
+        o = phrases.Mining(least=6, shards=4, slot_bits=bits)
+        words = [f"w{k}" for k in range(40)]
+        blocks = [" ".join(words[int(k)] for k in rng.zipf(1.3, 400) % 40) + "\n" + "a b c d e f " * int(rng.integers(0, 3)) for _ in range(16)]
+        held = [phrases.normalised(np.frombuffer(b.encode(), np.uint8)) for b in blocks]
+        marks, counts, about, scan, last = np.zeros(1 << bits, np.uint8), Counter(), {}, 0, -1
+        while scan <= last + o.shards:
+            for b in held[scan % 4 :: 4]:
+                for k, found, _, slots, n in phrases.count_block(b, 0, 11, marks, scan, o):
+                    for p, s, m in zip(found.to_pylist(), slots.tolist(), n.tolist()):
+                        counts[p] += m
+                        about[p] = (k, s)
+            new = {s for p, (k, s) in about.items() if k < 5 and counts[p] >= 6 and not marks[s]}
+            if new:
+                marks[list(new)], last = scan + 1, scan
+            scan += 1
+        want = Counter(" ".join(w[i : i + k]) for b in held for piece in bytes(b).decode().split("\n") for w in [piece.split(" ")] for k in range(1, 6) for i in range(len(w) - k + 1))
+        assert {p: n for p, n in counts.items() if n >= 6} == {p: n for p, n in want.items() if n >= 6}
+
+
 def test_empty_table(spark):
     assert phrases.collocations(spark.createDataFrame([], SCHEMA)).collect() == []
 
