@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,12 +34,17 @@ def hook(make: Callable[[], Callable[..., list]], kind: str) -> Callable[..., Co
 
 
 def projection(weights: np.ndarray) -> Callable[[Column], Column]:
-    """A linear map without bias; rows of weights are outputs.  Null vectors stay null."""
+    """A linear map without bias, one matrix product a batch; rows of weights are outputs.  Null vectors stay null."""
 
-    def make() -> Callable[[list], list]:
-        return lambda rows: [None if v is None else (weights @ np.asarray(v, dtype=np.float64)).tolist() for v in rows]
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in batches:
+            known = column.is_valid().to_numpy(zero_copy_only=False)
+            vectors = column.drop_null().flatten().to_numpy(zero_copy_only=False).reshape(int(known.sum()), -1)
+            out = vectors @ weights.T if len(vectors) else np.zeros(0)
+            offsets = np.r_[0, np.cumsum(np.where(known, len(weights), 0))].astype(np.int32)
+            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.ravel()), mask=pa.array(~known))
 
-    return hook(make, "array<double>")
+    return F.arrow_udf(run, "array<double>")
 
 
 def pooled(x: np.ndarray, pool: int) -> np.ndarray:

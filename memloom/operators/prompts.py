@@ -31,6 +31,30 @@ def block_tokens(docs: DataFrame, block: str, doc: str, tokens: str, head: Colum
     return first.unionByName(body)
 
 
+def asked_roles(question: Column, suffix: int, head: int) -> Column:
+    """Roles of a prompt's tokens: the question's (as tokens), then those that end the turn, the last `head` of which begin the response."""
+    tail = [F.lit(TEMPLATE)] * (suffix - head) + [F.lit(RESPONSE)] * head
+    return F.concat(F.transform(question, lambda _: F.lit(QUERY)), F.array(*tail))
+
+
+def block_arrays(rows: DataFrame, block: str) -> DataFrame:
+    """A row for each block (see block_tokens; of bounded size): tokens, roles, positions, and starts, where its segments begin.
+
+    A token sees those of its own segment up to itself: from the last start to
+    its place, two numbers instead of a row of a mask.
+    """
+    first = F.coalesce("doc_local", F.lit(0))
+    held = F.array_sort(F.collect_list(F.struct(first.alias("s"), F.col("position").alias("p"), F.col("role").alias("r"), F.col("token").alias("t"))))
+    whole = rows.groupBy(block).agg(held.alias("_x"))
+    new = F.filter(F.transform("_x", lambda x, i: F.when((i == 0) | (x["s"] != F.get("_x", i - 1)["s"]), i.cast("long"))), lambda i: i.isNotNull())
+    return whole.select(block, F.transform("_x", lambda x: x["t"]).alias("tokens"), F.transform("_x", lambda x: x["r"]).alias("roles"), F.transform("_x", lambda x: x["p"]).alias("positions"), new.alias("starts"))
+
+
+def seen_from(starts: Column, size: Column) -> Column:
+    """For each of `size` places the first place that its token sees; the last one is its own."""
+    return F.transform(F.sequence(F.lit(0).cast("long"), size.cast("long") - 1), lambda i: F.array_max(F.filter(starts, lambda s: s <= i)))
+
+
 def regenerate_roles(prompt: Column) -> tuple[Column, Column]:
     """What follows the regenerate marker, and the role of each of its tokens.
 

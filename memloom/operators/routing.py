@@ -260,11 +260,14 @@ def masked_scores(samples: DataFrame, config: MemoryConfig) -> DataFrame:
     return columns.mapInArrow(run, "sample long, chunk long, score double")
 
 
-def pooled_chunks(vectors: DataFrame, pool: int) -> DataFrame:
-    """vectors: doc_id, pos, vec.  doc_id, chunk, dim, value: means over up to `pool` tokens of one document.
+def pooled_chunks(vectors: DataFrame, pool: int, columns: tuple[str, ...] = ("vec",)) -> DataFrame:
+    """vectors: doc_id, pos and columns.  doc_id, chunk, dim and a mean for each column (`value` for a single one): over up to `pool` tokens of one document.
 
     A chunk's vectors, at most `pool`, are shuffled as they are and added there.
     """
-    rows = vectors.select("doc_id", F.floor(F.col("pos") / pool).cast("long").alias("chunk"), "vec").groupBy("doc_id", "chunk").agg(F.collect_list("vec").alias("_v"))
-    total = F.aggregate(F.slice("_v", 2, pool), F.col("_v")[0], lambda t, v: F.zip_with(t, v, lambda x, y: x + y))
-    return rows.select("doc_id", "chunk", F.posexplode(F.transform(total, lambda x: x / F.size("_v"))).alias("dim", "value"))
+    rows = vectors.select("doc_id", F.floor(F.col("pos") / pool).cast("long").alias("chunk"), F.struct(*columns).alias("_x")).groupBy("doc_id", "chunk").agg(F.collect_list("_x").alias("_v"))
+    mean = lambda c: F.transform(F.aggregate(F.slice("_v", 2, pool), F.col("_v")[0][c], lambda t, x: F.zip_with(t, x[c], lambda a, b: a + b)), lambda x: x / F.size("_v"))
+    if len(columns) == 1:
+        return rows.select("doc_id", "chunk", F.posexplode(mean(columns[0])).alias("dim", "value"))
+    zipped = rows.select("doc_id", "chunk", F.posexplode(F.arrays_zip(*[mean(c).alias(c) for c in columns])).alias("dim", "_m"))
+    return zipped.select("doc_id", "chunk", "dim", *[F.col("_m")[c].alias(c) for c in columns])

@@ -37,15 +37,30 @@ def run_counts(df: DataFrame, key: str, value: str, run: str = "run") -> DataFra
     return df.groupBy(key, run).agg(F.first(value).alias(value), F.count("*").alias("n"))
 
 
-def rank_in_run(df: DataFrame, key: str, order: str, run: str = "run") -> DataFrame:
-    w = Window.partitionBy(key, run).orderBy(order)
-    return df.withColumn("rank", (F.row_number().over(w) - 1).cast("long"))
+def rank_in_run(df: DataFrame, key: str, order: str, run: str = "run", width: int = 4096) -> DataFrame:
+    """Each row's place, from 0, in its run; a run may hold much of the table (see exclusive_offsets)."""
+    one = free_name("_one", df)
+    return exclusive_offsets(df.withColumn(one, F.lit(1)), [key, run], order, one, "rank", width).drop(one)
 
 
-def exclusive_offsets(df: DataFrame, key: str, order: str, size: str) -> DataFrame:
-    """The sum of sizes before each row of its key."""
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("offset", F.coalesce(F.sum(size).over(w), F.lit(0)).cast("long"))
+def exclusive_offsets(df: DataFrame, key: str | list[str], order: str, size: str, name: str = "offset", width: int = 4096) -> DataFrame:
+    """The sum of sizes before each row of its key; order is a whole number.
+
+    A key may hold much of the table: sizes are summed within ranges of `width`
+    values of order, and only the ranges' sums, a row each, meet in a key's window.
+    """
+    keys = [key] if isinstance(key, str) else key
+    cell, own, base = (free_name(c, df) for c in ("_cell", "_own", "_base"))
+    rows = df.withColumn(cell, F.coalesce(F.floor(F.col(order) / width), F.lit(-(2**62))))
+    sums = rows.groupBy(*keys, cell).agg(F.sum(size).alias(own))
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    bases = sums.withColumn(base, F.coalesce(F.sum(own).over(before(Window.partitionBy(*keys).orderBy(cell))), F.lit(0))).drop(own)
+    bases = bases.toDF(*[f"_{k}_" for k in range(len(keys))], "_range", base)
+    rows = rows.withColumn(own, F.coalesce(F.sum(size).over(before(Window.partitionBy(*keys, cell).orderBy(order))), F.lit(0)))
+    same = rows[cell] == bases["_range"]
+    for k, c in enumerate(keys):
+        same = same & rows[c].eqNullSafe(bases[f"_{k}_"])
+    return rows.join(bases, same).select(*[rows[c] for c in df.columns if c != name], (F.col(base) + F.col(own)).cast("long").alias(name))
 
 
 def global_offsets(df: DataFrame, order: str, size: str, width: int = 4096) -> DataFrame:
@@ -82,6 +97,15 @@ def ordinals(df: DataFrame, *by: str | Column, name: str = "ordinal", parts: int
     return numbered(table, at, name)
 
 
+def ranked(df: DataFrame, key: str, *by: str | Column, name: str = "rank") -> DataFrame:
+    """df with each row's number from 0 among those of its key, in the order of any keys; a key may hold much of the table."""
+    number, start, own = (free_name(c, df) for c in ("_number", "_start", "_key"))
+    rows = ordinals(df, key, *by, name=number)
+    starts = rows.groupBy(F.col(key).alias(own)).agg(F.min(number).alias(start))
+    placed = rows.join(starts, F.col(key).eqNullSafe(F.col(own)))
+    return placed.withColumn(name, F.col(number) - F.col(start)).drop(number, start, own)
+
+
 def numbered(table: DataFrame, at: str, name: str) -> DataFrame:
     """A table with `at`, a monotonically increasing id of its sorted parts, numbered from 0 over all of it."""
     part = free_name("_part", table)

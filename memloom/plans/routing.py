@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from memloom.config import MemoryConfig
 from memloom.functions import vectors
-from memloom.operators import hooks, readout, routing
+from memloom.operators import corpora, hooks, readout, routing
 from memloom.sources import snapshots
 from memloom.tables import scratch
 
@@ -143,6 +143,28 @@ def pool_mean_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "chunk", F.col("dim").cast("long").alias("dim"), F.round("value", 6).alias("value"))
 
 
+def pool_qkv_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries, keys and values of documents of 21, pooled four by four."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    vec = vectors.doubles(F.col("embedding"))
+    placed = rows.select(F.floor(F.col("vec_id") / 21).cast("long").alias("doc_id"), (F.col("vec_id") % 21).alias("pos"), vec.alias("q"), F.transform(vec, lambda x: x * 2).alias("k"), F.reverse(vec).alias("v"))
+    out = routing.pooled_chunks(placed, 4, ("q", "k", "v"))
+    return out.select("doc_id", "chunk", F.col("dim").cast("long").alias("dim"), *[F.round(c, 6).alias(c) for c in "qkv"])
+
+
+def recall_fanin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two queries make a request; what each found in two layers, in their order."""
+    memory, asked = chunks(spark, sf_dir), tokens(spark, sf_dir)
+    found = None
+    for layer, config in ((18, replace(BASE, top_k=3)), (19, replace(BASE, top_k=3, score="cosine"))):
+        ids = F.transform(F.array_sort(F.collect_list(F.struct("rank", "doc_id"))), lambda x: x["doc_id"])
+        rows = routing.route(memory, asked, config).groupBy("query_id").agg(ids.alias("ids"))
+        rows = rows.select(F.floor(F.col("query_id") / 2).cast("long").alias("request"), F.lit(layer).cast("long").alias("layer"), (F.col("query_id") % 2).alias("seq"), "ids")
+        found = rows if found is None else found.unionByName(rows)
+    said = F.array_join(F.transform("lists", lambda x: F.array_join(F.transform(x, lambda i: i.cast("string")), ",")), ";")
+    return corpora.recall_lists(found).select("request", "layer", said.alias("lists"))
+
+
 def pool_fixed_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of four vectors, whatever document they are of."""
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
@@ -188,6 +210,8 @@ QUERIES = {name: route_query(c) for name, c in CONFIGS.items()} | {
     "attention_readout": attention_readout,
     "late_fetch": late_fetch,
     "batch_scores": batch_scores,
+    "pool_qkv_chunks": pool_qkv_chunks,
+    "recall_fanin": recall_fanin,
     "pool_mean_chunks": pool_mean_chunks,
     "pool_fixed_window": pool_fixed_window,
     "l2_normalise": normalised,
@@ -223,6 +247,12 @@ ORACLE_SQL = {name: top_sql(c) for name, c in CONFIGS.items()} | {
         WITH v AS (SELECT vec_id // 21 AS sample, vec_id % 21 AS place, embedding::DOUBLE[] AS e FROM embeddings),
         q AS (SELECT * FROM v WHERE place < 3 + sample % 3), k AS (SELECT *, place - 3 - sample % 3 AS chunk FROM v WHERE place >= 3 + sample % 3)
         SELECT sample, chunk, round(avg(list_dot_product(q.e, k.e) / 8), 6) AS score FROM q JOIN k USING (sample) GROUP BY ALL""",
+    "pool_qkv_chunks": """
+        SELECT vec_id // 21 AS doc_id, (vec_id % 21) // 4 AS chunk, d - 1 AS dim, round(avg(e[d]), 6) AS q, round(avg(2 * e[d]), 6) AS k, round(avg(e[65 - d]), 6) AS v
+        FROM (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings), range(1, 65) r(d) GROUP BY ALL""",
+    "recall_fanin": "SELECT request, layer, string_agg(ids, ';' ORDER BY seq) AS lists FROM ("
+    + " UNION ALL ".join(f"SELECT query_id // 2 AS request, {layer}::BIGINT AS layer, query_id % 2 AS seq, string_agg(doc_id, ',' ORDER BY rank) AS ids FROM ({top_sql(replace(BASE, top_k=3, score=how))}) GROUP BY query_id" for layer, how in ((18, "dot"), (19, "cosine")))
+    + ") GROUP BY request, layer",
     "pool_mean_chunks": POOL.format(key="vec_id // 21 AS doc_id, (vec_id % 21) // 4 AS chunk"),
     "pool_fixed_window": POOL.format(key="vec_id // 4 AS chunk"),
     "grouped_heads": """

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from memloom.functions import text
 from memloom.operators import packing, routing, sequences, splits
@@ -120,12 +119,11 @@ def left_pad_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def left_pad_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First turns as requests, four to a batch in the order of their numbers, padded with roles and positions."""
-    asked = turns(spark, sf_dir).where("turn = 0").withColumn("one", F.lit(1).cast("long"))
-    numbered = sequences.sub_batches(sequences.global_offsets(asked, "conv_id", "one"), "number", 4)
+    """Turns as requests, four to a batch in the order of conversations, padded with roles and positions."""
+    numbered = sequences.sub_batches(sequences.ordinals(turns(spark, sf_dir), "conv_id", "turn", name="number"), "number", 4)
     rows = numbered.withColumns({"roles": F.transform("ids", lambda _, i: (-(i % 3)).cast("long")), "places": F.transform("ids", lambda _, i: (i + 19).cast("long"))})
     padded = sequences.left_pad(rows, "batch", "ids", 7, "roles", "places")
-    return padded.select("conv_id", "batch", *[listed(F.col(c)).alias(c) for c in ("padded", "mask", "padded_roles", "padded_positions")])
+    return padded.select("conv_id", "turn", "batch", *[listed(F.col(c)).alias(c) for c in ("padded", "mask", "padded_roles", "padded_positions")])
 
 
 def length_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,8 +165,8 @@ def length_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs documents with benchmark items of equal word count, the k-th with the k-th, later items first."""
     docs = table(spark, sf_dir, "documents").select("doc_id", text.token_count(F.col("text")).alias("n"))
     items = table(spark, sf_dir, "benchmark").select("item_id", text.token_count(F.col("text")).alias("n"))
-    d = docs.withColumn("k", F.row_number().over(Window.partitionBy("n").orderBy("doc_id")))
-    i = items.withColumn("k", F.row_number().over(Window.partitionBy("n").orderBy(F.desc("item_id"))))
+    d = sequences.ranked(docs, "n", "doc_id", name="k")
+    i = sequences.ranked(items, "n", F.desc("item_id"), name="k")
     return i.join(d, ["n", "k"]).select("item_id", "doc_id", "n")
 
 
@@ -235,9 +233,9 @@ ORACLE_SQL = {
         SELECT conv_id, turn, array_to_string(list_concat(list_transform(range(gap), lambda x: 0), ids), ',') AS padded,
                array_to_string(list_concat(list_transform(range(gap), lambda x: 0), list_transform(ids, lambda x: 1)), ',') AS mask FROM sized""",
     "left_pad_requests": f"""
-        WITH {TURNS}, numbered AS (SELECT conv_id, ids, (row_number() OVER (ORDER BY conv_id) - 1) // 4 AS batch FROM turns WHERE turn = 0),
+        WITH {TURNS}, numbered AS (SELECT conv_id, turn, ids, (row_number() OVER (ORDER BY conv_id, turn) - 1) // 4 AS batch FROM turns),
         sized AS (SELECT *, range(max(len(ids)) OVER (PARTITION BY batch) - len(ids)) AS gap FROM numbered)
-        SELECT conv_id, batch::BIGINT AS batch, array_to_string(list_concat(list_transform(gap, lambda x: 7), ids), ',') AS padded,
+        SELECT conv_id, turn, batch::BIGINT AS batch, array_to_string(list_concat(list_transform(gap, lambda x: 7), ids), ',') AS padded,
                array_to_string(list_concat(list_transform(gap, lambda x: 0), list_transform(ids, lambda x: 1)), ',') AS mask,
                array_to_string(list_concat(list_transform(gap, lambda x: 0), list_transform(range(len(ids)), lambda i: -(i % 3))), ',') AS padded_roles,
                array_to_string(list_concat(list_transform(gap, lambda x: CASE WHEN len(ids) > 0 THEN 19 ELSE 0 END), list_transform(range(len(ids)), lambda i: i + 19)), ',') AS padded_positions FROM sized""",

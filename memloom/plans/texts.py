@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from memloom.functions import text
-from memloom.operators import hooks, metrics, prompts, sequences
+from memloom.operators import corpora, hooks, metrics, prompts, sequences
 
 PREFIX, SUFFIX = "<|im_start|>user\n", "<|im_end|>\n<|im_start|>assistant\n"
 
@@ -35,7 +35,8 @@ def corpus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def query_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prompts, and the place of the question's last token: the global offset is 3 + top-k."""
     asked = text.asked(F.col("text"), PREFIX, SUFFIX)
-    return table(spark, sf_dir, "benchmark").select("item_id", asked.alias("prompt"), (text.token_count(F.col("text")) - 1 + 3 + 16).alias("last_position"))
+    roles = prompts.asked_roles(text.tokens(F.concat(F.lit(PREFIX), F.col("text"))), 3, 1)
+    return table(spark, sf_dir, "benchmark").select("item_id", asked.alias("prompt"), F.array_join(roles, ",").alias("roles"), (text.token_count(F.col("text")) - 1 + 3 + 16).alias("last_position"))
 
 
 def sort_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,7 +122,8 @@ def answer_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 def round_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which rounds and which retrievals are over, by what each turn has said so far."""
     kind = F.col("conv_id") % 5
-    inner = F.when(kind == 0, F.lit("[12")).when(kind == 1, F.lit("[3]")).when(kind == 2, F.lit("<End-of")).when(kind == 3, F.lit("<End-of-Retrieve>")).otherwise(F.col("out"))
+    cited = F.regexp_substr("out", F.lit(r"\[\d+"))
+    inner = F.when(kind == 0, cited).when(kind == 1, F.concat(cited, F.lit("]"))).when(kind == 2, F.left(F.lit("<End-of-Retrieve>"), F.length("said") % 17)).when(kind == 3, F.concat("said", F.lit("<End-of-Retrieve>"))).otherwise(F.col("out"))
     first = F.col("turn") == 0
     return generated(spark, sf_dir).select("conv_id", "turn", text.round_ended(inner, first).alias("round_over"), text.retrieval_ended(inner, first, 80).alias("retrieval_over"))
 
@@ -207,6 +209,31 @@ def anti_distractor_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.groupBy("copy").agg(F.count("*").alias("n_docs"), F.countDistinct("digest").alias("n_texts"))
 
 
+def label_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled texts, every third a little different, looked up in the corpus."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    said = docs.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi").withColumnRenamed("doc_id", "asked")
+    label = F.when(F.col("asked") % 3 == 0, F.concat("text", F.lit("?"))).otherwise(F.col("text"))
+    return corpora.ids_of(said.select("asked", label.alias("label")), docs).select("asked", "doc_id")
+
+
+def scaled_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus with two rounds of copies of texts that aren't those of quality 1."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    good = docs.join(table(spark, sf_dir, "labels").where("quality = 1").select("doc_id"), "doc_id", "left_semi")
+    return corpora.scaled(docs, good, 2).select("doc_id", F.sha2("text", 256).alias("text_sha256"))
+
+
+def block_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as packed blocks; what each token sees, as a first place, instead of a mask."""
+    head, _ = prompts.template_split(F.lit(f"{PREFIX}<pad>{SUFFIX}"), "<pad>")
+    docs = table(spark, sf_dir, "conversations").select("conv_id", "turn", text.tokens(F.col("text")).alias("tokens"))
+    packed = prompts.block_arrays(prompts.block_tokens(docs, "conv_id", "turn", "tokens", text.tokens(head)), "conv_id")
+    said = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
+    packed = packed.withColumn("seen", prompts.seen_from(F.col("starts"), F.size("tokens")))
+    return packed.select("conv_id", F.sha2(F.array_join("tokens", " "), 256).alias("tokens_sha256"), said(F.col("positions")).alias("positions"), said(F.col("starts")).alias("starts"), said(F.col("seen")).alias("seen_from"))
+
+
 def context_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Template, turns and question of each conversation, in that order."""
     turns = table(spark, sf_dir, "conversations")
@@ -217,7 +244,7 @@ def context_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union.groupBy("conv_id").agg(F.sha2(F.array_join(F.transform(ordered, lambda x: x["part"]), ""), 256).alias("context_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (compose_documents, chunk_counts, corpus_stats, query_template, sort_requests, answer_extract, regenerate_filter, cited_ids, inject_docs, response_fanin, judge_parse, human_bytes, answer_clean, round_flags, block_positions, regenerate_roles, query_positions, encode_chunks, response_decode, judge_score, result_records, context_offsets, label_text_to_id, anti_distractor_scale, context_union)}
+QUERIES = {f.__name__: f for f in (compose_documents, chunk_counts, corpus_stats, query_template, sort_requests, answer_extract, regenerate_filter, cited_ids, inject_docs, response_fanin, judge_parse, human_bytes, answer_clean, round_flags, block_positions, regenerate_roles, query_positions, encode_chunks, response_decode, judge_score, result_records, context_offsets, label_text_to_id, label_lookup, scaled_corpus, block_arrays, anti_distractor_scale, context_union)}
 COUNTS = r"SELECT doc_id, len(regexp_extract_all(text, '\S+'))::BIGINT AS n_tokens, ((len(regexp_extract_all(text, '\S+')) + 63) // 64)::BIGINT AS n_chunks FROM documents"
 CITES = f"SELECT DISTINCT conv_id, turn, unnest(regexp_extract_all(out, '\\[(\\d+)\\]', 1))::BIGINT AS doc_id FROM ({GENERATED})"
 COMPOSED = "SELECT doc_id, '<|im_start|>[' || doc_id || ']. ' || text || '[' || doc_id || ']<|im_end|>' AS composed FROM documents"
@@ -226,7 +253,7 @@ ORACLE_SQL = {
     "chunk_counts": COUNTS,
     "corpus_stats": f"SELECT doc_id % 8 AS bucket, count(*)::BIGINT AS n_docs, sum(n_tokens)::BIGINT AS n_tokens, sum(n_chunks)::BIGINT AS n_chunks FROM ({COUNTS}) GROUP BY 1",
     "query_template": r"""SELECT item_id, '<|im_start|>user' || chr(10) || text || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10) AS prompt,
-        (len(regexp_extract_all(text, '\S+')) + 18)::BIGINT AS last_position FROM benchmark""",
+        repeat('query,', (len(regexp_extract_all(text, '\S+')) + 1)::INTEGER) || 'template,template,response' AS roles, (len(regexp_extract_all(text, '\S+')) + 18)::BIGINT AS last_position FROM benchmark""",
     "sort_requests": "SELECT doc_id, turn, turn // 64 AS batch FROM (SELECT doc_id, row_number() OVER (ORDER BY length(text) NULLS FIRST, doc_id) - 1 AS turn FROM documents)",
     "answer_extract": f"""
         SELECT conv_id, turn, trim(CASE WHEN turn % 2 = 0 THEN ' ' || string_split(said, '<|im_end|>')[1] ELSE string_split(out, '<|im_end|>')[1] END, ' ') AS answer,
@@ -254,7 +281,8 @@ ORACLE_SQL = {
         a AS (SELECT conv_id, turn, string_split(replace(replace(string_split(s, 'The answer to the question is: ')[-1], '</answer>', ''), 'The user''s question is:', ''), '</think>')[-1] AS s FROM qa)
         SELECT conv_id, turn, CASE WHEN contains(s, 'Answer:') THEN trim(string_split(s, 'Answer:')[2], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) ELSE s END AS answer FROM a""",
     "round_flags": f"""
-        WITH r AS (SELECT conv_id, turn, CASE conv_id % 5 WHEN 0 THEN '[12' WHEN 1 THEN '[3]' WHEN 2 THEN '<End-of' WHEN 3 THEN '<End-of-Retrieve>' ELSE out END AS s FROM ({GENERATED}))
+        WITH r AS (SELECT conv_id, turn, CASE conv_id % 5 WHEN 0 THEN regexp_extract(out, '\\[[0-9]+') WHEN 1 THEN regexp_extract(out, '\\[[0-9]+') || ']'
+                          WHEN 2 THEN left('<End-of-Retrieve>', length(said) % 17) WHEN 3 THEN said || '<End-of-Retrieve>' ELSE out END AS s FROM ({GENERATED}))
         SELECT conv_id, turn, contains(s, '<|object_ref_end|>') OR (turn > 0 AND NOT regexp_full_match(s, '\\[[0-9]*\\]?') AND NOT starts_with('<End-of-Retrieve>', s)) AS round_over,
                contains(s, '<End-of-Retrieve>') OR (turn = 0 AND length(s) > 80) AS retrieval_over FROM r""",
     "block_positions": r"""
@@ -295,6 +323,19 @@ ORACLE_SQL = {
         both_ AS (SELECT text, 0::BIGINT AS copy FROM documents UNION ALL
                   SELECT text, c FROM documents, range(1, 3) r(c) WHERE text NOT IN (SELECT text FROM wanted))
         SELECT copy, count(*)::BIGINT AS n_docs, count(DISTINCT text)::BIGINT AS n_texts FROM both_ GROUP BY copy""",
+    "label_lookup": """
+        SELECT l.doc_id AS asked, max(d.doc_id) AS doc_id
+        FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text || '?' ELSE text END AS label FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)) l LEFT JOIN documents d ON d.text = l.label GROUP BY l.doc_id""",
+    "scaled_corpus": """
+        WITH places AS (SELECT text, row_number() OVER (ORDER BY doc_id) - 1 AS place, count(*) OVER () AS n FROM documents),
+        copies AS (SELECT text, r * n + place AS bias, n FROM places, range(2) q(r) WHERE text NOT IN (SELECT text FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)))
+        SELECT place AS doc_id, sha256(text) AS text_sha256 FROM places
+        UNION ALL SELECT n + row_number() OVER (ORDER BY bias) - 1, sha256(text || '_copy' || bias) FROM copies""",
+    "block_arrays": r"""
+        WITH t AS (SELECT conv_id, turn + 1 AS seg, regexp_extract_all(text, '\S+') AS w FROM conversations UNION ALL SELECT DISTINCT conv_id, 0, ['<|im_start|>user'] FROM conversations),
+        s AS (SELECT *, coalesce(sum(len(w)) OVER (PARTITION BY conv_id ORDER BY seg ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM t WHERE len(w) > 0)
+        SELECT conv_id, sha256(string_agg(array_to_string(w, ' '), ' ' ORDER BY seg)) AS tokens_sha256, string_agg(array_to_string(range(len(w)), ','), ',' ORDER BY seg) AS positions,
+               string_agg(start, ',' ORDER BY seg) AS starts, string_agg(array_to_string(list_transform(w, lambda x: start), ','), ',' ORDER BY seg) AS seen_from FROM s GROUP BY conv_id""",
     "context_union": """
         SELECT conv_id, sha256('<|im_start|>user' || chr(10) || string_agg(text, '' ORDER BY turn) || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10)) AS context_sha256
         FROM conversations GROUP BY conv_id""",

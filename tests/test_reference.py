@@ -1,5 +1,6 @@
 """Operators against their SQL, plain Python and worked examples."""
 
+import json
 import os
 import random
 import shutil
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from memloom.config import MemoryConfig, read_config
 from memloom.functions import text
-from memloom.operators import hooks, interleave, metrics, packing, prompts, readout, routing, sequences, splits
+from memloom.operators import corpora, hooks, interleave, metrics, packing, prompts, readout, routing, sequences, splits
 from memloom.plans import ORACLE_SQL, QUERIES
 from memloom.sources import registry, snapshots
 from memloom.streaming import requests
@@ -363,6 +364,53 @@ def test_ordinals_over_any_key(spark, parts):
     assert sequences.ordinals(table.limit(0), "key").collect() == []
 
 
+@pytest.mark.parametrize("width", [1, 7, 4096])
+def test_offsets_ranks_and_parts_of_a_hot_key(spark, width):
+    rng = random.Random(width)
+    rows = [(None if k % 11 == 0 else "hot" if k % 3 else f"k{k % 5}", k * 2 - 300, rng.randrange(9), k // 40) for k in range(600)]
+    table = spark.createDataFrame(rows, "key string, at long, n long, run long").repartition(5)
+    sums, places, want = {}, {}, {}
+    for key, at, n, run in rows:
+        want[at] = (sums.get(key, 0), places.get((key, run), 0))
+        sums[key], places[key, run] = sums.get(key, 0) + n, places.get((key, run), 0) + 1
+    got = sequences.exclusive_offsets(table, "key", "at", "n", width=width)
+    assert got.columns == ["key", "at", "n", "run", "offset"]
+    assert {r["at"]: r["offset"] for r in got.collect()} == {at: w[0] for at, w in want.items()}
+    assert {r["at"]: r["rank"] for r in sequences.rank_in_run(table, "key", "at", "run", width).collect()} == {at: w[1] for at, w in want.items()}
+    order = {}
+    for key, at, n, _ in sorted(rows, key=lambda r: (-r[2], r[1])):
+        order[at] = sum(1 for k, a, m, _ in rows if k == key and (-m, a) < (-n, at))
+    assert {r["at"]: r["place"] for r in sequences.ranked(table, "key", F.desc("n"), "at", name="place").collect()} == order
+
+
+def test_corpora(spark):
+    docs = spark.createDataFrame([(3, "a"), (5, "b"), (7, "a"), (9, None), (11, "c")], "doc_id long, text string").repartition(3)
+    asked = spark.createDataFrame([(1, "a"), (2, "x"), (3, None), (4, "c"), (5, "a")], "n long, label string")
+    assert sorted(map(tuple, corpora.ids_of(asked, docs, name="found").collect())) == [(1, "a", 7), (2, "x", None), (3, None, None), (4, "c", 11), (5, "a", 7)]
+    texts, labels, scale = ["a", "b", "a", "c"], {"b"}, 3
+    context = texts + [f"{t}_copy{bias}" for bias, t in enumerate(texts * scale) if t not in labels]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    known = spark.createDataFrame([(t,) for t in labels], "text string")
+    assert sorted(map(tuple, corpora.scaled(table, known, scale).collect())) == list(enumerate(context))
+    assert sorted(r.text for r in corpora.scaled(table, known, 0).collect()) == sorted(texts)
+    found = spark.createDataFrame([(0, 18, 1, [4]), (0, 18, 0, [2, 3]), (1, 18, 0, [])], "request long, layer long, seq long, ids array<long>")
+    assert sorted((r.request, r.lists) for r in corpora.recall_lists(found).collect()) == [(0, [[2, 3], [4]]), (1, [[]])]
+
+
+def test_block_arrays_equal_a_mask(spark):
+    """What a token sees, from a first place to its own, is the block-diagonal causal mask of roles in order."""
+    docs = spark.createDataFrame([(1, 5, ["a", "b"]), (1, 9, ["c"]), (1, 7, ["d", "e", "f"]), (2, 1, []), (2, 2, ["g"])], "block long, doc long, tokens array<string>")
+    packed = prompts.block_arrays(prompts.block_tokens(docs, "block", "doc", "tokens", F.array(F.lit("x"), F.lit("y"))), "block")
+    rows = {r.block: r for r in packed.withColumn("seen", prompts.seen_from(F.col("starts"), F.size("tokens"))).collect()}
+    assert rows[1].tokens == list("xyabdefc") and rows[1].positions == [0, 1, 0, 1, 0, 1, 2, 0] and rows[1].starts == [0, 2, 4, 7]
+    assert rows[2].tokens == list("xyg") and rows[2].roles == [prompts.TEMPLATE] * 2 + [prompts.DOCUMENT]
+    segment = [0, 0, 1, 1, 2, 2, 2, 3]
+    mask = [[segment[i] == segment[j] and j <= i for j in range(8)] for i in range(8)]
+    assert [[rows[1].seen[i] <= j <= i for j in range(8)] for i in range(8)] == mask
+    roles = one(spark, t="why so").select(prompts.asked_roles(text.tokens(F.col("t")), 3, 1).alias("r")).first().r
+    assert roles == [prompts.QUERY] * 2 + [prompts.TEMPLATE] * 2 + [prompts.RESPONSE]
+
+
 def test_padding_of_roles_and_positions(spark):
     rows = spark.createDataFrame([(0, [5, 6, 7], [0, 0, -1], [4, 5, 6]), (0, [8], [-2], [9]), (0, [], [], [])], "b int, ids array<long>, roles array<long>, at array<long>")
     got = sequences.left_pad(rows, "b", "ids", 1, "roles", "at").collect()
@@ -395,7 +443,7 @@ def test_sources(spark, tmp_path):
         registry.read_memory(spark, "x.pkl")
     (tmp_path / "m.json").write_text('["one", "two\\nlines", ""]')
     (tmp_path / "m.jsonl").write_text('{"doc_id": 4, "text": "x"}')
-    assert registry.read_memory(spark, f"{tmp_path}/m.json").collect() == [(0, "one"), (1, "two\nlines"), (2, "")]
+    assert sorted(registry.read_memory(spark, f"{tmp_path}/m.json").collect()) == [(0, "one"), (1, "two\nlines"), (2, "")]
     assert registry.read_memory(spark, f"{tmp_path}/m.jsonl").collect() == [(4, "x")]
     (tmp_path / "out").mkdir()
     (tmp_path / "out" / "a.json").write_text('{"anonymous": {"precision": [{"question": "q", "true_answer": "t",\n "pred_answer": "p"}]}}')
@@ -403,6 +451,34 @@ def test_sources(spark, tmp_path):
     assert snapshots.read_answers(spark, f"{tmp_path}/out").collect() == [("a.json", "q", "t", "p")]
 
 
+@pytest.mark.parametrize("split", [100, 1 << 27])
+def test_json_list_in_parallel(spark, tmp_path, split):
+    """Splits fall into texts, escapes and signs of several bytes; numbers follow the list, errors name their place."""
+    rng = random.Random(split)
+    signs = ['"', "\\", "\n", "é", "漢", "[", ",", "]", " ", "a", "{", "\U0001f600", '\\"', "\t"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(0, 20))) for _ in range(30)] + ["", "\\", '"', "x" * 300]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        for name, body in {"a": json.dumps(texts), "b": json.dumps(texts, ensure_ascii=False, indent=2), "c": " [ ] ", "d": '[""]', "e": json.dumps(["one"]) + "\n"}.items():
+            (tmp_path / f"{name}.json").write_text(body)
+            want = json.loads(body)
+            got = registry.read_memory(spark, f"{tmp_path}/{name}.json")
+            assert sorted(map(tuple, got.collect())) == list(enumerate(want))
+        if split == 100:
+            assert spark.read.option("lineSep", '"').text(f"{tmp_path}/a.json").rdd.getNumPartitions() > 10
+        for body, where in (('["a", 1, "b"]', "before text 1"), ('["a" "b"]', "before text 1"), ('["a", "b"', "before its bracket"), ('["a", "b', "before its bracket"), ('{"a": ["b"]}', "before text 0"), ('["a", "b"] "c"', "before its bracket"), ("", "isn't a list")):
+            (tmp_path / "bad.json").write_text(body)
+            with pytest.raises(ValueError, match=where):
+                registry.read_memory(spark, f"{tmp_path}/bad.json")
+        (tmp_path / "escape.json").write_text('["a\\q"]')
+        with pytest.raises(Exception, match="MALFORMED|FAILFAST|Unrecognized"):
+            registry.read_memory(spark, f"{tmp_path}/escape.json").collect()
+    finally:
+        for key in ("maxPartitionBytes", "openCostInBytes"):
+            spark.conf.unset(f"spark.sql.files.{key}")
+
+
 def test_snapshots(spark, tmp_path):
     rows = [(layer, k, k, [float(k), 1.0]) for layer in (18, 19) for k in range(5)]
     built = []
