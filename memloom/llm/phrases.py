@@ -71,6 +71,7 @@ def _classes() -> np.ndarray:
 
 
 CLASSES = _classes()
+SIGNS, PLACES = (np.random.default_rng(k).integers(1, 2**63, n).astype(np.uint64) | np.uint64(1) for k, n in ((1, 256), (2, 64)))
 
 
 def normalised(text: np.ndarray) -> np.ndarray:
@@ -145,6 +146,15 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def hashed(words: pa.StringArray) -> np.ndarray:
+    """A hash of each word, none of which is empty: what shares a mark, and no more, hangs on it."""
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    b = np.frombuffer(words.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    starts = offsets[:-1] - offsets[0]
+    place = np.arange(len(b)) - np.repeat(starts, np.diff(offsets))
+    return mixed(np.add.reduceat(SIGNS[b] * PLACES[place & 63], starts))
+
+
 def texts_of(b: np.ndarray, first: np.ndarray, end: np.ndarray) -> pa.Array:
     """The stretches of b as strings."""
     length = end - first
@@ -170,7 +180,7 @@ def count_block(b: np.ndarray, context: int, lang: int, marks: np.ndarray, scan:
     known = texts_of(b, first, end).dictionary_encode()
     ids = known.indices.to_numpy()
     own = len(ids) - context
-    words = np.array([xxhash.xxh3_64_intdigest(w) for w in known.dictionary.cast(pa.binary()).to_pylist()], dtype=np.uint64)
+    words = hashed(known.dictionary)
     shift, lang = np.uint64(64 - o.slot_bits), np.uint64(lang)
     slot_of = lambda h: (mixed(h ^ lang) >> shift).astype(np.int64)
     slots = slot_of(words)
