@@ -1,35 +1,84 @@
-"""Bags and buckets: largest-fit packing of a whole table, and least-loaded buckets.
+"""Bags and buckets of a whole table: largest-fit packing, and least-loaded buckets.
 
 What largest-fit packing puts together follows from the histogram of sizes
-alone.  The buckets' fold looks at one item after the other and needs only ids and
-sizes; it runs apart for each group.  Callers name groups of bounded size, such
-as ranges of ids, and Spark deals the groups to tasks.
+alone.  Least-loaded buckets look at one item after the other; ranges of items
+guess how full the buckets are when they begin, and are folded again while the
+range before them says otherwise.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Callable
 from heapq import heapify, heapreplace
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from memloom.operators.sequences import ordinals, sequence_split
-from memloom.tables import free_name
+from memloom.tables import discard, free_name, written
 
 
-def balanced(sizes: list[int], buckets: int) -> list[int]:
-    """Each item goes to the bucket with the least so far, ties to the first."""
-    heap, out = [(0, b) for b in range(buckets)], []
+def filled(sizes: list[int], loads: list[int]) -> tuple[list[int], list[int]]:
+    """Each item's bucket, the one with the least so far, ties to the first; and how much more than the emptiest each bucket holds in the end."""
+    heap, out = [(load, b) for b, load in enumerate(loads)], []
     heapify(heap)
     for size in sizes:
         load, bucket = heap[0]
         out.append(bucket)
         heapreplace(heap, (load + size, bucket))
-    return out
+    least = heap[0][0]
+    return out, [load - least for load, _ in sorted(heap, key=lambda x: x[1])]
+
+
+def balanced(sizes: list[int], buckets: int) -> list[int]:
+    return filled(sizes, [0] * buckets)[0]
+
+
+def balanced_buckets(df: DataFrame, order: list, size: str, buckets: int, name: str = "bucket", width: int = 1 << 16) -> DataFrame:
+    """df with each item's bucket: over the whole table in the given order, the one with the least so far, ties to the first.
+
+    Sizes are whole numbers from 0, null counting as 0.  Only the differences
+    between the buckets decide.  Every range of `width` items is folded from
+    level buckets at first, then again from what the range before it leaves, as
+    long as that is another state than the one it was folded from.  Ties, in
+    which buckets take turns by number, bring two folds of a range together, so
+    that a change seldom goes beyond the next range or two; at worst, as with
+    sizes that never tie, it goes through all ranges one after the other.
+    """
+    spark = df.sparkSession
+    number, cell = free_name("_number", df), free_name("_cell", df)
+    rows = ordinals(df, *order, name=number).withColumn(cell, F.floor(F.col(number) / width))
+    held = written(rows.select(F.col(cell).alias("cell"), F.col(number).alias("number"), F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("size")), "sizes")
+    level = F.array_repeat(F.lit(0).cast("long"), buckets)
+
+    def left(group: pa.Table, begin: pa.Table) -> pa.Table:
+        end = filled(group.sort_by("number")["size"].to_pylist(), begin["entered"][0].as_py())[1]
+        return pa.table({"cell": begin["cell"], "entered": begin["entered"].cast(pa.list_(pa.int64())), "left": pa.array([end], pa.list_(pa.int64()))})
+
+    def folded(begin: DataFrame) -> DataFrame:
+        items = held.join(begin.select("cell"), "cell", "left_semi")
+        return items.groupBy("cell").cogroup(begin.groupBy("cell")).applyInArrow(left, "cell long, entered array<long>, left array<long>")
+
+    cells = spark.range(-(-held.count() // width)).withColumnRenamed("id", "cell")
+    states = written(folded(cells.withColumn("entered", level)), "states")
+    while True:
+        before = states.select((F.col("cell") + 1).alias("cell"), F.col("left").alias("due"))
+        wrong = written(states.join(before, "cell").where("entered != due").select("cell", F.col("due").alias("entered")), "wrong")
+        if wrong.isEmpty():
+            discard(wrong)
+            break
+        mended = written(states.join(wrong, "cell", "left_anti").unionByName(folded(wrong)), "states")
+        discard(states, wrong)
+        states = mended
+
+    def numbered(group: pa.Table, entry: pa.Table) -> pa.Table:
+        group = group.sort_by("number")
+        own = filled(group["size"].to_pylist(), entry["entered"][0].as_py())[0]
+        return pa.table({"number": group["number"], "own": pa.array(own, pa.int64())})
+
+    parts = held.groupBy("cell").cogroup(states.groupBy("cell")).applyInArrow(numbered, "number long, own long")
+    return rows.drop(cell, name).join(parts.select(F.col("number").alias(number), F.col("own").alias(name)), number).drop(number)
 
 
 def templates(counts: dict[int, int], capacity: int) -> list[tuple[int, int, dict[int, int]]]:
@@ -124,17 +173,6 @@ def training_shares(df: DataFrame, id: str, seed: int, cutoff: int, pad: int, wo
     return split_columns(packed, world, F.col("rank"), kind)
 
 
-def bucket_major(rows: DataFrame, group: str, bucket: str, order: str) -> DataFrame:
-    """rows with place, from 0: a group's buckets one after the other, each in order."""
-    return rows.withColumn("place", (F.row_number().over(Window.partitionBy(group).orderBy(bucket, order)) - 1).cast("long"))
-
-
-def folded(df: DataFrame, group: str, order: str, size: str, fold: Callable[[list[int]], list[int]], name: str) -> DataFrame:
-    """group, order, size and the fold's result for each row."""
-
-    def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by(order)
-        return rows.append_column(name, pa.array(fold(rows[size].to_pylist()), pa.int64()))
-
-    columns = df.select(F.col(group).cast("long"), F.col(order).cast("long"), F.col(size).cast("long"))
-    return columns.groupBy(group).applyInArrow(run, f"{group} long, {order} long, {size} long, {name} long")
+def bucket_major(rows: DataFrame, bucket: str, *order: str) -> DataFrame:
+    """rows with place, from 0: the buckets one after the other, each in order."""
+    return ordinals(rows, bucket, *order, name="place")

@@ -66,9 +66,8 @@ def stable_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bucket_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each order's place when its group's buckets follow each other."""
-    rows = packing.folded(sized(spark, sf_dir), "grp", "id", "size", lambda sizes: packing.balanced(sizes, 4), "bucket")
-    return packing.bucket_major(rows, "grp", "bucket", "id").select("id", "bucket", "place")
+    """Each order's place when the buckets follow each other."""
+    return packing.bucket_major(balanced_buckets(spark, sf_dir), "bucket", "id").select("id", "bucket", "place")
 
 
 def local_to_global(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,13 +145,12 @@ def split_query(kind: str):
 
 
 def sized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as documents: their lines are chunks; groups are ranges of 512 order keys."""
-    counts = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("size"))
-    return counts.select(F.floor(F.col("l_orderkey") / 512).cast("long").alias("grp"), F.col("l_orderkey").alias("id"), "size")
+    """Orders as documents: their lines are chunks."""
+    return table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.count("*").alias("size"))
 
 
-def fold_query(fold, name: str):
-    return lambda spark, sf_dir: packing.folded(sized(spark, sf_dir), "grp", "id", "size", fold, name).select("id", name)
+def balanced_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.balanced_buckets(sized(spark, sf_dir), ["id"], "size", 4).select("id", "bucket")
 
 
 def bincount(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,10 +168,9 @@ def length_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return i.join(d, ["n", "k"]).select("item_id", "doc_id", "n")
 
 
-QUERIES = {f.__name__: f for f in (run_length_ids, rle_counts, rank_in_run, chunks_per_sample, exclusive_offsets, global_offsets, next_token, sampled_token, stable_partition, bucket_concat, local_to_global, training_shares, packed_examples, offset_concat, left_pad_batch, left_pad_requests, length_filter, label_shift_pad, bincount, length_pairing)} | {
+QUERIES = {f.__name__: f for f in (run_length_ids, rle_counts, rank_in_run, chunks_per_sample, exclusive_offsets, global_offsets, next_token, sampled_token, stable_partition, balanced_buckets, bucket_concat, local_to_global, training_shares, packed_examples, offset_concat, left_pad_batch, left_pad_requests, length_filter, label_shift_pad, bincount, length_pairing)} | {
     "sp_zigzag": split_query("zigzag-ring"),
     "sp_ulysses": split_query("ulysses"),
-    "balanced_buckets": fold_query(lambda sizes: packing.balanced(sizes, 4), "bucket"),
     "split_blocks": lambda spark, sf_dir: splits.split(sized(spark, sf_dir), splits.Blocks(24), ["id"], "size", "block").select("id", "block"),
     "split_slices": lambda spark, sf_dir: splits.split(sized(spark, sf_dir), splits.Slices(40), ["id"], "size", "slice", tail=16).select("id", "slice"),
     "knapsack_pack": lambda spark, sf_dir: packing.knapsack(sized(spark, sf_dir), "id", "size", 12).select("id", "bag"),
@@ -188,9 +185,7 @@ RUNS = """
 COUNTED = f"WITH {RUNS}, counted AS (SELECT user_id, run, any_value(event_type) AS event_type, count(*)::BIGINT AS n FROM runs GROUP BY user_id, run)"
 TURNS = r"turns AS (SELECT conv_id, turn, list_transform(regexp_extract_all(text, '\S+'), lambda x: length(x)) AS ids FROM conversations)"
 ITEMS = """
-    items AS (SELECT l_orderkey // 512 AS grp, l_orderkey AS id, count(*)::BIGINT AS size,
-                     row_number() OVER (PARTITION BY l_orderkey // 512 ORDER BY l_orderkey) AS i
-              FROM lineitem GROUP BY l_orderkey)"""
+    items AS (SELECT l_orderkey AS id, count(*)::BIGINT AS size, row_number() OVER (ORDER BY l_orderkey) AS i FROM lineitem GROUP BY l_orderkey)"""
 #: i: place by id; p, q: sums of sizes before and up to it.
 SUMS = """
     sums AS (SELECT *, q - size AS p FROM (
@@ -252,11 +247,10 @@ ORACLE_SQL = {
     "sp_zigzag": f"WITH {TURNS} SELECT conv_id, turn, {zigzag(0)}, {zigzag(1)} FROM (SELECT *, len(ids) // 4 AS s FROM turns)",
     "balanced_buckets": f"""
         WITH RECURSIVE {ITEMS}, f AS (
-            SELECT grp, id, i, 0 AS bucket, size AS a, 0::BIGINT AS b, 0::BIGINT AS c, 0::BIGINT AS d FROM items WHERE i = 1
+            SELECT id, i, 0 AS bucket, size AS a, 0::BIGINT AS b, 0::BIGINT AS c, 0::BIGINT AS d FROM items WHERE i = 1
             UNION ALL
-            SELECT grp, id, i, k, a + CASE k WHEN 0 THEN size ELSE 0 END, b + CASE k WHEN 1 THEN size ELSE 0 END, c + CASE k WHEN 2 THEN size ELSE 0 END, d + CASE k WHEN 3 THEN size ELSE 0 END
-            FROM (SELECT n.grp, n.id, n.i, n.size, a, b, c, d, CASE least(a, b, c, d) WHEN a THEN 0 WHEN b THEN 1 WHEN c THEN 2 ELSE 3 END AS k
-                  FROM f JOIN items n ON n.grp = f.grp AND n.i = f.i + 1))
+            SELECT id, i, k, a + CASE k WHEN 0 THEN size ELSE 0 END, b + CASE k WHEN 1 THEN size ELSE 0 END, c + CASE k WHEN 2 THEN size ELSE 0 END, d + CASE k WHEN 3 THEN size ELSE 0 END
+            FROM (SELECT n.id, n.i, n.size, a, b, c, d, CASE least(a, b, c, d) WHEN a THEN 0 WHEN b THEN 1 WHEN c THEN 2 ELSE 3 END AS k FROM f JOIN items n ON n.i = f.i + 1))
         SELECT id, bucket::BIGINT AS bucket FROM f""",
     "split_blocks": f"""
         WITH RECURSIVE {SUMS},
@@ -281,4 +275,4 @@ ORACLE_SQL = {
         dealt AS (SELECT bag, got AS size, row_number() OVER (PARTITION BY got ORDER BY step) AS k FROM f WHERE got > 0)
         SELECT id, coalesce(bag, -1) AS bag FROM (SELECT *, row_number() OVER (PARTITION BY size ORDER BY id DESC) AS k FROM items) LEFT JOIN dealt USING (size, k)""",
 }
-ORACLE_SQL["bucket_concat"] = f"SELECT id, bucket, row_number() OVER (PARTITION BY id // 512 ORDER BY bucket, id) - 1 AS place FROM ({ORACLE_SQL['balanced_buckets']})"
+ORACLE_SQL["bucket_concat"] = f"SELECT id, bucket, row_number() OVER (ORDER BY bucket, id) - 1 AS place FROM ({ORACLE_SQL['balanced_buckets']})"

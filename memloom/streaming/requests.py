@@ -116,12 +116,15 @@ class Rounds(Idle):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         seen, over = self.state.get() if self.state.exists() else (0, False)
-        turns = pd.concat(list(rows))
+        turns = pd.concat(list(rows)).sort_values("turn")
         self.heard(turns[self.at].max())
         if over:
             return
-        seen += len(turns)
-        over = bool(turns["done"].any()) or seen >= self.most
+        for done in turns["done"]:
+            seen += 1
+            over = bool(done) or seen >= self.most
+            if over:
+                break
         self.state.update((seen, over))
         if over:
             yield pd.DataFrame({"conv_id": [key[0]], "rounds": [seen]})

@@ -125,6 +125,20 @@ def test_splits_of_a_whole_table(spark, width, fan):
     assert splits.split(table.limit(0), splits.Blocks(5), ["id"], "size", "part").collect() == []
 
 
+@pytest.mark.parametrize("largest,buckets,width", [(4, 4, 16), (4, 8, 64), (900, 3, 50), (0, 2, 16), (7, 4, 1 << 16)])
+def test_balanced_buckets_of_a_whole_table(spark, largest, buckets, width):
+    """Ranges that guess how full buckets are agree with one fold in the end; sizes that hardly tie go through all ranges, and are right too."""
+    rng = random.Random(largest)
+    sizes = [rng.randrange(largest + 1) if rng.random() < 0.9 else None for _ in range(300)]
+    rows = spark.createDataFrame([(k % 7, k, s, -1) for k, s in enumerate(sizes)], "_cell long, _number long, size long, bucket long")
+    order = sorted(range(300), key=lambda k: (k % 7, -k))
+    want = dict(zip(order, packing.balanced([sizes[k] or 0 for k in order], buckets)))
+    got = packing.balanced_buckets(rows, ["_cell", F.desc("_number")], "size", buckets, width=width)
+    assert sorted(got.columns) == sorted(rows.columns)
+    assert {r["_number"]: (r["_cell"], r["size"], r["bucket"]) for r in got.collect()} == {k: (k % 7, sizes[k], want[k]) for k in range(300)}
+    assert packing.balanced_buckets(rows.limit(0), ["_number"], "size", buckets).count() == 0
+
+
 def test_templates_equal_plain_packing():
     rng = random.Random(1)
     for _ in range(300):
