@@ -638,6 +638,15 @@ def test_rounds_keep_state(spark, tmp_path):
     assert state_rows(query)[-1] <= 3 < max(state_rows(query))
 
 
+def test_rounds_end_within_a_batch(spark, tmp_path):
+    """Turns that come together count up to the one that is done, or up to the most there may be."""
+    rows = [(1, t, t == 1, minute(0)) for t in (3, 1, 0, 2)] + [(2, t, False, minute(0)) for t in range(5)]
+    spark.createDataFrame(rows, "conv_id long, turn long, done boolean, ts timestamp").coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = requests.request_stream(spark, f"{tmp_path}/in", "conv_id long, turn long, done boolean, ts timestamp")
+    requests.appended(requests.rounds(stream, most=3), f"{tmp_path}/out", f"{tmp_path}/state").awaitTermination()
+    assert sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [(1, 2), (2, 3)]
+
+
 def test_windowed_counts(spark):
     events = spark.read.parquet(f"{SF}/events.parquet")
     assert requests.windowed_counts(events).agg(F.sum("n")).first()[0] == events.count()
