@@ -26,7 +26,9 @@ for: none that could join two groups is left out.
 Before a candidate is verified by exact intersection, it must pass a bound that
 never rejects a link: each node has a sketch, the parity of the number of its
 shingles that hash to each of its bits, and two sketches differ in no more bits
-than the sets in shingles.
+than the sets in shingles.  To be compared within signatures, a sketch goes once
+to each task that its node's signatures go to, and signatures with one least
+node, whose nodes are often the same ones, go to one task.
 
 Shingles and nodes are 64-bit hashes of their contents.  A signature, node or
 group that holds many rows is dealt to several tasks wherever it is joined.
@@ -164,11 +166,12 @@ class Signer:
 
 
 def sketch(tokens: np.ndarray) -> np.ndarray:
-    """Parities of the counts of shingles by bit, as 64-bit integers; a power of two of at least two bits a shingle.
+    """Parities of the counts of shingles by bit, as 64-bit integers; a power of two of at least one bit a shingle.
 
+    Unrelated sets of one size n then differ in 0.49 n bits, sets that link at 80 % in 0.22 n at most.
     A sketch of twice as many bits folds to the shorter one: its halves' exclusive or.
     """
-    bits = max(BITS, 1 << (2 * len(tokens) - 1).bit_length()) if len(tokens) else BITS
+    bits = max(BITS, 1 << (len(tokens) - 1).bit_length()) if len(tokens) else BITS
     odd = np.bincount((mixed(tokens, 1 << 21) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
@@ -289,30 +292,42 @@ def near_rows(i: np.ndarray, j: np.ndarray, n: np.ndarray, levels: dict[int, tup
     return fit
 
 
-def open_pairs(shared: DataFrame, groups: DataFrame, tested: DataFrame, nodes: DataFrame, percent: int, block_bytes: int = 2 << 20) -> DataFrame:
-    """(a, b): nodes that share a signature, are in different groups, may link, and are not tested.
+def dealt(placed: DataFrame, apart: DataFrame, nodes: DataFrame, block_bytes: int) -> DataFrame:
+    """(task, node, root, n, sketch, held): each task's nodes, once, with its signatures that they hold.
 
-    Signatures are dealt to tasks' groups of about block_bytes.  One that holds
-    more is cut into blocks, and each two of them meet in a group of their own.
+    placed: signature, node, root.  apart: signature, count, size (bytes of its
+    rows), least (node) of the signatures to deal.  Those with one least node go
+    together, in parts of about block_bytes.  One that holds more is cut into
+    blocks, and each two of them meet in a task of their own; held then has the
+    row's side (1 or 2; 0: all pairs).
     """
-    placed = shared.join(groups, "node", "left").join(nodes.select("node", (64 + 8 * F.size("sketch")).alias("bytes")), "node")
-    placed = written(placed.select("signature", "node", F.coalesce("root", "node").alias("root"), "bytes"), "placed")
-    apart = placed.groupBy("signature").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("count"), F.sum("bytes").alias("size"))
-    apart = written(apart.where("x <> y").select("signature", "count", "size"), "apart")
     bundles = 1 + (apart.agg(F.sum("size")).first()[0] or 0) // block_bytes
-    rows = join_unique(placed.drop("bytes"), apart.select("signature", "size"), "signature", apart.select("signature", "count"))
-    rows = rows.join(nodes.select("node", "n", "sketch"), "node")
-    blocks = F.ceil(F.col("size") / block_bytes)
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    whole = apart.where(F.col("size") <= block_bytes).groupBy("least").agg(F.ceil(F.sum("size") / block_bytes).alias("parts"))
+    parted = apart.join(whole.where("parts > 1"), "least", "left")
+    one = F.when(F.col("parts").isNull(), F.pmod("least", F.lit(bundles))).otherwise(F.xxhash64("least", F.pmod(F.xxhash64("signature"), "parts")))
+    parted = parted.select("signature", F.ceil(F.col("size") / block_bytes).alias("blocks"), one.alias("one"))
+    rows = join_unique(placed.select("signature", "node", "root"), parted, "signature", apart.select("signature", "count"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     low, high = F.least("own", "other"), F.greatest("own", "other")
-    rows = rows.select(
-        F.when(blocks == 1, F.pmod("signature", F.lit(bundles))).otherwise(F.xxhash64("signature", low, high)).alias("task"),
-        "signature", low.alias("low"), high.alias("high"), "own", "node", "root", "n", "sketch",
-    )
+    side = F.when(low == high, 0).when(F.col("own") == low, 1).otherwise(2).cast("byte")
+    task = F.when(F.col("blocks") == 1, F.col("one")).otherwise(F.xxhash64("signature", low, high))
+    rows = rows.select("node", "root", task.alias("task"), F.struct("signature", side.alias("side")).alias("held"))
+    # By node alone, so that neither the grouping nor the join moves rows again.
+    rows = rows.repartition("node").groupBy("node", "root", "task").agg(F.collect_list("held").alias("held"))
+    return rows.join(nodes.select("node", "n", "sketch"), "node").select("task", "node", "root", "n", "sketch", "held")
+
+
+def open_pairs(shared: DataFrame, groups: DataFrame, tested: DataFrame, nodes: DataFrame, percent: int, block_bytes: int = 2 << 20) -> DataFrame:
+    """(a, b): nodes that share a signature, are in different groups, may link, and are not tested."""
+    placed = shared.join(groups, "node", "left").join(nodes.select("node", (64 + 8 * F.size("sketch")).alias("bytes")), "node")
+    placed = written(placed.select("signature", "node", F.coalesce("root", "node").alias("root"), "bytes"), "placed")
+    apart = placed.groupBy("signature").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("count"), F.sum("bytes").alias("size"), F.min("node").alias("least"))
+    apart = written(apart.where("x <> y").select("signature", "count", "size", "least"), "apart")
+    rows = dealt(placed, apart, nodes, block_bytes)
 
     def compare(group: pa.Table) -> pa.Table:
-        group = group.sort_by([("signature", "ascending"), ("low", "ascending"), ("high", "ascending"), ("node", "ascending")]).combine_chunks()
-        signature, low, high, own, node, root, n = (group[c].to_numpy() for c in ("signature", "low", "high", "own", "node", "root", "n"))
+        group = group.combine_chunks()
+        node, root, n = (group[c].to_numpy() for c in ("node", "root", "n"))
         column = group["sketch"].chunk(0)
         flat, ends = column.flatten().to_numpy().view(np.uint64), column.offsets.to_numpy()
         starts, words = (ends[:-1] - ends[0]).astype(np.int64), np.diff(ends)
@@ -326,13 +341,18 @@ def open_pairs(shared: DataFrame, groups: DataFrame, tested: DataFrame, nodes: D
                 bits.append(np.bitwise_xor.reduce(found.reshape(len(at), -1, level), axis=1))
             levels[level] = (place, np.concatenate(bits))
             level *= 4
-        new = np.r_[True, (signature[1:] != signature[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])]
-        last = np.r_[np.flatnonzero(new)[1:], len(node)][np.cumsum(new) - 1]
+        held = group["held"].chunk(0)
+        signature, side = (held.flatten().field(k).to_numpy() for k in (0, 1))
+        row = np.repeat(np.arange(len(node)), np.diff(held.offsets.to_numpy()))
+        order = np.argsort(signature, kind="stable")
+        signature, side, row = signature[order], side[order], row[order]
+        new = np.r_[True, signature[1:] != signature[:-1]]
+        last = np.r_[np.flatnonzero(new)[1:], len(row)][np.cumsum(new) - 1]
         out: tuple[list, list] = ([np.zeros(0, np.int64)], [np.zeros(0, np.int64)])
-        left, step = np.arange(len(node)), 1
+        left, step = np.arange(len(row)), 1
         while len(left := left[left + step < last[left]]):
-            i, j = left, left + step
-            near = (root[i] != root[j]) & ((low[i] == high[i]) | (own[i] != own[j])) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+            i, j = row[left], row[left + step]
+            near = (root[i] != root[j]) & ((side[left] == 0) | (side[left] != side[left + step])) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
             i, j = i[near], j[near]
             fit = near_rows(i, j, n, levels, (flat, words, starts), percent)
             out[0].append(np.minimum(node[i[fit]], node[j[fit]]))

@@ -248,6 +248,37 @@ def test_blocks_of_a_signature_give_the_same(spark, frame):
     assert found[0] == found[1] and len(found[0]) > 20
 
 
+def test_sketches_go_to_a_task_once(spark, frame):
+    """All nodes of a signature meet in a task, or each two in one of its blocks; a node's row is not copied for each signature."""
+    rng = np.random.default_rng(11)
+    nodes = spark.createDataFrame([(k, 90, [k] * 16) for k in range(60)], "node long, n long, sketch array<long>")
+    held = {s: rng.choice(60, 2 + s % 7, replace=False).tolist() for s in range(300)} | {300: list(range(60))}
+    placed = spark.createDataFrame([(s, n, n) for s, ns in held.items() for n in ns], "signature long, node long, root long")
+    apart = spark.createDataFrame([(s, len(ns), 192 * len(ns), min(ns)) for s, ns in held.items()], "signature long, count long, size long, least long")
+    for size in (1 << 20, 192 * 40, 192 * 8):
+        rows = jaccard_join.dealt(placed, apart, nodes, size).collect()
+        tasks, met = {}, {s: set() for s in held}
+        for r in rows:
+            assert r.sketch == [r.node] * 16 and r.root == r.node
+            tasks.setdefault(r.task, []).append(r)
+        for in_task in tasks.values():
+            assert len({r.node for r in in_task}) == len(in_task)
+            for x in in_task:
+                for y in in_task:
+                    for s in {(h.signature, h.side) for h in x.held}:
+                        met[s[0]] |= {(x.node, y.node) for h in y.held if x.node < y.node and h.signature == s[0] and (h.side == 0 or h.side != s[1])}
+        assert met == {s: {(x, y) for x in ns for y in ns if x < y} for s, ns in held.items()}
+        assert size < 1 << 20 or len(rows) == 60
+
+
+def test_sketches_of_one_bit_a_shingle_part_unrelated_sets():
+    rng = np.random.default_rng(12)
+    for n in (1024, 4096, 8192):
+        a, b = (np.unique(rng.integers(0, 2**64, n, dtype=np.uint64)) for _ in "ab")
+        assert 64 * len(jaccard_join.sketch(a)) == n
+        assert not jaccard_join.may_link(np.array(n), np.array(n), jaccard_join.differing_bits(jaccard_join.sketch(a), jaccard_join.sketch(b)), 80)
+
+
 def test_long_texts_link(frame):
     rng = random.Random(5)
     words = [f"w{rng.randrange(50_000)}" for _ in range(60_000)]
