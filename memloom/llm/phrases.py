@@ -165,7 +165,10 @@ def texts_of(b: np.ndarray, first: np.ndarray, end: np.ndarray) -> pa.Array:
 
 def distinct(ids: np.ndarray, at: np.ndarray, h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Which of the places `at` are the first of their k words, and how many there are of each; hashes that lie are noticed."""
-    _, first, back, n = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+    found = pa.array(h).dictionary_encode()
+    back = found.indices.to_numpy()
+    first, n = np.empty(len(found.dictionary), np.int64), np.bincount(back)
+    first[back[::-1]] = np.arange(len(back))[::-1]
     if all(np.array_equal(ids[at + j], ids[at[first][back] + j]) for j in range(k)):
         return first, n
     _, first, n = np.unique(np.stack([ids[at + j] for j in range(k)], axis=1), axis=0, return_index=True, return_counts=True)
@@ -174,10 +177,13 @@ def distinct(ids: np.ndarray, at: np.ndarray, h: np.ndarray, k: int) -> tuple[np
 
 def count_block(b: np.ndarray, context: int, lang: int, marks: np.ndarray, scan: int, o: Mining) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
     """k, phrases, the scans they start with, their slots and counts: what is counted of a block in this scan."""
-    gaps = np.flatnonzero((b == 32) | (b == 10))
+    gap = (b == 32) | (b == 10)
+    gaps = np.flatnonzero(gap)
     first, end = np.r_[0, gaps + 1], np.r_[gaps, len(b)]
     piece = np.r_[0, np.cumsum(b[gaps] == 10)]
-    known = texts_of(b, first, end).dictionary_encode()
+    # The words without the gaps between them.
+    offsets = np.r_[first - np.arange(len(first)), len(b) - len(gaps)].astype(np.int32)
+    known = pa.StringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(b[~gap])).dictionary_encode()
     ids = known.indices.to_numpy()
     own = len(ids) - context
     words = hashed(known.dictionary)
@@ -187,13 +193,13 @@ def count_block(b: np.ndarray, context: int, lang: int, marks: np.ndarray, scan:
     if scan < o.shards:
         n = np.bincount(ids[:own], minlength=len(words))
         some = np.flatnonzero(n)
-        yield 1, known.dictionary.take(pa.array(some)), np.zeros(len(some), np.int32), slots[some], n[some]
+        yield 1, known.dictionary.take(pa.array(some)), np.zeros(len(some), np.uint8), slots[some], n[some]
     # at: places of (k-1)-word phrases; h: their hashes; mark: the scans that marked them, 0 for none.
-    at, h, mark = np.arange(len(ids)), words[ids], marks[slots][ids].astype(np.int32)
+    at, h, mark = np.arange(len(ids)), words[ids], marks[slots][ids]
     for k in range(2, o.longest + 1):
-        full = np.zeros(len(ids) + 1, np.int32)
+        full = np.zeros(len(ids) + 1, np.uint8)
         full[at] = mark
-        keep = (at + k <= len(ids)) & (mark > 0) & (full[np.minimum(at + 1, len(ids))] > 0)
+        keep = (at + k <= len(ids)) & (mark > 0) & (full[at + 1] > 0)
         at, h = at[keep], h[keep]
         same = piece[at] == piece[at + k - 1]
         at, h = at[same], h[same]
@@ -202,14 +208,14 @@ def count_block(b: np.ndarray, context: int, lang: int, marks: np.ndarray, scan:
         start = np.maximum(full[at], full[at + 1])
         h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + words[ids[at + k - 1]])
         slots = slot_of(h)
-        active = np.flatnonzero((scan < start + o.shards) & (at < own))
+        active = np.flatnonzero((start > scan - o.shards) & (at < own))
         if len(active):
             one, n = distinct(ids, at[active], h[active], k)
             one = active[one]
             yield k, texts_of(b, first[at[one]], end[at[one] + k - 1]), start[one], slots[one], n
         # One whose byte another phrase marked early can't be extended before it is itself counted.
-        mark = marks[slots].astype(np.int32)
-        mark = np.where(mark > 0, np.maximum(mark, start), 0)
+        mark = marks[slots]
+        mark = np.where(mark > 0, np.maximum(mark, start), mark)
 
 
 def counted(rows: DataFrame, marks: np.ndarray, scan: int, o: Mining) -> tuple[DataFrame, object]:

@@ -119,6 +119,16 @@ def test_hashes_that_lie_are_noticed():
     assert sorted(zip([tuple(ids[at[f] : at[f] + 2]) for f in first], n)) == [((1, 2), 2), ((2, 1), 1), ((2, 3), 1)]
 
 
+def test_distinct_phrases_come_in_the_order_of_the_text():
+    """By a hash table instead of a sort, so that their texts are then read from front to back."""
+    h = np.random.default_rng(3).integers(0, 2**64, 50, dtype=np.uint64)[np.random.default_rng(4).integers(0, 50, 400)]
+    first, n = phrases.distinct(h, np.arange(400), h, 1)
+    places = {}
+    for k, x in enumerate(h.tolist()):
+        places.setdefault(x, []).append(k)
+    assert first.tolist() == [p[0] for p in places.values()] and n.tolist() == [len(p) for p in places.values()]
+
+
 def test_scores_beyond_64_bits(spark):
     rows = [(2**40, 2**44, 2**41, 2**40), (10**12, 10**14, 10**12, 10**12), (100, 2**45, 100, 100), (7, 11, 8, 9)]
     table = spark.createDataFrame(rows, "a long, n long, l long, r long")
