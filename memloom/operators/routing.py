@@ -4,7 +4,9 @@ Queries are a stated set, taken in blocks of bounded size; each block is
 broadcast and multiplied with batches of chunks, so memory is read once for
 each block and never shuffled.  With max over chunks, a batch hands on only its
 own best documents of each query: a document's best chunk ranks at least as
-high in its batch as over all.  With mean, a document's chunks are added up as they
+high in its batch as over all.  A matrix product adds in an order of its own, by
+which equal scores may differ in the last bit; so what comes near the best is
+scored again in one stated order, and equal vectors tie.  With mean, a document's chunks are added up as they
 come: one that is whole within a task (n_chunks says how many it has) competes
 there, and a task hands on its best of each query and the sums of those documents
 of which it has seen a part, which are few if memory is laid out by document.
@@ -13,6 +15,7 @@ of which it has seen a part, which are few if memory is laid out by document.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +30,19 @@ CHUNKS = "doc_id long, chunk_id long, vec array<double>"
 PARTIAL = "query_id long, doc_id long, best double, total double, n long"
 
 
+#: More than rounding changes a score by, for vectors of length one.
+ROUNDING = 1e-12
+
+
+def _heads(v: np.ndarray, config: MemoryConfig) -> np.ndarray:
+    """Vector, head, component; for cosines times a power of two, which changes none and keeps squares in range."""
+    v = v.reshape(len(v), config.heads, -1)
+    return np.ldexp(v, -np.frexp(np.abs(v).max(axis=2, keepdims=True))[1]) if config.score == "cosine" else v
+
+
 def _scores(q: np.ndarray, x: np.ndarray, config: MemoryConfig) -> np.ndarray:
-    """Token by chunk, with heads reduced."""
-    q, x = (v.reshape(len(v), config.heads, -1) for v in (q, x))
+    """Token by chunk, with heads reduced, but for rounding."""
+    q, x = _heads(q, config), _heads(x, config)
     if config.score == "cosine":
         q, x = (v / np.maximum(np.linalg.norm(v, axis=2, keepdims=True), 1e-300) for v in (q, x))
     out = None
@@ -40,6 +53,23 @@ def _scores(q: np.ndarray, x: np.ndarray, config: MemoryConfig) -> np.ndarray:
     return out / scale
 
 
+def pair_scores(q: np.ndarray, x: np.ndarray, config: MemoryConfig) -> np.ndarray:
+    """The score of each token with the chunk beside it: products are added by component and heads by number, one after the other.
+
+    A cosine is the dot product over the root of the product of both squared
+    lengths, 0 if one of them is 0: exactly 1 for a vector with itself.
+    """
+    added = lambda v: reduce(np.add, np.moveaxis(v, -1, 0))
+    q, x = _heads(q, config), _heads(x, config)
+    scores = added(q * x)
+    if config.score == "cosine":
+        size = np.sqrt(added(q * q) * added(x * x))
+        scores = np.where(size == 0, 0.0, scores / np.where(size == 0, 1.0, size))
+    if config.score == "scaled":
+        scores = scores / q.shape[2] ** 0.5
+    return scores.max(axis=1) if config.head == "max" else added(scores) / config.heads
+
+
 def vectors_of(column: pa.Array) -> np.ndarray:
     """Lists of one length as the rows of a matrix, without an object for each number."""
     flat = column.flatten().to_numpy(zero_copy_only=False)
@@ -117,25 +147,45 @@ def partial_scores(chunks: DataFrame, block: list[tuple[int, int, list[float]]],
             else:
                 scores = (np.maximum if config.query == "max" else np.add).reduceat(scores, first, axis=0)
                 scores = scores / (last - first + 1)[:, None] if config.query == "mean" else scores
-            yield part, _by_document(part.column(0).to_numpy(), scores)
+            yield part, scores, _by_document(part.column(0).to_numpy(), scores)
+
+    def settled(x: np.ndarray, query: np.ndarray, chunk: np.ndarray) -> np.ndarray:
+        """Scores of queries with the chunks beside them, rows of x, in one order of additions."""
+        _, first, last, tokens = sent.value
+        begin = last if config.query == "last" else first
+        size = last[query] - begin[query] + 1
+        ends = np.cumsum(size)
+        token = np.arange(ends[-1]) - np.repeat(ends - size - begin[query], size)
+        beside = np.repeat(chunk, size)
+        scores = np.concatenate([pair_scores(tokens[token[at : at + 8192]], x[beside[at : at + 8192]], config) for at in range(0, len(token), 8192)])
+        scores = (np.add if config.query == "mean" else np.maximum).reduceat(scores, ends - size)
+        return scores / size if config.query == "mean" else scores
 
     def best_of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries = sent.value[0]
+        queries, _, _, tokens = sent.value
+        length = 1.0 if config.score == "cosine" else np.linalg.norm(tokens, axis=1).max()
         for batch in batches:
             found = []
-            for _, (docs, best, total, n) in slices(batch):
+            for part, scores, (docs, best, total, n) in slices(batch):
+                vectors = vectors_of(part.column(1))
+                within = ROUNDING * length * (1.0 if config.score == "cosine" else np.linalg.norm(vectors, axis=1).max())
                 keep = np.ones(best.shape, dtype=bool)
                 if len(docs) > config.top_k:
-                    keep = best >= np.partition(best, -config.top_k, axis=1)[:, -config.top_k][:, None]
+                    # Negated, so that what isn't a number is kept.
+                    keep = ~(best < np.partition(best, -config.top_k, axis=1)[:, -config.top_k][:, None] - within)
+                of = np.searchsorted(docs, part.column(0).to_numpy())
+                query, chunk = np.nonzero(~(scores < np.where(keep, best - within, np.inf)[:, of]))
+                exact = np.full(best.shape, -np.inf)
+                np.maximum.at(exact, (query, of[chunk]), settled(vectors, query, chunk))
                 q, d = np.nonzero(keep)
-                found.append((queries[q], docs[d], best[q, d], total[q, d], n[d]))
+                found.append((queries[q], docs[d], exact[q, d], total[q, d], n[d]))
             if found:
                 yield _rows(found)
 
     def whole_in_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Whole(sent.value[0], config.top_k)
         for batch in batches:
-            for part, (docs, _, total, n) in slices(batch):
+            for part, _, (docs, _, total, n) in slices(batch):
                 sizes = part.column(2).to_numpy()
                 held.add(docs, total, n, sizes[np.unique(part.column(0).to_numpy(), return_index=True)[1]])
                 if len(held.open) > 1024:

@@ -44,7 +44,18 @@ CONFIGS = {
 }
 
 
-def scores_sql(c: MemoryConfig) -> str:
+def ordered_scores_sql(c: MemoryConfig) -> str:
+    """toks with every addition in its place, so that equal vectors tie and ties go to the smaller id, whatever threads read the rows."""
+    added = lambda a, b, h: " + ".join(f"{a}[{d}] * {b}[{d}]" for d in range(8 * h + 1, 8 * h + 9))
+    lengths = f"[{', '.join(added('e', 'e', h) for h in range(8))}] AS n"
+    score = lambda h: f"({added('q.e', 'm.e', h)})" if c.score == "dot" else f"coalesce(({added('q.e', 'm.e', h)}) / nullif(sqrt(q.n[{h + 1}] * m.n[{h + 1}]), 0), 0)"
+    return f"""
+        WITH q AS (SELECT *, {lengths} FROM (SELECT (vec_id // 100) // 3 AS query_id, (vec_id // 100) % 3 AS tok, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id % 100 = 0)),
+        m AS (SELECT *, {lengths} FROM (SELECT vec_id // 8 AS doc_id, vec_id AS chunk_id, embedding::DOUBLE[] AS e FROM embeddings)),
+        toks AS (SELECT query_id, tok, doc_id, chunk_id, ({" + ".join(map(score, range(8)))}) / 8 AS s FROM q, m),"""
+
+
+def scores_sql(c: MemoryConfig, ordered: bool = False) -> str:
     cut = lambda t: f"{t}.e[8 * i + 1:8 * i + 8]"
     score = f"list_dot_product({cut('q')}, {cut('m')})"
     if c.score == "cosine":
@@ -53,19 +64,20 @@ def scores_sql(c: MemoryConfig) -> str:
         score += " / sqrt(8.0::DOUBLE)"
     name = {"max": "max", "mean": "avg"}
     query = "arg_max(s, tok)" if c.query == "last" else f"{name[c.query]}(s)"
-    return f"""
+    toks = f"""
         WITH q AS (SELECT (vec_id // 100) // 3 AS query_id, (vec_id // 100) % 3 AS tok, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id % 100 = 0),
         m AS (SELECT vec_id // 8 AS doc_id, vec_id AS chunk_id, embedding::DOUBLE[] AS e FROM embeddings),
         heads AS (SELECT query_id, tok, doc_id, chunk_id, {score} AS s FROM q, m, range(8) r(i)),
-        toks AS (SELECT query_id, tok, doc_id, chunk_id, {name[c.head]}(s) AS s FROM heads GROUP BY ALL),
+        toks AS (SELECT query_id, tok, doc_id, chunk_id, {name[c.head]}(s) AS s FROM heads GROUP BY ALL),"""
+    return f"""{ordered_scores_sql(c) if ordered else toks}
         chunked AS (SELECT query_id, doc_id, chunk_id, {query} AS s FROM toks GROUP BY query_id, doc_id, chunk_id),
         scored AS (SELECT query_id, doc_id, {name[c.chunk]}(s) AS score FROM chunked GROUP BY query_id, doc_id),
         ranked AS (SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank, score FROM scored)
     """
 
 
-def top_sql(c: MemoryConfig, where: str = "") -> str:
-    return scores_sql(c) + f"SELECT query_id, doc_id, rank, round(score, 6) AS score FROM ranked WHERE rank <= {c.top_k} {where}"
+def top_sql(c: MemoryConfig, where: str = "", ordered: bool = False) -> str:
+    return scores_sql(c, ordered) + f"SELECT query_id, doc_id, rank, round(score, 6) AS score FROM ranked WHERE rank <= {c.top_k} {where}"
 
 
 def route_query(config: MemoryConfig):
@@ -222,7 +234,7 @@ POOL = """
     SELECT {key}, d - 1 AS dim, round(avg(e[d]), 6) AS value
     FROM (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings), range(1, 65) r(d) GROUP BY ALL
 """
-ORACLE_SQL = {name: top_sql(c) for name, c in CONFIGS.items()} | {
+ORACLE_SQL = {name: top_sql(c, ordered=c.score == "cosine") for name, c in CONFIGS.items()} | {
     "route_sharded_topk": WON,
     "router_projections": """
         SELECT vec_id, kind, i AS dim, round(list_dot_product(embedding::DOUBLE[], list_transform(range(64), lambda j: (((i * 7 + j * 3) % 5) - 2) / 4.0::DOUBLE)), 6) AS value

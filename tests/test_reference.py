@@ -10,6 +10,7 @@ from datetime import datetime, timedelta
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ from memloom.config import MemoryConfig, read_config
 from memloom.functions import text
 from memloom.operators import corpora, hooks, interleave, metrics, packing, prompts, readout, routing, sequences, splits
 from memloom.plans import ORACLE_SQL, QUERIES
+from memloom.plans import routing as plans
 from memloom.sources import registry, snapshots
 from memloom.streaming import requests
 
@@ -242,6 +244,27 @@ def test_mean_routing_hands_on_few_rows(spark, laid_out):
         assert [r.doc_id for r in routing.route(chunks if q % 2 else sized, tokens, config).orderBy("rank").collect()] == want
 
 
+@pytest.mark.parametrize("score", ["dot", "cosine"])
+def test_equal_vectors_tie(spark, tmp_path, score):
+    """A vector's cosine with itself is 1 and copies score alike wherever they stand, to the last bit of the SQL; ties go to the smaller id."""
+    made = np.random.default_rng(5).normal(size=(3000, 64)).astype(np.float32)
+    made[5::24] = made[200]
+    made[78, :8] = 0
+    duckdb.connect().from_arrow(pa.table({"vec_id": range(3000), "embedding": made.tolist()}, pa.schema({"vec_id": pa.int64(), "embedding": pa.list_(pa.float32())}))).write_parquet(f"{tmp_path}/embeddings.parquet")
+    config = MemoryConfig(score=score)
+    chunks, tokens = plans.chunks(spark, str(tmp_path)), plans.tokens(spark, str(tmp_path))
+    for parts in (1, 7):
+        got = [tuple(r) for r in routing.route(chunks.repartition(parts), tokens, config).select("query_id", "rank", "doc_id", "score").sort("query_id", "rank").collect()]
+        con = duckdb.connect()
+        con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet'")
+        assert got == con.sql(plans.scores_sql(config, True) + "SELECT query_id, rank, doc_id, score FROM ranked WHERE rank <= 16 ORDER BY ALL").fetchall()
+        held = [k // 8 for k in range(29, 3000, 24) if k // 8 != 12]  # this one holds a token of its own
+        tied = [d for q, _, d, _ in got if q == 0 and d in held]
+        assert len(tied) > 10 and tied == held[: len(tied)]
+        if score == "cosine":
+            assert all([(d, s) for q, r, d, s in got if q == n and r <= 3] == [((3 * n + k) * 100 // 8, 1.0) for k in range(3)] for n in range(1, 10))
+
+
 def test_masked_scores(spark):
     """Pads of any values, on any side, leave the same scores; a sample without tokens has none."""
     rng = np.random.default_rng(1)
