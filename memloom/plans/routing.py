@@ -263,7 +263,7 @@ ORACLE_SQL = {name: top_sql(c, ordered=c.score == "cosine") for name, c in CONFI
         SELECT vec_id // 21 AS doc_id, (vec_id % 21) // 4 AS chunk, d - 1 AS dim, round(avg(e[d]), 6) AS q, round(avg(2 * e[d]), 6) AS k, round(avg(e[65 - d]), 6) AS v
         FROM (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings), range(1, 65) r(d) GROUP BY ALL""",
     "recall_fanin": "SELECT request, layer, string_agg(ids, ';' ORDER BY seq) AS lists FROM ("
-    + " UNION ALL ".join(f"SELECT query_id // 2 AS request, {layer}::BIGINT AS layer, query_id % 2 AS seq, string_agg(doc_id, ',' ORDER BY rank) AS ids FROM ({top_sql(replace(BASE, top_k=3, score=how))}) GROUP BY query_id" for layer, how in ((18, "dot"), (19, "cosine")))
+    + " UNION ALL ".join(f"SELECT query_id // 2 AS request, {layer}::BIGINT AS layer, query_id % 2 AS seq, string_agg(doc_id, ',' ORDER BY rank) AS ids FROM ({top_sql(replace(BASE, top_k=3, score=how), ordered=True)}) GROUP BY query_id" for layer, how in ((18, "dot"), (19, "cosine")))
     + ") GROUP BY request, layer",
     "pool_mean_chunks": POOL.format(key="vec_id // 21 AS doc_id, (vec_id % 21) // 4 AS chunk"),
     "pool_fixed_window": POOL.format(key="vec_id // 4 AS chunk"),

@@ -244,19 +244,32 @@ def test_mean_routing_hands_on_few_rows(spark, laid_out):
         assert [r.doc_id for r in routing.route(chunks if q % 2 else sized, tokens, config).orderBy("rank").collect()] == want
 
 
-@pytest.mark.parametrize("score", ["dot", "cosine"])
-def test_equal_vectors_tie(spark, tmp_path, score):
-    """A vector's cosine with itself is 1 and copies score alike wherever they stand, to the last bit of the SQL; ties go to the smaller id."""
+def tied_vectors(folder):
+    """A view of 3,000 vectors as embeddings, every 24th a copy; one has a head of zeros."""
     made = np.random.default_rng(5).normal(size=(3000, 64)).astype(np.float32)
     made[5::24] = made[200]
     made[78, :8] = 0
-    duckdb.connect().from_arrow(pa.table({"vec_id": range(3000), "embedding": made.tolist()}, pa.schema({"vec_id": pa.int64(), "embedding": pa.list_(pa.float32())}))).write_parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.from_arrow(pa.table({"vec_id": range(3000), "embedding": made.tolist()}, pa.schema({"vec_id": pa.int64(), "embedding": pa.list_(pa.float32())}))).write_parquet(f"{folder}/embeddings.parquet")
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{folder}/embeddings.parquet'")
+    return con
+
+
+def test_recall_lists_of_equal_vectors(spark, tmp_path):
+    con = tied_vectors(tmp_path)
+    got = sorted(tuple(r) for r in QUERIES["recall_fanin"](spark, str(tmp_path)).select("request", "layer", "lists").collect())
+    assert got == sorted(con.sql(ORACLE_SQL["recall_fanin"]).select("request, layer, lists").fetchall())
+    assert got[1][2] == "0,3,6;37,50,62"
+
+
+@pytest.mark.parametrize("score", ["dot", "cosine"])
+def test_equal_vectors_tie(spark, tmp_path, score):
+    """A vector's cosine with itself is 1 and copies score alike wherever they stand, to the last bit of the SQL; ties go to the smaller id."""
+    con = tied_vectors(tmp_path)
     config = MemoryConfig(score=score)
     chunks, tokens = plans.chunks(spark, str(tmp_path)), plans.tokens(spark, str(tmp_path))
     for parts in (1, 7):
         got = [tuple(r) for r in routing.route(chunks.repartition(parts), tokens, config).select("query_id", "rank", "doc_id", "score").sort("query_id", "rank").collect()]
-        con = duckdb.connect()
-        con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet'")
         assert got == con.sql(plans.scores_sql(config, True) + "SELECT query_id, rank, doc_id, score FROM ranked WHERE rank <= 16 ORDER BY ALL").fetchall()
         held = [k // 8 for k in range(29, 3000, 24) if k // 8 != 12]  # this one holds a token of its own
         tied = [d for q, _, d, _ in got if q == 0 and d in held]
