@@ -2,18 +2,22 @@
 
 What largest-fit packing puts together follows from the histogram of sizes
 alone.  Least-loaded buckets look at one item after the other; ranges of items
-guess how full the buckets are when they begin, and are folded again while the
-range before them says otherwise.
+guess how full the buckets are when they begin from the last items before them,
+and are folded again while the range before them says otherwise.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections.abc import Callable, Iterator
 from heapq import heapify, heapreplace
+from math import gcd
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from memloom.operators.sequences import ordinals, sequence_split
 from memloom.tables import discard, free_name, written
@@ -21,14 +25,12 @@ from memloom.tables import discard, free_name, written
 
 def filled(sizes: list[int], loads: list[int]) -> tuple[list[int], list[int]]:
     """Each item's bucket, the one with the least so far, ties to the first; and how much more than the emptiest each bucket holds in the end."""
-    heap, out = [(load, b) for b, load in enumerate(loads)], []
+    n = len(loads)
+    heap = [load * n + b for b, load in enumerate(loads)]
     heapify(heap)
-    for size in sizes:
-        load, bucket = heap[0]
-        out.append(bucket)
-        heapreplace(heap, (load + size, bucket))
-    least = heap[0][0]
-    return out, [load - least for load, _ in sorted(heap, key=lambda x: x[1])]
+    out = [heapreplace(heap, heap[0] + size * n) % n for size in sizes]
+    least = heap[0] // n
+    return out, [x // n - least for x in sorted(heap, key=lambda x: x % n)]
 
 
 def balanced(sizes: list[int], buckets: int) -> list[int]:
@@ -39,46 +41,89 @@ def balanced_buckets(df: DataFrame, order: list, size: str, buckets: int, name:
     """df with each item's bucket: over the whole table in the given order, the one with the least so far, ties to the first.
 
     Sizes are whole numbers from 0, null counting as 0.  Only the differences
-    between the buckets decide.  Every range of `width` items is folded from
-    level buckets at first, then again from what the range before it leaves, as
-    long as that is another state than the one it was folded from.  Ties, in
-    which buckets take turns by number, bring two folds of a range together, so
-    that a change seldom goes beyond the next range or two; at worst, as with
-    sizes that never tie, it goes through all ranges one after the other.
+    between the buckets decide.  Ties, in which buckets take turns by number,
+    bring folds from two states together, if the states' sums leave the same
+    rest by the number of buckets, in units of what divides all sizes.  So every
+    range of `width` items learns how it is entered by folding the last quarter
+    of the range before it, from buckets that are level but for that rest.  It
+    is folded from there, and again as long as the range before it is left in
+    another state; at worst, as with sizes that hardly ever tie, that goes
+    through all ranges one after the other.
     """
-    spark = df.sparkSession
     number, cell = free_name("_number", df), free_name("_cell", df)
     rows = ordinals(df, *order, name=number).withColumn(cell, F.floor(F.col(number) / width))
-    held = written(rows.select(F.col(cell).alias("cell"), F.col(number).alias("number"), F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("size")), "sizes")
-    level = F.array_repeat(F.lit(0).cast("long"), buckets)
+    held = rows.select(F.col(cell).alias("cell"), F.col(number).alias("number"), F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("size"))
+    tail = width - width // 4
+
+    def in_order(group: pa.Table) -> list[int]:
+        at = group["number"].to_numpy()
+        sizes = np.empty(len(at), np.int64)
+        sizes[at - at.min()] = group["size"].to_numpy()
+        return sizes.tolist()
 
     def left(group: pa.Table, begin: pa.Table) -> pa.Table:
-        end = filled(group.sort_by("number")["size"].to_pylist(), begin["entered"][0].as_py())[1]
-        return pa.table({"cell": begin["cell"], "entered": begin["entered"].cast(pa.list_(pa.int64())), "left": pa.array([end], pa.list_(pa.int64()))})
+        # Of the last range, which none follows, only the items may come.
+        end = [filled(in_order(group), e.as_py())[1] for e in begin["entered"]]
+        return pa.table({"cell": begin["cell"], "entered": begin["entered"].cast(pa.list_(pa.int64())), "left": pa.array(end, pa.list_(pa.int64()))})
 
-    def folded(begin: DataFrame) -> DataFrame:
-        items = held.join(begin.select("cell"), "cell", "left_semi")
+    def folded(items: DataFrame, begin: DataFrame) -> DataFrame:
         return items.groupBy("cell").cogroup(begin.groupBy("cell")).applyInArrow(left, "cell long, entered array<long>, left array<long>")
 
-    cells = spark.range(-(-held.count() // width)).withColumnRenamed("id", "cell")
-    states = written(folded(cells.withColumn("entered", level)), "states")
+    def numbered(group: pa.Table, entry: pa.Table) -> pa.Table:
+        """The items' buckets; the last item tells how the range is left."""
+        own, end = filled(in_order(group), entry["entered"][0].as_py())
+        first, n = group["number"].to_numpy().min(), len(own)
+        last = pa.array([None] * (n - 1) + [end], pa.list_(pa.int64()))
+        return pa.table({"cell": pa.array(np.full(n, entry["cell"][0].as_py())), "number": pa.array(first + np.arange(n)), "own": pa.array(own, pa.int64()), "left": last})
+
+    def placed(items: DataFrame, begin: DataFrame) -> DataFrame:
+        return items.groupBy("cell").cogroup(begin.groupBy("cell")).applyInArrow(numbered, "cell long, number long, own long, left array<long>")
+
+    guess = written(_guesses(held, buckets, width, tail, folded), "guess")
+    parts = written(placed(held, guess), "buckets")
+    states = written(parts.where("left IS NOT NULL").select("cell", "left").join(guess, "cell").select("cell", "entered", "left"), "states")
+    mends = 0
     while True:
         before = states.select((F.col("cell") + 1).alias("cell"), F.col("left").alias("due"))
         wrong = written(states.join(before, "cell").where("entered != due").select("cell", F.col("due").alias("entered")), "wrong")
         if wrong.isEmpty():
             discard(wrong)
             break
-        mended = written(states.join(wrong, "cell", "left_anti").unionByName(folded(wrong)), "states")
+        mends += 1
+        again = folded(held.join(wrong.select("cell"), "cell", "left_semi"), wrong)
+        mended = written(states.join(wrong, "cell", "left_anti").unionByName(again), "states")
         discard(states, wrong)
         states = mended
+    if mends:
+        changed = states.join(guess.withColumnRenamed("entered", "guessed"), "cell").where("entered != guessed").select("cell", "entered")
+        again = placed(held.join(changed.select("cell"), "cell", "left_semi"), changed)
+        parts = parts.join(changed.select("cell"), "cell", "left_anti").unionByName(again)
+    return rows.drop(cell, name).join(parts.select(F.col("number").alias(number), F.col("own").alias(name)), number).drop(number)
 
-    def numbered(group: pa.Table, entry: pa.Table) -> pa.Table:
-        group = group.sort_by("number")
-        own = filled(group["size"].to_pylist(), entry["entered"][0].as_py())[0]
-        return pa.table({"number": group["number"], "own": pa.array(own, pa.int64())})
 
-    parts = held.groupBy("cell").cogroup(states.groupBy("cell")).applyInArrow(numbered, "number long, own long")
-    return rows.drop(cell, name).join(parts.select(F.col("number").alias(number), F.col("own").alias(name)), number).drop(number)
+def _guesses(held: DataFrame, buckets: int, width: int, tail: int, folded: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """cell, entered: how each range is probably entered, from a fold over the items of the one before it from place `tail` on."""
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What runs of one range's items add up to, before the tail and in all, and what divides them."""
+        for batch in batches:
+            number, size = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            at = np.flatnonzero(np.diff(number // width, prepend=-1))
+            if len(at):
+                sums = [np.add.reduceat(np.where(number % width < tail, size, 0), at), np.add.reduceat(size, at), np.gcd.reduceat(size, at)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (number[at] // width, *sums)], names=["cell", "head", "total", "unit"])
+
+    sums = written(held.select("number", "size").mapInArrow(summed, "cell long, head long, total long, unit long"), "sums")
+    unit = gcd(*(r["unit"] for r in sums.select("unit").distinct().collect())) or 1
+    cells = sums.groupBy("cell").agg(F.try_sum("head").alias("head"), F.try_sum("total").alias("total"))
+    # A row for each range.
+    before = F.try_sum("total").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))
+    rest = F.pmod(F.floor((F.coalesce(before, F.lit(0)) + F.coalesce("head", F.lit(0))) / unit), F.lit(buckets))
+    level = F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)), lambda b: F.when(b < rest, F.lit(unit)).otherwise(F.lit(0)).cast("long"))
+    begins = cells.select("cell", level.alias("entered"))
+    ends = folded(held.where(F.col("number") % width >= tail), begins.join(cells.select((F.col("cell") - 1).alias("cell")), "cell", "left_semi"))
+    first = cells.where("cell = 0").select("cell", F.array_repeat(F.lit(0).cast("long"), buckets).alias("entered"))
+    return first.unionByName(ends.select((F.col("cell") + 1).alias("cell"), F.col("left").alias("entered")))
 
 
 def templates(counts: dict[int, int], capacity: int) -> list[tuple[int, int, dict[int, int]]]:
