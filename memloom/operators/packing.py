@@ -37,9 +37,12 @@ def balanced(sizes: list[int], buckets: int) -> list[int]:
     return filled(sizes, [0] * buckets)[0]
 
 
-def balanced_buckets(df: DataFrame, order: list, size: str, buckets: int, name: str = "bucket", width: int = 1 << 16) -> DataFrame:
+def balanced_buckets(df: DataFrame, order: list, size: str, buckets: int, name: str = "bucket", width: int = 1 << 16, place: str | None = None) -> DataFrame:
     """df with each item's bucket: over the whole table in the given order, the one with the least so far, ties to the first.
 
+    place: a column for each item's place, from 0, when the buckets follow each
+    other, each in the given order.
+
     Sizes are whole numbers from 0, null counting as 0.  Only the differences
     between the buckets decide.  Ties, in which buckets take turns by number,
     bring folds from two states together, if the states' sums leave the same
@@ -70,14 +73,17 @@ def balanced_buckets(df: DataFrame, order: list, size: str, buckets: int, name:
         return items.groupBy("cell").cogroup(begin.groupBy("cell")).applyInArrow(left, "cell long, entered array<long>, left array<long>")
 
     def numbered(group: pa.Table, entry: pa.Table) -> pa.Table:
-        """The items' buckets; the last item tells how the range is left."""
+        """The items' buckets and places among the range's items of their buckets; the last item tells how the range is left."""
         own, end = filled(in_order(group), entry["entered"][0].as_py())
+        own = np.array(own, np.int64)
         first, n = group["number"].to_numpy().min(), len(own)
+        by, at = np.argsort(own, kind="stable"), np.empty(n, np.int64)
+        at[by] = np.arange(n) - np.searchsorted(own[by], own[by])
         last = pa.array([None] * (n - 1) + [end], pa.list_(pa.int64()))
-        return pa.table({"cell": pa.array(np.full(n, entry["cell"][0].as_py())), "number": pa.array(first + np.arange(n)), "own": pa.array(own, pa.int64()), "left": last})
+        return pa.table({"cell": pa.array(np.full(n, entry["cell"][0].as_py())), "number": pa.array(first + np.arange(n)), "own": pa.array(own), "at": pa.array(at), "left": last})
 
     def placed(items: DataFrame, begin: DataFrame) -> DataFrame:
-        return items.groupBy("cell").cogroup(begin.groupBy("cell")).applyInArrow(numbered, "cell long, number long, own long, left array<long>")
+        return items.groupBy("cell").cogroup(begin.groupBy("cell")).applyInArrow(numbered, "cell long, number long, own long, at long, left array<long>")
 
     guess = written(_guesses(held, buckets, width, tail, folded), "guess")
     parts = written(placed(held, guess), "buckets")
@@ -98,7 +104,14 @@ def balanced_buckets(df: DataFrame, order: list, size: str, buckets: int, name:
         changed = states.join(guess.withColumnRenamed("entered", "guessed"), "cell").where("entered != guessed").select("cell", "entered")
         again = placed(held.join(changed.select("cell"), "cell", "left_semi"), changed)
         parts = parts.join(changed.select("cell"), "cell", "left_anti").unionByName(again)
-    return rows.drop(cell, name).join(parts.select(F.col("number").alias(number), F.col("own").alias(name)), number).drop(number)
+    found = [F.col("number").alias(number), F.col("own").alias(name)]
+    if place:
+        # A row for each range and bucket.
+        counts = parts.groupBy("cell", "own").agg(F.count("*").alias("n"))
+        before = F.sum("n").over(Window.orderBy("own", "cell").rowsBetween(Window.unboundedPreceding, -1))
+        parts = parts.join(written(counts.select("cell", "own", F.coalesce(before, F.lit(0)).alias("base")), "bases"), ["cell", "own"])
+        found.append((F.col("base") + F.col("at")).alias(place))
+    return rows.drop(cell, name, *[place] if place else []).join(parts.select(*found), number).drop(number)
 
 
 def _guesses(held: DataFrame, buckets: int, width: int, tail: int, folded: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
@@ -216,8 +229,3 @@ def training_shares(df: DataFrame, id: str, seed: int, cutoff: int, pad: int, wo
     mixed = ordinals(df.withColumn("_mixed", F.xxhash64(F.lit(seed), F.col(id))), "_mixed", id, name="_at").drop("_mixed")
     packed = packed_examples(mixed, "_at", cutoff, pad).withColumn("rank", F.explode(F.sequence(F.lit(0), F.lit(world - 1))))
     return split_columns(packed, world, F.col("rank"), kind)
-
-
-def bucket_major(rows: DataFrame, bucket: str, *order: str) -> DataFrame:
-    """rows with place, from 0: the buckets one after the other, each in order."""
-    return ordinals(rows, bucket, *order, name="place")

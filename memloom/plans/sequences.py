@@ -67,7 +67,7 @@ def stable_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bucket_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order's place when the buckets follow each other."""
-    return packing.bucket_major(balanced_buckets(spark, sf_dir), "bucket", "id").select("id", "bucket", "place")
+    return packing.balanced_buckets(sized(spark, sf_dir), ["id"], "size", 4, place="place").select("id", "bucket", "place")
 
 
 def local_to_global(spark: SparkSession, sf_dir: str) -> DataFrame:

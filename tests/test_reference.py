@@ -141,6 +141,20 @@ def test_balanced_buckets_of_a_whole_table(spark, largest, buckets, width):
     assert packing.balanced_buckets(rows.limit(0), ["_number"], "size", buckets).count() == 0
 
 
+@pytest.mark.parametrize("largest,width", [(7, 100), (900, 50)])
+def test_places_in_buckets(spark, monkeypatch, largest, width):
+    """Buckets follow each other, each in the given order, without another sort of all items; also where ranges are folded again."""
+    rng = random.Random(largest)
+    rows = [(k, rng.randrange(largest + 1), "x") for k in range(400)]
+    want = packing.balanced([r[1] for r in reversed(rows)], 3)
+    sorts, sort = [], packing.ordinals
+    monkeypatch.setattr(packing, "ordinals", lambda *a, **k: sorts.append(a) or sort(*a, **k))
+    table = spark.createDataFrame(rows, "id long, size long, place string").repartition(5)
+    got = packing.balanced_buckets(table, [F.desc("id")], "size", 3, width=width, place="place").sort("place").collect()
+    assert [(r.bucket, r.place, r.id) for r in got] == [(b, n, 399 - k) for n, (b, k) in enumerate(sorted((b, k) for k, b in enumerate(want)))]
+    assert len(sorts) == 1
+
+
 @pytest.mark.parametrize("unit,buckets", [(1, 4), (24, 3)])
 def test_ranges_of_buckets_are_guessed(spark, monkeypatch, unit, buckets):
     """Where sizes tie now and then, every range is entered as guessed, whatever the sizes before it add up to: nothing is folded again."""
